@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, mixing, packing
+from ledgerloom.llm import exact_dedup, mixing, near_dedup, packing
 from ledgerloom.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_hilbert_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_coordinate_join(spark, sf_dir):
+    return near_dedup.classes_of(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4)
+
+
 def op7_stream_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -18,7 +22,7 @@ def op9_budget_mixing(spark, sf_dir):
     return mixing.sizes_taken(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op7_stream_dedup, op9_budget_mixing)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op5_coordinate_join, op7_stream_dedup, op9_budget_mixing)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
