@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, mixing, near_dedup, packing
+from ledgerloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -22,7 +22,11 @@ def op9_budget_mixing(spark, sf_dir):
     return mixing.sizes_taken(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op5_coordinate_join, op7_stream_dedup, op9_budget_mixing)}
+def op10_chain_toxicity(spark, sf_dir):
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op5_coordinate_join, op7_stream_dedup, op9_budget_mixing, op10_chain_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
