@@ -27,7 +27,12 @@ from ledgerloom.llm import common as C
 #: Everything that the normalised text leaves out.
 BLANKS = r"[\x20\x09-\x0D]+"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Session settings while the stream runs. Space for logs is not set aside: there is a store for each shuffle partition.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKS,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def normalised(text: str):
@@ -46,8 +51,9 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
 def stream_state(staged_path: str, spark, schema, doc_id: str, files_per_batch: int) -> DataFrame:
     """Run the stream over the staged rows to its end; per digest: ``_n``, ``_best`` (len, ~doc_id, ~rid)."""
     sink, marks = C.new_path(spark, "dedup-state"), C.new_path(spark, "dedup-marks")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(staged_path)
         # ~x turns the order round without overflow, so that max() prefers the smallest doc_id, then the first row
@@ -60,7 +66,8 @@ def stream_state(staged_path: str, spark, schema, doc_id: str, files_per_batch:
         query = state.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", marks).trigger(availableNow=True).queryName(f"dedup-{uuid.uuid4().hex[:8]}").start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     shape = "_sha string, _n long, _best struct<_len: long, _not_id: long, _not_rid: long>, _batch long"
     found = spark.read.schema(shape).parquet(sink) if query.lastProgress or _exists(spark, sink) else spark.createDataFrame([], shape)
     return found.groupBy("_sha").agg(F.max_by(F.struct("_n", "_best"), "_batch").alias("_s")).select("_sha", "_s._n", "_s._best")
