@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
+from ledgerloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op7_stream_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_sharded_warc(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
 def op9_budget_mixing(spark, sf_dir):
     return mixing.sizes_taken(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -26,7 +30,7 @@ def op10_chain_toxicity(spark, sf_dir):
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op5_coordinate_join, op7_stream_dedup, op9_budget_mixing, op10_chain_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op5_coordinate_join, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
@@ -34,4 +38,13 @@ ORACLES: dict[str, str] = {
         g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, row(-length(t), doc_id)) AS keep_id FROM n GROUP BY norm)
         SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256 FROM n JOIN g USING (norm)
     """,
+    "op8_sharded_warc": r"""
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        q AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+        r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM q)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND head <> page_id THEN head END AS refers_to
+        FROM r
+    """,
 }
