@@ -89,7 +89,7 @@ class _Roller:
         if self.file is None:
             self.temp = f"_temporary/{self.shard:06d}-{self.seq:04d}-{uuid.uuid4().hex}"
             self.fs.create_dir(f"{self.root}/_temporary", recursive=True)
-            self.file, self.n, self.size, self.hash = self.fs.open_output_stream(f"{self.root}/{self.temp}"), 0, 0, hashlib.sha256()
+            self.file, self.n, self.size, self.hash = self.fs.open_output_stream(f"{self.root}/{self.temp}", compression=None), 0, 0, hashlib.sha256()
         z = zlib.compressobj(6, zlib.DEFLATED, 31)
         member = z.compress(data) + z.flush()
         self.file.write(member)
@@ -227,7 +227,7 @@ def read_warc(spark: SparkSession, out: str, payloads: bool = False) -> DataFram
         for batch in batches:
             for name in batch.column("name").to_pylist():
                 rows, size = [], 0
-                with store.open_input_stream(f"{root}/{name}") as f:
+                with store.open_input_stream(f"{root}/{name}", compression=None) as f:
                     for headers, block in records(f):
                         if hashlib.sha256(block).hexdigest() != headers["WARC-Block-Digest"].removeprefix("sha256:"):
                             raise ValueError(f"{name}: a block does not have its digest")
