@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity, warc
+from ledgerloom.llm import exact_dedup, langid, mixing, near_dedup, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -10,6 +10,14 @@ def op1_hilbert_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_line_chain_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_rank_profiles(spark, sf_dir):
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 def op5_coordinate_join(spark, sf_dir):
     return near_dedup.classes_of(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4)
 
@@ -30,7 +38,7 @@ def op10_chain_toxicity(spark, sf_dir):
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op5_coordinate_join, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op4_rank_profiles, op5_coordinate_join, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import common as C
+from ledgerloom.llm.chains import Chains, fit_chain
 
 TOXIC_DOCS, CLEAN_DOCS = 1500, 3000
 THRESHOLD = 0.7
@@ -51,62 +52,6 @@ def features(word: bytes) -> list[int]:
     return ids + [0] * (len(PREFIXES) + len(SUFFIXES) + 2 - len(ids))
 
 
-class Chains:
-    """Sequences of different lengths side by side: step t of the longest ``live[t]`` of them."""
-
-    def __init__(self, lengths: np.ndarray):
-        self.order = np.argsort(-lengths, kind="stable")
-        sizes = lengths[self.order]
-        steps = int(sizes[0]) if len(sizes) else 0
-        self.live = len(sizes) - np.searchsorted(sizes[::-1], np.arange(steps), side="right")
-        starts = (np.cumsum(lengths) - lengths)[self.order]
-        self.at = np.concatenate(([0], np.cumsum(self.live))).astype(np.int64)
-        #: the token at each place of the step-by-step layout
-        self.token = np.concatenate([starts[:n] + t for t, n in enumerate(self.live)]) if steps else np.zeros(0, np.int64)
-
-    def ratios(self, emit: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Toxic to plain ratios of the forward and backward weights, and of the emissions, step by step."""
-        (oo, ot), (to, tt) = np.exp(trans)
-        e = np.exp(np.clip(emit, -30, 30))[self.token]
-        fwd, bwd = np.empty_like(e), np.empty_like(e)
-        at, live = self.at.tolist(), self.live.tolist()
-        if live:
-            fwd[: live[0]] = e[: live[0]] * (ot / oo)
-        for t in range(1, len(live)):
-            r = fwd[at[t - 1] : at[t - 1] + live[t]]
-            fwd[at[t] : at[t + 1]] = e[at[t] : at[t + 1]] * (r * tt + ot) / (r * to + oo)
-        for t in range(len(live) - 1, -1, -1):
-            n = live[t + 1] if t + 1 < len(live) else 0
-            bwd[at[t] + n : at[t + 1]] = 1.0
-            if n:
-                x = e[at[t + 1] : at[t + 2]] * bwd[at[t + 1] : at[t + 2]]
-                bwd[at[t] : at[t] + n] = (x * tt + to) / (x * ot + oo)
-        return fwd, bwd, e
-
-    def marginals(self, emit: np.ndarray, trans: np.ndarray) -> np.ndarray:
-        fwd, bwd, _ = self.ratios(emit, trans)
-        out = np.empty_like(fwd)
-        x = fwd * bwd
-        out[self.token] = x / (1 + x)
-        return out
-
-    def pairs(self, fwd, bwd, e, trans) -> np.ndarray:
-        """Expected transition counts; a chain starts as if after a plain token."""
-        (oo, ot), (to, tt) = np.exp(trans)
-        total = np.zeros((2, 2))
-        for t in range(len(self.live)):
-            n, a = self.live[t], self.at[t]
-            x = e[a : a + n] * bwd[a : a + n]
-            if t:
-                r = fwd[self.at[t - 1] : self.at[t - 1] + n]
-                z = oo + ot * x + r * (to + tt * x)
-                total += [[(oo / z).sum(), (ot * x / z).sum()], [(r * to / z).sum(), (r * tt * x / z).sum()]]
-            else:
-                z = oo + ot * x
-                total += [[(oo / z).sum(), (ot * x / z).sum()], [0, 0]]
-        return total
-
-
 def lines_of(text: bytes) -> list[list[bytes]]:
     return [w for line in text.lower().split(b"\n") if (w := line.split())]
 
@@ -197,26 +142,7 @@ def fit(docs: list[tuple[bytes, int]], steps: int = 60, ridge: float = 1e-6) ->
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(words))}
     ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
     feats = np.array([features(w) for w in vocabulary])
-    chains = Chains(lengths)
-    before = np.concatenate(([0.0], y[:-1]))
-    before[np.cumsum(lengths) - lengths] = 0.0
-    seen = np.array([[((1 - before) * (1 - y)).sum(), ((1 - before) * y).sum()], [(before * (1 - y)).sum(), (before * y).sum()]])
-    w, trans = np.zeros(SLOTS), np.zeros((2, 2))
-    w[0] = -1.0
-    gw, gt, step = np.zeros(SLOTS), np.zeros((2, 2)), 0.5
-    for _ in range(steps):  # gradient steps, each coordinate scaled by what it has seen so far
-        emit = w[feats].sum(axis=1)[ids]
-        fwd, bwd, e = chains.ratios(emit, trans)
-        x = fwd * bwd
-        m = np.empty_like(x)
-        m[chains.token] = x / (1 + x)
-        by_word = np.bincount(ids, m - y, len(vocabulary))
-        g = np.bincount(feats.ravel(), np.repeat(by_word, feats.shape[1]), SLOTS) / len(y) + ridge * w
-        t = (chains.pairs(fwd, bwd, e, trans) - seen) / len(y)
-        gw += g * g
-        gt += t * t
-        w -= step * g / (np.sqrt(gw) + 1e-12)
-        trans -= step * t / (np.sqrt(gt) + 1e-12)
+    w, trans = fit_chain(feats, ids, y, lengths, SLOTS, steps, ridge)
     model = Model(w, trans, None, share)
     m, counts = model.marginals([text for text, _ in docs])
     x, target = documents(m, counts), np.array([y for _, y in docs], float)
