@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, langid, mixing, near_dedup, packing, quality, toxicity, warc
+from ledgerloom.llm import exact_dedup, langid, lm_scoring, mixing, near_dedup, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_line_chain_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_context_mixing(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_rank_profiles(spark, sf_dir):
     return langid.identified(table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_chain_toxicity(spark, sf_dir):
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op4_rank_profiles, op5_coordinate_join, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
