@@ -85,7 +85,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fil
     """
     spark = docs.sparkSession
     own = docs.columns
-    staged = C.stage(keyed(docs, text), "dedup-rows")
+    staged = C.stage(keyed(docs, text), "dedup-rows", "zstd")
     slim = staged.select(doc_id, "_rid", "_sha", "_len")
     if staged.limit(1).isEmpty():
         groups = spark.createDataFrame([], "_sha string, _n long, _best struct<_len: long, _not_id: long, _not_rid: long>")
@@ -126,7 +126,7 @@ def _split_collisions(staged: DataFrame, groups: DataFrame, judged: DataFrame, d
 def kept_only(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with the columns of ``docs``."""
     own = docs.columns
-    staged = C.stage(keyed(docs, text), "dedup-rows")
+    staged = C.stage(keyed(docs, text), "dedup-rows", "zstd")
     slim = staged.select(doc_id, "_rid", "_sha", "_len")
     if staged.limit(1).isEmpty():
         return docs
