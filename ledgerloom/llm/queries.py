@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, langid, lm_scoring, mixing, near_dedup, packing, quality, toxicity, warc
+from ledgerloom.llm import exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_coordinate_join(spark, sf_dir):
     return near_dedup.classes_of(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4)
 
 
+def op6_template_removal(spark, sf_dir):
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_stream_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -42,7 +46,7 @@ def op10_chain_toxicity(spark, sf_dir):
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
