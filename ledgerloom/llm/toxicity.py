@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm import common as C
 from ledgerloom.llm.chains import Chains, fit_chain
 
-TOXIC_DOCS, CLEAN_DOCS = 1500, 3000
+TOXIC_DOCS, CLEAN_DOCS = 1000, 2000
 THRESHOLD = 0.7
 SLOTS = 1 << 18
 #: A word or prefix is a toxic cue if it is in this many toxic documents at least, and so many times likelier there.
@@ -91,9 +91,6 @@ class Model:
         counts = np.array([sum(map(len, lines)) for lines in parts], np.int64)
         return Chains(lengths).marginals(self.emissions(words), self.trans), counts
 
-    def documents(self, m: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return documents(m, counts)
-
     def scores(self, m: np.ndarray, counts: np.ndarray) -> np.ndarray:
         if self.curve is None:
             return np.full(len(counts), self.prior)
@@ -112,47 +109,45 @@ def documents(m: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(counts)), x, most, x / size, most * size], axis=1)
 
 
-def token_labels(docs: list[tuple[bytes, int]]) -> list[list[np.ndarray]]:
-    """Per document and line: 1 for tokens with a toxic cue in a toxic document."""
-    found = (Counter(), Counter())
-    parts = [lines_of(text) for text, _ in docs]
-    bare = [[[w.strip(EDGE) or w for w in line] for line in lines] for lines in parts]
-    n = [1.0, 1.0]
-    for lines, (_, y) in zip(bare, docs, strict=True):
+def token_labels(vocabulary: list[bytes], docs: list[np.ndarray], toxic: list[int]) -> np.ndarray:
+    """Of each word, whether it or a prefix is a toxic cue; docs: distinct words of each document."""
+    bare = [w.strip(EDGE) or w for w in vocabulary]
+    names: dict[bytes, int] = {}
+    own = [[names.setdefault(c, len(names)) for c in cues(w)] for w in bare]
+    n, found = [1.0, 1.0], np.zeros((2, len(names)))
+    for ids, y in zip(docs, toxic, strict=True):
         n[y] += 1
-        found[y].update({c for w in {w for line in lines for w in line} for c in cues(w)})
-    bad = {c for c, k in found[1].items() if k >= CUE_DOCS and k / n[1] > CUE_ODDS * (found[0][c] + 0.5) / n[0]}
-    out = []
-    for lines, (_, y) in zip(bare, docs, strict=True):
-        memo = {w: float(y and not bad.isdisjoint(cues(w))) for w in {w for line in lines for w in line}}
-        out.append([np.array([memo[w] for w in line]) for line in lines])
-    return out
+        found[y, list({c for i in ids.tolist() for c in own[i]})] += 1
+    bad = (found[1] >= CUE_DOCS) & (found[1] / n[1] > CUE_ODDS * (found[0] + 0.5) / n[0])
+    return np.array([any(bad[c] for c in cs) for cs in own])
 
 
 def fit(docs: list[tuple[bytes, int]], steps: int = 60, ridge: float = 1e-6) -> Model:
     """The chain and the curve, from (text, toxic) of the sample."""
-    share = sum(y for _, y in docs) / len(docs) if docs else 0.0
+    toxic = [y for _, y in docs]
+    share = sum(toxic) / len(docs) if docs else 0.0
     if not 0 < share < 1:
         return Model(np.zeros(SLOTS), np.zeros((2, 2)), None, share)
-    labels = token_labels(docs)
-    parts = [lines_of(text) for text, _ in docs]
-    words = [w for lines in parts for line in lines for w in line]
-    y = np.concatenate([x for lines in labels for x in lines])
-    lengths = np.array([len(line) for lines in parts for line in lines], np.int64)
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
-    feats = np.array([features(w) for w in vocabulary])
-    w, trans = fit_chain(feats, ids, y, lengths, SLOTS, steps, ridge)
-    model = Model(w, trans, None, share)
-    m, counts = model.marginals([text for text, _ in docs])
-    x, target = documents(m, counts), np.array([y for _, y in docs], float)
+    vocabulary: dict[bytes, int] = {}
+    ids, lengths, counts = [], [], []
+    for text, _ in docs:  # words as numbers at once: the sample's words are never all held as objects
+        lines = lines_of(text)
+        ids.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for line in lines for w in line], np.int32))
+        lengths += [len(line) for line in lines]
+        counts.append(len(ids[-1]))
+    cue = token_labels(list(vocabulary), [np.unique(x) for x in ids], toxic)
+    labels = np.concatenate([cue[x] * float(y) for x, y in zip(ids, toxic, strict=True)])
+    feats = np.array([features(w) for w in vocabulary], np.int32)
+    flat, lengths, counts = np.concatenate(ids), np.array(lengths, np.int64), np.array(counts, np.int64)
+    w, trans = fit_chain(feats, flat, labels, lengths, SLOTS, steps, ridge)
+    m = Chains(lengths).marginals(w[feats].sum(axis=1)[flat], trans)
+    x, target = documents(m, counts), np.array(toxic, float)
     curve = np.zeros(x.shape[1])
     for _ in range(50):  # Newton steps for the curve
         p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
         h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(x.shape[1])
         curve += np.linalg.solve(h, x.T @ (target - p) - curve)
-    model.curve = curve
-    return model
+    return Model(w, trans, curve, share)
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
