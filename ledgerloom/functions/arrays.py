@@ -31,9 +31,15 @@ def ordered_union(a: Column, b: Column) -> Column:
     return F.array_union(F.coalesce(a, nothing), F.coalesce(b, nothing))
 
 
+def in_order(rank: Column, array: Column) -> Column:
+    """Aggregate: many arrays one after the other, in the order of ``rank``; empty ones are left out."""
+    full = F.when(F.size(array) > 0, F.struct(rank.alias("r"), array.alias("a")))
+    return F.flatten(F.transform(F.array_sort(F.collect_list(full), lambda p, q: F.when(p["r"] < q["r"], -1).when(p["r"] > q["r"], 1).otherwise(0)), lambda x: x["a"]))
+
+
 def union_in_order(rank: Column, array: Column) -> Column:
     """Aggregate: the union of many arrays, in the order of ``rank``."""
-    return F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(rank.alias("r"), array.alias("a")))), lambda x: x["a"])))
+    return F.array_distinct(in_order(rank, array))
 
 
 def images(array: Column) -> Column:

@@ -20,11 +20,11 @@ def _merged(name: str, kind: str, rank: Column) -> Column:
     if name in LAST:
         return F.max_by(x, F.when(full, rank))
     if name == "images":
-        return A.images(F.flatten(F.transform(F.sort_array(F.collect_list(F.when(full, F.struct(rank.alias("r"), x.alias("a"))))), lambda v: v["a"])))
+        return A.images(A.in_order(rank, x))
     if name == "sources":
-        return A.merge_sources(F.flatten(F.transform(F.sort_array(F.collect_list(F.when(full, F.struct(rank.alias("r"), x.alias("a"))))), lambda v: v["a"])))
+        return A.merge_sources(A.in_order(rank, x))
     if kind.startswith("array"):
-        return F.coalesce(A.union_in_order(F.when(full, rank), F.when(full, x)), F.array().cast(kind))
+        return A.union_in_order(rank, x)
     return F.min_by(x, F.when(full, rank))
 
 

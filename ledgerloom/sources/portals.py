@@ -25,7 +25,7 @@ UNKNOWN = "Unknown Project"
 UNIT_FIELDS = ("bhk", "carpet", "super", "bathrooms", "price", "price_unit")
 PROJECT_FIELDS = ("project", "slug", "developer", "city", "locality", "address", "kind", "possession", "possession_date", "rera", "latitude", "longitude")
 LIST_FIELDS = ("amenities", "highlights", "images", "blurbs")
-PAYLOAD = ", ".join([*(f"{f}: string" for f in PROJECT_FIELDS), *(f"{f}: array<string>" for f in LIST_FIELDS), f"units: array<struct<{', '.join(f'{f}: string' for f in UNIT_FIELDS)}>>"])
+PAYLOAD = ", ".join([*(f"{f} string" for f in PROJECT_FIELDS), *(f"{f} array<string>" for f in LIST_FIELDS), f"units array<struct<{', '.join(f'{f}: string' for f in UNIT_FIELDS)}>>"])
 BATHS = ("bathroom", "bathrooms", "number_of_bathrooms", "bath", "Bath", "washroom", "washrooms")
 BLURBS = ("connectivity", "business", "education", "entertainment", "hospital", "shopping", "nearbyPlaces")
 
