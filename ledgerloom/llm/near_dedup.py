@@ -199,11 +199,11 @@ def _relabel(postings: DataFrame, labels: DataFrame) -> DataFrame:
 def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, seed: int = 3) -> DataFrame:
     """Per row of ``docs``: doc_id, _rid, n_shingles, component_id, kept."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return _near_dups(rows, words, percent, seed)
+    return _near_dups(C.stage(rows, "near-rows", "zstd"), words, percent, seed)
 
 
 def _near_dups(rows: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
-    """``rows``: rid, doc_id, text; read twice, so rid must be the same each time."""
+    """``rows``: rid, doc_id, text; they are read twice, so they are staged and rid is the same each time."""
     signed = C.stage(signatures(rows, words, seed), "near-signatures")
     order = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("rid"))
     classes = C.stage(signed.where("set_hash is not null").groupBy("set_hash").agg(F.min("rid").alias("cid"), F.min(order).alias("best")), "near-classes")
@@ -280,7 +280,7 @@ def classes_of(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 def kept_only(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` but those that are near copies of one that stays."""
     own = docs.columns
-    staged = C.stage(docs.withColumn("_rid", F.monotonically_increasing_id()), "near-rows")
+    staged = C.stage(docs.withColumn("_rid", F.monotonically_increasing_id()), "near-rows", "zstd")
     rows = staged.select(F.col("_rid").alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     dropped = C.stage(_near_dups(rows, words, percent, 3).where("not kept").select("_rid"), "near-dropped")
     return C.anti(staged, "_rid", dropped).select(*own)
