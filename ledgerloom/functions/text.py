@@ -238,3 +238,39 @@ def is_challenge(html, status) -> Column:
 def is_soft_error(message) -> Column:
     """Whether an error message tells of a block rather than of a fault."""
     return _c(message).rlike("417|403|406|451|Access Denied|Challenge|anti-bot")
+
+
+def page_title(html_title, portal: str, project, locality, city, kind) -> Column:
+    """The page's own title if it names the project (cut at a bar where the portal's name is in it), else one made of parts."""
+    raw, p = F.coalesce(_c(html_title), F.lit("")), _c(project)
+    own = F.when(F.lower(raw).contains(portal.lower()), F.trim(F.split_part(raw, F.lit("|"), F.lit(1)))).otherwise(F.trim(raw))
+    own = F.coalesce(strip_decorative(own), own)
+    made = F.concat(F.concat_ws(" ", p, _blank(_c(locality)), _blank(_c(city))), F.lit(" | Luxury "), F.coalesce(_blank(_c(kind)), F.lit("Apartments")))
+    return F.when((raw != "") & F.lower(own).contains(F.lower(p)), own).otherwise(made)
+
+
+def page_heading(html_h1, project, locality, city, bhk, all_bhks) -> Column:
+    """Project, place and sizes; without sizes the page's own heading. ``all_bhks``: the project's sizes, an array."""
+    p, n = _c(project), F.array_sort(F.array_distinct(F.array_compact(_c(all_bhks))))
+    place = F.concat_ws(" ", _blank(_c(locality)), _blank(_c(city)))
+    sized = lambda label: F.trim(F.concat(p, F.lit(" "), place, F.lit(" — Luxury "), label, F.lit(" BHK Residences")))
+    own = strip_decorative(html_h1)
+    rest = F.regexp_replace(F.substring(own, F.length(p) + 1, F.length(own)), "^[ ,\\-]+", "")
+    own = F.when(own.startswith(p) & (rest != ""), F.concat(p, F.lit(" "), rest)).otherwise(own)
+    return F.when(F.size(n) > 1, sized(F.array_join(F.transform(n, lambda x: x.cast("string")), " & "))).when(F.coalesce(_c(bhk), F.lit(0)) > 0, sized(_c(bhk).cast("string"))).when(F.length(own) > 5, own).otherwise(F.trim(F.concat(p, F.lit(" "), place)))
+
+
+def location_advantages(blurbs, overview) -> Column:
+    """The blurbs, else the first sentence that tells of connections."""
+    told = F.filter(F.split(_c(overview), r"\."), lambda s: F.lower(s).rlike("connect|located|proximity|metro|airport|expressway"))
+    return F.when(F.size(_c(blurbs)) > 0, clean_text(F.array_join(_c(blurbs), " "))).otherwise(clean_text(F.concat(F.try_element_at(told, F.lit(1)), F.lit("."))))
+
+
+def address_section(project, address, blurbs) -> Column:
+    """Project and address, then the nearest transit."""
+    dotted = lambda x: F.when(x.endswith("."), x).otherwise(F.concat(x, F.lit(".")))
+    p, a = _c(project), _blank(_c(address))
+    first = F.when(F.lower(a).contains(F.lower(p)), dotted(a)).otherwise(F.concat(p, F.lit(", "), a, F.lit(".")))
+    metro = dotted(F.try_element_at(F.filter(_c(blurbs), lambda b: F.lower(b).contains("metro")), F.lit(1)))
+    metro = F.when(F.lower(metro).contains("nearest"), metro).otherwise(F.concat(F.lit("Nearest transit: "), metro))
+    return clean_text(F.concat_ws(" ", first, metro))

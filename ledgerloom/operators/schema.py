@@ -58,3 +58,36 @@ def problems(df: DataFrame) -> Column:
         bad = F.filter(F.transform(F.col("images"), lambda x, i: F.when(F.coalesce(F.trim(x["url"]), F.lit("")) == "", i)), F.isnotnull)
         found.append(F.concat(F.lit("bad_image:"), F.try_element_at(bad, F.lit(1)).cast("string")))
     return F.array_compact(F.array(*found)) if found else F.array().cast(LIST)
+
+
+def stamp(df: DataFrame, ts) -> DataFrame:
+    """One scrapedAt for the whole batch."""
+    return df.withColumn("scrapedAt", F.lit(ts).cast("timestamp"))
+
+
+def with_source(df: DataFrame, site: str, url: str) -> DataFrame:
+    """Provenance where it is missing, and the pair (site, url) among the sources."""
+    pair = F.array(F.struct(F.lit(site).alias("site"), F.col(url).alias("url")))
+    listed = F.coalesce(F.col("sources"), F.array().cast(PROVENANCE["sources"])) if "sources" in df.columns else F.array().cast(PROVENANCE["sources"])
+    own = lambda name, value: F.coalesce(F.nullif(F.col(name), F.lit("")), value) if name in df.columns else value
+    return df.withColumns({"sources": A.merge_sources(F.concat(listed, pair)), "sourceSite": own("sourceSite", F.lit(site)), "sourceUrl": own("sourceUrl", F.col(url))})
+
+
+def backfill_sources(df: DataFrame, sites: dict[str, str]) -> DataFrame:
+    """sourceSite and sources of old rows, from what their address tells; sites: site to host."""
+    from ledgerloom.operators.identity import infer_site
+
+    site, url = infer_site(sites, df.columns), F.trim(F.coalesce(F.col("sourceUrl"), F.lit("")))
+    listed = F.coalesce(F.col("sources"), F.array().cast(PROVENANCE["sources"])) if "sources" in df.columns else F.array().cast(PROVENANCE["sources"])
+    pair = F.when(site.isNotNull() & (url != ""), F.array(F.struct(site.alias("site"), url.alias("url")))).otherwise(F.array().cast(PROVENANCE["sources"]))
+    own = F.nullif(F.trim(F.col("sourceSite")), F.lit("")) if "sourceSite" in df.columns else F.lit(None).cast("string")
+    return df.withColumns({"sources": A.merge_sources(F.concat(listed, pair)), "sourceSite": F.coalesce(own, site)})
+
+
+def select_listings(df: DataFrame, source=None, city=None, kind=None, possession=None, price=(None, None)) -> DataFrame:
+    """Rows by source, city, type, possession and a price range; what is None does not filter."""
+    for name, value in (("sourceSite", source), ("city", city), ("propertyType", kind), ("possessionStatus", possession)):
+        df = df if value is None else df.where(F.col(name) == value)
+    low, high = price
+    df = df if low is None else df.where(F.col("price") >= low)
+    return df if high is None else df.where(F.col("price") <= high)

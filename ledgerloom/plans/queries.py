@@ -63,6 +63,52 @@ scalar("n33_seo_keywords", lambda: F.array_join(T.seo_keywords("project_raw", T.
 scalar("n41_title", lambda: T.join_title("project_raw", "area_raw", "bhk_raw"), "concat_ws(' - ', project_raw, area_raw, bhk_raw)")
 scalar("u04_segment", lambda: U.sanitize_segment("address_raw"), "regexp_replace(regexp_replace(lower(trim(address_raw)), '[^a-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g')")
 
+scalar("n34_page_title", lambda: T.page_title(F.when(F.col("ord") % 2 == 0, F.concat(F.col("project_raw"), F.lit(" flats | Portal One"))), "portal one", "project_raw", F.lit("Sector 1"), F.lit("Noida"), F.lit(None)), "case when ord % 2 = 0 then project_raw || ' flats' else project_raw || ' Sector 1 Noida | Luxury Apartments' end")
+scalar("n35_page_heading", lambda: T.page_heading(F.lit(None).cast("string"), "project_raw", F.lit(None).cast("string"), F.lit("Noida"), T.parse_bhk("bhk_raw"), F.when(F.col("ord") % 2 == 0, F.array(F.lit(4), F.lit(3), F.lit(4))).otherwise(F.array(F.lit(2)))), "project_raw || ' Noida \u2014 Luxury ' || case when ord % 2 = 0 then '3 & 4' else regexp_extract(bhk_raw, '[0-9]+') end || ' BHK Residences'")
+scalar("n38_address_section", lambda: T.address_section("project_raw", "address_raw", F.array(F.lit("Near a park"), F.lit("Metro at 1 km"))), "project_raw || ', ' || address_raw || '. Nearest transit: Metro at 1 km.'")
+scalar("p12_soft_error", lambda: T.is_soft_error(F.concat(F.lit("status "), (F.col("ord") % 5 + 402).cast("string"))), "ord % 5 in (1, 4)")
+scalar("p07_reserved_slug", lambda: U.is_non_project_slug(F.when(F.col("ord") % 3 == 0, F.lit("Contact-us")).when(F.col("ord") % 3 == 1, F.lit("new-projects-in-pune")).otherwise(T.slugify("project_raw"))), "ord % 3 < 2")
+_LINK = "concat('https://cdn', cast(ord % 4 as {S}), '.example.com/a/', cast(ord as {S}), case ord % 3 when 0 then '.JPEG?x=1' when 1 then '.webp' else '' end)"
+_link = lambda: F.expr(_LINK.format(S="string"))
+_SQL = _LINK.format(S="varchar")
+scalar("u01_project_url", lambda: U.project_url(F.when(F.col("ord") % 3 == 0, T.slugify("project_raw")).when(F.col("ord") % 3 == 1, F.concat(F.lit("/blog/"), T.slugify("project_raw"))).otherwise(F.concat(F.lit("https://www.portal.example/"), T.slugify("project_raw"), F.lit("?x=1"))), "portal.example"), "case when ord % 3 = 1 then null else 'https://www.portal.example/' || " + V.SLUG.format(x="project_raw") + " || '/' end")
+scalar("u02_with_slash", lambda: U.with_slash(_link()), _SQL + " || '/'")
+scalar("u05_extension", lambda: U.extension(_link()), "case ord % 3 when 1 then '.webp' else '.jpg' end")
+scalar("u06_content_type", lambda: U.content_type(U.extension(_link())), "case ord % 3 when 1 then 'image/webp' else 'image/jpeg' end")
+scalar("u07_object_key", lambda: U.object_key(F.lit("f"), _link()), "'properties/f/' || left(sha256(" + _SQL + "), 16) || case ord % 3 when 1 then '.webp' else '.jpg' end")
+scalar("u10_file_name", lambda: U.file_name(_link()), "cast(ord as varchar) || case ord % 3 when 0 then '.JPEG' when 1 then '.webp' else '.jpg' end")
+scalar("p11_host_allowed", lambda: U.host_allowed(_link(), ["cdn1.example.com", "other.example"]), "ord % 4 = 1")
+scalar("p09_host_contains", lambda: U.host_contains(_link(), "cdn2"), "ord % 4 = 2")
+scalar("n25_markers", lambda: F.array_join(F.filter(F.split(T.slugify(F.concat(F.col("project_raw"), F.lit(" Phase II 2nd Avenue"))), "-"), lambda t: t.rlike("[0-9]")), ","), "'2nd'")
+
+
+@query("select p_partkey as ord, case p_partkey % 3 when 0 then 'one' when 1 then 'two' end as site from part")
+def n31_infer_site(spark, sf_dir):
+    host = F.when(F.col("ord") % 3 == 0, F.lit("https://www.one.example/a")).when(F.col("ord") % 3 == 1, F.lit("http://two.example/b"))
+    rows = V.raw(spark, sf_dir).select("ord", host.alias("sourceUrl"))
+    return schema.backfill_sources(rows, {"one": "one.example", "two": "two.example"}).select("ord", F.col("sourceSite").alias("site"))
+
+
+@query(f"with {V.KEYED}, f as (select match_key, min(ord) as first_ord, max(ord) as ord from keyed group by match_key) select first_ord, ord from f")
+def w03_latest_of_each(spark, sf_dir):
+    return dedupe.latest_of_each(V.units(spark, sf_dir)).select("first_ord", "ord")
+
+
+@query(f"with {V.UNITS} select ord, price from units where city = 'Noida' and price >= 1000000 and price <= 50000000")
+def p17_select_listings(spark, sf_dir):
+    return schema.select_listings(V.units(spark, sf_dir), city="Noida", price=(1_000_000, 50_000_000)).select("ord", "price")
+
+
+@query("select cast(count(*) as bigint) as count, min(p_partkey) as first from part")
+def a17_summary(spark, sf_dir):
+    rows = V.raw(spark, sf_dir).select("ord", F.col("ord").alias("scrapedAt"))
+    return quality.summary(rows).select("count", F.col("latest_scraped_at").alias("first"))
+
+
+@query("with s as (select distinct regexp_replace(url, '/+$', '') as b from pages) select b as url from s union select b || '/' from s")
+def t05_both_forms(spark, sf_dir):
+    return discover.both_forms(table(spark, sf_dir, "pages").select("url"))
+
 
 @query()
 def n16_coordinates(spark, sf_dir):

@@ -186,3 +186,30 @@ def links(pages: DataFrame, pattern: str, most: int, page: str = "page_id", html
     """(page, pos, url): addresses that match ``pattern``, in order, once each, at most ``most`` a page."""
     found = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda u: F.regexp_replace(u, r"[?#].*$", ""))
     return pages.select(page, F.posexplode(F.slice(F.array_distinct(found), 1, most)).alias("pos", "url"))
+
+
+def project_links(pages: DataFrame, host: str, url: str = "url", page: str = "html") -> DataFrame:
+    """(url, project): canonical project addresses of listing pages, from pushed data if it names any, else from anchors."""
+    from ledgerloom.functions import urls as U
+    from ledgerloom.sources.portals import pushed_strings
+
+    @F.pandas_udf(S.ArrayType(S.StringType()))
+    def pushed(p: pd.Series) -> pd.Series:
+        return p.map(lambda x: [m for s in pushed_strings(x or "") for m in re.findall(r'"projectUrl"\s*:\s*"([^"]+)"', s)])
+
+    found = pages.select(url, pushed(page).alias("_pushed"), hrefs(page).alias("_anchors"))
+    canonical = lambda c: F.array_distinct(F.array_compact(F.transform(c, lambda h: U.project_url(h, host))))
+    both = found.select(url, canonical(F.col("_pushed")).alias("_p"), canonical(F.col("_anchors")).alias("_a"))
+    return both.select(url, F.explode(F.sort_array(F.when(F.size("_p") > 0, F.col("_p")).otherwise(F.col("_a")))).alias("project"))
+
+
+def pagination_links(pages: DataFrame, host: str, url: str = "url", page: str = "html") -> DataFrame:
+    """(url, next): further listing pages of a page's own category, from anchors and from quoted addresses."""
+    from ledgerloom.functions import urls as U
+
+    quoted = F.regexp_extract_all(page, F.lit(r"[\"']((?:https?://[^/\"'\s<>]+)?/projects/[a-z]+/?\?[^\"'\s<>]*page=\d+)"), F.lit(1))
+    every = pages.select(url, F.explode(F.array_distinct(F.concat(hrefs(page), quoted))).alias("_h"))
+    absolute = F.when(F.col("_h").rlike("^https?://"), F.col("_h")).when(F.col("_h").startswith("/"), F.concat(F.lit(f"https://www.{host}"), F.col("_h")))
+    own, theirs = U.listing_category(url), U.listing_category("next")
+    kept = every.select(url, F.regexp_replace(absolute, "#.*$", "").alias("next")).where(U.host_contains("next", host) & theirs.isNotNull())
+    return kept.where(own.isNull() | (own == theirs)).distinct()

@@ -263,7 +263,9 @@ def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html"
     u = u.withColumns({
         "latitude": F.col("_lat"), "longitude": F.col("_lng"), "address": T.build_address("projectName", "locality", "p.address", "city", "pincode"),
         "sources": F.array(F.struct(F.col("sourceSite").alias("site"), F.col("sourceUrl").alias("url"))), "seoKeywords": T.seo_keywords("projectName", "city", "locality", "bhk", "propertyType"),
-        "title": T.join_title("projectName", "locality", "city"), "seoTitle": F.col("title"), "locationAdvantages": F.nullif(F.array_join(F.slice("p.blurbs", 1, 6), "; "), F.lit("")),
+        "title": T.page_title("title", portal.host, "projectName", "locality", "city", "propertyType"), "seoTitle": F.col("title"),
+        "h1": T.page_heading("h1", "projectName", "locality", "city", "bhk", F.transform("p.units", lambda u: T.parse_bhk(u["bhk"]))),
+        "locationAdvantages": T.location_advantages("p.blurbs", "_overview"), "addressSection": T.address_section("projectName", "p.address", "p.blurbs"),
     }).withColumn("slug", _slug())
     return conform(_distinct_slugs(u, url))
 
