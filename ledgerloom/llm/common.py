@@ -117,14 +117,14 @@ def crc_mod(doc_id: str, m: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % m
 
 
-def slices(batches, text: str = "text"):
-    """Arrow batches cut so that each holds about SLICE_BYTES of text (one row at least)."""
+def slices(batches, text: str = "text", size: int = SLICE_BYTES):
+    """Arrow batches cut so that each holds about ``size`` bytes of text (one row at least)."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        part = np.cumsum(sizes) // SLICE_BYTES
+        part = np.cumsum(sizes) // size
         edges = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip(np.concatenate(([0], edges)), np.concatenate((edges, [n])), strict=True):
             if b > a:

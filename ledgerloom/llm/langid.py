@@ -27,6 +27,8 @@ from ledgerloom.llm import common as C
 
 TOP, LONGEST = 300, 3
 HASH_BITS = 40
+#: Text at a time: its n-grams take about a hundred times as much memory.
+SLICE_BYTES = 1 << 20
 _letters: list[np.ndarray] = []
 
 
@@ -87,7 +89,7 @@ def profiles(docs: DataFrame) -> list[tuple[str, int, int]]:
     """(lang, hash, rank from 0) over the training rows of ``docs`` (doc_id, text, lang)."""
 
     def run(batches):
-        for batch in C.slices(batches):
+        for batch in C.slices(batches, size=SLICE_BYTES):
             langs = batch.column("lang").to_pylist()
             names = sorted(set(langs))
             place = {x: i for i, x in enumerate(names)}
@@ -141,7 +143,7 @@ def identify(docs: DataFrame, learned: list[tuple[str, int, int]]) -> DataFrame:
 
     def run(batches):
         known = Profiles(learned)
-        for batch in C.slices(batches):
+        for batch in C.slices(batches, size=SLICE_BYTES):
             names, scores = known.predict(C.strings(batch.column("text")))
             yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "held_out", "lang_pred", "score"])
 
