@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import identity as I
@@ -24,11 +23,15 @@ def _collapse(df: DataFrame, plan: DataFrame) -> DataFrame:
     return out.withColumnRenamed("target", "ord").select(*df.columns)
 
 
+def richest_first(df: DataFrame):
+    """The order of a group's rows as a value: no window, so a group is aggregated in part before it is shuffled."""
+    return F.struct((-I.fullness(df)).alias("f"), F.col("ord").alias("o"))
+
+
 def exact(df: DataFrame) -> DataFrame:
     """Rows of one strict key become one, the richest first; rows without a key stay."""
-    keyed = df.withColumns({"_key": F.when(I.match_key() == "", F.concat(F.lit("#"), F.col("ord"))).otherwise(I.match_key()), "_full": I.fullness(df)})
-    rank = F.row_number().over(W.partitionBy("_key").orderBy(F.desc("_full"), "ord"))
-    return null_fill(keyed.withColumn("_rank", rank).drop("_full"), ["_key"], "_rank").drop("_key", "_rows").select(*df.columns)
+    key = F.when(I.match_key() == "", F.concat(F.lit("#"), F.col("ord"))).otherwise(I.match_key())
+    return null_fill(df.withColumns({"_key": key, "_rank": richest_first(df)}), ["_key"], "_rank").select(*df.columns)
 
 
 def _leaders(frame: pd.DataFrame) -> pd.DataFrame:
@@ -77,16 +80,13 @@ def attach_null_areas(df: DataFrame) -> DataFrame:
 
 def attach_sole_null(df: DataFrame) -> DataFrame:
     """The only null-area row of a loose key goes into the richest sized row of that key."""
-    keyed = df.withColumns({"_loose": I.match_key(loose=True), "_full": I.fullness(df)})
-    w = W.partitionBy("_loose")
     area = F.col(I.AREA)
-    marked = keyed.select(
-        "ord", area.isNull().alias("bare"), (F.col("_loose") != "").alias("ok"),
-        F.count_if(area.isNull()).over(w).alias("nulls"), F.count_if(area.isNotNull()).over(w).alias("sized"),
-        F.max(F.when(area.isNotNull(), F.struct("_full", (-F.col("ord")).alias("o")))).over(w).alias("best"),
+    keyed = df.select("ord", I.match_key(loose=True).alias("loose"), area.isNull().alias("bare"), I.fullness(df).alias("full"))
+    groups = keyed.where("loose != ''").groupBy("loose").agg(
+        F.count_if("bare").alias("nulls"), F.max(F.when(F.col("bare"), F.col("ord"))).alias("src"), F.max(F.when(~F.col("bare"), F.struct("full", (-F.col("ord")).alias("o")))).alias("best")
     )
-    goes = F.col("ok") & F.col("bare") & (F.col("nulls") == 1) & (F.col("sized") > 0)
-    plan = marked.select("ord", F.when(goes, -F.col("best.o")).otherwise(F.col("ord")).alias("target"), F.when(goes, 1).otherwise(0).alias("seq"))
+    moves = groups.where("nulls = 1 and best is not null").select(F.col("src").alias("ord"), (-F.col("best.o")).alias("target"))
+    plan = keyed.select("ord").join(moves, "ord", "left").select("ord", F.coalesce("target", "ord").alias("target"), F.when(F.col("target").isNull(), 0).otherwise(1).alias("seq"))
     return _collapse(df, plan)
 
 

@@ -33,17 +33,17 @@ def both_forms(seeds: DataFrame, url: str = "url") -> DataFrame:
 
 
 def first_of_each(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
-    """Ordered distinct: the first row of each key."""
-    return df.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")
+    """Ordered distinct: the first row of each key, by an aggregate, so a very common key is no hot window."""
+    return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*df.columns), order).alias("_row")).select("_row.*")
 
 
 def concat_distinct(parts: list[DataFrame], key: str) -> DataFrame:
     """Several ordered lists one after the other, first occurrences only."""
     whole = None
     for i, p in enumerate(parts):
-        q = p.withColumn("_part", F.lit(i))
+        q = p.withColumn("_place", F.struct(F.lit(i).alias("part"), F.col("ord")))
         whole = q if whole is None else whole.unionByName(q)
-    return whole.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy("_part", "ord"))).where("_n = 1").drop("_n")
+    return first_of_each(whole, key, "_place").drop("_place")
 
 
 def cap(df: DataFrame, by: str, most: int, order: str = "ord") -> DataFrame:

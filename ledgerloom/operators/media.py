@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import arrays as A
@@ -18,16 +17,20 @@ def folder(df: DataFrame):
 
 
 def occurrences(df: DataFrame, bucket: str, region: str) -> DataFrame:
-    """(ord, pos, url, type, own, folder, nth): every image, and whether its url has been met before."""
+    """(ord, pos, url, type, own, folder): every image with a url."""
     flat = df.withColumn("_folder", folder(df)).select("ord", F.col("_folder").alias("folder"), F.posexplode("images").alias("pos", "image"))
-    flat = flat.select("ord", "pos", "folder", F.trim("image.url").alias("url"), F.col("image.type").alias("type")).where("url != ''").withColumn("own", U.in_bucket("url", bucket, region))
-    return flat.withColumn("nth", F.when(~F.col("own"), F.row_number().over(W.partitionBy("url").orderBy("ord", "pos"))))
+    return flat.select("ord", "pos", "folder", F.trim("image.url").alias("url"), F.col("image.type").alias("type")).where("url != ''").withColumn("own", U.in_bucket("url", bucket, region))
+
+
+def first_mappings(seen: DataFrame) -> DataFrame:
+    """(url, folder): the folder of the first row that shows a foreign image; a picture that all rows share is one group, aggregated in part."""
+    return seen.where("not own").groupBy("url").agg(F.min_by("folder", F.struct("ord", "pos")).alias("folder"))
 
 
 def rewrite(df: DataFrame, bucket: str, region: str) -> DataFrame:
     """``df`` with images at their public object addresses; the first mapping of an address serves all rows."""
     seen = occurrences(df, bucket, region)
-    first = seen.where("nth = 1").select("url", U.public_url(bucket, region, U.object_key("folder", "url")).alias("target"))
+    first = first_mappings(seen).select("url", U.public_url(bucket, region, U.object_key("folder", "url")).alias("target"))
     moved = seen.join(first, "url", "left").select("ord", "pos", F.coalesce("target", "url").alias("url"), "type")
     again = moved.groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("pos", "url", "type"))).alias("i"))
     images = A.images(F.transform("i", lambda x: F.struct(x["url"].alias("url"), x["type"].alias("type"))))
@@ -35,11 +38,12 @@ def rewrite(df: DataFrame, bucket: str, region: str) -> DataFrame:
 
 
 def counters(df: DataFrame, bucket: str, region: str) -> DataFrame:
+    """Rows with images, images, and of these: first of their address, own already, met before."""
     seen = occurrences(df, bucket, region)
-    return seen.agg(
-        F.count_distinct("ord").alias("records_touched"), F.count(F.lit(1)).alias("urls_seen"), F.count_if(F.col("nth") == 1).alias("urls_uploaded"),
-        F.count_if("own").alias("urls_skipped"), F.count_if(F.col("nth") > 1).alias("urls_reused"),
-    )
+    rows = seen.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.count_if("own").alias("own")).agg(F.count(F.lit(1)).alias("records_touched"), F.coalesce(F.sum("n"), F.lit(0)).alias("urls_seen"), F.coalesce(F.sum("own"), F.lit(0)).alias("urls_skipped"))
+    new = first_mappings(seen).agg(F.count(F.lit(1)).alias("urls_uploaded"))
+    both = rows.unionByName(new, allowMissingColumns=True).agg(*[F.sum(c).alias(c) for c in (*rows.columns, "urls_uploaded")])
+    return both.select("records_touched", "urls_seen", "urls_uploaded", "urls_skipped", (F.col("urls_seen") - F.col("urls_skipped") - F.col("urls_uploaded")).alias("urls_reused"))
 
 
 def image_counts(df: DataFrame, literal: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import arrays as A
@@ -29,7 +28,7 @@ def _merged(name: str, kind: str, rank: Column) -> Column:
 
 
 def null_fill(df: DataFrame, by: list[str], rank: str) -> DataFrame:
-    """One row for each group: of every column the first value that is not empty, in the order of ``rank``.
+    """One row for each group: of every column the first value that is not empty, in the order of ``rank`` (any type with an order).
 
     Arrays are united in that order; scrapedAt is the last value. The columns ``by`` and ``rank`` are not in
     the result but for ``by``; ``ord`` is the first row's.
@@ -62,17 +61,32 @@ def match_tiers(archive: DataFrame, incoming: DataFrame) -> DataFrame:
     """
     a, b = _keys(archive, "a_"), _keys(incoming, "b_")
     c = F.col
-    best = lambda df, tier, *order: df.withColumn("_n", F.row_number().over(W.partitionBy("b_ord").orderBy(*order))).where("_n = 1").select("b_ord", F.lit(tier).alias("tier"), "a_ord")
-    only = lambda df, tier: df.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy("b_ord"))).where("_n = 1").select("b_ord", F.lit(tier).alias("tier"), "a_ord")
-    strict = a.join(b, (c("a_strict") == c("b_strict")) & (c("b_strict") != ""))
-    loose = a.join(b, (c("a_loose") == c("b_loose")) & (c("b_loose") != "") & (c("a_area").isNull() | c("b_area").isNull()))
-    local = lambda df: df.where("a_local and b_local")
-    soft = I.soft_pairs(local(a.join(b, c("a_sig") == c("b_sig"))), "b_slug", "a_slug")
-    complementary = c("a_area").isNull() != c("b_area").isNull()
-    soft_loose = I.soft_pairs(local(a.join(b, (c("a_loose_sig") == c("b_loose_sig")) & complementary)), "b_slug", "a_slug")
-    legacy = a.join(b, c("a_legacy") == c("b_legacy"))
-    tiers = best(strict, 1, F.desc(c("a_legacy") == c("b_legacy")), F.desc("a_full"), "a_ord").unionByName(only(loose, 2)).unionByName(best(soft, 3, F.desc("a_full"), "a_ord"))
-    tiers = tiers.unionByName(only(soft_loose, 4)).unionByName(best(legacy, 5, "a_ord"))
+    # the archive is summed up by each kind of key first, so a key that very many rows share is one row of a join
+    densest = F.max(F.struct("a_full", (-c("a_ord")).alias("o"))).alias("m")
+    tier = lambda df, n, target: df.select("b_ord", F.lit(n).alias("tier"), target.alias("a_ord"))
+    by_key = a.where("a_strict != ''").groupBy("a_strict").agg(densest)
+    same_row = a.where("a_strict != ''").groupBy(c("a_strict").alias("s2"), "a_legacy").agg(F.min("a_ord").alias("own"))
+    strict = b.join(by_key, c("b_strict") == c("a_strict")).join(same_row, (c("b_strict") == c("s2")) & (c("b_legacy") == c("a_legacy")), "left")
+    bare = F.when(c("a_area").isNull(), c("a_ord"))
+    by_loose = a.where("a_loose != ''").groupBy("a_loose").agg(F.count("a_ord").alias("all_n"), F.min("a_ord").alias("all_ord"), F.count(bare).alias("bare_n"), F.min(bare).alias("bare_ord"))
+    loose = b.join(by_loose, c("b_loose") == c("a_loose"))
+    loose = loose.where(F.when(c("b_area").isNull(), c("all_n") == 1).otherwise(c("bare_n") == 1))
+    local_a, local_b = a.where("a_local"), b.where("b_local")
+    pairs = lambda sig: local_a.select(c(f"a_{sig}").alias("k"), "a_slug").distinct().join(local_b.select(c(f"b_{sig}").alias("k"), "b_slug").distinct(), "k")
+    near = I.soft_pairs(pairs("sig"), "b_slug", "a_slug")
+    soft = local_a.groupBy(c("a_sig").alias("k"), "a_slug").agg(densest).join(near, ["k", "a_slug"]).groupBy("k", "b_slug").agg(F.max("m").alias("m"))
+    soft = local_b.withColumn("k", c("b_sig")).join(soft, ["k", "b_slug"])
+    near = I.soft_pairs(pairs("loose_sig"), "b_slug", "a_slug")
+    sized = F.when(c("a_area").isNotNull(), c("a_ord"))
+    other = local_a.groupBy(c("a_loose_sig").alias("k"), "a_slug").agg(F.count(sized).alias("sized_n"), F.min(sized).alias("sized_ord"), F.count(bare).alias("bare_n"), F.min(bare).alias("bare_ord"))
+    other = other.join(near, ["k", "a_slug"]).groupBy("k", "b_slug").agg(F.sum("sized_n").alias("sized_n"), F.min("sized_ord").alias("sized_ord"), F.sum("bare_n").alias("bare_n"), F.min("bare_ord").alias("bare_ord"))
+    soft_loose = local_b.withColumn("k", c("b_loose_sig")).join(other, ["k", "b_slug"]).where(F.when(c("b_area").isNull(), c("sized_n") == 1).otherwise(c("bare_n") == 1))
+    legacy = b.join(a.groupBy("a_legacy").agg(F.min("a_ord").alias("first")), c("b_legacy") == c("a_legacy"))
+    tiers = tier(strict, 1, F.coalesce("own", -c("m.o")))
+    tiers = tiers.unionByName(tier(loose, 2, F.when(c("b_area").isNull(), c("all_ord")).otherwise(c("bare_ord"))))
+    tiers = tiers.unionByName(tier(soft, 3, -c("m.o")))
+    tiers = tiers.unionByName(tier(soft_loose, 4, F.when(c("b_area").isNull(), c("sized_ord")).otherwise(c("bare_ord"))))
+    tiers = tiers.unionByName(tier(legacy, 5, c("first")))
     return tiers.groupBy(F.col("b_ord").alias("ord")).agg(F.min(F.struct("tier", "a_ord")).alias("m")).select("ord", "m.tier", F.col("m.a_ord").alias("target"))
 
 

@@ -125,9 +125,7 @@ ORACLES["n16_coordinates"] = "select p_partkey as ord, p_partkey % 3 = 1 as has_
 def consolidate_units_strict(spark, sf_dir):
     """The flagship: null-fill consolidation of units by their strict key, the richest row first."""
     u = V.units(spark, sf_dir)
-    keyed = u.withColumns({"match_key": identity.match_key(), "_full": identity.fullness(u)})
-    ranked = keyed.withColumn("_rank", F.row_number().over(W.partitionBy("match_key").orderBy(F.desc("_full"), "ord"))).drop("_full")
-    return merge.null_fill(ranked, ["match_key"], "_rank").select("match_key", "ord", "price", F.col("_rows").alias("n"))
+    return merge.null_fill(u.withColumns({"match_key": identity.match_key(), "_rank": dedupe.richest_first(u)}), ["match_key"], "_rank").select("match_key", "ord", "price", F.col("_rows").alias("n"))
 
 
 @query(f"with {V.KEYED} select ord, match_key, loose_key, signature, cast(fullness as bigint) as fullness from keyed")
