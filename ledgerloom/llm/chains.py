@@ -106,12 +106,12 @@ def fit_chain(feats: np.ndarray, ids: np.ndarray, y: np.ndarray, lengths: np.nda
     w[0] = -1.0
     gw, gt, step = np.zeros(slots), np.zeros((2, 2)), 0.5
     for _ in range(steps):
-        fwd, bwd, e = chains.ratios(w[feats].sum(axis=1)[ids], trans)
+        fwd, bwd, e = chains.ratios(sum(w[column] for column in feats.T)[ids], trans)
         x = fwd * bwd
         m = np.empty_like(x)
         m[chains.token] = x / (1 + x)
         by_token = np.bincount(ids, m - y, len(feats))
-        g = np.bincount(feats.ravel(), np.repeat(by_token, feats.shape[1]), slots) / len(y) + ridge * w
+        g = sum(np.bincount(column, by_token, slots) for column in feats.T) / len(y) + ridge * w
         t = (chains.pairs(fwd, bwd, e, trans) - seen) / len(y)
         gw += g * g
         gt += t * t

@@ -22,6 +22,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from ledgerloom.llm import common as C
 from ledgerloom.llm.chains import Chains, fit_chain
 
-TOXIC_DOCS, CLEAN_DOCS = 1000, 2000
+TOXIC_DOCS, CLEAN_DOCS = 1000, 1500
 THRESHOLD = 0.7
 SLOTS = 1 << 18
 #: A word or prefix is a toxic cue if it is in this many toxic documents at least, and so many times likelier there.
@@ -111,15 +112,18 @@ def documents(m: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def token_labels(vocabulary: list[bytes], docs: list[np.ndarray], toxic: list[int]) -> np.ndarray:
     """Of each word, whether it or a prefix is a toxic cue; docs: distinct words of each document."""
-    bare = [w.strip(EDGE) or w for w in vocabulary]
-    names: dict[bytes, int] = {}
-    own = [[names.setdefault(c, len(names)) for c in cues(w)] for w in bare]
+    own = np.empty((len(vocabulary), len(PREFIXES) + 1), np.uint64)
+    for i, w in enumerate(vocabulary):
+        names = cues(w.strip(EDGE) or w)
+        own[i] = [xxhash.xxh64_intdigest(c) for c in names] + [xxhash.xxh64_intdigest(names[0])] * (own.shape[1] - len(names))
+    names, own = np.unique(own, return_inverse=True)
+    own = own.reshape(len(vocabulary), -1).astype(np.int32)
     n, found = [1.0, 1.0], np.zeros((2, len(names)))
     for ids, y in zip(docs, toxic, strict=True):
         n[y] += 1
-        found[y, list({c for i in ids.tolist() for c in own[i]})] += 1
+        found[y, np.unique(own[ids])] += 1
     bad = (found[1] >= CUE_DOCS) & (found[1] / n[1] > CUE_ODDS * (found[0] + 0.5) / n[0])
-    return np.array([any(bad[c] for c in cs) for cs in own])
+    return bad[own].any(axis=1)
 
 
 def fit(docs: list[tuple[bytes, int]], steps: int = 60, ridge: float = 1e-6) -> Model:
