@@ -141,12 +141,41 @@ def _blank(model, b):
     """log10 probability of the blank after byte b."""
     import numpy as np
 
-    out = 0.0
-    for owner, slots, bits in lm_scoring.segments([bytes([b])], np.zeros(1, np.int64)):
-        _, gate, z = model.mix(slots, bits, False)
-        p = model.refined(z, gate)
-        out += float(np.log10(np.where(bits, p, 1 - p))[8:].sum())
-    return out
+    parts = lm_scoring.segments([bytes([b])], np.zeros(1, np.int64))
+    next(parts)
+    [(_, slots, bits)] = parts
+    _, gate, z = model.mix(slots, bits, False)
+    p = model.refined(z, gate)
+    return float(np.log10(np.where(bits, p, 1 - p))[8:].sum())
+
+
+def test_shared_beginnings():
+    """Counts spread over shared nodes and values gathered from them are those of each token alone."""
+    import numpy as np
+
+    rng = random.Random(8)
+    words = sorted({bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 5))) for _ in range(40)} | {b"a" * 31, b"a" * 40, b"a" * 40 + b"b", b"a" * 50})
+    pairs = sorted((k % 2, w) for k in range(2) for w in words)
+    classes, tokens = np.array([k for k, _ in pairs]), [w for _, w in pairs]
+    counts = np.arange(1, len(tokens) + 1)
+    shared = lm_scoring.Shared(tokens, classes)
+    prefixes = Counter()
+    for (k, w), c in zip(pairs, counts.tolist(), strict=True):
+        for n in range(1, len(w) + 2):
+            prefixes[(k, (w + b" ")[:n])] += c
+    data, at = b"".join(w + b" " for w in tokens), 0
+    nodes = []
+    for i, (k, w) in enumerate(pairs):
+        nodes += [(k, (w + b" ")[: n + 1]) for n in range(len(w) + 1) if n >= shared.lcp[i]]
+        at += len(w) + 1
+    assert at == len(data)
+    totals = Counter()
+    for node, n in zip(nodes, shared.spread(counts).tolist(), strict=True):
+        totals[node] += n
+    assert totals == prefixes
+    values = {node: float(v) for v, node in enumerate(dict.fromkeys(nodes))}
+    got = shared.gathered(np.array([values[n] for n in nodes]))
+    assert got.tolist() == [sum(values[(k, (w + b" ")[:n])] for n in range(1, len(w) + 2)) for k, w in pairs]
 
 
 def test_languages(docs, rows, empty):
