@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -72,6 +73,12 @@ def unstage(*frames: DataFrame) -> None:
             delete(spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that are staged by now: it does so when their plans are collected as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sweep(spark: SparkSession) -> None:
     """Delete all staged tables. Only for callers that have written every result they hold."""
     own = _made.get(spark.sparkContext.applicationId, [])
