@@ -1,8 +1,9 @@
 """Language-model scores by logistic context mixing over bits.
 
 A text is its words in lower case (A-Z only), each followed by a blank, and an end mark. Every bit of a
-token is predicted from four hashed contexts: the document's class with the 2, 3 and 5 bytes before it
-within the token, and with the whole token so far, each with the bits of the byte that are known. The class stands for what documents of one kind (a language, say) have in
+token is predicted from seven hashed contexts: the document's class with the 1 to 5 bytes before it
+within the token, and the whole token so far with and without the class, each with the bits of the
+byte that are known. The class stands for what documents of one kind (a language, say) have in
 common: a mixture of ``CLASSES`` multinomials over the ``MARKERS`` most frequent words, fitted to a bounded
 sample (``SAMPLE`` training texts). It is a function of the text, and its own probability is part of
 the score. A predictor is a pair of counts in a table of ``SLOTS`` slots. Their logits are combined by weights that a gate selects (how many
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import common as C
 
 #: Bytes of context (0: the whole token so far), and whether the class is part of it; the last one sets the gate.
-ORDERS = ((2, True), (3, True), (5, True), (0, True))
+ORDERS = ((1, True), (2, True), (3, True), (4, True), (5, True), (0, False), (0, True))
 #: Bytes over which tokens share their beginnings.
 WIDE = 32
 CLASSES, MARKERS, SAMPLE = 6, 64, 3000
