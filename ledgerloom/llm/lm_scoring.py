@@ -4,8 +4,8 @@ A text is its words in lower case (A-Z only), each followed by a blank, and an e
 token is predicted from seven hashed contexts: the document's class with the 1 to 5 bytes before it
 within the token, and the whole token so far with and without the class, each with the bits of the
 byte that are known. The class stands for what documents of one kind (a language, say) have in
-common: a mixture of ``CLASSES`` multinomials over the ``MARKERS`` most frequent words, fitted to a bounded
-sample (``SAMPLE`` training texts). It is a function of the text, and its own probability is part of
+common: a mixture of ``CLASSES`` multinomials over the ``MARKERS`` most frequent words, both taken from all
+training texts. It is a function of the text, and its own probability is part of
 the score. A predictor is a pair of counts in a table of ``SLOTS`` slots. Their logits are combined by weights that a gate selects (how many
 contexts have been seen, how often the longest has, and whether it saw both bits); the result is refined by an adaptive
 probability map. The sum over the bits is the text's log-probability.
@@ -40,7 +40,8 @@ from ledgerloom.llm import common as C
 ORDERS = ((1, True), (2, True), (3, True), (4, True), (5, True), (0, False), (0, True))
 #: Bytes over which tokens share their beginnings.
 WIDE = 32
-CLASSES, MARKERS, SAMPLE = 6, 64, 3000
+#: Classes, marker words, and passes of the mixture over the texts (fewer when it stands).
+CLASSES, MARKERS, PASSES = 6, 64, 40
 SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
 CHUNK = 1 << 14
@@ -242,43 +243,105 @@ class Kinds:
         return int(total.argmax())
 
 
-def fit_kinds(texts: list[bytes]) -> Kinds:
-    found = Counter()
-    for t in texts:
-        found.update(set(t.lower().split()))
-    markers = [w for w, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:MARKERS]]
+def find_markers(docs: DataFrame) -> list[bytes]:
+    """The MARKERS words that the most training texts have, ties by the word; docs: held_out, text."""
+
+    def run(batches):
+        found = Counter()
+        for batch in C.slices(batches):
+            for t in C.raw(batch.column("text")):
+                found.update(set(t.lower().split()))
+            if len(found) > FLUSH:
+                yield pa.record_batch([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+                found = Counter()
+        yield pa.record_batch([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+
+    counts = docs.where("not held_out").select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(MARKERS).collect()]  # MARKERS words
+
+
+def marker_counts(docs: DataFrame, markers: list[bytes]) -> DataFrame:
+    """(x, n): how often a training text has each marker (4 byte integers), and how many texts have just these counts."""
     place = {w: i for i, w in enumerate(markers)}
-    x = np.zeros((len(texts), len(markers)))
-    for i, t in enumerate(texts):
-        for w, k in Counter(filter(place.__contains__, t.lower().split())).items():
-            x[i, place[w]] = k
-    full = x.sum(axis=1) > 0
-    x = np.sqrt(x[full])
-    k = min(CLASSES, len(x))
-    if k < 2:
-        return Kinds([], np.zeros((1, 1)))
-    unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
-    heads = [int(x.sum(axis=1).argmax())]
-    while len(heads) < k:  # start from texts that are far from each other
-        heads.append(int((unit @ unit[heads].T).max(axis=1).argmin()))
-    weight = np.zeros((len(x), k))
-    weight[np.arange(len(x)), (unit @ unit[heads].T).argmax(axis=1)] = 1
-    for _ in range(40):
-        share, words = weight.sum(axis=0) + 1, weight.T @ x + 0.1
-        logs = np.log(words / words.sum(axis=1)[:, None]).T
-        z = x @ logs + np.log(share / share.sum())
-        weight = np.exp(z - z.max(axis=1)[:, None])
-        weight /= weight.sum(axis=1)[:, None]
-    return Kinds(markers, np.vstack((logs, np.log(share / share.sum()))))
+
+    def run(batches):
+        for batch in C.slices(batches):
+            x = np.zeros((batch.num_rows, len(markers)), "<u4")
+            for i, t in enumerate(C.raw(batch.column("text"))):
+                for w, k in Counter(filter(place.__contains__, t.lower().split())).items():
+                    x[i, place[w]] = k
+            yield pa.record_batch([pa.array([r.tobytes() for r in x[x.any(axis=1)]], pa.binary())], names=["x"])
+
+    return docs.where("not held_out").select("text").mapInArrow(run, "x binary").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def summed(rows: DataFrame, width: int, step) -> list:
+    """What ``step`` makes of the square roots of the counts and the numbers of texts, one result a batch."""
+
+    def run(batches):
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), "<u4").reshape(batch.num_rows, width)
+            yield pa.record_batch([pa.array([step(x, np.sqrt(x), np.asarray(batch.column("n"), np.float64))], pa.binary())], names=["s"])
+
+    return [r["s"] for r in rows.mapInArrow(run, "s binary").collect()]  # CLASSES x MARKERS numbers a batch
+
+
+def farthest(rows: DataFrame, width: int, heads: list[np.ndarray]) -> np.ndarray:
+    """Counts of the text that is least like the heads (without heads: the one with most markers), ties by the counts."""
+    top = np.sqrt(np.array(heads, np.float64)).reshape(len(heads), width)
+    top = top / np.sqrt((top * top).sum(axis=1))[:, None]
+
+    def near(root):
+        return (root / np.sqrt((root * root).sum(axis=1))[:, None] @ top.T).max(axis=1).round(9) if heads else -root.sum(axis=1)
+
+    def step(x, root, n):
+        value = near(root)
+        return min(x[i].tobytes() for i in np.flatnonzero(value == value.min()))
+
+    found = [np.frombuffer(r, "<u4") for r in summed(rows, width, step)]
+    return min(found, key=lambda x: (near(np.sqrt(x)[None])[0], x.tobytes()))
 
 
 def learn_kinds(docs: DataFrame) -> Kinds:
-    """From the first SAMPLE training texts in the order of a hash of doc_id; docs: doc_id, held_out, text."""
-    ids = docs.where("not held_out and text is not null and doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id").limit(SAMPLE)
-    ids = C.stage(ids.select(F.col("doc_id").alias("_id")), "lm-sample")
-    texts = C.semi(docs.select("doc_id", "text"), "doc_id", ids).groupBy("doc_id").agg(F.min("text").alias("t")).collect()  # SAMPLE texts at most
-    C.unstage(ids)
-    return fit_kinds([(r["t"] or "").encode() for r in sorted(texts, key=lambda r: r["doc_id"])])
+    """From all training texts: each pass over them sends sums by class to the driver; docs: held_out, text."""
+    none = Kinds([], np.zeros((1, 1)))
+    markers = find_markers(docs)
+    if not markers:
+        return none
+    rows = C.stage(marker_counts(docs, markers), "lm-markers", "zstd")
+    width, k = len(markers), min(CLASSES, rows.limit(CLASSES).count())
+    if k < 2:
+        C.unstage(rows)
+        return none
+    heads: list[np.ndarray] = []
+    while len(heads) < k:  # start from texts that are far from each other
+        heads.append(farthest(rows, width, heads))
+    unit = np.sqrt(np.array(heads, np.float64))
+    unit = unit / np.sqrt((unit * unit).sum(axis=1))[:, None]
+    logs = prior = last = None
+    for _ in range(PASSES):
+
+        def step(x, root, n, logs=logs, prior=prior):
+            if logs is None:
+                weight = np.eye(k)[(root @ unit.T).argmax(axis=1)]
+                fit = 0.0
+            else:
+                z = root @ logs + prior
+                high = z.max(axis=1)[:, None]
+                weight = np.exp(z - high)
+                fit = float((n * (high[:, 0] + np.log(weight.sum(axis=1)))).sum())
+                weight /= weight.sum(axis=1)[:, None]
+            weight *= n[:, None]
+            return np.concatenate((weight.sum(axis=0), (weight.T @ root).ravel(), [fit])).tobytes()
+
+        total = np.sum([np.frombuffer(r) for r in summed(rows, width, step)], axis=0)
+        share, words, fit = total[:k] + 1, total[k:-1].reshape(k, width) + 0.1, total[-1]
+        logs, prior = np.log(words / words.sum(axis=1)[:, None]).T, np.log(share / share.sum())
+        if last is not None and abs(fit - last) <= 1e-6 * abs(last):
+            break
+        last = fit if fit else None
+    C.unstage(rows)
+    return Kinds(markers, np.vstack((logs, prior)))
 
 
 def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
@@ -400,7 +463,7 @@ def score(docs: DataFrame) -> DataFrame:
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (C.crc_mod("doc_id", 7) == 2).alias("held_out"), "text", F.floor(F.rand(3) * blocks).cast("long").alias("block"))
     dealt = C.stage(dealt.repartition(blocks, "block"), "lm-docs", "zstd")
     C.release(spark)
-    kinds = learn_kinds(dealt.select("doc_id", "held_out", "text"))
+    kinds = learn_kinds(dealt.select("held_out", "text"))
     found = C.stage(count_tokens(dealt.select("block", "held_out", "text"), kinds), "lm-found", "zstd")
     vocabulary = C.stage(found.groupBy("class", "word").agg(F.sum("train").alias("train")), "lm-words", "zstd")
     C.release(spark)

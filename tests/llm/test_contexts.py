@@ -6,3 +6,17 @@ from ledgerloom.llm import lm_scoring
 def test_whole_token_is_a_context_without_the_class_too():
     """Six contexts were cut to four once, all tied to the class."""
     assert {(1, True), (2, True), (3, True), (4, True), (0, False), (0, True)} <= set(lm_scoring.ORDERS) and lm_scoring.ORDERS[-1] == (0, True)
+
+
+def test_kinds_come_from_all_training_texts(spark):
+    """The markers are exact document frequencies of more texts than the 3,000 that were sampled once."""
+    texts = [" ".join(f"w{k:02}" for k in range(80) if i < 4000 + 20 * k) for i in range(5600)]
+    docs = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)] + [(9000 + i, True, "unseen") for i in range(6000)], "doc_id long, held_out boolean, text string")
+    assert set(lm_scoring.learn_kinds(docs).place) == {f"w{k:02}".encode() for k in range(16, 80)}
+
+
+def test_a_rare_kind_has_a_class_of_its_own(spark):
+    rare, common = "la lo li lu le", "the of and to in"
+    docs = spark.createDataFrame([(i, False, rare if i < 4 else " ".join([common] * (1 + i % 5))) for i in range(8000)], "doc_id long, held_out boolean, text string")
+    kinds = lm_scoring.learn_kinds(docs)
+    assert kinds(rare.encode().split()) != kinds(common.encode().split())
