@@ -6,13 +6,13 @@ within the token, and the whole token so far with and without the class, each wi
 byte that are known. The class stands for what documents of one kind (a language, say) have in
 common: a mixture of ``CLASSES`` multinomials over the ``MARKERS`` most frequent words, both taken from all
 training texts. It is a function of the text, and its own probability is part of
-the score. A predictor is a pair of counts in a table of ``SLOTS`` slots. Their logits are combined by weights that a gate selects (how many
+the score. A predictor is a pair of counts in a Spark table by the 64 bit hash of the context. Their logits are combined by weights that a gate selects (how many
 contexts have been seen, how often the longest has, and whether it saw both bits); the result is refined by an adaptive
 probability map. The sum over the bits is the text's log-probability.
 
-Learning covers all training texts. Spark counts the tokens; the counts of each distinct token go
-into the tables, then weights and map are learned online, partition by partition in mini-batches, with each
-token's own occurrence left out of the tables, and averaged by mass. Scoring uses the frozen model,
+Learning covers all training texts. Spark counts the tokens, in chunks of sorted tokens; each chunk asks for the
+contexts of its tokens, questions and counts meet by the context's hash, answers go back to the chunk. Then weights and map are learned online, partition by partition in mini-batches, with each
+token's own occurrence left out of the counts, and averaged by mass. Scoring uses the frozen model,
 so that a score depends neither on the order of the documents nor on partitions. As contexts end with
 the token, each distinct token is scored once; documents meet the scores of their tokens in blocks
 of about ``BLOCK_BYTES`` of text, so a very common token is one row a block, and no vocabulary is broadcast.
@@ -29,8 +29,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +42,10 @@ ORDERS = ((1, True), (2, True), (3, True), (4, True), (5, True), (0, False), (0,
 WIDE = 32
 #: Classes, marker words, and passes of the mixture over the texts (fewer when it stands).
 CLASSES, MARKERS, PASSES = 6, 64, 40
+#: Slots of ``segments``, for tables in one process.
 SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
-CHUNK = 1 << 14
+CHUNK = 1 << 13
 END = b"\xff"
 #: Gates: how many contexts have been seen, how often the longest one was (by powers of two), whether it saw both bits.
 SEEN, OFTEN = len(ORDERS) + 1, 12
@@ -66,8 +67,8 @@ def token_bytes(word: bytes) -> bytes:
     return word if word == END else word + b" "
 
 
-def contexts(words: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all tokens, the token of each, and a hash of each order's context."""
+def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all tokens, the token of each, and a hash of each order's context; ``before``: hash of the word before each."""
     parts = [token_bytes(w) for w in words]
     data = np.frombuffer(b"".join(parts), np.uint8)
     size = np.array([len(p) for p in parts], np.int64)
@@ -147,11 +148,17 @@ class Shared:
         return out
 
 
+def tree(words: list[bytes], classes: np.ndarray, before: np.ndarray):
+    """The Shared tokens (within class and word before), the byte of each node and the hashes of its contexts by order."""
+    groups = (classes.astype(np.uint64) + _U(1)) * _B ^ before.astype(np.int64).view(np.uint64) * _A
+    data, _, ctx = contexts(words, classes, before)
+    shared = Shared(words, groups)
+    return shared, data[shared.new].astype(np.int64), ctx[:, shared.new]
+
+
 def segments(words: list[bytes], classes: np.ndarray):
-    """The Shared tokens, then (first node, slots by order, bits) for a stretch of nodes at a time."""
-    data, _, ctx = contexts(words, classes)
-    shared = Shared(words, classes)
-    data, ctx = data[shared.new], ctx[:, shared.new]
+    """For tables in one process: the Shared tokens, then (first node, slots by order, bits) for a stretch of nodes at a time."""
+    shared, data, ctx = tree(words, classes, np.zeros(len(words), np.int64))
     yield shared
     for a in range(0, len(data), SEGMENT):
         byte = data[a : a + SEGMENT].astype(np.int64)
@@ -166,33 +173,71 @@ def segments(words: list[bytes], classes: np.ndarray):
         yield a, slots, bits.ravel()
 
 
-def batches_of_words(batches, *columns):
-    """Lists of the columns, a bounded number of bytes at a time."""
-    for batch in C.slices(batches, "word"):
-        step = 1 << 14
-        for a in range(0, batch.num_rows, step):
-            part = batch.slice(a, step)
-            yield [part.column("word").to_pylist(), *(np.asarray(part.column(c)) for c in columns)]
+def questions(data: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (context, byte) pairs of a chunk's nodes, and the pair of each order and node."""
+    pairs = np.empty(ctx.size, [("h", "<u8"), ("byte", "<i8")])
+    pairs["h"], pairs["byte"] = ctx.ravel(), np.tile(data, len(ctx))
+    order = np.lexsort((pairs["byte"], pairs["h"]))
+    pairs = pairs[order]
+    first = np.ones(len(pairs), bool)
+    first[1:] = pairs[1:] != pairs[:-1]
+    at = np.empty(ctx.size, np.int64)
+    at[order] = np.cumsum(first) - 1
+    return pairs["h"][first], pairs["byte"][first], at.reshape(ctx.shape)
+
+
+def paths(h: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For rows sorted by (context, byte): how often the context went on with the first 0 to 8 bits of the row's byte."""
+    out = np.empty((len(h), 9), np.float32)
+    other = np.ones(len(h), bool)
+    other[1:] = h[1:] != h[:-1]
+    for d in range(9):
+        first = other.copy()
+        first[1:] |= (byte[1:] >> (8 - d)) != (byte[:-1] >> (8 - d))
+        out[:, d] = np.add.reduceat(n, np.flatnonzero(first))[np.cumsum(first) - 1] if len(h) else 0
+    return out
+
+
+class Chunk:
+    """Tokens in order, with the counts of their contexts."""
+
+    def __init__(self, words: list[bytes], classes: np.ndarray, before: np.ndarray, found: np.ndarray):
+        self.shared, self.data, ctx = tree(words, classes, before)
+        self.at, self.found = questions(self.data, ctx)[2], found
+
+    def stretches(self):
+        """(first node, pairs of counts by order, bits) of some nodes at a time."""
+        for a in range(0, len(self.data), SEGMENT):
+            bits = (self.data[a : a + SEGMENT, None] >> (7 - _NODE) & 1).ravel()
+            pairs = []
+            for at in self.at[:, a : a + SEGMENT]:
+                path = self.found[at]
+                hit, total = path[:, 1:].ravel(), path[:, :-1].ravel()
+                pairs.append(np.where(bits[:, None] == np.arange(2), hit[:, None], (total - hit)[:, None]))
+            yield a, pairs, bits
 
 
 class Model:
-    """Tables (order, slot, bit), gated weights and the map."""
+    """Gated weights and the map; tables (order, slot, bit) only where one process holds them."""
 
-    def __init__(self, tables: np.ndarray, weights: np.ndarray, curve: np.ndarray):
+    def __init__(self, tables: np.ndarray | None, weights: np.ndarray, curve: np.ndarray):
         self.tables, self.weights, self.curve = tables, weights, curve
 
     def mix(self, slots, bits, leave_out: bool):
-        """Logits by order, gates, and the mixed logit."""
-        logits = np.empty(slots.shape, np.float32)
-        seen = np.zeros(slots.shape[1], np.int64)
-        for row in range(len(slots)):
-            pair = self.tables[row][slots[row]].astype(np.float32)
+        """``blend`` of the tables' slots."""
+        return self.blend([self.tables[row][slots[row]].astype(np.float32) for row in range(len(slots))], bits, leave_out)
+
+    def blend(self, pairs, bits, leave_out: bool):
+        """Logits by order, gates, and the mixed logit, from pairs of counts by order."""
+        logits = np.empty((len(pairs), len(bits)), np.float32)
+        seen = np.zeros(len(bits), np.int64)
+        for row, pair in enumerate(pairs):
             if leave_out:
                 pair[np.arange(len(bits)), bits] -= 1
                 np.maximum(pair, 0, out=pair)
             n = pair.sum(axis=1)
             seen += n > 0.5
-            if row == len(slots) - 1:
+            if row == len(pairs) - 1:
                 often = np.minimum(np.log2(n + 1).astype(np.int64), OFTEN - 1)
                 both = pair.min(axis=1) > 0.5
             logits[row] = np.log((pair[:, 1] + PRIOR) / (pair[:, 0] + PRIOR))
@@ -217,6 +262,15 @@ class Model:
             out.append(np.log10(np.where(bits, p, 1 - p)).reshape(-1, 8).sum(axis=1))
         return shared.gathered(np.concatenate(out) if out else np.zeros(0))
 
+    def cost(self, chunk: Chunk) -> np.ndarray:
+        """log10 of the probability of each of the chunk's tokens."""
+        out = []
+        for _, pairs, bits in chunk.stretches():
+            _, gate, z = self.blend(pairs, bits, False)
+            p = self.refined(z, gate)
+            out.append(np.log10(np.where(bits, p, 1 - p)).reshape(-1, 8).sum(axis=1))
+        return chunk.shared.gathered(np.concatenate(out) if out else np.zeros(0))
+
 
 def start_weights() -> np.ndarray:
     return np.full((GATES, len(ORDERS)), 0.3)
@@ -370,64 +424,121 @@ def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
     return docs.mapInArrow(run, "block long, class long, word binary, train long").groupBy("block", "class", "word").agg(F.sum("train").alias("train"))
 
 
-def count_contexts(vocabulary: DataFrame) -> np.ndarray:
-    """The tables, from all training tokens: what each task has seen of a chunk is added up in Spark."""
-    chunks = SLOTS * len(ORDERS) // CHUNK
+_CHUNK = "chunk long, classes binary, before binary, train binary, words array<binary>"
+
+
+def chunked(vocabulary: DataFrame, tasks: int) -> DataFrame:
+    """Rows of up to CHUNK tokens each, in the order of class, word before and word."""
 
     def run(batches):
-        tables = np.zeros((len(ORDERS), SLOTS * 2), np.float32)
-        for words, classes, train in batches_of_words(batches, "class", "train"):
-            parts = segments(words, classes)
-            nodes = next(parts).spread(train)
-            for a, slots, bits in parts:
-                weight = np.repeat(nodes[a : a + SEGMENT], 8)
-                for row in range(len(ORDERS)):
-                    at, back = np.unique(slots[row] * 2 + bits, return_inverse=True)
-                    tables[row, at] += np.bincount(back, weight).astype(np.float32)
-        flat = tables.reshape(chunks, CHUNK * 2)
-        rows = [(k, np.flatnonzero(x)) for k, x in enumerate(flat)]
-        rows = [(k, at) for k, at in rows if len(at)]
-        for k, at in rows:
-            yield pa.record_batch([pa.array([k], pa.int64()), pa.array([zlib.compress(np.diff(at, prepend=0).astype("<u2").tobytes(), 1)], pa.binary()), pa.array([zlib.compress(flat[k, at].tobytes(), 1)], pa.binary())], names=["chunk", "at", "n"])
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(CHUNK * 2)
-        for at, n in zip(frame["at"], frame["n"], strict=True):
-            total[np.cumsum(np.frombuffer(zlib.decompress(at), "<u2").astype(np.int64))] += np.frombuffer(zlib.decompress(n), np.float32)
-        pairs = total.reshape(-1, 2)
-        pairs = pairs / np.maximum(1, pairs.max(axis=1) / 60_000)[:, None]  # 16-bit floats; the ratio stays
-        return pd.DataFrame({"chunk": [frame["chunk"].iloc[0]], "n": [pairs.astype("<f2").tobytes()]})
-
-    summed = vocabulary.mapInArrow(run, "chunk long, at binary, n binary").groupBy("chunk").applyInPandas(add, "chunk long, n binary")
-    out = np.zeros((chunks, CHUNK * 2), np.float16)
-    for r in summed.collect():  # SLOTS slots of each order, whatever the input
-        out[r["chunk"]] = np.frombuffer(r["n"], "<f2")
-    return out.reshape(len(ORDERS), SLOTS, 2)
-
-
-def learn_mixing(vocabulary: DataFrame, held) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and map: an online pass in each task over its tokens, averaged by their mass."""
+        part, k = TaskContext.get().partitionId() << 32, 0
+        for batch in C.slices(batches, "word"):
+            for a in range(0, batch.num_rows, CHUNK):
+                own = batch.slice(a, CHUNK)
+                numbers = [pa.array([np.asarray(own.column(c), "<i8").tobytes()], pa.binary()) for c in ("class", "before", "train")]
+                yield pa.record_batch([pa.array([part + k], pa.int64()), *numbers, pa.array([own.column("word").to_pylist()], pa.list_(pa.binary()))], names=["chunk", "classes", "before", "train", "words"])
+                k += 1
+
+    return vocabulary.repartitionByRange(tasks, "class", "before", "word").sortWithinPartitions("class", "before", "word").mapInArrow(run, _CHUNK)
+
+
+def opened(batch, i: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """words, classes, words before, counts of a chunk."""
+    return batch.column("words")[i].as_py(), *(np.frombuffer(batch.column(c)[i].as_py(), "<i8") for c in ("classes", "before", "train"))
+
+
+def count_contexts(chunks: DataFrame, tasks: int) -> DataFrame:
+    """The chunks with ``found``: the paths of their questions over all training tokens.
+
+    The counts are a table by the 64 bit hash of a context, so it grows with the contexts and nothing shares an entry.
+    """
+
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, classes, before, train = opened(batch, i)
+                shared, data, ctx = tree(words, classes, before)
+                h, byte, at = questions(data, ctx)
+                n = np.bincount(at.ravel(), np.tile(shared.spread(train), len(ctx)), len(h)).astype(np.int64)
+                for a in range(0, len(h), 1 << 16):
+                    own = slice(a, a + (1 << 16))
+                    size = len(h[own])
+                    yield pa.record_batch([pa.array(h[own].view(np.int64)), pa.array(byte[own].astype(np.int16)), pa.array(n[own]), pa.array(np.full(size, batch.column("chunk")[i].as_py())), pa.array(np.arange(a, a + size, dtype=np.int32))], names=["h", "byte", "n", "chunk", "spot"])
+
+    def answer(batches):
+        kept: list = []
+
+        def flush():
+            rows = pa.Table.from_batches(kept).combine_chunks()
+            path = paths(*(rows.column(c).to_numpy() for c in ("h", "byte", "n")))
+            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(36), len(path), [None, pa.py_buffer(np.ascontiguousarray(path))]).cast(pa.binary())
+            yield from pa.table([rows.column("chunk"), rows.column("spot"), flat], names=["chunk", "spot", "path"]).to_batches(max_chunksize=1 << 16)
+            kept.clear()
+
+        for batch in batches:  # a context's rows may go on in the next batch
+            if not batch.num_rows:
+                continue
+            h = batch.column("h").to_numpy()
+            cut = int(np.flatnonzero(h != h[-1])[-1]) + 1 if h[0] != h[-1] else 0
+            if kept and kept[-1].column("h")[0].as_py() != h[0]:
+                yield from flush()
+            if cut:
+                kept.append(batch.slice(0, cut))
+                yield from flush()
+            kept.append(batch.slice(cut))
+        if kept:
+            yield from flush()
+
+    def gather(own: pa.Table, rows: pa.Table) -> pa.Table:
+        path = np.empty((rows.num_rows, 9), np.float32)
+        path[rows.column("spot").to_numpy()] = np.frombuffer(b"".join(rows.column("path").to_pylist()), np.float32).reshape(-1, 9)
+        return own.append_column("found", pa.array([zlib.compress(path.tobytes(), 1)], pa.binary()))
+
+    asked = chunks.mapInArrow(ask, "h long, byte short, n long, chunk long, spot int")
+    answers = asked.repartition(tasks, "h").sortWithinPartitions("h", "byte").mapInArrow(answer, "chunk long, spot int, path binary")
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(gather, _CHUNK + ", found binary")
+
+
+def chunks_of(batches):
+    """(Chunk, words, classes, words before, counts) of each row."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words, classes, before, train = opened(batch, i)
+            found = np.frombuffer(zlib.decompress(batch.column("found")[i].as_py()), np.float32).reshape(-1, 9)
+            yield Chunk(words, classes, before, found), words, classes, before, train
+
+
+def learn_mixing(chunks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and map: an online pass in each task over its training tokens, averaged by their mass."""
 
     def run(batches):
-        parts = learn_local(held.value, batches_of_words(batches, "class", "train"))[1]
-        yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["weights", "mass", "hits"])
+        own, mass, hits = learn_local((chunk, train) for chunk, _, _, _, train in chunks_of(batches))
+        yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (own * mass[:, None], mass, hits)], names=["weights", "mass", "hits"])
+
+    def add(batches):
+        total = None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("weights", "mass", "hits")), strict=True):
+                row = [np.frombuffer(x) for x in row]
+                total = row if total is None else [x + y for x, y in zip(total, row, strict=True)]
+        if total is not None:
+            yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in total], names=["weights", "mass", "hits"])
 
-    found = vocabulary.mapInArrow(run, "weights binary, mass binary, hits binary").collect()  # 100 KB a task, TOKENS_A_TASK tokens each
-    shape = (GATES, len(ORDERS))
-    return merge((np.frombuffer(r["weights"]).reshape(shape), np.frombuffer(r["mass"]), np.frombuffer(r["hits"]).reshape(2, GATES, CURVE)) for r in found)
+    kind = "weights binary, mass binary, hits binary"
+    found = chunks.mapInArrow(run, kind).repartition(8).mapInArrow(add, kind).collect()  # sums of fixed size
+    return merge((np.frombuffer(r["weights"]).reshape(GATES, len(ORDERS)), np.frombuffer(r["mass"]), np.frombuffer(r["hits"]).reshape(2, GATES, CURVE)) for r in found)
 
 
-def learn_local(tables: np.ndarray, chunks):
-    """One online pass over (words, counts); the model and (weights, mass by gate, hits of the map)."""
-    model = Model(tables, start_weights(), start_curve())
+def learn_local(chunks):
+    """One online pass over (Chunk, counts): weights, mass by gate, hits of the map."""
+    model = Model(None, start_weights(), start_curve())
     mass, hits, scale = np.zeros(GATES), np.zeros((2, GATES, CURVE)), np.zeros((GATES, len(ORDERS)))
     average = np.zeros((GATES, len(ORDERS)))  # tokens come in order, so the mean over the pass is kept, not where it ends
-    for words, classes, train in chunks:
-        parts = segments(words, classes)
-        nodes = next(parts).spread(train)
-        for a, slots, bits in parts:
-            c = np.repeat(nodes[a : a + SEGMENT], 8)
-            logits, gate, z = model.mix(slots, bits, True)
+    for chunk, train in chunks:
+        nodes = chunk.shared.spread(train)
+        for a, pairs, bits in chunk.stretches():
+            c = np.repeat(nodes[a : a + SEGMENT], 8)  # 0 where only held-out texts have it
+            logits, gate, z = model.blend(pairs, bits, True)
             error = c * (bits - 1 / (1 + np.exp(-z)))
             own = np.maximum(np.bincount(gate, c, GATES), 1e-9)
             for row in range(len(ORDERS)):
@@ -440,15 +551,15 @@ def learn_local(tables: np.ndarray, chunks):
             hits[0] += np.bincount(spot, c, GATES * CURVE).reshape(GATES, CURVE)
             hits[1] += np.bincount(spot, c * bits, GATES * CURVE).reshape(GATES, CURVE)
     model.weights = np.where(mass[:, None] > 0, average / np.maximum(mass, 1e-12)[:, None], model.weights)
-    return model, (model.weights, mass, hits)
+    return model.weights, mass, hits
 
 
 def merge(parts) -> tuple[np.ndarray, np.ndarray]:
-    """Weights averaged by the mass that each gate has seen; the map from all hits."""
+    """Weights averaged by the mass that each gate has seen, from sums; the map from all hits."""
     total, weighed, hits = np.zeros(GATES), np.zeros((GATES, len(ORDERS))), np.zeros((2, GATES, CURVE))
     for own, mass, seen in parts:
         total += mass
-        weighed += own * mass[:, None]
+        weighed += own
         hits += seen
     weights = np.where(total[:, None] > 1, weighed / np.maximum(total, 1e-12)[:, None], start_weights())
     curve = (hits[1] + 20 * start_curve()) / (hits[0] + 20)
@@ -464,30 +575,32 @@ def score(docs: DataFrame) -> DataFrame:
     dealt = C.stage(dealt.repartition(blocks, "block"), "lm-docs", "zstd")
     C.release(spark)
     kinds = learn_kinds(dealt.select("held_out", "text"))
-    found = C.stage(count_tokens(dealt.select("block", "held_out", "text"), kinds), "lm-found", "zstd")
-    vocabulary = C.stage(found.groupBy("class", "word").agg(F.sum("train").alias("train")), "lm-words", "zstd")
+    found = C.stage(count_tokens(dealt.select("block", "held_out", "text"), kinds).withColumn("before", F.lit(0).cast("long")), "lm-found", "zstd")
+    vocabulary = C.stage(found.groupBy("class", "before", "word").agg(F.sum("train").alias("train")), "lm-words", "zstd")
     C.release(spark)
     counts = C.stage(vocabulary.groupBy("word").agg(F.sum("train").alias("known")), "lm-counts", "zstd")
     n, known = counts.agg(F.sum("known"), F.count_if(F.col("known") > 0)).first()
     n, known = n or 0, known or 0
     rows = vocabulary.count()
-    ends = {r["class"]: r["train"] for r in vocabulary.where(F.col("word") == F.lit(bytearray(END))).select("class", "train").collect()}  # a row a class
+    ends = {r["class"]: r["train"] for r in vocabulary.where(F.col("word") == F.lit(bytearray(END))).groupBy("class").agg(F.sum("train").alias("train")).collect()}  # a row a class
     kind_cost = {k: float(np.log10((ends.get(k, 0) + 1) / (sum(ends.values()) + CLASSES))) for k in range(CLASSES)}
     tasks = 1 + rows // TOKENS_A_TASK
-    context = spark.sparkContext
-    train = vocabulary.where("train > 0").coalesce(tasks).sortWithinPartitions("class", "word")
-    tables = context.broadcast(count_contexts(train))  # len(ORDERS) * SLOTS pairs
-    weights, curve = learn_mixing(train, tables)
+    tokens = C.stage(chunked(vocabulary, int(max(tasks, blocks))), "lm-chunks", "zstd")
+    chunks = C.stage(count_contexts(tokens, int(max(tasks, blocks))), "lm-contexts", "zstd")
+    C.unstage(tokens)
     C.release(spark)
+    weights, curve = learn_mixing(chunks)
 
     def rate(batches):
-        model = Model(tables.value, weights, curve)
-        for words, classes, train in batches_of_words(batches, "class", "train"):
-            yield pa.record_batch([pa.array(classes, pa.int64()), pa.array(words, pa.binary()), pa.array(model.log10(words, classes))], names=["class", "word", "cost"])
+        model = Model(None, weights, curve)
+        for chunk, words, classes, before, _ in chunks_of(batches):
+            yield pa.record_batch([pa.array(classes, pa.int64()), pa.array(before, pa.int64()), pa.array(words, pa.binary()), pa.array(model.cost(chunk))], names=["class", "before", "word", "cost"])
 
-    rated = vocabulary.repartition(int(max(tasks, blocks))).sortWithinPartitions("class", "word").mapInArrow(rate, "class long, word binary, cost double")
+    rated = chunks.mapInArrow(rate, "class long, before long, word binary, cost double")
     rated = C.stage(rated.join(counts, "word"), "lm-rated", "zstd")
-    lists = found.select("block", "class", "word").join(rated, ["class", "word"])
+    C.unstage(chunks)
+    C.release(spark)
+    lists = found.select("block", "class", "before", "word").join(rated, ["class", "before", "word"])
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
     def add(texts: pa.Table, words: pa.Table) -> pa.Table:

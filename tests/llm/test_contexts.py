@@ -1,5 +1,10 @@
 """What the contexts of the language model must hold."""
 
+import random
+from collections import Counter
+
+import numpy as np
+
 from ledgerloom.llm import lm_scoring
 
 
@@ -20,3 +25,28 @@ def test_a_rare_kind_has_a_class_of_its_own(spark):
     docs = spark.createDataFrame([(i, False, rare if i < 4 else " ".join([common] * (1 + i % 5))) for i in range(8000)], "doc_id long, held_out boolean, text string")
     kinds = lm_scoring.learn_kinds(docs)
     assert kinds(rare.encode().split()) != kinds(common.encode().split())
+
+
+def test_context_counts_are_exact_and_grow(spark):
+    """Whatever the number of contexts, none shares its counts with another: checked by hand against all prefixes."""
+    rng = random.Random(3)
+    words = sorted({bytes(rng.choice(b"abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(30_000)})
+    rows = spark.createDataFrame([(i % 2, 0, bytearray(w), i % 5) for i, w in enumerate(words)], "class long, before long, word binary, train long")
+    chunks = lm_scoring.count_contexts(lm_scoring.chunked(rows, 3), 5).collect()
+    count = Counter()
+    for i, w in enumerate(words):
+        for n in range(1, len(w) + 2):
+            count[(i % 2, (w + b" ")[:n])] += i % 5
+    assert sum(len(r["words"]) for r in chunks) == len(words) and len(chunks) > 1
+    for r in chunks:
+        found = np.frombuffer(lm_scoring.zlib.decompress(r["found"]), np.float32).reshape(-1, 9)
+        tokens, classes, before = r["words"], np.frombuffer(r["classes"], "<i8"), np.frombuffer(r["before"], "<i8")
+        tokens = [bytes(w) for w in tokens]
+        chunk = lm_scoring.Chunk(tokens, classes, before, found)
+        exact = chunk.found[chunk.at[-1]][:, 8]
+        at = 0
+        for i, (w, k) in enumerate(zip(tokens, classes.tolist(), strict=True)):
+            for n in range(int(chunk.shared.lcp[i]), len(w) + 1):
+                assert exact[at] == count[(k, (w + b" ")[: n + 1])]
+                at += 1
+        assert at == len(exact)
