@@ -1,7 +1,7 @@
 """Language-model scores by logistic context mixing over bits.
 
 A text is its words in lower case (A-Z only), each followed by a blank, and an end mark. Every bit of a
-token is predicted from seven hashed contexts: the document's class with the 1 to 5 bytes before it
+token is predicted from eight hashed contexts: the word before with the whole token so far, the document's class with the 1 to 5 bytes before it
 within the token, and the whole token so far with and without the class, each with the bits of the
 byte that are known. The class stands for what documents of one kind (a language, say) have in
 common: a mixture of ``CLASSES`` multinomials over the ``MARKERS`` most frequent words, both taken from all
@@ -13,9 +13,9 @@ probability map. The sum over the bits is the text's log-probability.
 Learning covers all training texts. Spark counts the tokens, in chunks of sorted tokens; each chunk asks for the
 contexts of its tokens, questions and counts meet by the context's hash, answers go back to the chunk. Then weights and map are learned online, partition by partition in mini-batches, with each
 token's own occurrence left out of the counts, and averaged by mass. Scoring uses the frozen model,
-so that a score depends neither on the order of the documents nor on partitions. As contexts end with
-the token, each distinct token is scored once; documents meet the scores of their tokens in blocks
-of about ``BLOCK_BYTES`` of text, so a very common token is one row a block, and no vocabulary is broadcast.
+so that a score depends neither on the order of the documents nor on partitions. As contexts reach one word
+back, each distinct pair of a word and the word before is scored once; documents meet the scores of their tokens in blocks
+of about ``BLOCK_BYTES`` of text, so a very common pair is one row a block, and no vocabulary is broadcast.
 
 Defined cases: a null, empty or blank text is the end mark alone; a null doc_id counts as the empty
 text in the split; repeated rows are scored each; an empty table gives an empty result; with no
@@ -25,6 +25,7 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 
@@ -36,8 +37,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import common as C
 
-#: Bytes of context (0: the whole token so far), and whether the class is part of it; the last one sets the gate.
-ORDERS = ((1, True), (2, True), (3, True), (4, True), (5, True), (0, False), (0, True))
+#: Bytes of context (0: the whole token so far, ACROSS: that and the word before), and whether the class is part of it; the last one sets the gate.
+ACROSS = -1
+ORDERS = ((ACROSS, False), (1, True), (2, True), (3, True), (4, True), (5, True), (0, False), (0, True))
 #: Bytes over which tokens share their beginnings.
 WIDE = 32
 #: Classes, marker words, and passes of the mixture over the texts (fewer when it stands).
@@ -53,7 +55,7 @@ GATES = SEEN * OFTEN * 2
 CURVE = 33
 PRIOR = 0.1
 RATE = 0.05
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 TOKENS_A_TASK = 400_000
 FLUSH = 300_000
 SEGMENT = 1 << 13
@@ -91,13 +93,16 @@ def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None
     undo = np.cumprod(undo, dtype=np.uint64)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(wide * power[:-1], dtype=np.uint64)))
     for row, (order, classed) in enumerate(ORDERS):
-        if order:
+        if order > 0:
             h = np.full(len(data), order, np.uint64)
             for x in back[:order]:
                 h = (h ^ x) * _A
                 h ^= h >> _U(31)
         else:  # the prefix as a polynomial from the token's start, and its length
             h = ((total[:-1] - total[starts]) * undo[starts] ^ place.astype(np.uint64)) * _B
+            if order == ACROSS and before is not None:
+                h ^= h >> _U(29)
+                h = (h ^ before.astype(np.int64).view(np.uint64)[owner]) * _A
             h ^= h >> _U(31)
         out[row] = (h ^ kind if classed else h) + _U((row + 1) * int(_B) & (1 << 64) - 1)
     return data, owner, out
@@ -398,30 +403,44 @@ def learn_kinds(docs: DataFrame) -> Kinds:
     return Kinds(markers, np.vstack((logs, prior)))
 
 
+class Hashes(dict):
+    """Hashes of words, each made once."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return h
+
+
+def joined(tokens: list[bytes], hashes: Hashes) -> zip:
+    """(hash of the word before, 0 at a text's start; word) of each token."""
+    return zip([0, *map(hashes.__getitem__, tokens[:-1])], tokens, strict=True)
+
+
 def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
-    """(block, class, word, train): how often training texts of the class in the block have the word; docs: block, held_out, text."""
-    schema = pa.schema([("block", pa.int64()), ("class", pa.int64()), ("word", pa.binary()), ("train", pa.int64())])
+    """(block, class, before, word, train): how often training texts of the class in the block have the word after that with hash ``before``; docs: block, held_out, text."""
+    schema = pa.schema([("block", pa.int64()), ("class", pa.int64()), ("before", pa.int64()), ("word", pa.binary()), ("train", pa.int64())])
 
     def flush(found):
         for (block, kind), (words, known) in found.items():
             keys = list(words)
             keys += [w for w in known if w not in words]
-            yield from pa.table([pa.array(np.full(len(keys), block)), pa.array(np.full(len(keys), kind)), pa.array(keys, pa.binary()), pa.array([words[w] for w in keys], pa.int64())], schema=schema).to_batches(max_chunksize=1 << 16)
+            yield from pa.table([pa.array(np.full(len(keys), block)), pa.array(np.full(len(keys), kind)), pa.array([b for b, _ in keys], pa.int64()), pa.array([w for _, w in keys], pa.binary()), pa.array([words[w] for w in keys], pa.int64())], schema=schema).to_batches(max_chunksize=1 << 16)
 
     def run(batches):
         found: dict[tuple[int, int], tuple[Counter, set]] = {}
+        hashes = Hashes()
         for batch in C.slices(batches):
             for block, held, text in zip(batch.column("block").to_pylist(), batch.column("held_out").to_pylist(), C.raw(batch.column("text")), strict=True):
                 tokens = text.lower().split()
                 words, known = found.setdefault((block, kinds(tokens)), (Counter(), set()))
                 tokens.append(END)
-                known.update(tokens) if held else words.update(tokens)
+                (known if held else words).update(joined(tokens, hashes))
             if sum(len(w) + len(k) for w, k in found.values()) > FLUSH:
                 yield from flush(found)
-                found = {}
+                found, hashes = {}, Hashes()
         yield from flush(found)
 
-    return docs.mapInArrow(run, "block long, class long, word binary, train long").groupBy("block", "class", "word").agg(F.sum("train").alias("train"))
+    return docs.mapInArrow(run, "block long, class long, before long, word binary, train long").groupBy("block", "class", "before", "word").agg(F.sum("train").alias("train"))
 
 
 _CHUNK = "chunk long, classes binary, before binary, train binary, words array<binary>"
@@ -575,7 +594,7 @@ def score(docs: DataFrame) -> DataFrame:
     dealt = C.stage(dealt.repartition(blocks, "block"), "lm-docs", "zstd")
     C.release(spark)
     kinds = learn_kinds(dealt.select("held_out", "text"))
-    found = C.stage(count_tokens(dealt.select("block", "held_out", "text"), kinds).withColumn("before", F.lit(0).cast("long")), "lm-found", "zstd")
+    found = C.stage(count_tokens(dealt.select("block", "held_out", "text"), kinds), "lm-found", "zstd")
     vocabulary = C.stage(found.groupBy("class", "before", "word").agg(F.sum("train").alias("train")), "lm-words", "zstd")
     C.release(spark)
     counts = C.stage(vocabulary.groupBy("word").agg(F.sum("train").alias("known")), "lm-counts", "zstd")
@@ -604,9 +623,10 @@ def score(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
     def add(texts: pa.Table, words: pa.Table) -> pa.Table:
-        spots: dict[int, dict[bytes, int]] = {}
-        for i, (kind, w) in enumerate(zip(words.column("class").to_pylist(), words.column("word").to_pylist(), strict=True)):
-            spots.setdefault(kind, {})[w] = i
+        spots: dict[int, dict[tuple[int, bytes], int]] = {}
+        hashes = Hashes()
+        for i, (kind, *pair) in enumerate(zip(*(words.column(c).to_pylist() for c in ("class", "before", "word")), strict=True)):
+            spots.setdefault(kind, {})[tuple(pair)] = i
         count = words.column("known").to_numpy()
         base, cost = np.log10((count + 1.0) / (n + known + 1.0)), words.column("cost").to_numpy()
         out = [[] for _ in range(5)]
@@ -615,7 +635,7 @@ def score(docs: DataFrame) -> DataFrame:
             kind = kinds(tokens)
             tokens.append(END)
             find = spots[kind].__getitem__
-            at = np.fromiter(map(find, tokens), np.int64, len(tokens))
+            at = np.fromiter(map(find, joined(tokens, hashes)), np.int64, len(tokens))
             total = float(cost[at].sum()) + kind_cost[kind]
             size = sum(map(len, tokens)) + len(tokens) - 1
             for column, x in zip(out, (len(at), int((count[at] > 0).sum()), float(base[at].sum()), total, -total * 3.321928094887362 / size), strict=True):

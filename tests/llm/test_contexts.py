@@ -50,3 +50,15 @@ def test_context_counts_are_exact_and_grow(spark):
                 assert exact[at] == count[(k, (w + b" ")[: n + 1])]
                 at += 1
         assert at == len(exact)
+
+
+def test_word_order_counts(spark):
+    """A phrase that all texts repeat is likelier than the same words in another order."""
+    phrase = "north wind blows over cold water every winter morning".split()
+    rng = random.Random(4)
+    other = [" ".join(rng.sample(phrase, 9)) for _ in range(2)]
+    ids = [i for i in range(600) if lm_scoring.zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [(i, " ".join(phrase)) for i in ids] + [(i, t) for i, t in zip([k for k in range(600, 700) if lm_scoring.zlib.crc32(str(k).encode()) % 7 == 2], [" ".join(phrase), *other])]
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    held = [got[i] for i, _ in rows[len(ids) :]]
+    assert len(held) == 3 and held[0] > held[1] + 1 and held[0] > held[2] + 1
