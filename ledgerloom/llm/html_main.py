@@ -1,11 +1,10 @@
 """Main text of web pages by removal of site templates.
 
-Each page is parsed into a tree of elements. The markup says of some elements that they are no
-content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts); what is left
-may still be furniture of the site. So every remaining block is hashed with all that is below it,
-Spark counts on how many pages of its host each hash occurs, and blocks that recur on many are deleted.
-Pages count by their distinct main texts, so an article that is published many times is one page and not a
-template. Paragraphs, headings and other running text within an article are never candidates.
+Each page is parsed into a tree of elements. Every element with text is hashed with all that is below it, before
+anything else; Spark counts on how many pages of its host each hash occurs, and elements that recur are deleted.
+Pages count by their distinct main texts, near-copies of one text as one, so an article that is published many times,
+with changes or without, is one page and not a template. Only pieces of running text (a bold word) are never candidates. Besides, the markup says of some elements
+that they are no content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts).
 
 A page's text is that of its articles, or of its main element, or else of its body.
 
@@ -19,22 +18,23 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common as C
 
-#: A block is a template of a host if it is on this many of its distinct pages at least, and on this share of them.
-MIN_PAGES, MIN_SHARE = 10, 0.02
-#: Template hashes of one host that are looked for at most come from pages' own blocks, so there is no list to broadcast.
+#: An element is a template of a host if it is on this many of its distinct pages at least, whatever the host's size.
+MIN_PAGES = 10
+#: Keys of a page, one for each multiplier: near-copies share most of them and are no pages of their own.
+KEYS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas".split())
 DROPPED = frozenset("head script style noscript template iframe svg math object canvas nav header footer aside form button input select textarea dialog menu title".split())
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Containers that a site repeats; running text is not among them.
-CONTAINERS = frozenset("div section ul ol dl table figure details center fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|popup|promo|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
 #: Elements that end an open p, and those that end one of their own kind.
@@ -167,84 +167,136 @@ def blocks(nodes: list[Node], deleted=frozenset()) -> list[str]:
                     walk(kid)
 
     for node in nodes:
-        walk(node)
-        flush()
+        if node.digest not in deleted:
+            walk(node)
+            flush()
     return out
 
 
 def digest(node: Node) -> bytes:
-    """Hash of an element with its tag, attributes and all that is below it; set on the containers."""
+    """Hash of an element with its tag, attributes and all that is below it; set on all candidates.
+
+    Every element with text is a candidate, whatever the markup says of it, but for pieces of running text:
+    elements within a line that has text of its own beside them.
+    """
     h = hashlib.blake2b(f"{node.tag} {' '.join(node.attrs.split())}\n".encode("utf-8", "surrogatepass"), digest_size=8)
+    own, words = set(), False
+    lines = [set()]  # the elements of each line, and None for text beside them
     for kid in node.kids:
         if isinstance(kid, str):
             if text := " ".join(kid.split()):
                 h.update(b"t" + text.encode("utf-8", "surrogatepass"))
-        elif not kid.dropped:
+                words = True
+                lines[-1].add(None)
+        elif kid.tag not in RAW:
             h.update(b"e" + digest(kid))
-    own = h.digest()
-    if node.tag in CONTAINERS:
-        node.digest = own
-    return own
+            words = words or kid.digest is not None
+            if kid.tag in BLOCKS:
+                lines.append(set())
+            else:
+                lines[-1].add(kid)
+    for line in lines:
+        if None in line:
+            own |= line - {None}
+    for kid in own:
+        spare(kid)
+    node.digest = h.digest() if words else None
+    return h.digest()
+
+
+def spare(node: Node) -> None:
+    """Neither a piece of running text nor what is within it is a candidate."""
+    stack = [node]
+    while stack:
+        node = stack.pop()
+        node.digest = None
+        stack += [k for k in node.kids if isinstance(k, Node) and k.tag not in BLOCKS]
 
 
-def containers(nodes: list[Node]) -> set[bytes]:
-    found, stack = set(), [k for n in nodes for k in n.kids if isinstance(k, Node)]
+def candidates(tree: Node, top: list[Node]) -> dict[bytes, bool]:
+    """Hashes of the tree's candidates, and whether the page's text has any of that hash."""
+    found: dict[bytes, bool] = {}
+    shown = {id(n) for n in top}
+    stack = [(k, id(tree) in shown) for k in tree.kids if isinstance(k, Node)]
     while stack:
-        node = stack.pop()
-        if not node.dropped:
-            if node.digest is not None:
-                found.add(node.digest)
-            stack += [k for k in node.kids if isinstance(k, Node)]
+        node, inside = stack.pop()
+        inside = (inside or id(node) in shown) and not node.dropped
+        if node.digest is not None:
+            found[node.digest] = found.get(node.digest, False) or inside
+        stack += [(k, inside) for k in node.kids if isinstance(k, Node) and k.tag not in RAW]
     return found
 
 
-def prepared(page: str) -> list[Node]:
+def prepared(page: str) -> tuple[Node, list[Node]]:
+    """The tree with hashes and marks, and the roots of its text."""
     tree = parse(page)
+    digest(tree)
     prune(tree)
-    top = roots(tree)
-    for node in top:
-        digest(node)
-    return top
+    return tree, roots(tree)
 
 
 def number(h: bytes) -> int:
     return int.from_bytes(h, "little", signed=True)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, block, pages): container blocks on many distinct pages of a host; pages: host, html."""
+def keys(text: str) -> list[int]:
+    """MinHash of a text's runs of three words."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    x = np.array([zlib.crc32(b" ".join(words[k : k + 3])) for k in range(max(1, len(words) - 2))], np.uint32)
+    x = (x ^ x >> np.uint32(15))[:, None] * KEYS
+    return (x ^ x >> np.uint32(13)).min(axis=0).view(np.int32).tolist()
+
+
+def elements(pages: DataFrame) -> DataFrame:
+    """(host, page, text, block, shown, k0 ...): the candidates of each page, the hash of its text and its keys; pages: host, page, html."""
 
     def run(batches):
         for batch in C.slices(batches, "html"):
             rows = []
-            for host, page in zip(batch.column("host").to_pylist(), C.strings(batch.column("html")), strict=True):
-                top = prepared(page)
-                text = number(hashlib.blake2b(" ".join(blocks(top)).encode("utf-8", "surrogatepass"), digest_size=8).digest())
-                rows += [(host, b, text) for b in {0, *map(number, containers(top))}]  # 0 stands for the page itself
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["host", "block", "text"])
+            for host, key, page in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), C.strings(batch.column("html")), strict=True):
+                tree, top = prepared(page)
+                main = " ".join(blocks(top))
+                text, own = number(hashlib.blake2b(main.encode("utf-8", "surrogatepass"), digest_size=8).digest()), keys(main)
+                rows += [(host, key, text, number(b), shown, *own) for b, shown in candidates(tree, top).items()]
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * len(KEYS)))], names=["host", "page", "text", "block", "shown", *names])
+
+    names = [f"k{k}" for k in range(len(KEYS))]
+    return pages.select("host", "page", "html").mapInArrow(run, "host string, page string, text long, block long, shown boolean, " + ", ".join(f"{k} int" for k in names))
+
+
+def templates(seen: DataFrame) -> DataFrame:
+    """(host, block, pages): elements on MIN_PAGES distinct pages of a host at least; seen: as ``elements``.
 
-    seen = pages.select("host", "html").mapInArrow(run, "host string, block long, text long").distinct()
-    counts = C.stage(seen.groupBy("host", "block").agg(F.count(F.lit(1)).alias("pages")), "html-blocks")
-    whole = counts.where("block = 0").select("host", F.col("pages").alias("of"))
-    return counts.where(f"block != 0 and pages >= {MIN_PAGES}").join(whole, "host").where(f"pages >= {MIN_SHARE} * of").select("host", "block", "pages")
+    Pages are told apart by their texts and, as near-copies of an article are one page, by the mean number of
+    distinct keys: it must be MIN_PAGES too, and a quarter of the texts (a similarity below 0.75).
+    """
+    often = seen.select("host", "block", "text").distinct().groupBy("host", "block").agg(F.count(F.lit(1)).alias("pages")).where(f"pages >= {MIN_PAGES}")
+    names = [f"k{k}" for k in range(len(KEYS))]
+    counts = seen.join(often, ["host", "block"]).groupBy("host", "block", "pages").agg(*[F.count_distinct(k).alias(k) for k in names])
+    mean = f"({' + '.join(names)}) / {len(KEYS)}"
+    return counts.where(f"{mean} >= {MIN_PAGES} and {mean} >= 0.25 * pages").select("host", "block", "pages")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(html).alias("html"))
-    found = C.stage(templates(rows), "html-templates")
-    per_host = found.groupBy("host").agg(F.collect_set("block").alias("blocks"))  # a host has 1 / MIN_SHARE templates a page's block at most
-    marked = rows.join(per_host, "host", "left") if not found.isEmpty() else rows.withColumn("blocks", F.lit(None).cast("array<long>"))
+    rows = rows.withColumn("page", F.md5(F.concat(F.col("host"), F.lit("\n"), F.coalesce(F.col("html"), F.lit(""))).cast("binary")))
+    seen = C.stage(elements(rows), "html-elements", "zstd")
+    found = C.stage(templates(seen), "html-templates", "zstd")
+    # a page meets the templates among its own elements only, so no list follows the host
+    lists = C.stage(seen.where("shown").join(found, ["host", "block"]).groupBy("page").agg(F.collect_set("block").alias("blocks")), "html-lists", "zstd")
+    C.unstage(seen)
+    spots = C.maybe_in(rows, "page", lists.select("page"))
+    kept = ["page_id", "url", "html"]
+    near = spots.where("_maybe").select(*kept, "page").join(lists, "page", "left").select(*kept, "blocks")
+    marked = spots.where("not _maybe").select(*kept, F.lit(None).cast("array<long>").alias("blocks")).unionAll(near)
 
     def run(batches):
         for batch in C.slices(batches, "html"):
-            texts, memo = [], {}
+            texts = []
             for page, bad in zip(C.strings(batch.column("html")), batch.column("blocks").to_pylist(), strict=True):
-                key = tuple(bad or ())
-                if key not in memo:
-                    memo[key] = frozenset(x.to_bytes(8, "little", signed=True) for x in key)
-                texts.append(" ".join(blocks(prepared(page), memo[key])))
+                texts.append(" ".join(blocks(prepared(page)[1], frozenset(x.to_bytes(8, "little", signed=True) for x in bad or ()))))
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return marked.select("page_id", "url", "html", "blocks").mapInArrow(run, "page_id long, url string, text string, n_chars long")
