@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import common as C
 
 #: An element is a template of a host if it is on this many of its distinct pages at least, whatever the host's size.
-MIN_PAGES = 10
+MIN_PAGES = 4
 #: Keys of a page, one for each multiplier: near-copies share most of them and are no pages of their own.
 KEYS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

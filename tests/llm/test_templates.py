@@ -12,3 +12,19 @@ def test_recurring_running_text_and_items_are_templates(spark):
     pages = [(i, "http://h.example/p", f"<article><h1>Title {i}</h1><p>Text {i} is <b>very</b> long</p>{end.format(i=i)}</article>") for i in range(30)]
     got = texts(spark, pages)
     assert got == {i: f"Title {i} Text {i} is very long Only {i}" for i in range(30)}
+
+
+def test_few_pages_are_enough_on_hosts_of_any_size(spark):
+    """A section's menu on 8 pages goes, whether its host has 8 pages or 808."""
+    words = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    menu = "<div><ul><li>Football</li><li>Tennis</li></ul></div>"
+    small = [(i, "http://small.example/p", f"<body><p>{words(i)}</p>{menu}</body>") for i in range(8)]
+    large = [(1000 + i, "http://large.example/p", f"<body><p>{words(i)}</p>{menu if i < 8 else ''}</body>") for i in range(808)]
+    got = texts(spark, small + large)
+    assert all("Football" not in t for t in got.values()) and got[3] == got[1003] == words(3) and len(got) == 816
+
+
+def test_near_copies_are_no_template(spark):
+    body = [f"word{k}" for k in range(100)]
+    pages = [(i, "http://h.example/p", f"<article><h1>The headline</h1><p>{' '.join(body[:50])}</p><p>{' '.join(body[50 : 50 + i] + ['changed'] + body[51 + i :])}</p></article>") for i in range(12)]
+    assert all(t.startswith("The headline word0") for t in texts(spark, pages).values())
