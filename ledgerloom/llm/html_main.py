@@ -36,7 +36,12 @@ RAW = frozenset("script style textarea title noscript template iframe svg math o
 DROPPED = frozenset("head script style noscript template iframe svg math object canvas nav header footer aside form button input select textarea dialog menu title".split())
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|popup|promo|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Class names and ids of furniture; those that content has too count only beside another (cookie-notice) and else when they recur on the host.
+STRONG = re.compile(r"ads?|advert\w*|breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|nav|navbar|navigation|newsletter|pagination|popup|promo|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar")
+WEAK = frozenset("banner header modal notice widget".split())
+HEADING = re.compile(r"h[1-6]")
+#: Parts that may stand before a name without changing what it says.
+LEADING = frozenset("site main page top bottom global".split())
 #: Elements that end an open p, and those that end one of their own kind.
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SELF_ENDING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -47,10 +52,10 @@ ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "dropped", "digest")
+    __slots__ = ("tag", "attrs", "kids", "dropped", "digest", "size", "holds")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.kids, self.dropped, self.digest = tag, attrs, [], False, None
+        self.tag, self.attrs, self.kids, self.dropped, self.digest, self.size, self.holds = tag, attrs, [], False, None, 0, False
 
 
 def parse(page: str) -> Node:
@@ -106,8 +111,8 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def furniture(node: Node) -> bool:
-    """Whether markup says that an element is no content."""
+def furniture(node: Node, half: float) -> bool:
+    """Whether markup says that an element is no content; a name says so of no heading, and of nothing that holds an article or most of the text."""
     if node.tag in DROPPED:
         return True
     if node.tag in ("article", "main", "body", "html") or not node.attrs.strip():
@@ -117,15 +122,27 @@ def furniture(node: Node) -> bool:
         return True
     if re.search(r"display\s*:\s*none", a.get("style", "")):
         return True
-    return bool(FURNITURE.search(a.get("class", "")) or FURNITURE.search(a.get("id", "")))
+    if HEADING.fullmatch(node.tag) or node.holds or node.size > half:
+        return False
+    return any(named(name) for name in f"{a.get('class', '')} {a.get('id', '')}".lower().split())
+
+
+def named(name: str) -> bool:
+    """Whether a whole class name or id says furniture: each part does, at least one surely."""
+    parts = [x for x in re.split(r"[-_]+", name) if x]
+    while len(parts) > 1 and parts[0] in LEADING:
+        parts = parts[1:]
+    sure = [bool(STRONG.fullmatch(x)) for x in parts]
+    return any(sure) and all(ok or x in WEAK for ok, x in zip(sure, parts, strict=True))
 
 
-def prune(node: Node) -> None:
+def prune(node: Node, half: float) -> None:
+    """Marks what the markup says is no content; ``half``: half of the page's text."""
     for kid in node.kids:
         if isinstance(kid, Node):
-            kid.dropped = furniture(kid)
+            kid.dropped = furniture(kid, half)
             if not kid.dropped:
-                prune(kid)
+                prune(kid, half)
 
 
 def roots(tree: Node) -> list[Node]:
@@ -174,7 +191,7 @@ def blocks(nodes: list[Node], deleted=frozenset()) -> list[str]:
 
 
 def digest(node: Node) -> bytes:
-    """Hash of an element with its tag, attributes and all that is below it; set on all candidates.
+    """Hash of an element with its tag, attributes and all that is below it; set on all candidates, as are size and holds.
 
     Every element with text is a candidate, whatever the markup says of it, but for pieces of running text:
     elements within a line that has text of its own beside them.
@@ -187,10 +204,13 @@ def digest(node: Node) -> bytes:
             if text := " ".join(kid.split()):
                 h.update(b"t" + text.encode("utf-8", "surrogatepass"))
                 words = True
+                node.size += len(text)
                 lines[-1].add(None)
         elif kid.tag not in RAW:
             h.update(b"e" + digest(kid))
-            words = words or kid.digest is not None
+            words = words or kid.size > 0
+            node.size += kid.size
+            node.holds = node.holds or kid.holds or kid.tag in ("article", "main")
             if kid.tag in BLOCKS:
                 lines.append(set())
             else:
@@ -231,7 +251,7 @@ def prepared(page: str) -> tuple[Node, list[Node]]:
     """The tree with hashes and marks, and the roots of its text."""
     tree = parse(page)
     digest(tree)
-    prune(tree)
+    prune(tree, tree.size / 2)
     return tree, roots(tree)
 
 

@@ -28,3 +28,11 @@ def test_near_copies_are_no_template(spark):
     body = [f"word{k}" for k in range(100)]
     pages = [(i, "http://h.example/p", f"<article><h1>The headline</h1><p>{' '.join(body[:50])}</p><p>{' '.join(body[50 : 50 + i] + ['changed'] + body[51 + i :])}</p></article>") for i in range(12)]
     assert all(t.startswith("The headline word0") for t in texts(spark, pages).values())
+
+
+def test_names_that_only_contain_furniture_words_are_content(spark):
+    body = "<p>All of the text that this page has to tell</p>"
+    pages = ["<body><div class='layout has-sidebar'>{}</div></body>", "<body><div class='content no-sidebar'>{}</div></body>", "<body><p>a few words of something else which is longer than what follows here</p><div class='elementor-widget'>{}</div></body>",
+             "<body><h1 class='entry-header'>Head</h1><p>x</p>{}</body>", "<body><h1 class='header footer'>Head</h1>{}</body>", "<body><div id='menu'>{}</div></body>", "<body><div class='sidebar'><article>{}</article></div></body>", "<body><p>intro of more words than the menu</p>{}<div class='site-footer'>gone</div><div class='cookie-notice big'>gone</div><div id='nav'>gone</div></body>"]
+    got = texts(spark, [(i, f"http://h{i}.example/", p.format(body)) for i, p in enumerate(pages)])
+    assert all("All of the text" in t and "gone" not in t for t in got.values()) and got[3].startswith("Head") and got[4].startswith("Head")
