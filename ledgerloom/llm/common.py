@@ -2,24 +2,68 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: ASCII white space, the only separators of words: [\x20\x09-\x0D]. bytes.split() uses the same six.
 SPACE = b" \t\n\x0b\x0c\r"
 #: Rows of text are handled in slices of about so many bytes, so that memory does not follow the batch.
 SLICE_BYTES = 4 << 20
-#: Bits of the row filter of ``maybe_in``: 2**23 bits are 1 MB, whatever the number of keys.
-FILTER_BITS = 1 << 23
+#: Bits of the row filter of ``maybe_in``: eight for each key, from 2**20 up to 2**26 (8 MB). With more keys than the last has room
+#: for, the filter lets more rows pass to the join that follows; the result is the same.
+FILTER_BITS = (1 << 20, 1 << 26)
+#: A worker remembers what it found out about words of so many bytes at most, and about so many of them.
+MEMO_BYTES, MEMO_WORDS = 32, 200_000
 
-_made: dict[str, list[str]] = {}
+#: Multipliers of the keys of ``sketch``.
+KEYS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
+
+_made: dict[tuple[str, str], list] = {}
+_owner = ["session"]
+
+
+class Memo(dict):
+    """What ``make`` gives for each word; only short words are remembered, and a bounded number, so memory is bounded too.
+
+    Made by each task for itself, so that it goes when the task ends.
+    """
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word):
+        value = self.make(word)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
+@contextlib.contextmanager
+def owner(name: str):
+    """What is staged or broadcast within belongs to ``name`` and can be swept without touching what others hold."""
+    before, _owner[0] = _owner[0], name
+    try:
+        yield
+    finally:
+        _owner[0] = before
+
+
+def _own(spark: SparkSession, name: str | None = None) -> list:
+    return _made.setdefault((spark.sparkContext.applicationId, name or _owner[0]), [])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +88,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _own(spark).append(path)
     return path
 
 
+def broadcast(spark: SparkSession, value):
+    """A value of bounded size for all tasks; destroyed by ``sweep``."""
+    held = spark.sparkContext.broadcast(value)
+    _own(spark).append(held)
+    return held
+
+
 def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, lost executors cost nothing."""
     path = new_path(df.sparkSession, name)
@@ -57,6 +108,13 @@ def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return out
 
 
+def aside(docs: DataFrame, *internal: str):
+    """``docs`` with its columns out of the way of the operator's internal names, and a function that gives them their own names back."""
+    taken = {x.lower() for x in internal}
+    held = [f"own{k}_{c}" if c.lower() in taken else c for k, c in enumerate(docs.columns)]
+    return docs.toDF(*held), lambda df, own=docs.columns: df.select(*[F.col(f"`{h}`").alias(c) for h, c in zip(held, own, strict=True)])
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -67,10 +125,10 @@ def unstage(*frames: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for df in frames:
         spark, path = df.sparkSession, df._staged_path
-        own = _made.get(spark.sparkContext.applicationId, [])
-        if path in own:
-            own.remove(path)
-            delete(spark, path)
+        for own in _made.values():
+            if path in own:
+                own.remove(path)
+                delete(spark, path)
 
 
 def release(spark: SparkSession) -> None:
@@ -79,11 +137,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete all staged tables. Only for callers that have written every result they hold."""
-    own = _made.get(spark.sparkContext.applicationId, [])
+def sweep(spark: SparkSession, name: str = "session") -> None:
+    """Delete the staged tables and broadcasts of one owner, which must have written every result it holds."""
+    own = _own(spark, name)
     while own:
-        delete(spark, own.pop())
+        x = own.pop()
+        delete(spark, x) if isinstance(x, str) else x.destroy()
 
 
 def _filter_table(keys: DataFrame, bits: int) -> DataFrame:
@@ -91,11 +150,13 @@ def _filter_table(keys: DataFrame, bits: int) -> DataFrame:
     return keys.select(spot.alias("x")).groupBy(F.expr("bitmap_bucket_number(x)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(x))").alias("_bits"))
 
 
-def maybe_in(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """``df`` with ``_maybe``: false where ``column`` is surely not among ``keys`` (one column).
+def maybe_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``: false where ``column`` is surely not among ``keys`` (one column; best a staged table, as it is read twice).
 
-    A bitmap over hashed keys is broadcast; its size is ``bits`` / 8 bytes for any number of keys.
+    A bitmap over hashed keys is broadcast; its size follows the number of keys between the bounds of FILTER_BITS.
     """
+    least, most = FILTER_BITS
+    bits = min(most, max(least, 1 << (8 * keys.count()).bit_length()))
     x = F.pmod(F.xxhash64(F.lit(17), F.col(column)), F.lit(bits)) + 1
     small = F.broadcast(_filter_table(keys, bits))
     spot = df.withColumn("_x", x).withColumn("_bucket", F.expr("bitmap_bucket_number(_x)"))
@@ -119,6 +180,38 @@ def anti(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return sure.unionAll(near.join(keys.select(F.col(keys.columns[0]).alias("_key")).distinct(), F.col(column) == F.col("_key"), "left_anti"))
 
 
+def sketch(words: list[bytes]) -> list[int]:
+    """MinHash of a text's runs of three words, a key for each of KEYS: near-copies share most of them."""
+    x = np.array([zlib.crc32(b" ".join(words[k : k + 3])) for k in range(max(1, len(words) - 2))], np.uint32)
+    x = (x ^ x >> np.uint32(15))[:, None] * KEYS
+    return (x ^ x >> np.uint32(13)).min(axis=0).view(np.int32).tolist()
+
+
+def unlike(docs: list[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
+    """The (text, label) of a bounded sample without those that share half of their keys with an earlier one of the label."""
+    out, index = [], {}
+    for text, label in docs:
+        own = [(label, k, x) for k, x in enumerate(sketch(text.lower().split()))]
+        met = Counter(d for key in own for d in index.get(key, ()))
+        if not met or max(met.values()) < len(KEYS) // 2:
+            for key in own:
+                index.setdefault(key, []).append(len(out))
+            out.append((text, label))
+    return out
+
+
+def bounded(sample: DataFrame, kind: str, lot, size: int) -> list[tuple]:
+    """(_id, kind, UTF-8 text) of a sample (_id, kind, t), at most ``size`` bytes of each kind and the document that crosses them, by _id.
+
+    ``lot``: the order in which the sample's rows are taken.
+    """
+    staged = stage(sample.withColumn("_lot", lot), "sample")
+    before = F.coalesce(F.sum(F.octet_length("t")).over(W.partitionBy(kind).orderBy("_lot", "_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = staged.select("_id", kind, "t", before.alias("_before")).where(F.col("_before") < size).collect()
+    unstage(staged)
+    return sorted((r["_id"], r[kind], r["t"].encode()) for r in rows)
+
+
 def crc_mod(doc_id: str, m: int):
     """crc32(doc_id as text) mod m, as a column; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % m

@@ -29,8 +29,6 @@ from ledgerloom.llm import common as C
 
 #: An element is a template of a host if it is on this many of its distinct pages at least, whatever the host's size.
 MIN_PAGES = 4
-#: Keys of a page, one for each multiplier: near-copies share most of them and are no pages of their own.
-KEYS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas".split())
 DROPPED = frozenset("head script style noscript template iframe svg math object canvas nav header footer aside form button input select textarea dialog menu title".split())
@@ -259,14 +257,6 @@ def number(h: bytes) -> int:
     return int.from_bytes(h, "little", signed=True)
 
 
-def keys(text: str) -> list[int]:
-    """MinHash of a text's runs of three words."""
-    words = text.encode("utf-8", "surrogatepass").split()
-    x = np.array([zlib.crc32(b" ".join(words[k : k + 3])) for k in range(max(1, len(words) - 2))], np.uint32)
-    x = (x ^ x >> np.uint32(15))[:, None] * KEYS
-    return (x ^ x >> np.uint32(13)).min(axis=0).view(np.int32).tolist()
-
-
 def elements(pages: DataFrame) -> DataFrame:
     """(host, page, text, block, shown, k0 ...): the candidates of each page, the hash of its text and its keys; pages: host, page, html."""
 
@@ -276,11 +266,11 @@ def elements(pages: DataFrame) -> DataFrame:
             for host, key, page in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), C.strings(batch.column("html")), strict=True):
                 tree, top = prepared(page)
                 main = " ".join(blocks(top))
-                text, own = number(hashlib.blake2b(main.encode("utf-8", "surrogatepass"), digest_size=8).digest()), keys(main)
+                text, own = number(hashlib.blake2b(main.encode("utf-8", "surrogatepass"), digest_size=8).digest()), C.sketch(main.encode("utf-8", "surrogatepass").split())
                 rows += [(host, key, text, number(b), shown, *own) for b, shown in candidates(tree, top).items()]
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * len(KEYS)))], names=["host", "page", "text", "block", "shown", *names])
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * len(C.KEYS)))], names=["host", "page", "text", "block", "shown", *names])
 
-    names = [f"k{k}" for k in range(len(KEYS))]
+    names = [f"k{k}" for k in range(len(C.KEYS))]
     return pages.select("host", "page", "html").mapInArrow(run, "host string, page string, text long, block long, shown boolean, " + ", ".join(f"{k} int" for k in names))
 
 
@@ -291,9 +281,9 @@ def templates(seen: DataFrame) -> DataFrame:
     distinct keys: it must be MIN_PAGES too, and a quarter of the texts (a similarity below 0.75).
     """
     often = seen.select("host", "block", "text").distinct().groupBy("host", "block").agg(F.count(F.lit(1)).alias("pages")).where(f"pages >= {MIN_PAGES}")
-    names = [f"k{k}" for k in range(len(KEYS))]
+    names = [f"k{k}" for k in range(len(C.KEYS))]
     counts = seen.join(often, ["host", "block"]).groupBy("host", "block", "pages").agg(*[F.count_distinct(k).alias(k) for k in names])
-    mean = f"({' + '.join(names)}) / {len(KEYS)}"
+    mean = f"({' + '.join(names)}) / {len(C.KEYS)}"
     return counts.where(f"{mean} >= {MIN_PAGES} and {mean} >= 0.25 * pages").select("host", "block", "pages")
 
 

@@ -9,14 +9,17 @@ full sets.
 Links that join what is joined already are never looked for (skip merging). First each class is
 compared with one partner, the pivot with which it shares most postings; that joins most of a large
 group in linear work (ROUNDS repeats it with other pivots). Posting lists that still hold several components are then merged
-exactly: all their members outside the list's largest component against all members, in blocks of at
-most ``BLOCK`` by ``BLOCK`` classes, each pair under the first coordinate that it shares. A block
-reports at most one link for each member.
+exactly: all their members outside the list's largest component against all members, in blocks of
+about ``BLOCK`` by ``BLOCK`` classes or ``BLOCK_BYTES`` of sets, each pair under the first coordinate that
+it shares. A block reports at most one link for each member. That is linear for copies of one text; for many
+*unlike* texts that share a value (a common passage) and are no copies, the comparisons of signatures grow with the
+square of their number, in blocks that run side by side.
 
 Defined cases: a null or blank text has no shingles, is linked with nothing and is its own
 component; fewer words than a shingle make one shingle of all words; copies share a class; repeated
 rows (same doc_id) keep one; a null doc_id counts as the largest; an empty table gives an empty
-result.
+result. A very long text is hashed whole in one task (about 30 bytes of memory a byte of text) and its set, 8 bytes
+a shingle, is one row.
 """
 
 from __future__ import annotations
@@ -35,24 +38,11 @@ from ledgerloom.llm.components import components
 
 K, MATCHES = 48, 22
 ROUNDS = 1
-BLOCK = 2048
-#: Words whose hashes a worker remembers at most.
-MEMO = 500_000
+BLOCK, BLOCK_BYTES = 2048, 16 << 20
 
 _M = np.uint64
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_words = _Words()
-
-
 def _constants(seed: int, n: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 64, n, dtype=np.uint64)
 
@@ -64,12 +54,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingle_hashes(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles of all texts one after the other, and how many each text has."""
+def shingle_hashes(texts: list[bytes], words: int, memo: C.Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of all texts one after the other, and how many each text has; ``memo``: hashes of words."""
     lists = [x.lower().split() for x in texts]
     n = np.array([len(x) for x in lists], np.int64)
     total = int(n.sum())
-    look = _words.__getitem__
+    look = memo.__getitem__
     h = np.fromiter((look(w) for x in lists for w in x), np.uint64, total)
     factors = _constants(words, words) | _M(1)
     long_enough = n >= words
@@ -97,8 +87,9 @@ def signatures(docs: DataFrame, words: int, seed: int) -> DataFrame:
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("set_hash", pa.binary()), ("sig", pa.list_(pa.int32()))])
 
     def run(batches):
+        memo = C.Memo(xxhash.xxh64_intdigest)
         for batch in C.slices(batches):
-            hashes, counts = shingle_hashes(C.raw(batch.column("text")), words)
+            hashes, counts = shingle_hashes(C.raw(batch.column("text")), words, memo)
             at = np.concatenate(([0], np.cumsum(counts)))
             n, keys = [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -122,8 +113,9 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     schema = pa.schema([("rid", pa.int64()), ("set", pa.binary())])
 
     def run(batches):
+        memo = C.Memo(xxhash.xxh64_intdigest)
         for batch in C.slices(batches):
-            hashes, counts = shingle_hashes(C.raw(batch.column("text")), words)
+            hashes, counts = shingle_hashes(C.raw(batch.column("text")), words, memo)
             at = np.concatenate(([0], np.cumsum(counts))).tolist()
             yield pa.record_batch([batch.column("rid"), pa.array([np.unique(hashes[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], schema=schema)
 
@@ -209,14 +201,16 @@ def _near_dups(rows: DataFrame, words: int, percent: int, seed: int) -> DataFram
     classes = C.stage(signed.where("set_hash is not null").groupBy("set_hash").agg(F.min("rid").alias("cid"), F.min(order).alias("best")), "near-classes")
     reps = signed.join(classes.select("cid"), F.col("rid") == F.col("cid"), "left_semi")
     pairs = C.stage(reps.select(F.col("rid").alias("cid"), F.posexplode("sig").alias("k", "v")), "near-pairs")
-    twice = pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # what a (k, v) pair has in all is staged before it meets its rows again: then Spark can split a pair with very many rows
+    twice = C.stage(pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-twice")
     posted = pairs.join(twice, ["k", "v"]).groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "k", "v"))).alias("p")).where(F.size("p") >= MATCHES)  # at most K a class
     posted = posted.select("cid", F.expr(f"slice(p, 1, size(p) - {MATCHES - 1})").alias("p"))
     posted = C.stage(posted, "near-posted")
-    C.unstage(pairs)
+    C.unstage(pairs, twice)
     postings = posted.select("cid", F.explode("p").alias("p")).select("p.k", "p.v", "cid")
-    shared = postings.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    shared = C.stage(postings.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "near-shared")
     postings = C.stage(postings.join(shared, ["k", "v"]).select("k", "v", "cid"), "near-postings")
+    C.unstage(shared)
     links = None
     if not postings.isEmpty():
         links = _link(rows, signed, posted, postings, words, percent)
@@ -242,9 +236,11 @@ def _link(rows: DataFrame, signed: DataFrame, posted: DataFrame, postings: DataF
         # one pivot for each posting list, another each round; a class meets the pivot with which it shares most lists
         lot = F.col("cid") if r == 0 else F.xxhash64(F.lit(r), "cid")
         pivots = current.groupBy("k", "v").agg(F.min(F.struct(lot.alias("lot"), F.col("cid"), F.col("label"))).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-        meet = current.join(pivots.select("k", "v", "p"), ["k", "v"]).where("label != p.label").groupBy("cid", F.col("p.cid").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        pivots = C.stage(pivots.select("k", "v", "p"), "near-pivots")
+        meet = current.join(pivots, ["k", "v"]).where("label != p.label").groupBy("cid", F.col("p.cid").alias("b")).agg(F.count(F.lit(1)).alias("n"))
         one = meet.groupBy("cid").agg(F.max(F.struct("n", F.bitwise_not("b").alias("nb"))).alias("m")).select(F.col("cid").alias("a"), F.bitwise_not("m.nb").alias("b"))
         found = C.stage(_confirm(one, sets, percent), "near-links")
+        C.unstage(pivots)
         links = found if links is None else links.unionAll(found)
         labels = components(links)
         new = C.stage(_relabel(postings, labels), "near-current")
@@ -252,23 +248,27 @@ def _link(rows: DataFrame, signed: DataFrame, posted: DataFrame, postings: DataF
             C.unstage(current)
         current = new
     # lists with several components; of lists with the same members, the first
-    lists = current.groupBy("k", "v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum(F.expr("cast(xxhash64(cid) as decimal(38))")).alias("h1"), F.min("cid").alias("h2")).where("lo != hi")
-    lists = lists.groupBy("n", "h1", "h2").agg(F.min(F.struct("k", "v")).alias("l"), F.first("n").alias("size")).select("l.k", "l.v", "size")
-    open_lists = C.stage(current.join(lists, ["k", "v"]), "near-open")
-    sizes = open_lists.groupBy("k", "v", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("k", "v").agg(F.max(F.struct("n", "label")).alias("m")).select("k", "v", F.col("m.label").alias("main"), F.col("m.n").alias("main_n"))
+    members = F.sum(F.expr("cast(xxhash64(cid) as decimal(38))"))
+    lists = current.groupBy("k", "v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"), members.alias("h1"), F.min("cid").alias("h2")).where("lo != hi")
+    lists = C.stage(lists.groupBy("n", "h1", "h2").agg(F.min(F.struct("k", "v")).alias("l")).select("l.k", "l.v"), "near-lists")
+    sizes = signed.select(F.col("rid").alias("cid"), (8 * F.col("n")).alias("bytes"))
+    open_lists = C.stage(current.join(lists, ["k", "v"]).join(sizes, "cid"), "near-open")
+    parts = open_lists.groupBy("k", "v", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    largest = F.max(F.struct("n", "label", "bytes"))
+    parts = parts.groupBy("k", "v").agg(largest.alias("m"), F.sum("n").alias("size"), F.sum("bytes").alias("all"))
+    spots = lambda n, size: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("long")
+    parts = parts.select("k", "v", F.col("m.label").alias("main"), spots(F.col("size"), F.col("all")).alias("spots"), spots(F.col("size") - F.col("m.n"), F.col("all") - F.col("m.bytes")).alias("outer_spots"))
+    parts = C.stage(parts, "near-parts")
     mask = F.aggregate("p", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["k"])))
     facts = posted.select("cid", mask.alias("mask")).join(signed.select(F.col("rid").alias("cid"), "sig"), "cid").join(sets.withColumnRenamed("rid", "cid"), "cid")
-    members = open_lists.join(largest, ["k", "v"]).withColumns({
-        "spot": F.pmod(F.xxhash64(F.lit(5), "cid"), F.ceil(F.col("size") / BLOCK)),
-        "outer_spot": F.pmod(F.xxhash64(F.lit(6), "cid"), F.ceil((F.col("size") - F.col("main_n")) / BLOCK)),
-        "spots": F.ceil(F.col("size") / BLOCK), "outer_spots": F.ceil((F.col("size") - F.col("main_n")) / BLOCK),
-    })
-    outer = members.where("label != main").select("k", "v", F.lit(0).alias("side"), "cid", "label", F.col("outer_spot").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("spots") - 1)).alias("j"))
-    inner = members.select("k", "v", F.lit(1).alias("side"), "cid", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outer_spots") - 1)).alias("i"), F.col("spot").alias("j"))
+    members = open_lists.join(parts, ["k", "v"])
+    spot = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "cid"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    outer = members.where("label != main").select("k", "v", F.lit(0).alias("side"), "cid", "label", spot(6, "outer_spots").alias("i"), every("spots").alias("j"))
+    inner = members.select("k", "v", F.lit(1).alias("side"), "cid", "label", every("outer_spots").alias("i"), spot(5, "spots").alias("j"))
     blocks = outer.unionByName(inner).join(facts, "cid").groupBy("k", "v", "i", "j")
     more = C.stage(blocks.applyInPandas(_merge_block(percent), "a long, b long"), "near-links")
-    C.unstage(open_lists, current, sets)
+    C.unstage(open_lists, lists, parts, current, sets)
     return links.unionAll(more)
 
 
@@ -279,8 +279,8 @@ def classes_of(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 def kept_only(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` but those that are near copies of one that stays."""
-    own = docs.columns
-    staged = C.stage(docs.withColumn("_rid", F.monotonically_increasing_id()), "near-rows", "zstd")
+    held, named = C.aside(docs, "_rid", "_maybe", "_key", "_x", "_bits", "_bucket")
+    staged = C.stage(held.withColumn("_rid", F.monotonically_increasing_id()), "near-rows", "zstd")
     rows = staged.select(F.col("_rid").alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     dropped = C.stage(_near_dups(rows, words, percent, 3).where("not kept").select("_rid"), "near-dropped")
-    return C.anti(staged, "_rid", dropped).select(*own)
+    return named(C.anti(staged, "_rid", dropped))

@@ -8,7 +8,7 @@ range is short.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed as often as they
 occur; ties on the curve go by doc_id (nulls first), then row; an empty table gives an empty result;
-other columns are ignored.
+other columns are ignored. A very long text is encoded whole in one task and is one row of 2 bytes a token.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from ledgerloom.llm import common as C
 SEQ = 2048
 END_ID = 1
 DIMS, BITS = 3, 10
-#: Chunks of text whose ids a worker remembers at most.
-CACHE = 600_000
 #: Tokens of a range: bounds what a task sorts, and sets how many short sequences there are.
 RANGE_TOKENS = 8 << 20
 
@@ -37,20 +35,16 @@ class _Odd(Exception):
     """White space that the pre-tokeniser does not treat chunk by chunk."""
 
 
-class _Chunks(dict):
+class _Chunks(C.Memo):
     """Ids of chunks, each with ``before`` in front, as little-endian 16-bit bytes."""
 
     def __init__(self, piece, before: str):
-        super().__init__()
-        self.piece, self.before = piece, before
+        def make(chunk: str) -> bytes:
+            if not chunk or chunk != chunk.strip():
+                raise _Odd
+            return np.array(piece(before + chunk), "<u2").tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk != chunk.strip():
-            raise _Odd
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self[chunk] = np.array(self.piece(self.before + chunk), "<u2").tobytes()
-        return ids
+        super().__init__(make)
 
 
 class Encoder:
@@ -64,22 +58,34 @@ class Encoder:
 
     def __init__(self, tokenizer_file: str, rank_file: str):
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(public_tokenizers.path(tokenizer_file))
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.file, self.loaded = public_tokenizers.path(tokenizer_file), None
+        with open(self.file, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         with open(public_tokenizers.path(rank_file), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
         self.piece = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
-        self.first, self.after = _Chunks(self.piece, ""), _Chunks(self.piece, " ")
         self.newline = np.array(self.piece("\n"), "<u2").tobytes()
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was remembered of the texts of a task."""
+        self.first, self.after = _Chunks(self.piece, ""), _Chunks(self.piece, " ")
+
+    def whole(self, text: str) -> list[int]:
+        if self.loaded is None:
+            from tokenizers import Tokenizer
+
+            self.loaded = Tokenizer.from_file(self.file)
+        return self.loaded.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+            return np.array(self.whole(text), "<u2").tobytes()
         if not text:
             return b""
         lines = text.split("\n")
@@ -157,6 +163,7 @@ def tokenised(docs: DataFrame, doc_id: str, text: str, tokenizer_file: str, rank
             arrays = [np.frombuffer(x, "<u2") for x in ids]
             keys = hilbert(np.stack([project(a) for a in arrays]), BITS)
             yield pa.record_batch([batch.column("doc_id"), batch.column("rid"), pa.array(keys), pa.array([len(a) for a in arrays], pa.int64()), pa.array(ids, pa.binary())], schema=TOKENISED)
+        encode.forget()
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"), F.col(text).alias("text"))
     return slim.mapInArrow(run, "doc_id long, rid long, key long, n long, ids binary")

@@ -11,7 +11,8 @@ one, are boilerplate, other lines of good ones content. With no labels of one ki
 as content.
 
 Defined cases: a null, empty or blank text has no words, fails the base rules and is not kept;
-repeated rows are judged each; an empty table gives an empty result; other columns are ignored.
+repeated rows are judged each; an empty table gives an empty result; other columns are ignored. A very long text is judged
+whole in one task, with about 40 bytes of memory a byte of text.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from ledgerloom.llm.chains import Chains, fit_chain
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
 SAMPLE = 1500
+#: And bytes of text of either label; the document that crosses the bound is the last.
+SAMPLE_BYTES = 8 << 20
 CONTENT_SHARE = 0.5
 ENDS = b".!?:;\"')"
-MEMO = 500_000
 #: Slots of the line features: the bias, then a block for each.
 BLOCKS = (("words", 9), ("symbols", 8), ("upper", 8), ("digits", 6), ("long", 8), ("distinct", 8), ("end", 2), ("copy", 2), ("bars", 4), ("place", 4))
 SLOTS = 1 + sum(n for _, n in BLOCKS)
@@ -40,17 +42,6 @@ _UPPER = bytes(range(65, 91))
 _DIGITS = b"0123456789"
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_words = _Words()
-
-
 def _share(part: int, whole: int, slots: int) -> int:
     return min(slots - 1, part * slots // max(whole, 1))
 
@@ -112,18 +103,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     take = lambda q: known.where(F.col("q") == q).orderBy(F.xxhash64(F.lit(2), "doc_id"), "doc_id").limit(SAMPLE)
     sample = C.stage(take(1).unionAll(take(0)).select(F.col("doc_id").alias("_id"), "q"), "quality-sample")
     texts = C.semi(docs.select("doc_id", "text"), "doc_id", sample.select("_id")).join(sample, F.col("doc_id") == F.col("_id")).groupBy("_id", "q").agg(F.min("text").alias("t"))
-    rows = sorted((r["_id"], (r["t"] or "").encode(), r["q"]) for r in texts.collect())  # twice SAMPLE at most
+    rows = C.bounded(texts.select("_id", "q", F.coalesce("t", F.lit("")).alias("t")), "q", lot=F.xxhash64(F.lit(2), "_id"), size=SAMPLE_BYTES)
     C.unstage(sample)
-    return fit([(t, q) for _, t, q in rows])
+    return fit([(t, q) for _, q, t in rows])
 
 
-def repeated_words(lists: list[list[bytes]], window: int = WINDOW) -> np.ndarray:
-    """Per list, the words that lie in a window found twice or more in the list."""
+def repeated_words(lists: list[list[bytes]], memo: C.Memo, window: int = WINDOW) -> np.ndarray:
+    """Per list, the words that lie in a window found twice or more in the list; ``memo``: hashes of words."""
     n = np.array([len(x) for x in lists], np.int64)
     total, out = int(n.sum()), np.zeros(len(lists), np.int64)
     if total < window:
         return out
-    look = _words.__getitem__
+    look = memo.__getitem__
     h = np.fromiter((look(w) for x in lists for w in x), np.uint64, total)
     factors = np.random.default_rng(window).integers(0, 1 << 64, window + 1, dtype=np.uint64) | np.uint64(1)
     doc = np.repeat(np.arange(len(lists)), n)
@@ -154,10 +145,10 @@ OUT = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_words",
 
 def judge(docs: DataFrame, model: Model) -> DataFrame:
     """The counts, base_failed and kept of every row of ``docs`` (doc_id, text)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS weights
+    held = C.broadcast(docs.sparkSession, model)  # SLOTS weights
 
     def run(batches):
-        model = held.value
+        model, memo = held.value, C.Memo(xxhash.xxh64_intdigest)
         for batch in C.slices(batches):
             texts = C.raw(batch.column("text"))
             lists = [x.split() for x in texts]
@@ -166,7 +157,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
             symbols = [len(x) - len(x.translate(None, SYMBOLS)) for x in texts]
             parts = [worded(x) for x in texts]
             copies = [len(x) - len(set(x)) for x in parts]
-            repeats = repeated_words(lists)
+            repeats = repeated_words(lists, memo)
             failed = (n < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * n)
             content = model.content(parts)
             good = np.array([sum(len(line.split()) for line, c in zip(lines, marks, strict=True) if c) for lines, marks in zip(parts, content, strict=True)], np.int64)
