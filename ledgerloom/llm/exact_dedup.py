@@ -8,11 +8,14 @@ is then checked byte by byte against the text that its locator names; a digest s
 texts is split by the texts themselves.
 
 The partial aggregation before the shuffle sends one row per digest and task, so a group of copies
-that holds a third of all rows is no hot key.
+that holds a third of all rows is no hot key. The byte check is an aggregate too: a digest's least and greatest
+normalised text are equal if and only if all are, and each task sends one row a digest. What is known of a digest then
+meets its rows in a join of two staged tables, whose large keys Spark splits.
 
 Defined cases: a null text counts as empty, so null and blank texts are one group; a row without
 doc_id can be kept, but loses a tie against any row that has one; repeated rows (same doc_id, same
-text) keep one; an empty table gives an empty result; other columns pass through.
+text) keep one; an empty table gives an empty result; other columns pass through, whatever their names. A very long
+text is held whole by one task at a time.
 """
 
 from __future__ import annotations
@@ -27,12 +30,19 @@ from ledgerloom.llm import common as C
 #: Everything that the normalised text leaves out.
 BLANKS = r"[\x20\x09-\x0D]+"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Session settings while the stream runs. Space for logs is not set aside: there is a store for each shuffle partition.
+#: Session settings while the stream runs. Space for logs is not set aside: there is a store for each shuffle partition. All stores of
+#: an executor share one bounded memory, and those that a stream has left are closed soon.
 SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKS,
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
+#: Columns that the operator adds for itself.
+INTERNAL = ("_rid", "_sha", "_len", "_n", "_best", "_norm", "_keep_rid", "keep_id", "group_size", "_maybe", "_key", "_x", "_bits", "_bucket")
 
 
 def normalised(text: str):
@@ -78,63 +88,73 @@ def _exists(spark, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", files_per_batch: int = 64) -> DataFrame:
-    """``docs`` with keep_id, group_size, kept and text_sha256 for every row, dropped ones too.
-
-    The staged table stays readable until ``common.sweep``; the result is lazy over it.
-    """
+def _staged(docs: DataFrame, doc_id: str, text: str, files_per_batch: int) -> tuple[DataFrame, DataFrame]:
+    """The staged rows with their keys, and (_sha, _n, _best) of the digests that several rows have."""
     spark = docs.sparkSession
-    own = docs.columns
     staged = C.stage(keyed(docs, text), "dedup-rows", "zstd")
-    slim = staged.select(doc_id, "_rid", "_sha", "_len")
     if staged.limit(1).isEmpty():
         groups = spark.createDataFrame([], "_sha string, _n long, _best struct<_len: long, _not_id: long, _not_rid: long>")
     else:
-        groups = C.stage(stream_state(staged._staged_path, spark, slim.schema, doc_id, files_per_batch), "dedup-groups")
-    judged = slim.join(groups, "_sha").select(
-        doc_id, "_rid", "_sha", "_len",
-        F.bitwise_not("_best._not_id").alias("keep_id"), F.bitwise_not("_best._not_rid").alias("_keep_rid"), F.col("_n").alias("group_size"),
-    )
-    judged = _split_collisions(staged, groups, judged, doc_id, text)
-    flags = judged.select("_rid", "keep_id", "group_size", (F.col("_rid") == F.col("_keep_rid")).alias("kept"), F.col("_sha").alias("text_sha256"))
-    if own == [doc_id, text] or set(own) == {doc_id}:
-        return judged.select(doc_id, "keep_id", "group_size", (F.col("_rid") == F.col("_keep_rid")).alias("kept"), F.col("_sha").alias("text_sha256"))
-    clash = [c for c in ("keep_id", "group_size", "kept", "text_sha256") if c in own]
-    return staged.select(*[c for c in own if c not in clash], "_rid").join(flags, "_rid").drop("_rid")
-
-
-def _split_collisions(staged: DataFrame, groups: DataFrame, judged: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Check the full bytes of every hit; digests that hide different texts are grouped by the texts."""
-    multi = groups.where("_n > 1").select("_sha", F.bitwise_not("_best._not_rid").alias("_keep_rid"))
-    rows = C.semi(staged.select("_rid", "_sha", text), "_sha", multi.select("_sha")).select("_rid", "_sha", normalised(text).alias("_norm"))
-    keepers = C.semi(rows, "_rid", multi.select("_keep_rid")).select("_sha", F.col("_norm").alias("_kept_norm"))
-    wrong = rows.join(keepers, "_sha").where("_norm != _kept_norm").select("_sha").distinct()
-    wrong = C.stage(wrong, "dedup-wrong")
+        slim = staged.select(doc_id, "_rid", "_sha", "_len")
+        groups = stream_state(staged._staged_path, spark, slim.schema, doc_id, files_per_batch).where("_n > 1")
+    return staged, C.stage(groups, "dedup-groups")
+
+
+def _joined(rows: DataFrame, groups: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` with what is known of their group: keep_id, _keep_rid, group_size."""
+    best = F.col("_best")
+    return rows.join(groups, by, how).withColumns({"keep_id": F.bitwise_not(best["_not_id"]), "_keep_rid": F.bitwise_not(best["_not_rid"]), "group_size": F.col("_n")}).drop("_n", "_best")
+
+
+def judged(staged: DataFrame, groups: DataFrame, kept: list[str], doc_id: str, text: str) -> DataFrame:
+    """``kept`` columns, _rid, _sha and _joined's of every row that shares its normalised text; and for rows that pass the digests' filter by chance, nulls."""
+    slim = staged.select(*kept, "_rid", "_sha")
+    near = C.maybe_in(slim, "_sha", groups.select("_sha")).where("_maybe").drop("_maybe")
+    found = _joined(near, groups, ["_sha"], "left")
+    wrong = _collisions(staged, groups, text)
+    if wrong is None:
+        return found
+    mixed = C.semi(staged, "_sha", wrong).withColumn("_norm", normalised(text))
+    order = F.struct("_len", F.bitwise_not(F.col(doc_id).cast("long")).alias("_not_id"), F.bitwise_not("_rid").alias("_not_rid"))
+    apart = mixed.groupBy("_sha", "_norm").agg(F.count(F.lit(1)).alias("_n"), F.max(order).alias("_best"))
+    fixed = _joined(mixed.select(*kept, "_rid", "_sha", "_norm"), apart, ["_sha", "_norm"]).drop("_norm")
+    return found.join(wrong, "_sha", "left_anti").unionByName(fixed)
+
+
+def _collisions(staged: DataFrame, groups: DataFrame, text: str) -> DataFrame | None:
+    """Check the full bytes of every hit: the digests that hide different texts, None if there are none."""
+    rows = C.semi(staged.select("_sha", text), "_sha", groups.select("_sha"))
+    texts = rows.select("_sha", normalised(text).alias("_norm")).groupBy("_sha").agg(F.min("_norm").alias("lo"), F.max("_norm").alias("hi"))
+    wrong = C.stage(texts.where("lo != hi").select("_sha"), "dedup-wrong")
     if wrong.isEmpty():
         C.unstage(wrong)
-        return judged
-    mixed = C.semi(staged.select(doc_id, "_rid", "_sha", "_len", text), "_sha", wrong).withColumn("_norm", normalised(text)).drop(text)
-    order = F.struct("_len", F.bitwise_not(F.col(doc_id).cast("long")).alias("_not_id"), F.bitwise_not("_rid").alias("_not_rid"))
-    apart = mixed.groupBy("_sha", "_norm").agg(F.count(F.lit(1)).alias("group_size"), F.max(order).alias("_best"))
-    fixed = mixed.join(apart, ["_sha", "_norm"]).select(
-        doc_id, "_rid", "_sha", "_len",
-        F.bitwise_not("_best._not_id").alias("keep_id"), F.bitwise_not("_best._not_rid").alias("_keep_rid"), "group_size",
+        return None
+    return wrong
+
+
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", files_per_batch: int = 64) -> DataFrame:
+    """``docs`` without its text, with keep_id, group_size, kept and text_sha256 for every row, dropped ones too; these replace columns of their names.
+
+    The staged table stays readable until ``common.sweep``; the result is lazy over it.
+    """
+    docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
+    held, _ = C.aside(docs, *INTERNAL)
+    names = {h: c for h, c in zip(held.columns, docs.columns, strict=True) if c != text}
+    staged, groups = _staged(held, doc_id, text, files_per_batch)
+    shared = judged(staged, groups, list(names), doc_id, text)
+    alone = C.maybe_in(staged.select(*names, "_rid", "_sha"), "_sha", groups.select("_sha")).where("not _maybe").drop("_maybe")
+    nothing = F.lit(None).cast("long")
+    every = shared.unionByName(alone.withColumns({"keep_id": nothing, "_keep_rid": nothing, "group_size": nothing}))
+    single = F.col("_keep_rid").isNull()
+    return every.select(
+        *[F.col(f"`{h}`").alias(c) for h, c in names.items()], F.when(single, F.col(doc_id).cast("long")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (single | (F.col("_rid") == F.col("_keep_rid"))).alias("kept"), F.col("_sha").alias("text_sha256"),
     )
-    return judged.join(wrong, "_sha", "left_anti").unionByName(fixed)
 
 
 def kept_only(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with the columns of ``docs``."""
-    own = docs.columns
-    staged = C.stage(keyed(docs, text), "dedup-rows", "zstd")
-    slim = staged.select(doc_id, "_rid", "_sha", "_len")
-    if staged.limit(1).isEmpty():
-        return docs
-    groups = C.stage(stream_state(staged._staged_path, docs.sparkSession, slim.schema, doc_id, 64), "dedup-groups")
-    judged = slim.join(groups.where("_n > 1"), "_sha").select(
-        doc_id, "_rid", "_sha", "_len",
-        F.bitwise_not("_best._not_id").alias("keep_id"), F.bitwise_not("_best._not_rid").alias("_keep_rid"), F.col("_n").alias("group_size"),
-    )
-    judged = _split_collisions(staged, groups, judged, doc_id, text)
-    dropped = C.stage(judged.where("_rid != _keep_rid").select("_rid"), "dedup-dropped")
-    return C.anti(staged, "_rid", dropped).select(*own)
+    held, named = C.aside(docs, *INTERNAL)
+    staged, groups = _staged(held, doc_id, text, 64)
+    dropped = C.stage(judged(staged, groups, [], doc_id, text).where("_rid != _keep_rid").select("_rid"), "dedup-dropped")
+    return named(C.anti(staged, "_rid", dropped))
