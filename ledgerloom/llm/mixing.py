@@ -1,18 +1,20 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact length within each source. A source's budget is first filled with the
-same share of every length, then with single documents from long to short, and what remains (at most
-``DP_WORDS`` words) by bounded-knapsack dynamic programming over the documents that are left. How
-many documents of each length to take is known then; which ones is decided by a seeded hash, so
-reruns agree. A budget above the source's size takes every document once and fits the rest as second
-copies.
+same share of every length, then with single documents from long to short, and what remains by
+bounded-knapsack dynamic programming over the copies that are left; a document may be taken up to ``MOST`` times. Where the sum
+is not met exactly, documents are given back until ``DP_WORDS`` words and four times the longest document are open, and the
+nearer sum counts; a source of up to so many words is thus fitted as near as can be. How many copies of each length to take is known then; which documents give
+them is decided by a seeded hash, so reruns agree.
 
 Documents of one source and length may be a third of all rows: they are ranked in hash buckets of
-about ``BUCKET_ROWS`` rows, of which only the one at the border is ever sorted for a decision.
+about ``BUCKET_ROWS`` rows, of which only the one at the border is ever sorted for a decision. A bucket that a row
+repeated very often has made large is cut once more, by row.
 
 Defined cases: a null text has size 0; a null source is a source, last in order; documents of size 0
 are never taken; an empty table gives an empty result; repeated rows each count; other columns pass
-through.
+through, whatever their names; a very long text counts with its full length, and the dynamic programme needs 5 bytes of
+memory for each of twice the words that are open.
 """
 
 from __future__ import annotations
@@ -52,56 +54,78 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, share=SHARE, m
     return [(s, n, out[i]) for i, (s, n) in enumerate(rows)]
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS) -> np.ndarray:
-    """How many documents of each length to take, so that the sum comes as near to ``budget`` from below as can be."""
+def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Of each length up to ``counts``, so that the sum is as near to ``budget`` as can be; of two as near, the lower.
+
+    For each sum up to twice the budget (above it, taking nothing is nearer) the item that reached it first is kept; counts
+    are split in powers of two, so the way back from a sum uses each item once.
+    """
     take = np.zeros(len(lengths), np.int64)
+    limit = 2 * budget
+    reached, first, items = np.zeros(limit + 1, bool), np.full(limit + 1, -1, np.int32), []
+    reached[0] = True
+    for i in np.argsort(-lengths, kind="stable"):
+        size, n, k = int(lengths[i]), int(counts[i]), 1
+        n = min(n, limit // size) if size > 0 else 0
+        while n and not reached[budget]:
+            k = min(k, n)
+            new = reached[: limit + 1 - k * size] & ~reached[k * size :]
+            first[k * size :][new] = len(items)
+            reached[k * size :] |= new
+            items.append((i, k))
+            n -= k
+            k *= 2
+    sums = np.flatnonzero(reached)
+    at = int(sums[np.lexsort((sums, np.abs(sums - budget)))[0]])
+    while at:
+        i, k = items[first[at]]
+        take[i] += k
+        at -= k * int(lengths[i])
+    return take
+
+
+def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS) -> np.ndarray:
+    """How many copies of each length to take, at most ``counts``, so that the sum comes as near to ``budget`` as can be."""
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
     if budget <= 0 or not total:
-        return take
+        return np.zeros(len(lengths), np.int64)
     take = np.array([int(c) * budget // total for c in counts], np.int64)
     left = budget - int((lengths * take).sum())
     for i in np.argsort(-lengths, kind="stable"):
         if left <= dp_words:
             break
-        if lengths[i] > 0 and lengths[i] <= left:
+        if 0 < lengths[i] <= left:
             more = min(int(counts[i] - take[i]), (left - dp_words) // int(lengths[i]) + 1, left // int(lengths[i]))
             take[i] += more
             left -= more * int(lengths[i])
-    # bounded knapsack: bit s of a row is set if the sum s can be reached with the items so far; counts split in powers of two
-    limit = min(left, dp_words * 4)
-    full, items, rows = (1 << (limit + 1)) - 1, [], [1]
-    for i in np.argsort(-lengths, kind="stable"):
-        n, size, k = int(counts[i] - take[i]), int(lengths[i]), 1
-        if size < 1 or size > limit or n < 1:
-            continue
-        n = min(n, limit // size)
-        while n:
-            k = min(k, n)
-            items.append((i, k))
-            rows.append((rows[-1] | rows[-1] << (k * size)) & full)
-            n -= k
-            k *= 2
-        if rows[-1] >> limit:
-            break
-    at = rows[-1].bit_length() - 1
-    for (i, k), before in zip(reversed(items), reversed(rows[:-1]), strict=True):
-        if not before >> at & 1:
-            take[i] += k
-            at -= k * int(lengths[i])
-    return take
+    best = take + knapsack(lengths, counts - take, left)
+    room = max(dp_words, 4 * int(lengths[counts > 0].max()))
+    if int((lengths * best).sum()) != budget and left < room:
+        for i in np.argsort(lengths, kind="stable"):
+            if left >= room:
+                break
+            if lengths[i] > 0:
+                back = min(int(take[i]), -((left - room) // int(lengths[i])))
+                take[i] -= back
+                left += back * int(lengths[i])
+        other = take + knapsack(lengths, counts - take, left)
+        best = min(best, other, key=lambda t: abs(int((lengths * t).sum()) - budget))
+    return best
 
 
 def _fit_source(frame: pd.DataFrame) -> pd.DataFrame:
     """One source's histogram of lengths: copies that every document of a length gets, and how many get one more."""
     frame = frame.sort_values("_size", kind="stable")
     lengths, counts = frame["_size"].to_numpy(np.int64), frame["_docs"].to_numpy(np.int64)
-    size, target = int((lengths * counts).sum()), float(frame["target"].iloc[0])
-    budget = int(round(min(target, MOST * size)))
-    base = 1 if size and budget >= size else 0
-    extra = fit(lengths, counts, budget - base * size)
-    return pd.DataFrame({"_source": frame["_source"], "_size": lengths, "_base": np.int64(base), "_extra": extra})
+    budget = int(np.floor(float(frame["target"].iloc[0]) + 0.5))
+    take = fit(lengths, counts * np.where(lengths > 0, MOST, 0), budget)
+    return pd.DataFrame({"_source": frame["_source"], "_size": lengths, "_base": take // counts, "_extra": take % counts})
+
+
+#: Columns that the operator adds for itself.
+INTERNAL = ("_rid", "_lot", "_group", "_times", "_bucket", "_sub", "copies")
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> DataFrame:
@@ -111,8 +135,22 @@ def _rows(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> Da
     return docs.withColumns({"_rid": F.monotonically_increasing_id(), "_lot": lot, "_group": F.struct(F.col(source).cast("string").alias("_source"), size.alias("_size"))})
 
 
+def _deal(lot, parts):
+    """The one of ``parts`` buckets that a lot of 31 bits falls into."""
+    return F.floor(lot * parts / F.lit(1 << 31)).cast("long")
+
+
+def _running(counts: DataFrame, order: list[str]) -> DataFrame:
+    """``counts`` (_group, the columns of ``order``, _in) with the rows of the group that come before as _before."""
+    before = F.sum("_in").over(W.partitionBy("_group").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    return counts.withColumn("_before", F.coalesce(before, F.lit(0).cast("long")))
+
+
 def copies(rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """For staged ``_rows``: doc_id, _rid, size, source_size, target and copies (0, 1 or 2)."""
+    """For staged ``_rows``: doc_id, _rid, size, source_size, target and copies (0 to MOST).
+
+    What is known of a group or a bucket is staged before its rows meet it, so Spark can split the large ones.
+    """
     spark = rows.sparkSession
     slim = rows.select(doc_id, "_rid", "_lot", "_group")
     hist = C.stage(slim.groupBy("_group").agg(F.count(F.lit(1)).alias("_docs")).select("_group._source", "_group._size", "_docs"), "mix-lengths")
@@ -123,15 +161,19 @@ def copies(rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     fitted = fitted.select(F.struct("_source", "_size").alias("_group"), "_base", "_extra")
     rules = h.select(F.struct("_source", "_size").alias("_g"), "_docs", "_source_size", "target").join(fitted, F.col("_g").eqNullSafe(F.col("_group"))).drop("_g")
     rules = C.stage(rules.withColumn("_buckets", F.ceil(F.col("_docs") / BUCKET_ROWS).cast("long")), "mix-rules")
-    dealt = slim.withColumnRenamed("_group", "_g").join(rules, F.col("_g").eqNullSafe(F.col("_group"))).drop("_g")
-    dealt = dealt.withColumn("_bucket", F.floor(F.col("_lot") * F.col("_buckets") / F.lit(1 << 31)).cast("long"))
+    same = F.col("_group").eqNullSafe(F.col("_g"))
+    dealt = slim.withColumnRenamed("_group", "_g").join(rules, same).drop("_g").withColumn("_bucket", _deal(F.col("_lot"), F.col("_buckets")))
     dealt = C.stage(dealt, "mix-dealt")
+    filled = C.stage(dealt.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_in")), "mix-filled")
+    cuts = filled.where(F.col("_in") > 2 * BUCKET_ROWS).select(F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), F.ceil(F.col("_in") / BUCKET_ROWS).cast("long").alias("_cuts"))
+    cuts = C.stage(cuts, "mix-cuts")
+    own = F.shiftrightunsigned(F.xxhash64(F.lit(1), "_rid"), 33).cast("long")
+    dealt = dealt.join(cuts, same & (F.col("_bucket") == F.col("_b")), "left").withColumn("_sub", _deal(own, F.coalesce("_cuts", F.lit(1)))).drop("_g", "_b", "_cuts")
     # whole buckets below the border are taken as they are; a row's rank within its bucket decides in the one at the border
-    filled = dealt.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_in"))
-    before = filled.withColumn("_before", F.sum("_in").over(W.partitionBy("_group").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)))
-    before = before.select(F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), F.coalesce("_before", F.lit(0)).alias("_before"))
-    ranked = dealt.withColumn("_rank", F.row_number().over(W.partitionBy("_group", "_bucket").orderBy("_lot", doc_id, "_rid")))
-    out = ranked.join(before, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b")))
+    before = _running(dealt.groupBy("_group", "_bucket", "_sub").agg(F.count(F.lit(1)).alias("_in")), ["_bucket", "_sub"])
+    before = C.stage(before.select(F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), F.col("_sub").alias("_s"), "_before"), "mix-before")
+    ranked = dealt.withColumn("_rank", F.row_number().over(W.partitionBy("_group", "_bucket", "_sub").orderBy("_lot", doc_id, "_rid")))
+    out = ranked.join(before, same & (F.col("_bucket") == F.col("_b")) & (F.col("_sub") == F.col("_s")))
     taken = F.col("_base") + (F.col("_before") + F.col("_rank") <= F.col("_extra")).cast("long")
     return out.select(doc_id, "_rid", F.col("_group._size").alias("size"), F.col("_source_size").alias("source_size"), "target", F.when(F.col("_group._size") > 0, taken).otherwise(0).cast("long").alias("copies"))
 
@@ -144,6 +186,7 @@ def sizes_taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    rows = C.stage(_rows(docs, doc_id, text, source, seed), "mix-rows")
+    held, named = C.aside(docs, *INTERNAL)
+    rows = C.stage(_rows(held, doc_id, text, source, seed), "mix-rows")
     often = copies(rows, doc_id).where("copies > 0").select("_rid", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_times"))
-    return rows.select(*docs.columns, "_rid").join(often, "_rid").select(*docs.columns, F.explode("_times")).select(*docs.columns)
+    return named(rows.select(*held.columns, "_rid").join(often, "_rid").select(*held.columns, F.explode("_times")))
