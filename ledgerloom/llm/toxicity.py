@@ -31,13 +31,16 @@ from ledgerloom.llm import common as C
 from ledgerloom.llm.chains import Chains, fit_chain
 
 TOXIC_DOCS, CLEAN_DOCS = 1000, 1500
+#: And bytes of text of either kind; the document that crosses the bound is the last.
+SAMPLE_BYTES = 6 << 20
 THRESHOLD = 0.7
 SLOTS = 1 << 18
 #: A word or prefix is a toxic cue if it is in this many toxic documents at least, and so many times likelier there.
 CUE_DOCS, CUE_ODDS = 4, 20.0
 PREFIXES, SUFFIXES = (4, 5, 6, 7, 8), (3, 4)
 EDGE = b".,;:!?\"'()[]{}|*%&$#<>-_/\\~^=+`@"
-MEMO = 400_000
+#: Words whose emission a task remembers at most, none above C.MEMO_BYTES.
+MEMO = 250_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -76,13 +79,18 @@ class Model:
     def emissions(self, words) -> np.ndarray:
         """Each word's emission score, from memory where it is known."""
         memo, w = self.memo, self.weights
-        new = [x for x in set(words) if x not in memo]
+        own = set(words)
+        new = [x for x in own if x not in memo]
         if new:
             if len(memo) + len(new) > MEMO:
                 memo.clear()
-                new = list(set(words))
+                new = list(own)
             memo.update(zip(new, w[np.array([features(x) for x in new])].sum(axis=1).tolist(), strict=True))
-        return np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
+        out = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
+        for x in new:
+            if len(x) > C.MEMO_BYTES:
+                del memo[x]
+        return out
 
     def marginals(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of all tokens of all texts, one after the other, and how many each text has."""
@@ -110,8 +118,25 @@ def documents(m: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(counts)), x, most, x / size, most * size], axis=1)
 
 
+def first_met(docs: list[np.ndarray]) -> list[np.ndarray]:
+    """Each document's distinct words that stand between two words between which no earlier document, nor an earlier place, has them."""
+    size = np.array([len(x) for x in docs], np.int64)
+    flat = np.concatenate(docs).astype(np.uint64) + np.uint64(1)
+    ends = np.cumsum(size)
+    before, after = np.concatenate(([np.uint64(0)], flat[:-1])), np.concatenate((flat[1:], [np.uint64(0)]))
+    before[(ends - size)[size > 0]] = 0
+    after[ends[size > 0] - 1] = 0
+    between = (flat * np.uint64(0x9E3779B97F4A7C15) ^ before) * np.uint64(0xD6E8FEB86659FD93) ^ after
+    new = np.zeros(len(flat), bool)
+    new[np.unique(between, return_index=True)[1]] = True
+    return [np.unique(x[n]) for x, n in zip(docs, np.split(new, ends[:-1]), strict=True)]
+
+
 def token_labels(vocabulary: list[bytes], docs: list[np.ndarray], toxic: list[int]) -> np.ndarray:
-    """Of each word, whether it or a prefix is a toxic cue; docs: distinct words of each document."""
+    """Of each word, whether it or a prefix is a toxic cue; docs: the words of each document.
+
+    A passage that several toxic documents share counts for the first only, or its rare words were cues.
+    """
     own = np.empty((len(vocabulary), len(PREFIXES) + 1), np.uint64)
     for i, w in enumerate(vocabulary):
         names = cues(w.strip(EDGE) or w)
@@ -119,15 +144,18 @@ def token_labels(vocabulary: list[bytes], docs: list[np.ndarray], toxic: list[in
     names, own = np.unique(own, return_inverse=True)
     own = own.reshape(len(vocabulary), -1).astype(np.int32)
     n, found = [1.0, 1.0], np.zeros((2, len(names)))
-    for ids, y in zip(docs, toxic, strict=True):
-        n[y] += 1
-        found[y, np.unique(own[ids])] += 1
+    for y in (0, 1):
+        kind = [x for x, t in zip(docs, toxic, strict=True) if t == y]
+        n[y] += len(kind)
+        for ids in first_met(kind) if y else map(np.unique, kind):
+            found[y, np.unique(own[ids])] += 1
     bad = (found[1] >= CUE_DOCS) & (found[1] / n[1] > CUE_ODDS * (found[0] + 0.5) / n[0])
     return bad[own].any(axis=1)
 
 
 def fit(docs: list[tuple[bytes, int]], steps: int = 60, ridge: float = 1e-6) -> Model:
-    """The chain and the curve, from (text, toxic) of the sample."""
+    """The chain and the curve, from (text, toxic) of the sample; near-copies of a text count once, or else its rare words were cues."""
+    docs = C.unlike(docs)
     toxic = [y for _, y in docs]
     share = sum(toxic) / len(docs) if docs else 0.0
     if not 0 < share < 1:
@@ -139,7 +167,7 @@ def fit(docs: list[tuple[bytes, int]], steps: int = 60, ridge: float = 1e-6) ->
         ids.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for line in lines for w in line], np.int32))
         lengths += [len(line) for line in lines]
         counts.append(len(ids[-1]))
-    cue = token_labels(list(vocabulary), [np.unique(x) for x in ids], toxic)
+    cue = token_labels(list(vocabulary), ids, toxic)
     labels = np.concatenate([cue[x] * float(y) for x, y in zip(ids, toxic, strict=True)])
     feats = np.array([features(w) for w in vocabulary], np.int32)
     flat, lengths, counts = np.concatenate(ids), np.array(lengths, np.int64), np.array(counts, np.int64)
@@ -163,9 +191,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     take = lambda y, n: known.where(F.col("y") == y).orderBy(lot, doc_id).limit(n)
     sample = C.stage(take(1, TOXIC_DOCS).unionAll(take(0, CLEAN_DOCS)).select(F.col(doc_id).alias("_id"), "y"), "tox-sample")
     texts = C.semi(docs.select(doc_id, text), doc_id, sample.select("_id")).join(sample, F.col(doc_id) == F.col("_id")).groupBy("_id", "y").agg(F.min(text).alias("t"))
-    rows = sorted((r["_id"], (r["t"] or "").encode(), r["y"]) for r in texts.collect())  # at most TOXIC_DOCS + CLEAN_DOCS
+    rows = C.bounded(texts.select("_id", "y", F.coalesce("t", F.lit("")).alias("t")), "y", lot=F.xxhash64(F.lit(10), "_id"), size=SAMPLE_BYTES)
     C.unstage(sample)
-    return fit([(t, y) for _, t, y in rows])
+    return fit([(t, y) for _, y, t in rows])
 
 
 def spans(text: bytes, m: np.ndarray) -> list[dict]:
@@ -188,12 +216,14 @@ def spans(text: bytes, m: np.ndarray) -> list[dict]:
 SPANS = "array<struct<start: long, end: long, score: double>>"
 
 
+ADDED = ("tox_score", "tox_predicted", "tox_spans")
+
+
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with tox_score, tox_predicted and tox_spans."""
-    own = [c for c in docs.columns if c not in ("tox_score", "tox_predicted", "tox_spans")]
-    docs = docs.select(*own)
+    """``docs`` with tox_score, tox_predicted and tox_spans, which replace columns of their names."""
+    docs = docs.drop(*ADDED)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-    held = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS weights at most
+    held = C.broadcast(docs.sparkSession, model)  # SLOTS weights at most
 
     def run(batches):
         model = held.value
@@ -206,7 +236,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             hot[np.searchsorted(ends, np.flatnonzero(m >= 0.5), side="right")] = True
             found = [spans(t, m[e - n : e]) if h else [] for t, n, e, h in zip(texts, counts.tolist(), ends.tolist(), hot.tolist(), strict=True)]
             new = [pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array(found, span)]
-            yield pa.record_batch([*batch.columns, *new], names=[*batch.schema.names, "tox_score", "tox_predicted", "tox_spans"])
+            yield pa.record_batch([*batch.columns, *new], names=[*batch.schema.names, *ADDED])
 
     schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in docs.schema), T.StructField("tox_score", T.DoubleType()), T.StructField("tox_predicted", T.IntegerType()), *T.StructType.fromDDL(f"tox_spans {SPANS}")])
     return docs.mapInArrow(run, schema)
@@ -222,4 +252,5 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean_only(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic."""
     model = learn(docs.select("doc_id", "text"), labels)
-    return score(docs, model).where("tox_predicted = 0").select(*docs.columns)
+    held, named = C.aside(docs, *ADDED)
+    return named(score(held, model).where("tox_predicted = 0"))
