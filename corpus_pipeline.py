@@ -14,34 +14,37 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm import common, exact_dedup, mixing, near_dedup, packing, toxicity
 
 
+def _alone(spark: SparkSession, work) -> DataFrame:
+    """Run a stage whose predecessor's result is written: what that staged goes first. Tables of other callers stay."""
+    common.sweep(spark, "pipeline")
+    common.release(spark)
+    with common.owner("pipeline"):
+        return work()
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain model predicts to be toxic go."""
-    common.sweep(spark)
-    return toxicity.clean_only(docs, common.table(spark, sf_dir, "labels"))
+    return _alone(spark, lambda: toxicity.clean_only(docs, common.table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of equal texts stays."""
-    common.sweep(spark)
-    return exact_dedup.kept_only(docs)
+    return _alone(spark, lambda: exact_dedup.kept_only(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of near-duplicates stays (five-word shingles, similarity 0.8)."""
-    common.sweep(spark)
-    return near_dedup.kept_only(docs)
+    return _alone(spark, lambda: near_dedup.kept_only(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    common.sweep(spark)
-    return mixing.mixed(docs)
+    return _alone(spark, lambda: mixing.mixed(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    common.sweep(spark)
-    return packing.pack(docs.select("doc_id", "text"))
+    return _alone(spark, lambda: packing.pack(docs.select("doc_id", "text")))
 
 
 STAGES = [
