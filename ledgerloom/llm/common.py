@@ -200,6 +200,16 @@ def unlike(docs: list[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
     return out
 
 
+def lookup(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """``df`` with the other columns of ``table`` where its first column, in which no value recurs, equals ``column``, else nulls; only rows that may match are shuffled."""
+    key, *values = table.columns
+    marked = maybe_in(df, column, table.select(key))
+    kept = [F.col(c) for c in df.columns]
+    sure = marked.where("not _maybe").select(*kept, *[F.lit(None).cast(table.schema[v].dataType).alias(v) for v in values])
+    near = marked.where("_maybe").select(*kept).join(table.withColumnRenamed(key, "_key"), F.col(column) == F.col("_key"), "left")
+    return sure.unionAll(near.select(*kept, *values))
+
+
 def bounded(sample: DataFrame, kind: str, lot, size: int) -> list[tuple]:
     """(_id, kind, UTF-8 text) of a sample (_id, kind, t), at most ``size`` bytes of each kind and the document that crosses them, by _id.
 

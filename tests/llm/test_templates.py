@@ -36,3 +36,42 @@ def test_names_that_only_contain_furniture_words_are_content(spark):
              "<body><h1 class='entry-header'>Head</h1><p>x</p>{}</body>", "<body><h1 class='header footer'>Head</h1>{}</body>", "<body><div id='menu'>{}</div></body>", "<body><div class='sidebar'><article>{}</article></div></body>", "<body><p>intro of more words than the menu</p>{}<div class='site-footer'>gone</div><div class='cookie-notice big'>gone</div><div id='nav'>gone</div></body>"]
     got = texts(spark, [(i, f"http://h{i}.example/", p.format(body)) for i, p in enumerate(pages)])
     assert all("All of the text" in t and "gone" not in t for t in got.values()) and got[3].startswith("Head") and got[4].startswith("Head")
+
+
+def test_deep_and_broken_pages_take_linear_time(spark):
+    """100,000 nested, unclosed or unmatched elements and 1 MB of unbalanced quotes; extra columns with clashing names."""
+    pages = ["<div>x" * 100_000, "<font>x" * 100_000 + "</b>" * 50_000, "<p>" + "<font>y" * 50_000 + "<div>z" * 50_000, '<a "' * 250_000 + "<p>", "<" * 300_000, "<table>" + "<tr><td>a" * 50_000]
+    rows = [(i, "http://h.example/", p, 1, "c") for i, p in enumerate(pages)]
+    got = html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string, rid long, text string").repartition(3))
+    found = {r["page_id"]: r["text"] for r in got.collect()}
+    assert found[0] == " ".join("x" * 100_000) and found[1] == "x" * 100_000 and found[2] == "y" * 50_000 + " z" * 50_000 and found[4] == "<" * 300_000 and found[5] == " ".join("a" * 50_000)
+
+
+def test_text_around_a_deleted_block_stays_apart(spark):
+    menu = "<div><ul><li>Football</li><li>Tennis</li></ul></div>"
+    words = lambda i, n: " ".join(f"{n}w{i}x{k}" for k in range(12))
+    got = texts(spark, [(i, "http://h.example/", f"<body>{words(i, 'a')}{menu}{words(i, 'b')}<nav>x</nav>end</body>") for i in range(6)])
+    assert got == {i: f"{words(i, 'a')} {words(i, 'b')} end" for i in range(6)}
+
+
+def test_template_counts_against_brute_force(spark):
+    """Keys of elements on four distinct texts of a host or more, copies of a text once; blocks counted by hand."""
+    import random
+    from collections import defaultdict
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    boxes = [f"<div>box {k} {' '.join(rng.choice('abcdefgh') * 4 for _ in range(5))}</div>" for k in range(12)]
+    pages = []
+    for i in range(60):
+        text = " ".join(f"t{i if i % 6 else 6}x{k}" for k in range(40))
+        pages.append((i, f"http://h{i % 3}.example/", f"<body><p>{text}</p>{''.join(b for k, b in enumerate(boxes) if (i // 3) % (k + 1) == 0)}</body>"))
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string").select("page_id", "url", F.xxhash64("url").alias("host"), F.col("page_id").alias("rid"), "html")
+    found = html_main.parsed(rows)
+    got = {r["key"] for r in html_main.templates(found, html_main.near_copies(found)).collect()}
+    on = defaultdict(set)
+    copies = {r["own"] for r in html_main.near_copies(found).collect()}
+    for r in found.select("host", "text", F.xxhash64("host", "text").alias("own"), F.explode("blocks").alias("b")).withColumn("key", F.xxhash64("host", "b")).collect():
+        on[r["key"]].add(r["own"])
+    assert got == {k for k, x in on.items() if len(x - copies) >= 4 and len(x - copies) >= 0.25 * len(x)} and got
