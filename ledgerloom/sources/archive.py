@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,21 +23,33 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_archive(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Rows of a JSON array file with their place as ``ord``; a missing or broken file has none, and elements that are no objects go."""
-    if not exists(spark, path):
+    """Rows of a JSON array file, or of what ``write_atomic`` wrote as JSON, with their place as ``ord``.
+
+    A missing or broken file has none, and elements that are no objects go. A file is one text in one task, so one of more than 2 GB can't be
+    read, which is an error and never an empty archive; large archives belong in tables of many files.
+    """
+    now = current(spark, path)
+    if now is None:
         return spark.createDataFrame([], schema).withColumn("ord", F.lit(0).cast("long")).limit(0)
+    if now != path:
+        return spark.read.schema(schema).json(now) if "ord" in schema.names else spark.read.schema(schema).json(now).withColumn("ord", F.monotonically_increasing_id())
     return unwrap(spark.read.text(path, wholetext=True), schema)
 
 
 def unwrap(texts: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Rows of JSON documents: an array, {properties: []}, {items: []}, or a single object; ``ord`` is the place."""
-    v = F.try_parse_json(column)
-    kind = F.schema_of_variant(v)
-    as_list = lambda path: F.try_variant_get(v, path, "array<variant>")
+    """Rows of JSON documents: an array, {properties: []}, {items: []}, or a single object; ``ord`` is the place.
+
+    A document is split into its elements' texts first, so one that is no object spoils no other.
+    """
+    text = F.ltrim(F.col(column))
+    elements = lambda x: F.from_json(x, "array<string>", {"mode": "PERMISSIVE"})
+    whole = F.from_json(text, "struct<properties: string, items: string, _corrupt_record: string>", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    sound = whole["_corrupt_record"].isNull() & whole.isNotNull()
+    inner = lambda name: F.when(F.startswith(F.ltrim(whole[name]), F.lit("[")), elements(whole[name]))
     # a present list wins over the object that holds it
-    rows = F.when(kind.startswith("ARRAY"), as_list("$")).when(as_list("$.properties").isNotNull(), as_list("$.properties")).when(as_list("$.items").isNotNull(), as_list("$.items")).when(kind.startswith("OBJECT"), F.array(v))
-    each = texts.select(F.posexplode(rows).alias("ord", "row")).where(F.schema_of_variant("row").startswith("OBJECT"))
-    return each.select(F.col("ord").cast("long").alias("ord"), F.from_json(F.to_json("row"), schema).alias("r")).select("ord", "r.*")
+    rows = F.when(F.startswith(text, F.lit("[")), elements(text)).when(F.startswith(text, F.lit("{")) & sound, F.coalesce(inner("properties"), inner("items"), F.array(text)))
+    each = texts.select(F.posexplode(rows).alias("ord", "row")).where(F.startswith(F.ltrim("row"), F.lit("{")))
+    return each.select(F.col("ord").cast("long").alias("ord"), F.from_json("row", schema).alias("r")).select("ord", "r.*")
 
 
 def read_object(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -64,25 +77,55 @@ def stats_path(path: str) -> str:
     return f"{path.rsplit('/', 1)[0]}/run-stats"
 
 
+def _pointer(path: str) -> str:
+    return f"{path}/_current"
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Where the rows of ``path`` are now: the version that it points to, or the path itself, or None if there is nothing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    if fs.exists(_fs(spark, _pointer(path))[1]):
+        with contextlib.closing(fs.open(_fs(spark, _pointer(path))[1])) as f:
+            return f"{path}/{spark._jvm.org.apache.commons.io.IOUtils.toString(f, 'UTF-8').strip()}"
+    return None if fs.getFileStatus(p).isDirectory() and not fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]) else path
+
+
 def write_atomic(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Write beside ``path`` and rename, so that readers see the old table or the new one."""
+    """Write a new version below ``path`` and turn the pointer to it by one rename, so that readers see the old table or the new one.
+
+    What a crash leaves half written is never pointed to; of the versions before, the last stays for those who still read it.
+    """
     spark = df.sparkSession
-    staged, old = f"{path}.{uuid.uuid4().hex}.tmp", f"{path}.{uuid.uuid4().hex}.old"
+    name, before = f"v-{uuid.uuid4().hex}", current(spark, path)
     writer = df.write.format(fmt)
-    (writer.option("ignoreNullFields", "false") if fmt == "json" else writer).save(staged)
+    (writer.option("ignoreNullFields", "false") if fmt == "json" else writer).save(f"{path}/{name}")
     fs, p = _fs(spark, path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    if fs.exists(p):
-        fs.rename(p, hadoop(old))
-    if not fs.rename(hadoop(staged), p):
-        raise OSError(f"can't rename {staged} to {path}")
-    fs.delete(hadoop(old), True)
+    jvm = spark._jvm
+    note = jvm.org.apache.hadoop.fs.Path(f"{path}/_current.{uuid.uuid4().hex}.tmp")
+    out = fs.create(note, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(note), fs.makeQualified(_fs(spark, _pointer(path))[1]), options)
+    kept = {name, (before or "").rsplit("/", 1)[-1]}
+    for status in fs.listStatus(p):
+        own = status.getPath().getName()
+        if own.startswith("v-") and own not in kept:
+            fs.delete(status.getPath(), True)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_stats(counters: DataFrame, path: str, run_id: str, ts) -> None:
+    """Append a run's counters (a row for each site, and the total) beside the archive, with the run and its time."""
+    counters.withColumns({"runId": F.lit(run_id), "ts": F.lit(ts).cast("timestamp")}).write.mode("append").option("ignoreNullFields", "false").json(stats_path(path))
+
+
 def append_errors(errors: DataFrame, path: str, run_id: str | None, ts) -> None:
     """Append (url, error, ts, runId) rows; the time is one for the whole run."""
     errors.select("url", "error", F.lit(ts).cast("timestamp").alias("ts"), F.lit(run_id).cast("string").alias("runId")).write.mode("append").json(path)

@@ -2,34 +2,55 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators import merge
+from ledgerloom.sources.archive import _fs, exists
 
 
 class Archive:
-    """Versions of the archive under ``root``; a batch reads one and writes the next, so nothing is overwritten while read."""
+    """Versions of the archive under ``root``; a batch reads one and writes the next, so nothing is overwritten while read.
+
+    The first version that a checkpoint writes is the one after the last that is there, and is noted; so a stream that starts with a new
+    checkpoint goes on from the archive, and a batch that is repeated writes the version that it wrote before.
+    """
 
     def __init__(self, spark, root: str, schema):
-        self.spark, self.root, self.schema = spark, root, schema
+        self.spark, self.root, self.schema, self.start = spark, root, schema, 0
 
     def path(self, version: int) -> str:
         return f"{self.root}/v{version:08d}"
 
+    def last(self) -> int:
+        """The last version that is complete, -1 if there is none."""
+        fs, p = _fs(self.spark, self.root)
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        found = [int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit() and exists(self.spark, f"{self.root}/{n}/_SUCCESS")]
+        return max(found, default=-1)
+
     def read(self, version: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path(version)) if version >= 0 else self.spark.createDataFrame([], self.schema)
 
     def put(self, batch: DataFrame, number: int) -> None:
-        """foreachBatch sink: version ``number`` is version ``number - 1`` with the batch merged in; a repeat writes the same."""
-        before = self.read(number - 1)
-        if number < 1 or before.isEmpty():
-            before = self.spark.createDataFrame([], self.schema)
-        out = merge.upsert(before, batch.select(*self.schema.names))
-        out.select(*self.schema.names, "_status").write.mode("overwrite").parquet(f"{self.path(number)}-delta")
-        done = self.spark.read.parquet(f"{self.path(number)}-delta")
-        done.where("_status != 'kept'").write.mode("overwrite").parquet(f"{self.path(number)}-latest")
-        done.drop("_status").write.mode("overwrite").parquet(self.path(number))
+        """foreachBatch sink: batch ``number`` of this stream is merged into the version before its own; a repeat writes the same."""
+        version = self.start + number
+        out = merge.upsert(self.read(version - 1), batch.select(*self.schema.names))
+        out.select(*self.schema.names, "_status").write.mode("overwrite").parquet(f"{self.path(version)}-delta")
+        done = self.spark.read.parquet(f"{self.path(version)}-delta")
+        done.where("_status != 'kept'").write.mode("overwrite").parquet(f"{self.path(version)}-latest")
+        done.drop("_status").write.mode("overwrite").parquet(self.path(version))
+
+    def _started(self, checkpoint: str) -> int:
+        note = f"{self.root}/starts/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+        if exists(self.spark, f"{checkpoint}/offsets") and exists(self.spark, f"{note}/_SUCCESS"):
+            return int(self.spark.read.text(note).first()[0])
+        start = self.last() + 1
+        self.spark.createDataFrame([(str(start),)], "value string").coalesce(1).write.mode("overwrite").text(note)
+        return start
 
     def run(self, stream: DataFrame, checkpoint: str) -> None:
+        self.start = self._started(checkpoint)
         query = stream.writeStream.foreachBatch(self.put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()

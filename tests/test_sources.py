@@ -70,12 +70,33 @@ def test_archive_scans(spark, tmp_path):
     assert [r["url"] for r in archive.read_urls(spark, f"file://{tmp_path}/urls", "p.example").orderBy("ord").collect()] == ["https://www.p.example/sky-park/", "https://odd.example/x?y"]
 
 
+def test_archive_of_more_than_128_mb(spark, tmp_path):
+    with (tmp_path / "big").open("w") as f:
+        f.write("[")
+        for i in range(70_000):
+            f.write(("," if i else "") + json.dumps({"title": f"t{i}", "bhk": i, "more": "x" * 2000}))
+        f.write("]")
+    assert (tmp_path / "big").stat().st_size > 130 << 20
+    shape = S.StructType.fromDDL("title string, bhk long")
+    got = archive.read_archive(spark, f"file://{tmp_path}/big", shape).agg(F.count("title"), F.sum("bhk"), F.max("ord"), F.count_if(F.col("ord") == F.col("bhk"))).first()
+    assert tuple(got) == (70_000, 70_000 * 69_999 // 2, 69_999, 70_000)
+
+
 def test_sinks(spark, tmp_path):
     path = f"file://{tmp_path}/archive"
     df = spark.createDataFrame([(1, None)], "a int, b string")
-    for _ in range(2):
-        archive.write_atomic(df, path)
-    assert spark.read.text(path).collect()[0][0] == '{"a":1,"b":null}' and len(list(tmp_path.iterdir())) == 1
+    for a in range(3):
+        archive.write_atomic(df.withColumn("a", F.lit(a)), path)
+        assert spark.read.text(archive.current(spark, path)).collect()[0][0] == f'{{"a":{a},"b":null}}'
+    assert len([x for x in (tmp_path / "archive").iterdir() if x.name.startswith("v-")]) == 2
+    shape = S.StructType.fromDDL("a int, b string")
+    assert [(r["a"], r["b"], r["ord"]) for r in archive.read_archive(spark, path, shape).collect()] == [(2, None, 0)]
+    # a crash after the rows are written and before the pointer turns leaves the table as it was
+    df.withColumn("a", F.lit(9)).write.json(f"{path}/v-crashed")
+    assert archive.read_archive(spark, path, shape).first()["a"] == 2
+    archive.write_stats(spark.createDataFrame([("s", 3)], "site string, events long"), path, "r1", datetime.datetime(2026, 1, 1))
+    archive.write_stats(spark.createDataFrame([("s", 4)], "site string, events long"), path, "r2", datetime.datetime(2026, 1, 2))
+    assert sorted((r["runId"], r["events"]) for r in spark.read.json(archive.stats_path(path)).collect()) == [("r1", 3), ("r2", 4)]
     errors = spark.createDataFrame([("u", "e")], "url string, error string")
     for run in ("r1", "r2"):
         archive.append_errors(errors, f"file://{tmp_path}/errors", run, datetime.datetime(2026, 1, 1))
@@ -113,6 +134,10 @@ def test_streaming_upsert(spark, tmp_path):
         store.run(spark.readStream.schema(shape).parquet(f"file://{tmp_path}/in"), f"file://{tmp_path}/marks")
     assert sorted((r["projectName"], r["price"]) for r in store.read(1).collect()) == [("Else", None), ("Sky Park", 5)]
     assert spark.read.parquet(f"{store.path(1)}-latest").count() == 2
+    # a new checkpoint goes on from the archive
+    again = Archive(spark, f"file://{tmp_path}/store", shape)
+    again.run(spark.readStream.schema(shape).parquet(f"file://{tmp_path}/in"), f"file://{tmp_path}/marks2")
+    assert again.last() == 2 and sorted((r["projectName"], r["price"]) for r in again.read(2).collect()) == [("Else", None), ("Sky Park", 5)]
 
 
 def test_repeated_rows_and_frontier(spark):
