@@ -26,17 +26,20 @@ def clean_amenities(array: Column) -> Column:
     return F.coalesce(distinct_ignoring_case(kept), F.array().cast("array<string>"))
 
 
-def ordered_union(a: Column, b: Column) -> Column:
-    nothing = F.array().cast("array<string>")
-    return F.array_union(F.coalesce(a, nothing), F.coalesce(b, nothing))
-
-
 def in_order(rank: Column, array: Column) -> Column:
     """Aggregate: many arrays one after the other, in the order of ``rank``; empty ones are left out."""
     full = F.when(F.size(array) > 0, F.struct(rank.alias("r"), array.alias("a")))
     return F.flatten(F.transform(F.array_sort(F.collect_list(full), lambda p, q: F.when(p["r"] < q["r"], -1).when(p["r"] > q["r"], 1).otherwise(0)), lambda x: x["a"]))
 
 
+def folded(rank: Column, array: Column, legacy: Column) -> Column:
+    """Aggregate: arrays in the order of ``rank``, with what each row has in an older form. A merge takes the arrays of two rows first, then their
+    older forms; so the first row's older form comes after the second row's array."""
+    rows = F.array_sort(F.collect_list(F.struct(rank.alias("r"), array.alias("a"), legacy.alias("l"))), lambda p, q: F.when(p["r"] < q["r"], -1).when(p["r"] > q["r"], 1).otherwise(0))
+    first = F.get(rows, F.lit(0))["l"]
+    return F.flatten(F.transform(rows, lambda x, i: F.when(i == 0, x["a"]).when(i == 1, F.concat(x["a"], first, x["l"])).otherwise(F.concat(x["a"], x["l"]))))
+
+
 def union_in_order(rank: Column, array: Column) -> Column:
     """Aggregate: the union of many arrays, in the order of ``rank``."""
     return F.array_distinct(in_order(rank, array))

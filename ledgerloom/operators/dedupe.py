@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import identity as I
-from ledgerloom.operators.merge import Fold, _plain, compact, null_fill
+from ledgerloom.operators.blocks import components
+from ledgerloom.operators.merge import Fold, _plain, block_links, compact, null_fill
 from ledgerloom.plans.lineage import cut
 
 
@@ -37,12 +38,13 @@ def exact(df: DataFrame) -> DataFrame:
 def _leaders(frame: pd.DataFrame) -> pd.DataFrame:
     """Greedy leaders in the order of richness: each absorbs the later rows that match it, not what those match."""
     frame = frame.sort_values(["full", "ord"], ascending=[False, True], kind="stable")
-    leaders: list[tuple[str, int]] = []
+    leaders: dict[tuple, list[tuple[str, int]]] = {}  # by what soft matches must have in common
     out = []
     for n, (ord_, slug) in enumerate(zip(frame["ord"], frame["slug"], strict=True)):
-        target = next((o for s, o in leaders if I.soft_match(s, slug)), None)
+        own = leaders.setdefault(I.guard_of(slug), [])
+        target = next((o for s, o in own if I.soft_match(s, slug)), None)
         if target is None:
-            leaders.append((slug, ord_))
+            own.append((slug, ord_))
         out.append((ord_, ord_ if target is None else target, n))
     return pd.DataFrame(out, columns=["ord", "target", "seq"])
 
@@ -54,18 +56,15 @@ def soft(df: DataFrame) -> DataFrame:
 
 
 def _attach(frame: pd.DataFrame) -> pd.DataFrame:
-    """Null-area rows of a block, richest first, each into what it matches among sized and kept ones."""
+    """Null-area rows of a component, richest first, each into what it matches among sized and kept ones."""
     fold, out = Fold(), []
     rows = [_plain(r) for r in frame.to_dict("records")]
     sized = sorted((r for r in rows if r["area"] is not None), key=lambda r: r["ord"])
     unsized = sorted((r for r in rows if r["area"] is None), key=lambda r: (-fold.full(r), r["ord"]))
-    if not sized:
-        return pd.DataFrame([(r["ord"], r["ord"], n) for n, r in enumerate(rows)], columns=["ord", "target", "seq"])
     for r in sized + unsized:
         i = fold.find(r) if r["area"] is None else None
         if i is None:
-            fold.rows.append(r)
-            i = len(fold.rows) - 1
+            i = fold.add(r)
         else:
             fold.absorb(i, r)
         out.append((r["ord"], fold.rows[i]["ord"], len(out)))
@@ -73,8 +72,12 @@ def _attach(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def attach_null_areas(df: DataFrame) -> DataFrame:
-    block = F.concat_ws("|", "city", "locality", F.coalesce(F.col("bhk").cast("string"), F.lit("None")))
-    plan = compact(df).withColumn("block", block).groupBy("block").applyInPandas(_attach, "ord long, target long, seq long")
+    """Rows without an area go into what they match, if any row has an area; rows meet in a block (city, locality, bhk) or by a legacy identity."""
+    if df.where(F.col(I.AREA).isNotNull()).limit(1).isEmpty():
+        return df
+    small = compact(df).withColumn("side", F.lit(0))
+    part = components(block_links(small)).select("ord", "component")
+    plan = small.drop("side").join(part, "ord").groupBy("component").applyInPandas(lambda f: _attach(f.drop(columns="component")), "ord long, target long, seq long")
     return _collapse(df, plan)
 
 

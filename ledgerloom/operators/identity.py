@@ -74,6 +74,13 @@ def infer_site(sites: dict[str, str], columns: list[str]) -> Column:
     return F.coalesce(own, listed, *[F.when(url.contains(host), F.lit(site)) for site, host in sites.items()])
 
 
+def guard_key(slug: Column) -> Column:
+    """First token, tokens with digits, marker tokens: equal for slugs that match softly."""
+    tokens = F.split(slug, "-")
+    kept = lambda keep: F.concat_ws(",", F.filter(tokens, keep))
+    return F.concat_ws("|", tokens[0], kept(lambda t: t.rlike("[0-9]")), kept(lambda t: t.isin(*L.PROJECT_MARKERS)))
+
+
 def soft_guard(a: Column, b: Column) -> Column:
     """What two different slugs must share before their letters are compared."""
     token = lambda s: F.split(s, "-")
@@ -91,6 +98,12 @@ def slug_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)])
 
 
+def guard_of(slug: str) -> tuple:
+    """As ``guard_key``, for folds."""
+    tokens = slug.split("-")
+    return tokens[0], tuple(w for w in tokens if any(c.isdigit() for c in w)), tuple(w for w in tokens if w in L.PROJECT_MARKERS)
+
+
 def soft_match(a: str, b: str) -> bool:
     """The same decision for two slugs in Python, for folds."""
     if not a or not b:
@@ -99,9 +112,7 @@ def soft_match(a: str, b: str) -> bool:
         return True
     if min(len(a), len(b)) < 8 or abs(len(a) - len(b)) > 3:
         return False
-    s, t = a.split("-"), b.split("-")
-    kept = lambda x: [w for w in x if any(c.isdigit() for c in w)], lambda x: [w for w in x if w in L.PROJECT_MARKERS]
-    return s[0] == t[0] and all(k(s) == k(t) for k in kept) and ratio(a, b) >= 0.92
+    return guard_of(a) == guard_of(b) and ratio(a, b) >= 0.92
 
 
 def soft_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import insort
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,29 +15,48 @@ from ledgerloom.operators import identity as I
 LAST = ("scrapedAt",)
 
 
-def _merged(name: str, kind: str, rank: Column) -> Column:
+def _legacy(name: str, columns: list[str]) -> Column | None:
+    """What a row has of an array column in an older form: one address and site instead of sources, bare addresses instead of images."""
+    if name == "sources" and "sourceUrl" in columns:
+        site = F.col("sourceSite") if "sourceSite" in columns else F.lit(None).cast("string")
+        return F.array(F.struct(site.alias("site"), F.col("sourceUrl").alias("url")))
+    if name == "images" and "imageUrls" in columns:
+        return F.transform("imageUrls", lambda u: F.struct(u.alias("url"), F.lit(None).cast("string").alias("type")))
+    return None
+
+
+def _merged(name: str, kind: str, rank: Column, columns: list[str]) -> Column:
     x = F.col(name)
     full = ~A.is_empty(x, kind)
     if name in LAST:
         return F.max_by(x, F.when(full, rank))
-    if name == "images":
-        return A.images(A.in_order(rank, x))
-    if name == "sources":
-        return A.merge_sources(A.in_order(rank, x))
+    if name == "imageUrls":
+        return F.lit(None).cast(kind)
+    if name in ("images", "sources"):
+        shape = "array<struct<url: string, type: string>>" if name == "images" else "array<struct<site: string, url: string>>"
+        nothing = F.array().cast(shape)
+        bare = F.transform(x, lambda v: F.struct(*[v[f].alias(f) for f in (("url", "type") if name == "images" else ("site", "url"))]))
+        old = _legacy(name, columns)
+        each = A.folded(rank, F.coalesce(bare, nothing), nothing if old is None else F.coalesce(old, nothing))
+        return A.images(each) if name == "images" else A.merge_sources(each)
     if kind.startswith("array"):
         return A.union_in_order(rank, x)
-    return F.min_by(x, F.when(full, rank))
+    return F.coalesce(F.min_by(x, F.when(full, rank)), F.min_by(x, rank))
 
 
 def null_fill(df: DataFrame, by: list[str], rank: str) -> DataFrame:
-    """One row for each group: of every column the first value that is not empty, in the order of ``rank`` (any type with an order).
+    """One row for each group: of every column the first value that is not empty, in the order of ``rank`` (any type with an order), else the first row's.
 
-    Arrays are united in that order; scrapedAt is the last value. The columns ``by`` and ``rank`` are not in
-    the result but for ``by``; ``ord`` is the first row's.
+    Arrays are united in that order; scrapedAt is the last value; older forms of sources and images are folded in. A group of one row stays as it
+    is. The columns ``by`` and ``rank`` are not in the result but for ``by``; ``ord`` is the first row's.
     """
-    r = F.col(rank)
+    r, alone = F.col(rank), F.count(F.lit(1)) == 1
     own = [(n, k) for n, k in df.dtypes if n not in (*by, rank, "ord")]
-    return df.groupBy(*by).agg(F.min_by("ord", r).alias("ord"), F.count(F.lit(1)).alias("_rows"), *[_merged(n, k, r).alias(n) for n, k in own])
+    # a merged array has the fields of the column, whatever their order
+    fields = {n: df.schema[n].dataType.elementType.fieldNames() for n in ("images", "sources") if n in df.columns}
+    shaped = lambda n, x: F.transform(x, lambda v: F.struct(*[v[f].alias(f) for f in fields[n]])) if n in fields else x
+    merged = [F.when(alone, F.any_value(n)).otherwise(shaped(n, _merged(n, k, r, df.columns))).alias(n) for n, k in own]
+    return df.groupBy(*by).agg(F.min_by("ord", r).alias("ord"), F.count(F.lit(1)).alias("_rows"), *merged)
 
 
 def changed(before: DataFrame, after: DataFrame, key: str = "ord") -> DataFrame:
@@ -53,8 +74,8 @@ def _keys(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def match_tiers(archive: DataFrame, incoming: DataFrame) -> DataFrame:
-    """For every incoming row: ord, tier (1 strict to 5 legacy) and target, or no row if nothing matches.
+def match_tiers(archive: DataFrame, incoming: DataFrame, tiers: tuple[int, ...] = (1, 2, 3, 4, 5)) -> DataFrame:
+    """For every incoming row: ord, tier (1 strict to 5 legacy) and target, or no row if nothing matches; only ``tiers`` are looked at.
 
     The first tier that decides wins; a loose tier decides only if it has exactly one candidate. Incoming rows
     do not see each other (``upsert`` folds those that must).
@@ -72,7 +93,9 @@ def match_tiers(archive: DataFrame, incoming: DataFrame) -> DataFrame:
     loose = b.join(by_loose, c("b_loose") == c("a_loose"))
     loose = loose.where(F.when(c("b_area").isNull(), c("all_n") == 1).otherwise(c("bare_n") == 1))
     local_a, local_b = a.where("a_local"), b.where("b_local")
-    pairs = lambda sig: local_a.select(c(f"a_{sig}").alias("k"), "a_slug").distinct().join(local_b.select(c(f"b_{sig}").alias("k"), "b_slug").distinct(), "k")
+    # what soft matches must have in common is part of the key of the join
+    slugs = lambda df, p, sig: df.select(c(f"{p}_{sig}").alias("k"), f"{p}_slug", I.guard_key(c(f"{p}_slug")).alias("g")).distinct()
+    pairs = lambda sig: slugs(local_a, "a", sig).join(slugs(local_b, "b", sig), ["k", "g"]).drop("g")
     near = I.soft_pairs(pairs("sig"), "b_slug", "a_slug")
     soft = local_a.groupBy(c("a_sig").alias("k"), "a_slug").agg(densest).join(near, ["k", "a_slug"]).groupBy("k", "b_slug").agg(F.max("m").alias("m"))
     soft = local_b.withColumn("k", c("b_sig")).join(soft, ["k", "b_slug"])
@@ -82,12 +105,15 @@ def match_tiers(archive: DataFrame, incoming: DataFrame) -> DataFrame:
     other = other.join(near, ["k", "a_slug"]).groupBy("k", "b_slug").agg(F.sum("sized_n").alias("sized_n"), F.min("sized_ord").alias("sized_ord"), F.sum("bare_n").alias("bare_n"), F.min("bare_ord").alias("bare_ord"))
     soft_loose = local_b.withColumn("k", c("b_loose_sig")).join(other, ["k", "b_slug"]).where(F.when(c("b_area").isNull(), c("sized_n") == 1).otherwise(c("bare_n") == 1))
     legacy = b.join(a.groupBy("a_legacy").agg(F.min("a_ord").alias("first")), c("b_legacy") == c("a_legacy"))
-    tiers = tier(strict, 1, F.coalesce("own", -c("m.o")))
-    tiers = tiers.unionByName(tier(loose, 2, F.when(c("b_area").isNull(), c("all_ord")).otherwise(c("bare_ord"))))
-    tiers = tiers.unionByName(tier(soft, 3, -c("m.o")))
-    tiers = tiers.unionByName(tier(soft_loose, 4, F.when(c("b_area").isNull(), c("sized_ord")).otherwise(c("bare_ord"))))
-    tiers = tiers.unionByName(tier(legacy, 5, c("first")))
-    return tiers.groupBy(F.col("b_ord").alias("ord")).agg(F.min(F.struct("tier", "a_ord")).alias("m")).select("ord", "m.tier", F.col("m.a_ord").alias("target"))
+    found = {
+        1: (strict, F.coalesce("own", -c("m.o"))), 2: (loose, F.when(c("b_area").isNull(), c("all_ord")).otherwise(c("bare_ord"))), 3: (soft, -c("m.o")),
+        4: (soft_loose, F.when(c("b_area").isNull(), c("sized_ord")).otherwise(c("bare_ord"))), 5: (legacy, c("first")),
+    }
+    hits = [tier(found[n][0], n, found[n][1]) for n in sorted(tiers)]
+    every = hits[0]
+    for more in hits[1:]:
+        every = every.unionByName(more)
+    return every.groupBy(F.col("b_ord").alias("ord")).agg(F.min(F.struct("tier", "a_ord")).alias("m")).select("ord", "m.tier", F.col("m.a_ord").alias("target"))
 
 
 class Fold:
@@ -97,6 +123,27 @@ class Fold:
 
     def __init__(self):
         self.rows: list[dict] = []
+        self.known: list[dict] = []
+        self.index: dict[tuple[str, str], list[int]] = {}
+
+    def add(self, r: dict) -> int:
+        self.rows.append(r)
+        self.known.append({})
+        self._note(len(self.rows) - 1)
+        return len(self.rows) - 1
+
+    def _note(self, i: int) -> None:
+        """Keep the places of row ``i``'s keys, each list in the order of the rows."""
+        old, new = self.known[i], self.keys(self.rows[i])
+        for kind, value in new.items():
+            if old.get(kind) != value:
+                if kind in old:
+                    self.index[kind, old[kind]].remove(i)
+                insort(self.index.setdefault((kind, value), []), i)
+        self.known[i] = new
+
+    def at(self, kind: str, value: str) -> list[int]:
+        return self.index.get((kind, value), [])
 
     @staticmethod
     def keys(r: dict) -> dict:
@@ -112,23 +159,22 @@ class Fold:
     def find(self, r: dict) -> int | None:
         k = self.keys(r)
         densest = lambda hits: max(hits, key=lambda i: self.full(self.rows[i]))
-        known = [self.keys(x) for x in self.rows]
         if k["strict"]:
-            hits = [i for i, x in enumerate(known) if x["strict"] == k["strict"]]
+            hits = self.at("strict", k["strict"])
             if hits:
-                return next((i for i in hits if len(hits) > 1 and known[i]["legacy"] == k["legacy"]), densest(hits))
-            loose = [i for i, x in enumerate(known) if x["loose"] == k["loose"] and (r["area"] is None or self.rows[i]["area"] is None)]
+                return next((i for i in hits if len(hits) > 1 and self.known[i]["legacy"] == k["legacy"]), densest(hits))
+            loose = [i for i in self.at("loose", k["loose"]) if r["area"] is None or self.rows[i]["area"] is None]
             if len(loose) == 1:
                 return loose[0]
         if r["slug"] and r["locality"]:
-            near = [i for i, x in enumerate(self.rows) if x["locality"] and known[i]["loose_sig"] == k["loose_sig"] and I.soft_match(r["slug"], x["slug"])]
-            soft = [i for i in near if known[i]["sig"] == k["sig"]]
+            near = [i for i in self.at("loose_sig", k["loose_sig"]) if self.rows[i]["locality"] and I.soft_match(r["slug"], self.rows[i]["slug"])]
+            soft = [i for i in near if self.known[i]["sig"] == k["sig"]]
             if soft:
                 return densest(soft)
             other = [i for i in near if (self.rows[i]["area"] is None) != (r["area"] is None)]
             if len(other) == 1:
                 return other[0]
-        return next((i for i, x in enumerate(known) if x["legacy"] == k["legacy"]), None)
+        return next(iter(self.at("legacy", k["legacy"])), None)
 
     def absorb(self, i: int, r: dict) -> None:
         x = self.rows[i]
@@ -138,6 +184,7 @@ class Fold:
         x["scalars"] = r["scalars"] | x["scalars"]
         for name, items in r["lists"].items():
             x["lists"][name] = x["lists"].get(name, set()) | items
+        self._note(i)
 
 
 def compact(df: DataFrame) -> DataFrame:
@@ -174,14 +221,21 @@ def assign(frame: pd.DataFrame) -> pd.DataFrame:
         r = _plain(record)
         i = fold.find(r) if r["side"] else None
         if i is None:
-            fold.rows.append(r)
-            i = len(fold.rows) - 1
+            i = fold.add(r)
         else:
             fold.absorb(i, r)
         out.append((r["ord"], r["side"], fold.rows[i]["ord"], fold.rows[i]["side"], len(out)))
     return pd.DataFrame(out, columns=["ord", "side", "target", "target_side", "seq"])
 
 
+def block_links(small: DataFrame) -> DataFrame:
+    """(side, ord, key) of compact rows: what rows have in common that a match could join."""
+    return small.select("side", "ord", F.explode(F.array_compact(F.array(
+        F.concat(F.lit("b:"), F.concat_ws("|", "city", "locality", F.coalesce(F.col("bhk").cast("string"), F.lit("None")))),
+        F.when(F.col("legacy_url") != "", F.concat(F.lit("u:"), "legacy_url")), F.when((F.col("legacy_url") == "") & (F.col("legacy_slug") != ""), F.concat(F.lit("s:"), "legacy_slug")),
+    ))).alias("key"))
+
+
 def upsert(archive: DataFrame, incoming: DataFrame) -> DataFrame:
     """Merge a batch into the archive: all rows, with ``_status`` kept, updated or added.
 
@@ -194,12 +248,12 @@ def upsert(archive: DataFrame, incoming: DataFrame) -> DataFrame:
     both = archive.withColumn("_side", F.lit(0)).unionByName(incoming.withColumn("_side", F.lit(1)), allowMissingColumns=True)
     both = both.withColumn("_id", F.struct("_side", "ord"))
     small = _sided(archive, incoming)
-    links = small.select("side", "ord", F.explode(F.array_compact(F.array(
-        F.concat(F.lit("b:"), F.concat_ws("|", "city", "locality", F.coalesce(F.col("bhk").cast("string"), F.lit("None")))),
-        F.when(F.col("legacy_url") != "", F.concat(F.lit("u:"), "legacy_url")), F.when((F.col("legacy_url") == "") & (F.col("legacy_slug") != ""), F.concat(F.lit("s:"), "legacy_slug")),
-    ))).alias("key"))
-    part = components(links)
-    plan = small.join(part, ["side", "ord"]).groupBy("component").applyInPandas(assign, "ord long, side int, target long, target_side int, seq long")
+    part = components(block_links(small))
+    # only components that the batch touches are folded; rows of others stay
+    touched = part.where("side = 1").select("component").distinct()
+    plan = small.join(part, ["side", "ord"]).join(touched, "component", "left_semi").groupBy("component").applyInPandas(assign, "ord long, side int, target long, target_side int, seq long")
+    rest = part.join(touched, "component", "left_anti")
+    plan = plan.unionByName(rest.select("ord", "side", F.col("ord").alias("target"), F.col("side").alias("target_side"), F.lit(0).cast("long").alias("seq")))
     ranked = both.join(plan.select(F.struct(F.col("side").alias("_side"), "ord").alias("_id"), "target", "target_side", "seq"), "_id").drop("_id")
     old = F.max(F.when(F.col("_side") == 0, F.struct(*[c for c in archive.columns if c not in LAST]))).alias("_before")
     states = ranked.groupBy("target", "target_side").agg(old)
