@@ -32,12 +32,25 @@ def in_order(rank: Column, array: Column) -> Column:
     return F.flatten(F.transform(F.array_sort(F.collect_list(full), lambda p, q: F.when(p["r"] < q["r"], -1).when(p["r"] > q["r"], 1).otherwise(0)), lambda x: x["a"]))
 
 
-def folded(rank: Column, array: Column, legacy: Column) -> Column:
-    """Aggregate: arrays in the order of ``rank``, with what each row has in an older form. A merge takes the arrays of two rows first, then their
-    older forms; so the first row's older form comes after the second row's array."""
-    rows = F.array_sort(F.collect_list(F.struct(rank.alias("r"), array.alias("a"), legacy.alias("l"))), lambda p, q: F.when(p["r"] < q["r"], -1).when(p["r"] > q["r"], 1).otherwise(0))
-    first = F.get(rows, F.lit(0))["l"]
-    return F.flatten(F.transform(rows, lambda x, i: F.when(i == 0, x["a"]).when(i == 1, F.concat(x["a"], first, x["l"])).otherwise(F.concat(x["a"], x["l"]))))
+def by_rank(rank: Column, **fields: Column) -> Column:
+    """Aggregate: structs of ``fields`` in the order of ``rank`` (r)."""
+    rows = F.collect_list(F.struct(rank.alias("r"), *[c.alias(n) for n, c in fields.items()]))
+    return F.array_sort(rows, lambda p, q: F.when(p["r"] < q["r"], -1).when(p["r"] > q["r"], 1).otherwise(0))
+
+
+def images_folded(rank: Column, array: Column, urls: Column) -> Column:
+    """Aggregate: images in the order of ``rank``, with the bare ones that older rows have: of the first two rows after the images of both."""
+    first = F.min_by(urls, rank)
+    return F.flatten(F.transform(by_rank(rank, a=array, u=urls), lambda x, i: F.when(i == 0, x["a"]).when(i == 1, F.concat(x["a"], first, x["u"])).otherwise(F.concat(x["a"], x["u"]))))
+
+
+def sources_folded(rank: Column, array: Column, url: Column, site: Column) -> Column:
+    """Aggregate: sources in the order of ``rank``. A merge adds the single address and site that the merged row has by then, and the next row's."""
+    known = lambda x: F.when(F.coalesce(F.trim(x), F.lit("")) != "", rank)
+    first = [(F.min_by(x, known(x)), F.min(known(x))) for x in (site, url)]
+    pair = lambda s, u: F.array(F.struct(s.alias("site"), u.alias("url")))
+    so_far = lambda x: pair(*[F.when(at < x["r"], value) for value, at in first])
+    return F.flatten(F.transform(by_rank(rank, a=array, s=site, u=url), lambda x, i: F.when(i == 0, x["a"]).otherwise(F.concat(x["a"], so_far(x), pair(x["s"], x["u"])))))
 
 
 def union_in_order(rank: Column, array: Column) -> Column:

@@ -15,16 +15,6 @@ from ledgerloom.operators import identity as I
 LAST = ("scrapedAt",)
 
 
-def _legacy(name: str, columns: list[str]) -> Column | None:
-    """What a row has of an array column in an older form: one address and site instead of sources, bare addresses instead of images."""
-    if name == "sources" and "sourceUrl" in columns:
-        site = F.col("sourceSite") if "sourceSite" in columns else F.lit(None).cast("string")
-        return F.array(F.struct(site.alias("site"), F.col("sourceUrl").alias("url")))
-    if name == "images" and "imageUrls" in columns:
-        return F.transform("imageUrls", lambda u: F.struct(u.alias("url"), F.lit(None).cast("string").alias("type")))
-    return None
-
-
 def _merged(name: str, kind: str, rank: Column, columns: list[str]) -> Column:
     x = F.col(name)
     full = ~A.is_empty(x, kind)
@@ -32,13 +22,15 @@ def _merged(name: str, kind: str, rank: Column, columns: list[str]) -> Column:
         return F.max_by(x, F.when(full, rank))
     if name == "imageUrls":
         return F.lit(None).cast(kind)
-    if name in ("images", "sources"):
-        shape = "array<struct<url: string, type: string>>" if name == "images" else "array<struct<site: string, url: string>>"
-        nothing = F.array().cast(shape)
-        bare = F.transform(x, lambda v: F.struct(*[v[f].alias(f) for f in (("url", "type") if name == "images" else ("site", "url"))]))
-        old = _legacy(name, columns)
-        each = A.folded(rank, F.coalesce(bare, nothing), nothing if old is None else F.coalesce(old, nothing))
-        return A.images(each) if name == "images" else A.merge_sources(each)
+    if name == "images":
+        pictures = lambda y: F.coalesce(y, F.array().cast("array<struct<url: string, type: string>>"))
+        own = pictures(F.transform(x, lambda v: F.struct(v["url"].alias("url"), v["type"].alias("type"))))
+        old = F.transform("imageUrls", lambda u: F.struct(u.alias("url"), F.lit(None).cast("string").alias("type"))) if "imageUrls" in columns else F.lit(None)
+        return A.images(A.images_folded(rank, own, pictures(old)))
+    if name == "sources":
+        own = F.coalesce(F.transform(x, lambda v: F.struct(v["site"].alias("site"), v["url"].alias("url"))), F.array().cast("array<struct<site: string, url: string>>"))
+        single = lambda c: F.col(c) if c in columns else F.lit(None).cast("string")
+        return A.merge_sources(A.sources_folded(rank, own, single("sourceUrl"), single("sourceSite")))
     if kind.startswith("array"):
         return A.union_in_order(rank, x)
     return F.coalesce(F.min_by(x, F.when(full, rank)), F.min_by(x, rank))
