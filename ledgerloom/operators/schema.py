@@ -22,8 +22,8 @@ PROVENANCE = {"sourceUrl": TEXT, "sourceSite": TEXT, "sources": "array<struct<si
 DEFAULTS = {"listingType": "BUY", "status": "ACTIVE"}
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Exactly the schema's columns in order, then provenance; a missing column gets its default, a present NULL stays."""
+def conform(df: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Exactly the schema's columns in order, then provenance, then ``more``; a missing column gets its default, a present NULL stays."""
     out = []
     for name, kind in (SCHEMA | PROVENANCE).items():
         if name not in df.columns:
@@ -38,7 +38,7 @@ def conform(df: DataFrame) -> DataFrame:
             value = F.col(name).cast(kind)
         out.append(value.alias(name))
     ord_ = [F.col("ord")] if "ord" in df.columns else []
-    return df.select(*ord_, *out)
+    return df.select(*ord_, *out, *more)
 
 
 def public(df: DataFrame) -> DataFrame:

@@ -23,12 +23,21 @@ from ledgerloom.sources import html as H
 
 UNKNOWN = "Unknown Project"
 UNIT_FIELDS = ("bhk", "carpet", "super", "bathrooms", "price", "price_unit")
-PROJECT_FIELDS = ("project", "slug", "developer", "city", "locality", "address", "kind", "possession", "possession_date", "rera", "latitude", "longitude")
+PROJECT_FIELDS = ("project", "slug", "developer", "city", "locality", "address", "kind", "possession", "possession_date", "rera", "latitude", "longitude", "least_price")
 LIST_FIELDS = ("amenities", "highlights", "images", "blurbs")
 PAYLOAD = ", ".join([*(f"{f} string" for f in PROJECT_FIELDS), *(f"{f} array<string>" for f in LIST_FIELDS), f"units array<struct<{', '.join(f'{f}: string' for f in UNIT_FIELDS)}>>"])
 BATHS = ("bathroom", "bathrooms", "number_of_bathrooms", "bath", "Bath", "washroom", "washrooms")
 BLURBS = ("connectivity", "business", "education", "entertainment", "hospital", "shopping", "nearbyPlaces")
 
+#: Tokens of addresses and headings and the city each names, the first that occurs counts; months; registrations as pages write them.
+CITY_TOKENS = {"gurgaon": "Gurgaon", "gurugram": "Gurgaon", "noida": "Noida", "greater-noida": "Greater Noida", "new-delhi": "New Delhi", "delhi": "Delhi"}
+MORE_CITY_TOKENS = {"gurgaon": "Gurgaon", "noida": "Noida", "greater-noida": "Greater Noida", "new-delhi": "New Delhi", "delhi": "Delhi", "mumbai": "Mumbai", "bangalore": "Bangalore", "bengaluru": "Bangalore"}
+MONTH = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
+WRITTEN_RERA = r"(?i)\b((?:GGM|UPRERAPRJ|HRERA)[A-Z0-9/.\-]{6,})\b"
+WRITTEN_PRICE = r"(?i)(?:Prices?\s+begin\s+at|Starting\s+(?:price|from)|Entry\s+price)\s*(?:is\s*)?(?:₹|Rs\.?)\s*([\d.,]+\s*(?:Crore|Cr|Lakh|Lac)?)"
+#: Pictures and amenities that are taken from the page's elements at most, as the portals' rules have it.
+MOST_PICTURES, MOST_AMENITIES = 12, 40
+
 _decoder = json.JSONDecoder()
 
 
@@ -131,6 +140,21 @@ class Portal:
     blocked: str | None = None
     least_length: int = 0
     patterns: dict[str, str] = field(default_factory=dict)
+    #: City by the first token in the address (and heading, if ``headed``); locality and slug from the address too.
+    cities: dict[str, str] = field(default_factory=dict)
+    headed: bool = False
+    #: Whether pictures of the host are taken from the page, and where amenities stand there.
+    pictures: bool = False
+    amenity: Callable[[str], list[str]] | None = None
+    #: Type of a project by a word in its address.
+    kinds: dict[str, str] = field(default_factory=dict)
+    #: Addresses of projects on listing pages; {host} is the portal's.
+    listing: str | None = None
+
+    def pictured(self, page: str) -> list[str]:
+        """Addresses of the page's own pictures at this portal's host."""
+        found = ("https:" + u if u.startswith("//") else u for x in H.Tree(page).root.every("img") if (u := x.attrs.get("src") or ""))
+        return list(dict.fromkeys(u for u in found if u.startswith("http") and self.host.removeprefix("www.") in u))
 
     def payload(self, page: str | None) -> str | None:
         """The page's fields as JSON; None for a page that is blocked or none of this portal's projects."""
@@ -143,10 +167,12 @@ class Portal:
             if not out.get(f) and (m := re.search(p, page)):
                 out[f] = m[1]
         highlight = data.get("highlight") if isinstance(data.get("highlight"), dict) else {}
-        out["amenities"] = words_of(pick(data, self.names.get("amenities", ())), "name", "title", "label")
+        out["amenities"] = words_of(pick(data, self.names.get("amenities", ())), "name", "title", "label") or (self.amenity(page) if self.amenity else [])
         out["highlights"] = words_of(highlight.get("highlights"), "highlight_Point", "highlight_point") + words_of(data.get("highlights"), "highlight_Point")
         out["blurbs"] = list(dict.fromkeys(b for k in BLURBS for b in words_of(highlight.get(k), "name", "title")))
         out["images"] = image_urls(*(data.get(n) for n in self.names.get("images", ())))
+        if self.pictures and len(out["images"]) < MOST_PICTURES:
+            out["images"] = list(dict.fromkeys(out["images"] + self.pictured(page)))[:MOST_PICTURES]
         out["units"] = self.units(page, data)
         clean = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
         out = {k: v if k in LIST_FIELDS else [{f: clean(u.get(f)) for f in UNIT_FIELDS} for u in v] if k == "units" else clean(v) for k, v in out.items()}
@@ -202,8 +228,37 @@ def _inline(page: str) -> dict:
     return richest(objects_before(page, '"projectName"'), len)
 
 
-def _nothing(page: str) -> dict:
-    return {}
+def _headed(page: str) -> dict:
+    """A page that is written text: the project is its heading, cut before the sector."""
+    heading = next((H.squeeze(x.text()) for x in H.Tree(page).root.every("h1")), "")
+    cut = re.match(r"(?i)(.+?)\s+Sector\s+\d+[A-Za-z]?\s*,", heading)
+    return {"heading": cut[1] if cut else heading, "about": _about(page)}
+
+
+def _about(page: str) -> str | None:
+    """The name in the first text that begins with "About", from the element that holds it."""
+    for x in H.Tree(page).root.every(*"h1 h2 h3 h4 h5 h6 p div span strong b a li".split()):
+        if any(isinstance(k, str) and re.match(r"(?i)\s*About\s+", k) for k in x.kids):
+            m = re.match(r"About\s+([A-Za-z0-9 &.]{2,60})", H.squeeze(x.text()))
+            return m[1].strip() if m else None
+    return None
+
+
+def _named_amenities(page: str) -> list[str]:
+    found = (H.squeeze(x) for x in re.findall(r'(?i)"amenit(?:y|ies)Name"\s*:\s*"([^"]+)"', page))
+    return list(dict.fromkeys(x for x in found if x))[:MOST_AMENITIES]
+
+
+def _listed_amenities(page: str) -> list[str]:
+    """Items of lists within an element whose class tells of amenities."""
+    out: dict[str, None] = {}
+    for item in H.Tree(page).root.every("li"):
+        x = item.parent
+        while x is not None and "amenit" not in x.attrs.get("class", "").lower():
+            x = x.parent
+        if x is not None and (name := H.squeeze(item.text())):
+            out[name] = None
+    return list(out)[:MOST_AMENITIES]
 
 
 #: The five kinds of portals; hosts and site names are the caller's.
@@ -214,14 +269,20 @@ def registry(hosts: dict[str, str]) -> dict[str, Portal]:
             "project": ("projectName",), "slug": ("projectUrl",), "developer": ("builderName", "builder.name"), "city": ("city",), "address": ("projectAddress",), "kind": ("propertyTypeName", "projectType", "type", "propertyType.typeName"),
             "possession": ("project_Status",), "possession_date": ("possessionDate",), "rera": ("projectReraNo",), "amenities": ("Amenities", "amenities"), "images": ("frontImage", "projectGallery")},
             _listed("BhK_Details", bhk=("bhk_type",), carpet=("carpet_Area", "carpet_area", "carpetArea", "Carpet_Area"), super_=("bhk_Area", "bhk_area", "area"))),
-        "plans": lambda h: Portal("plans", h, _product, {"project": ("name",), "developer": ("brand.name",), "images": ("image",)}, _floor_plans, blocked="Access Denied", least_length=5000),
+        "plans": lambda h: Portal("plans", h, _product, {"project": ("name",), "developer": ("brand.name",), "images": ("image",), "least_price": ("offers.lowPrice",)}, _floor_plans, blocked="Access Denied", least_length=5000,
+            patterns={"project": r'"projectName"\s*:\s*"([^"]+)"', "developer": r'"builderName"\s*:\s*"([^"]+)"', "rera": WRITTEN_RERA, "possession_date": rf"(?i)Possession[^A-Za-z0-9]{{0,20}}({MONTH}\s+\d{{4}}|\d{{4}})"},
+            cities=CITY_TOKENS, pictures=True, amenity=_named_amenities, listing=r"(?i)(?:https?://(?:www\.)?{host})?/[a-z0-9\-]+-npxid-[a-z0-9]+"),
         "state": lambda h: Portal("state", h, _next_data, {
             "project": ("name", "projectName"), "developer": ("developer_name", "builderName"), "city": ("city", "city_name"), "locality": ("locality", "locality_name"), "rera": ("rera_id", "rera"), "possession_date": ("possession_date",)},
-            _listed("inventory_configs", "configs", bhk=("apartment_type", "bhk", "title"), carpet=("carpet_area",), super_=("built_up_area", "super_built_up_area")), blocked="Security Alert", patterns={"rera": r"(?i)RERA[^\n<:]{0,10}[:\s]+([A-Z0-9/.\-]+)"}),
+            _listed("inventory_configs", "configs", bhk=("apartment_type", "bhk", "title"), carpet=("carpet_area",), super_=("built_up_area", "super_built_up_area")), blocked="Security Alert", patterns={"rera": r"(?i)RERA[^\n<:]{0,10}[:\s]+([A-Z0-9/.\-]+)"},
+            listing=r"(?i)(?:https?://(?:www\.)?{host})?/in/buy/projects/page/[^\"'\s<>]+"),
         "inline": lambda h: Portal("inline", h, _inline, {
-            "project": ("projectName",), "developer": ("devName",), "city": ("cityName",), "locality": ("localityName",), "latitude": ("psmLatitude",), "longitude": ("psmLongitude",), "images": ("image",)},
-            _written(r"(?i)(\d+)\s*BHK\s*(?:Flat|Apartment|Villa)?\s*([\d,]+)\s*sq\.?\s*ft"), patterns={"rera": r"(?i)RERA\s*ID\s*:\s*([A-Z0-9/.\-]+(?:\s+DATED\s+[0-9.]+)?)"}),
-        "text": lambda h: Portal("text", h, _nothing, {}, _written(r"(?is)(\d+)\s*BHK.{0,80}?([\d,.]{3,6})\s*(?:Sq\.?\s*Ft|sqft)"), least_length=5000, patterns={"rera": r"(?i)\b((?:GGM|UPRERAPRJ|HRERA)[A-Z0-9/.\-]{6,})\b"}),
+            "project": ("projectName",), "developer": ("devName",), "city": ("cityName",), "locality": ("localityName", "lmtDName"), "latitude": ("psmLatitude",), "longitude": ("psmLongitude",), "images": ("image",), "least_price": ("minPrice", "schemaPriceMin")},
+            _written(r"(?i)(\d+)\s*BHK\s*(?:Flat|Apartment|Villa)?\s*([\d,]+)\s*sq\.?\s*ft"), patterns={"rera": r"(?i)RERA\s*ID\s*:\s*([A-Z0-9/.\-]+(?:\s+DATED\s+[0-9.]+)?)", "possession_date": r"(?i)Possession\s+([A-Za-z]{3}'?\d{2})"},
+            listing=r"(?i)(?:https?://(?:www\.)?{host})?/[a-z0-9\-]+-pdpid-[a-z0-9]+"),
+        "text": lambda h: Portal("text", h, _headed, {"project": ("heading",), "developer": ("about",)}, _written(r"(?is)(\d+)\s*BHK.{0,80}?([\d,.]{3,6})\s*(?:Sq\.?\s*Ft|sqft)"), least_length=5000,
+            patterns={"rera": WRITTEN_RERA, "possession_date": rf"(?i)Possession[^A-Za-z0-9]{{0,40}}({MONTH}\s+\d{{4}})", "least_price": WRITTEN_PRICE},
+            cities=MORE_CITY_TOKENS, headed=True, pictures=True, amenity=_listed_amenities, kinds={"commercial-property": "Commercial"}, listing=r"(?i)(?:https?://(?:www\.)?{host})?/[a-z\-]+-(?:residential|commercial)-property/[a-z0-9\-]+/\d+/project"),
     }
     unknown = set(hosts) - set(kinds)
     if unknown:
@@ -237,8 +298,35 @@ def parse_sites(raw: str | None, known: dict) -> list[str]:
     return names
 
 
-def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html") -> DataFrame:
-    """Unit rows of a portal's pages, in the schema; a project without units is one row without unit fields."""
+def listed(pages: DataFrame, portal: Portal, page: str = "page_id", html: str = "html") -> DataFrame:
+    """(page, pos, url): the projects that a portal's listing pages name, in order, once each; blocked and short pages name none."""
+    if portal.listing is None:
+        raise ValueError(f"{portal.site} names its projects in its data: see project_links")
+    x = F.col(html)
+    sound = pages.where((F.length(x) >= portal.least_length) & (~F.contains(x, F.lit(portal.blocked)) if portal.blocked else F.lit(True)))
+    found = H.links(sound, portal.listing.replace("{host}", re.escape(portal.host.removeprefix("www."))), 1 << 30, page, html)
+    absolute = F.when(F.startswith("url", F.lit("/")), F.concat(F.lit(f"https://www.{portal.host.removeprefix('www.')}"), "url")).otherwise(F.col("url"))
+    return found.withColumn("url", absolute).groupBy(page, "url").agg(F.min("pos").alias("pos")).select(page, "pos", "url")
+
+
+def _place(portal: Portal, url: str) -> tuple[Column, Column]:
+    """City and locality that a project's address, or its heading, names."""
+    none, path = F.lit(None).cast("string"), F.lower(F.regexp_replace(F.col(url), "^[a-zA-Z]+://[^/]*", ""))
+    if not portal.cities:
+        return none, none
+    heading = F.lower(F.coalesce("h1", F.lit("")))
+    spots = F.concat_ws("\n", path, heading, F.regexp_replace(heading, " ", "-")) if portal.headed else path
+    sector = r"(?i)sector[-\s]?(\d+[a-z]?)"
+    number = F.coalesce(F.nullif(F.regexp_extract("h1", r"(?i)Sector\s+(\d+[A-Za-z]?)", 1), F.lit("")) if portal.headed else none, F.nullif(F.regexp_extract(path, sector, 1), F.lit("")))
+    return T.normalize_city(T.first_token(spots, portal.cities)), F.concat(F.lit("Sector "), F.upper(number))
+
+
+def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html", project_price: bool = False) -> DataFrame:
+    """Unit rows of a portal's pages, in the schema; a project without units is one row without unit fields.
+
+    A project's least price is no unit's price: only with ``project_price`` does it stand in for a missing one, and then the column
+    price_is_project_level is true.
+    """
 
     @F.pandas_udf(S.StringType())
     def payload(p: pd.Series) -> pd.Series:
@@ -248,12 +336,20 @@ def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html"
     project = F.coalesce(T.clean_text("p.project"), T.strip_decorative("h1"), F.lit(UNKNOWN))
     x = x.withColumns({"_project": project, "_overview": H.overview(F.col("paragraphs"), project)})
     u = x.select("*", F.posexplode_outer("p.units").alias("_pos", "_u"))
-    city = F.coalesce(T.normalize_city("p.city"), T.extract_city("title", "p.address", "meta_description", "_overview", url))
-    locality = F.coalesce(T.clean_text("p.locality"), T.extract_locality("p.address", "title"), T.extract_locality("_overview"))
+    told_city, told_locality = _place(portal, url)
+    path = F.regexp_replace(F.col(url), "^[a-zA-Z]+://[^/]*|[?#].*$", "")
+    kind = F.coalesce(*[F.when(F.lower(path).contains(word), F.lit(k)) for word, k in portal.kinds.items()], F.lit(portal.default_kind))
+    # a month and a year of two digits, as in Dec'27
+    ready = T.parse_date(F.regexp_replace("p.possession_date", r"^([A-Za-z]{3})'?(\d{2})$", "$1 20$2"))
+    least = T.price_to_inr("p.least_price")
+    own_price = T.price_to_inr("_u.price", "_u.price_unit")
+    city = F.coalesce(T.normalize_city("p.city"), told_city, T.extract_city("title", "p.address", "meta_description", "_overview", url))
+    locality = F.coalesce(T.clean_text("p.locality"), told_locality, T.extract_locality("p.address", "title"), T.extract_locality("_overview"))
     u = u.withColumns({
         "projectName": F.col("_project"), "developer": T.clean_text("p.developer"), "city": city, "locality": locality, "bhk": T.parse_bhk("_u.bhk"), "bathrooms": T.parse_bathrooms("_u.bathrooms"),
-        "carpetArea": T.parse_area("_u.carpet"), "superBuiltUpArea": T.parse_area("_u.super"), "price": T.price_to_inr("_u.price", "_u.price_unit"),
-        "propertyType": F.coalesce(T.map_property_type("p.kind"), F.lit(portal.default_kind)), "possessionStatus": T.map_possession("p.possession"), "possessionDate": T.parse_date("p.possession_date"),
+        "carpetArea": T.parse_area("_u.carpet"), "superBuiltUpArea": T.parse_area("_u.super"), "price": F.coalesce(own_price, least) if project_price else own_price,
+        "price_is_project_level": own_price.isNull() & least.isNotNull() if project_price else F.lit(False),
+        "propertyType": F.coalesce(T.map_property_type("p.kind"), kind), "possessionStatus": F.coalesce(T.map_possession("p.possession"), F.when(ready.isNotNull(), T.map_possession(F.lit("under construction")))) if portal.patterns.get("possession_date") else T.map_possession("p.possession"), "possessionDate": ready,
         "pincode": F.coalesce(T.extract_pincode("p.address"), T.extract_pincode("_overview")), "reraNumber": T.clean_rera_number("p.rera"), "reraState": T.derive_rera_state("p.rera"), "reraRegistered": T.is_registered_rera("p.rera"),
         "reraVerified": T.is_registered_rera("p.rera"), "amenities": F.col("p.amenities"), "highlights": F.array_distinct("p.highlights"), "description": T.clean_text("_overview"), "aboutSection": T.about_section("_overview"),
         "images": A.images_of_urls(F.col("p.images")), "seoDescription": F.col("meta_description"), "sourceUrl": F.col(url), "sourceSite": F.lit(portal.site),
@@ -266,12 +362,12 @@ def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html"
         "title": T.page_title("title", portal.host, "projectName", "locality", "city", "propertyType"), "seoTitle": F.col("title"),
         "h1": T.page_heading("h1", "projectName", "locality", "city", "bhk", F.transform("p.units", lambda u: T.parse_bhk(u["bhk"]))),
         "locationAdvantages": T.location_advantages("p.blurbs", "_overview"), "addressSection": T.address_section("projectName", "p.address", "p.blurbs"),
-    }).withColumn("slug", _slug())
-    return conform(_distinct_slugs(u, url))
+    }).withColumn("slug", _slug(F.regexp_replace(path, "^/+|/+$", "") if portal.cities else F.lit("")))
+    return conform(_distinct_slugs(u, url), ("price_is_project_level",))
 
 
-def _slug() -> Column:
-    base = T.slugify(F.coalesce(F.nullif(F.col("p.slug"), F.lit("")), F.col("projectName")))
+def _slug(path: Column) -> Column:
+    base = T.slugify(F.coalesce(F.nullif(F.col("p.slug"), F.lit("")), F.nullif(path, F.lit("")), F.col("projectName")))
     return F.concat_ws("-", base, F.concat(F.col("bhk").cast("string"), F.lit("bhk")), F.concat(F.coalesce("superBuiltUpArea", "carpetArea").cast("string"), F.lit("sqft")))
 
 

@@ -54,6 +54,38 @@ def test_state_inline_and_text_portals(spark):
     assert r["bhk"] is None and r["projectName"] == "Sky Park"
 
 
+def one(spark, kind, url, text, **more):
+    return portals.units(spark.createDataFrame([(url, text)], "url string, html string"), portals.registry({kind: "p.example"})[kind], **more).collect()
+
+
+def test_plans_portal_in_full(spark):
+    plans = {"data": {"configurations": [{"bedroom": "2", "tuples": [{"areaType": [{"id": "CARPET", "area": {"min": 800}}]}, {"areaType": [{"id": "SBA", "area": {"min": 1500}}], "price": {"value": 9_000_000}}]}]}}
+    head = '<script type="application/ld+json">{"@type": "Product", "name": "Sky Park", "offers": {"lowPrice": "7500000"}, "image": "http://i/0.jpg"}</script>'
+    body = f"<script>var a={{\"floorPlans\":{json.dumps(plans)}, \"builderName\": \"Acme\"}}; [{{\"amenityName\": \"Gym\"}}, {{\"amenityName\": \"Pool\"}}]</script><p>HRERA/12/2024 Possession : Dec 2027</p><img src='//img.p.example/1.jpg'><img src='http://other/2.jpg'>" + "x" * 5000
+    url = "https://www.p.example/sky-park-sector-16b-gurgaon-npxid-r1"
+    rows = sorted(one(spark, "plans", url, page(body, head)), key=lambda r: r["carpetArea"] or 0)
+    r = rows[1]
+    assert (r["projectName"], r["developer"], r["city"], r["locality"], r["bhk"], r["carpetArea"], r["superBuiltUpArea"], r["price"], r["price_is_project_level"]) == ("Sky Park", "Acme", "Gurgaon", "Sector 16B", 2, 800, None, None, False)
+    assert (str(r["possessionDate"]), r["possessionStatus"], r["amenities"], [x["url"] for x in r["images"]], r["reraNumber"]) == ("2027-12-01", "UNDER_CONSTRUCTION", ["Gym", "Pool"], ["http://i/0.jpg", "https://img.p.example/1.jpg"], "HRERA/12/2024")
+    assert r["slug"] == "sky-park-sector-16b-gurgaon-npxid-r1-2bhk-800sqft" and rows[0]["price"] == 9_000_000
+    assert sorted((x["price"], x["price_is_project_level"]) for x in one(spark, "plans", url, page(body, head), project_price=True)) == [(7_500_000, True), (9_000_000, False)]
+    listing = f"<a href='/a-b-npxid-r2?x=1'>a</a> {url}?y <a href='{url}'>b</a>" + "z" * 5000
+    found = portals.listed(spark.createDataFrame([(1, listing), (2, "Access Denied" + listing), (3, "/a-b-npxid-r9")], "page_id long, html string"), portals.registry({"plans": "p.example"})["plans"])
+    assert sorted((r["page_id"], r["url"]) for r in found.collect()) == [(1, "https://www.p.example/a-b-npxid-r2"), (1, url)]
+
+
+def test_text_portal_in_full(spark):
+    body = "<h1>Sky Park Sector 86, Noida</h1><h2>About Acme Homes</h2><p>2 BHK homes from 1,150 Sq. Ft, Starting from ₹ 1.25 Cr, Possession - Mar 2026, UPRERAPRJ123456</p><div class='x-amenities'><ul><li>Gym</li><li>Pool</li></ul></div><img src='https://static.p.example/a.png'>" + "y" * 5000
+    [r] = one(spark, "text", "https://www.p.example/noida-commercial-property/sky-park/12/project", f"<html><body>{body}</body></html>", project_price=True)
+    assert (r["projectName"], r["developer"], r["city"], r["locality"], r["bhk"], r["superBuiltUpArea"], r["propertyType"], r["price"], r["price_is_project_level"]) == ("Sky Park", "Acme Homes", "Noida", "Sector 86", 2, 1150, "Commercial", 12_500_000, True)
+    assert (str(r["possessionDate"]), r["possessionStatus"], r["amenities"], r["images"][0]["url"], r["reraNumber"]) == ("2026-03-01", "UNDER_CONSTRUCTION", ["Gym", "Pool"], "https://static.p.example/a.png", "UPRERAPRJ123456")
+
+
+def test_inline_portal_possession(spark):
+    [r] = one(spark, "inline", "https://p.example/x-pdpid-1", page('<script>x={"projectName":"Sky Park","lmtDName":"Sector 4","minPrice":"5000000"}</script><p>Possession Dec\'27</p>'), project_price=True)
+    assert (r["locality"], str(r["possessionDate"]), r["possessionStatus"], r["price"], r["price_is_project_level"]) == ("Sector 4", "2027-12-01", "UNDER_CONSTRUCTION", 5_000_000, True)
+
+
 def test_questions_and_points():
     text = page('<details><summary>What is it?</summary>A very tall tower.</details><h3>When is it ready?</h3><p>In the year after next.</p><script type="application/ld+json">{"mainEntity": [{"name": "what is it?", "acceptedAnswer": {"text": "another answer"}}]}</script>')
     assert [f["question"] for f in html.page_extras(text)["faqs"]] == ["What is it?", "When is it ready?"]
