@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer and reader.
 
-Pages are ordered by (page_id, row). Exact running sums of the payload bytes over that order cut the
-ids into shards, whatever partitions Spark sampled on the way. A task writes the records of a
-shard as gzip members into files under temporary names and starts a new file when the compressed
+Pages are ordered by (page_id, digest, url, row). Exact running sums of the payload bytes over that order cut the
+rows into shards, whatever partitions Spark sampled on the way; rows of one id, or without one, may fill many. Each task
+writes the records of one shard as gzip members into files under temporary names and starts a new file when the compressed
 size reaches ``roll_bytes``; it returns a manifest row for each file. Only files in the manifest of
 the attempt that succeeded are renamed to their final names, and the manifest itself appears last, by
 a rename too, so readers see all of a run or nothing. Equal pages give equal bytes.
@@ -14,7 +14,7 @@ that a third of all pages share is no hot key.
 Defined cases: a null html is an empty payload; a null page_id sorts first, has no id in its headers
 and comes back null, but never stands for others if a page with an id can; a null url leaves the
 target out; control characters and blanks in a url are percent-encoded; repeated rows are records of
-their own; no pages make an empty manifest; other columns are ignored.
+their own; no pages make an empty manifest; other columns are ignored. A very long page is one record, held whole by one task.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import hashlib
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
@@ -56,7 +57,7 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def record_id(page_id: int | None, digest: str, nth: int) -> str:
+def record_id(page_id: int | None, digest: str, nth: int | str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{page_id}/{digest}/{nth}'.encode()).digest()[:16], version=5)}>"
 
 
@@ -64,7 +65,7 @@ def _target(url: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)
 
 
-def record(page_id, url, payload: bytes, nth: int, refers_to=None, refers_nth: int = 0, date: str = DATE) -> bytes:
+def record(page_id, url, payload: bytes, nth: int | str, refers_to=None, refers_nth: int = 0, date: str = DATE) -> bytes:
     """One WARC record; a revisit if ``refers_to`` names a page."""
     digest = hashlib.sha256(payload).hexdigest()
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -105,11 +106,13 @@ class _Roller:
             self.file, self.seq = None, self.seq + 1
 
 
-def _bounds(slim: DataFrame, shard_bytes: int) -> list[int]:
-    """The first page_id of each shard but the first; ids are never split."""
-    ids = slim.where("page_id is not null").groupBy("page_id").agg(F.sum("n").alias("n"))
+ORDER = ("page_id", "digest", "lot", "rid")
+
+
+def _bounds(slim: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The ORDER of the first row of each shard but the first."""
     parts = int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = C.stage(ids.repartitionByRange(parts, "page_id").withColumn("part", F.spark_partition_id()), "warc-ids")
+    ordered = C.stage(slim.repartitionByRange(parts, *ORDER).withColumn("part", F.spark_partition_id()), "warc-order", "zstd")
     sums = sorted((r["part"], r["n"]) for r in ordered.groupBy("part").agg(F.sum("n").alias("n")).collect())  # a row for each partition
     before, total = [], 0
     for part, n in sums:
@@ -118,32 +121,53 @@ def _bounds(slim: DataFrame, shard_bytes: int) -> list[int]:
     if not before:
         return []
     start = slim.sparkSession.createDataFrame(before, "part int, before long")
-    run = F.sum("n").over(W.partitionBy("part").orderBy("page_id").rowsBetween(W.unboundedPreceding, -1))
+    run = F.sum("n").over(W.partitionBy("part").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, -1))
     shards = ordered.withColumn("run", F.coalesce(run, F.lit(0))).join(F.broadcast(start), "part").withColumn("shard", F.floor((F.col("before") + F.col("run")) / shard_bytes))
-    firsts = sorted(r["first"] for r in shards.groupBy("shard").agg(F.min("page_id").alias("first")).collect())  # a row for each shard
+    firsts = shards.groupBy("shard").agg(F.min(F.struct(*ORDER)).alias("first")).orderBy("shard").select("first.*").collect()  # a row for each shard
     C.unstage(ordered)
-    return firsts[1:]
+    return [tuple(r) for r in firsts[1:]]
+
+
+def _placed(page_id, *rest) -> tuple:
+    """A row's place in ORDER; rows without an id come first."""
+    return (page_id is not None, page_id or 0, *rest)
+
+
+class Shards:
+    """The shard of each row, by the first rows of the shards."""
+
+    def __init__(self, bounds: list[tuple]):
+        self.firsts = [_placed(*b) for b in bounds]
+        self.ids = np.array([-(1 << 63) if b[0] is None else b[0] for b in bounds], np.int64)
+
+    def __call__(self, ids: pd.Series, digests: pd.Series, lots: pd.Series, rids: pd.Series) -> np.ndarray:
+        known = ids.notna().to_numpy()
+        number = np.where(known, ids.fillna(0).to_numpy(np.int64), -(1 << 63))
+        low, high = np.searchsorted(self.ids, number, side="left"), np.searchsorted(self.ids, number, side="right")
+        for i in np.flatnonzero(low < high):  # a shard begins among the rows of this id
+            high[i] = bisect_right(self.firsts, _placed(int(number[i]) if known[i] else None, digests[i], int(lots[i]), int(rids[i])))
+        return high
 
 
 def write_warc(pages: DataFrame, out: str, page_id: str = "page_id", url: str = "url", html: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> None:
     """Write ``pages`` to the folder ``out``, which all executors share."""
     spark = pages.sparkSession
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = C.stage(rows.withColumns({"rid": F.monotonically_increasing_id(), "digest": F.sha2("payload", 256), "n": F.octet_length("payload").cast("long")}), "warc-rows", "zstd")
-    slim = rows.select("page_id", "rid", "digest", "n")
-    bounds = np.array(_bounds(slim, shard_bytes), np.int64)
+    rows = C.stage(rows.withColumns({"rid": F.monotonically_increasing_id(), "digest": F.sha2("payload", 256), "n": F.octet_length("payload").cast("long"), "lot": F.xxhash64("url")}), "warc-rows", "zstd")
+    slim = rows.select(*ORDER, "n")
+    bounds = _bounds(slim, shard_bytes)
 
     @F.pandas_udf("long")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        return pd.Series(np.where(known, np.searchsorted(bounds, ids.fillna(0).to_numpy(np.int64), side="right"), 0))
+    def shard_of(ids: pd.Series, digests: pd.Series, lots: pd.Series, rids: pd.Series) -> pd.Series:
+        return pd.Series(Shards(bounds)(ids, digests, lots, rids))
 
-    order = F.struct(F.col("page_id").isNull().alias("x"), F.col("page_id"), F.col("rid"))
-    heads = slim.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    refs = slim.where(F.col("n") >= MIN_REVISIT).join(heads, "digest").where("rid != head.rid and head.page_id is not null").select("page_id", "rid", F.col("head.page_id").alias("refers_to"))
+    order = F.struct(F.col("page_id").isNull().alias("x"), F.col("page_id"), F.col("lot"), F.col("rid"))
+    heads = slim.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1 and head.page_id is not null")
+    heads = C.stage(heads.select("digest", F.col("head.page_id").alias("refers_to"), F.col("head.rid").alias("head")), "warc-heads")
+    refs = slim.where(F.col("n") >= MIN_REVISIT).join(heads, "digest").where("rid != head").select(*ORDER, "refers_to")
     nothing = lambda t: F.lit(None).cast(t)
-    both = rows.select("page_id", "rid", F.lit(1).alias("kind"), "url", "payload", nothing("long").alias("refers_to")).unionAll(refs.select("page_id", "rid", F.lit(0).alias("kind"), nothing("string"), nothing("binary"), "refers_to"))
-    dealt = both.withColumn("shard", shard_of("page_id")).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "rid", "kind")
+    both = rows.select(*ORDER, F.lit(1).alias("kind"), "url", "payload", nothing("long").alias("refers_to")).unionAll(refs.select(*ORDER, F.lit(0).alias("kind"), nothing("string"), nothing("binary"), "refers_to"))
+    dealt = both.withColumn("shard", shard_of(*ORDER)).repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", *ORDER, "kind")
 
     def run(batches):
         roller, refers, last, nth = None, None, object(), 0
@@ -159,7 +183,8 @@ def write_warc(pages: DataFrame, out: str, page_id: str = "page_id", url: str =
                     refers = ref
                     continue
                 nth, last = (nth + 1 if page == last else 0), page
-                roller.add(record(page, target, payload or b"", nth, refers))
+                first = page is not None and refers is None and len(payload or b"") >= MIN_REVISIT  # the only one of its digest
+                roller.add(record(page, target, payload or b"", 0 if first else f"{shard}-{nth}", refers))
                 refers = None
         if roller:
             roller.close()
@@ -168,7 +193,7 @@ def write_warc(pages: DataFrame, out: str, page_id: str = "page_id", url: str =
 
     files = C.stage(dealt.mapInArrow(run, _ddl(MANIFEST)), "warc-files")
     _commit(spark, files, out)
-    C.unstage(files, rows)
+    C.unstage(files, rows, heads)
 
 
 def _commit(spark: SparkSession, files: DataFrame, out: str) -> None:
