@@ -12,7 +12,8 @@ all training documents; only the profiles, ``TOP`` rows a language, come to the
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is every text if no
 language could be learned; a null lang is not learned from; ties go to the smaller language name and
 the smaller hash; repeated rows are predicted each; an empty table gives an empty result; other
-columns are ignored.
+columns are ignored. A very long text is counted part by part, cut between words, so memory follows its distinct n-grams; only a
+text without any blank is counted whole.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of all texts and the text of each."""
     table = letters()
     points = [table[np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32)] for x in texts]
-    size = np.array([len(x) + 2 for x in points])
+    size = np.array([len(x) + 2 for x in points], np.int64)
     flat = np.zeros(int(size.sum()), np.uint64)
     at = np.concatenate(([0], np.cumsum(size)))
     for k, x in zip(at[:-1].tolist(), points, strict=True):
@@ -85,6 +86,48 @@ def counted(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (own >> np.uint64(HASH_BITS)).astype(np.int64), (own & np.uint64((1 << HASH_BITS) - 1)).astype(np.int64), count
 
 
+def parts(text: str, size: int = SLICE_BYTES // 2) -> list[str]:
+    """A text in parts of about ``size`` characters, cut at blanks: every n-gram lies within one, as words are padded by blanks."""
+    out, at = [], 0
+    while len(text) - at > size:
+        cut = text.find(" ", at + size)
+        if cut < 0:
+            break
+        out.append(text[at:cut])
+        at = cut + 1
+    return [*out, text[at:]]
+
+
+def summed(kinds: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, hash, count) of the n-grams of texts, each of the kind at its place, in order of kind and hash; long texts part by part."""
+    found, of, now, size = [], [], [], 0
+
+    def count():
+        hashes, owners = grams(now)
+        found.append(counted(hashes, np.array(of, np.uint64)[owners.astype(np.int64)]))
+        of.clear()
+        now.clear()
+
+    for kind, text in zip(kinds.tolist(), texts, strict=True):
+        for part in parts(text):
+            of.append(kind)
+            now.append(part)
+            size += len(part)
+            if size >= SLICE_BYTES // 2:
+                count()
+                size = 0
+    if now or not found:
+        count()
+    if len(found) == 1:
+        return found[0]
+    kind, key, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    both = kind.astype(np.uint64) << np.uint64(HASH_BITS) | key.astype(np.uint64)
+    order = np.argsort(both, kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], np.diff(both[order]) != 0))) if len(both) else np.zeros(0, np.int64)
+    total = np.add.reduceat(n[order], first) if len(both) else n
+    return kind[order][first], key[order][first], total
+
+
 def profiles(docs: DataFrame) -> list[tuple[str, int, int]]:
     """(lang, hash, rank from 0) over the training rows of ``docs`` (doc_id, text, lang)."""
 
@@ -93,9 +136,7 @@ def profiles(docs: DataFrame) -> list[tuple[str, int, int]]:
             langs = batch.column("lang").to_pylist()
             names = sorted(set(langs))
             place = {x: i for i, x in enumerate(names)}
-            hashes, owners = grams(C.strings(batch.column("text")))
-            of = np.array([place[x] for x in langs], np.uint64)
-            lang, key, n = counted(hashes, of[owners.astype(np.int64)])
+            lang, key, n = summed(np.array([place[x] for x in langs]), C.strings(batch.column("text")))
             yield pa.record_batch([pa.array(np.array(names, object)[lang], pa.string()), pa.array(key), pa.array(n, pa.int64())], names=["lang", "key", "n"])
 
     train = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (C.crc_mod("doc_id", 4) != 2)).select("text", "lang")
@@ -117,7 +158,7 @@ class Profiles:
         names, scores = ["und"] * len(texts), np.zeros(len(texts))
         if not self.langs:
             return names, scores
-        doc, key, n = counted(*grams(texts))
+        doc, key, n = summed(np.arange(len(texts)), texts)
         order = np.lexsort((key, -n, doc))
         doc, key = doc[order], key[order]
         rank = np.arange(len(doc)) - np.searchsorted(doc, doc)

@@ -199,6 +199,41 @@ def test_language_counts_by_hand():
     assert np.all(n > 0)
 
 
+def test_languages_against_brute_force(spark):
+    """Ranks and distances by plain counting (of sums, as ties in rank go by a hash)."""
+    import numpy as np
+
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(40)) for _ in range(6)]
+    learned = langid.profiles(spark.createDataFrame([(i, t, "xy"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string"))
+    train = {k: Counter() for k in "xy"}
+    for i, t in enumerate(texts):
+        if remainder(i, 4) != 2:
+            h, o = langid.grams([t])
+            train["xy"[i % 2]].update(dict(zip(*(x.tolist() for x in langid.counted(h, o)[1:]), strict=True)))
+    ranks = {k: {g: r for r, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[: langid.TOP])} for k, c in train.items()}
+    assert {(a, b): c for a, b, c in learned} == {(k, g): r for k, v in ranks.items() for g, r in v.items()}
+    names, scores = langid.Profiles(learned).predict(texts)
+    for t, name, score in zip(texts, names, scores, strict=True):
+        _, g, n = langid.counted(*langid.grams([t]))
+        own = [k for k, _ in sorted(zip(g.tolist(), n.tolist(), strict=True), key=lambda x: (-x[1], x[0]))[: langid.TOP]]
+        away = {k: sum(abs(v[x] - r) if x in v else langid.TOP for r, x in enumerate(own)) for k, v in ranks.items()}
+        best = min(away, key=lambda k: (away[k], k))
+        assert name == best and abs(score - (1 - away[best] / (len(own) * langid.TOP))) < 1e-12
+    assert isinstance(scores, np.ndarray)
+
+
+def test_long_texts_are_counted_in_parts(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(5)) for _ in range(n)) for n in (300, 3, 900)] + ["", "x" * 700]
+    whole = [x.tolist() for x in langid.summed(np.arange(5), texts)]
+    monkeypatch.setattr(langid, "SLICE_BYTES", 64)
+    monkeypatch.setattr(langid.parts, "__defaults__", (32,))
+    assert [x.tolist() for x in langid.summed(np.arange(5), texts)] == whole
+
+
 def shingles(text, words):
     w = (text or "").encode().lower().split()
     return frozenset(tuple(w[k : k + words]) for k in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else [])
@@ -319,6 +354,18 @@ def test_warc_round_trip(spark):
         with store.open_input_stream(f"{root}/manifest.json") as f:
             listing.append(f.read())
     assert listing[0] == listing[1] and listing[0].count(b'"name"') > 5
+    # an id that very many rows have, and rows without an id, fill several shards, whatever the partitions
+    many = spark.createDataFrame([(k, f"u{i}", f"{i} " + "y" * 300) for i in range(60) for k in (None, 7)] + [(7, "same", "z" * 300)] * 30, "page_id long, url string, html string")
+    listing = []
+    for n in (2, 5):
+        out = common.new_path(spark, "warc-test")
+        warc.write_warc(many.repartition(n), out, shard_bytes=3000)
+        store, root = warc._fs(out)
+        with store.open_input_stream(f"{root}/manifest.json") as f:
+            listing.append(f.read())
+    assert listing[0] == listing[1] and listing[0].count(b'"name"') > 10
+    back = warc.read_warc(spark, out).collect()
+    assert len(back) == 150 and sum(r["record_type"] == "revisit" for r in back) == 89 and sum(r["page_id"] is None for r in back) == 60
     none = common.new_path(spark, "warc-test")
     warc.write_warc(df.limit(0), none)
     assert warc.read_warc(spark, none).count() == 0
