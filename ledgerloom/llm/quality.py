@@ -32,7 +32,6 @@ SAMPLE = 1500
 #: And bytes of text of either label; the document that crosses the bound is the last.
 SAMPLE_BYTES = 8 << 20
 CONTENT_SHARE = 0.5
-ENDS = b".!?:;\"')"
 #: Slots of the line features: the bias, then a block for each.
 BLOCKS = (("words", 9), ("symbols", 8), ("upper", 8), ("digits", 6), ("long", 8), ("distinct", 8), ("end", 2), ("copy", 2), ("bars", 4), ("place", 4))
 SLOTS = 1 + sum(n for _, n in BLOCKS)

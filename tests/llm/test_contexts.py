@@ -1,9 +1,11 @@
 """What the contexts of the language model must hold."""
 
+import os
 import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from ledgerloom.llm import lm_scoring
 
@@ -62,3 +64,12 @@ def test_word_order_counts(spark):
     got = {r["doc_id"]: r["score"] for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     held = [got[i] for i, _ in rows[len(ids) :]]
     assert len(held) == 3 and held[0] > held[1] + 1 and held[0] > held[2] + 1
+
+
+TABLES = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="the tables are not there")
+def test_held_out_texts_are_likelier_than_by_the_base(spark):
+    got = lm_scoring.score(spark.read.parquet(f"{TABLES}/documents.parquet")).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert got["sum(score)"] > 0.95 * got["sum(base_score)"]

@@ -66,3 +66,36 @@ def test_stages(spark, tmp_path):
         if name != "packing":
             assert list(after.columns) == columns
         before = after
+
+
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long, _rid long, _sha string, copies long, tox_score string, label long"
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, blanks, copies, a long text and clashing names; all columns come through every stage but the last."""
+    spark.createDataFrame([(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    long = " ".join(f"w{k}" for k in range(30_000))
+    rows = [(None,) * 10, (1, None, None, None, None, 1, "a", 1, "x", 2), (2, "", "en", "s", 0, 2, "b", 2, "y", 3), (3, " \n", "en", "s", 2, 3, "c", 3, "z", 4), (4, long, "en", "s", 9, 4, "d", 4, "u", 5), (5, long + " more", "en", "t", 9, 5, "e", 5, "v", 6), (6, "one two three four five six", "en", "t", 9, 6, "f", 6, "w", 7), (6, "one two three four five six", "en", "t", 9, 6, "f", 6, "w", 7)]
+    for data, name in ((rows, "odd"), ([], "empty")):
+        docs = spark.createDataFrame(data, SHAPE)
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, f"file://{tmp_path}").write.parquet(f"file://{tmp_path}/{name}{k}")
+            docs = spark.read.parquet(f"file://{tmp_path}/{name}{k}")
+            if k < 4:
+                assert docs.columns == [c.split()[0] for c in SHAPE.split(", ")]
+            if name == "odd" and k == 0:
+                assert docs.count() == len(rows)
+            if name == "odd" and k == 1:
+                assert sorted(r["_rid"] or 0 for r in docs.collect()) == [3, 4, 5, 6]
+            if name == "odd" and k == 2:
+                assert sorted((r["doc_id"], r["copies"], r["tox_score"]) for r in docs.collect()) == [(3, 3, "z"), (4, 4, "u"), (6, 6, "w")]
+        assert docs.count() == 0 if name == "empty" else docs.count() > 0
+
+
+def test_results_of_others_outlive_the_pipeline(spark):
+    from ledgerloom.llm import common
+
+    held = common.stage(spark.range(5).toDF("x"), "held")
+    corpus_pipeline.drop_copies(spark, spark.createDataFrame([(1, "a")], "doc_id long, text string"), "")
+    common.sweep(spark, "pipeline")
+    assert held.count() == 5
