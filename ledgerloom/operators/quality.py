@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +56,11 @@ def extra_keys(raw: DataFrame, column: str = "json") -> DataFrame:
     return raw.select(F.explode(F.json_object_keys(column)).alias("key")).where(~F.col("key").isin(*SCHEMA)).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def repair(df: DataFrame) -> DataFrame:
-    """Known aliases, numbers from text, clean amenities and images; columns outside the schema go."""
+def repair(df: DataFrame, raw: bool = False) -> DataFrame:
+    """Known aliases, numbers from text, clean amenities and images; columns outside the schema go.
+
+    A text that is no number becomes NULL; with ``raw`` it is kept in a column <name>_raw.
+    """
     fixes = {"city": T.bulk_city, "propertyType": T.bulk_type, "possessionStatus": T.bulk_possession}
     out = {n: f(n) for n, f in fixes.items() if n in df.columns}
     out |= {n: T.coerce_number(n) for n, k in df.dtypes if n in NUMBERS and k == "string"}
@@ -66,7 +68,8 @@ def repair(df: DataFrame) -> DataFrame:
         out["amenities"] = F.when(F.col("amenities").isNotNull(), A.clean_amenities(F.col("amenities")))
     if "images" in df.columns:
         out["images"] = F.when(F.col("images").isNotNull(), A.images(F.transform("images", lambda x: F.struct(x["url"].alias("url"), x["type"].alias("type")))))
-    return df.withColumns(out).select(*[c for c in df.columns if c in SCHEMA or c == "ord"])
+    lost = {f"{n}_raw": F.when(T.coerce_number(n).isNull(), F.col(n)) for n, k in df.dtypes if raw and n in NUMBERS and k == "string"}
+    return df.withColumns(out | lost).select(*[c for c in df.columns if c in SCHEMA or c == "ord"], *lost)
 
 
 def run_counters(events: DataFrame, site: str, outcomes: dict[str, str], outcome: str = "outcome") -> DataFrame:
@@ -78,7 +81,3 @@ def run_counters(events: DataFrame, site: str, outcomes: dict[str, str], outcome
 def summary(df: DataFrame) -> DataFrame:
     """Rows and the first row's scrapedAt."""
     return df.agg(F.count(F.lit(1)).alias("count"), F.min_by("scrapedAt", "ord").alias("latest_scraped_at"))
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
