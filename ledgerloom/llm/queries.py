@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, quality, toxicity, warc
+from ledgerloom.llm import decontamination, exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -46,7 +46,11 @@ def op10_chain_toxicity(spark, sf_dir):
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity)}
+def op12_broadcast_windows(spark, sf_dir):
+    return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity, op12_broadcast_windows)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
@@ -63,4 +67,21 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND head <> page_id THEN head END AS refers_to
         FROM r
     """,
+    "op12_broadcast_windows": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS t FROM documents),
+        dw AS (SELECT rid, doc_id, CASE WHEN t = '' THEN [] ELSE string_split(t, ' ') END AS w FROM d),
+        b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS t FROM benchmark),
+        bw AS (SELECT item, string_split(t, ' ') AS w FROM b WHERE t <> ''),
+        bi AS (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM bw),
+        wins AS (SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS size FROM bi),
+        sizes AS (SELECT DISTINCT size FROM wins),
+        di AS (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM dw, sizes WHERE len(w) >= size),
+        dwin AS (SELECT rid, i, size, array_to_string(w[i:i + size - 1], ' ') AS win FROM di),
+        hits AS (SELECT rid, i, dwin.size, item FROM dwin JOIN wins USING (win)),
+        places AS (SELECT DISTINCT rid, unnest(range(i, i + size)) AS at FROM hits),
+        n AS (SELECT rid, count(*) AS n_hit FROM places GROUP BY rid),
+        its AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY rid)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM dw LEFT JOIN n USING (rid) LEFT JOIN its USING (rid)
+    """,
 }
