@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontamination, exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, quality, toxicity, warc
+from ledgerloom.llm import decontamination, exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, prefix_trie, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -50,7 +50,11 @@ def op12_broadcast_windows(spark, sf_dir):
     return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity, op12_broadcast_windows)}
+def op13_turn_matrix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity, op12_broadcast_windows, op13_turn_matrix_trie)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
@@ -84,4 +88,30 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM dw LEFT JOIN n USING (rid) LEFT JOIN its USING (rid)
     """,
+    "op13_turn_matrix_trie": r"""
+        WITH RECURSIVE t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+        i AS (SELECT conv_id, turn, role, text, md5(concat(octet_length(encode(role)), ':', role, text)) AS id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM t),
+        x AS (SELECT conv_id, id, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(text, 1, 64), id) - 1 AS r FROM i),
+        c AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM x),
+        crc(conv_id, s, k, v) AS (
+            SELECT conv_id, s, 0, 4294967295::BIGINT FROM c
+            UNION ALL
+            SELECT conv_id, s, k + 1, (CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384::BIGINT) ELSE y // 2 END)
+            FROM (SELECT conv_id, s, k, CASE WHEN k % 8 = 0 THEN xor(v, ascii(s[k // 8 + 1])::BIGINT) ELSE v END AS y FROM crc WHERE k < 8 * len(s))
+        ),
+        h AS (SELECT conv_id, xor(v, 4294967295::BIGINT) % 4 AS h FROM crc WHERE k = 8 * len(s)),
+        re AS (
+            SELECT h.conv_id, 0 AS part, r, id, words FROM h JOIN x ON x.conv_id = h.conv_id - h.conv_id % 20 WHERE r < h
+            UNION ALL SELECT x.conv_id, 1, r, id, words FROM x JOIN h USING (conv_id) WHERE r >= h
+        ),
+        l AS (SELECT conv_id, list(id ORDER BY part, r) AS ids, list(words ORDER BY part, r) AS ws FROM re GROUP BY conv_id),
+        seqs AS (SELECT c.conv_id, coalesce(ids, []) AS ids, coalesce(ws, []) AS ws FROM c LEFT JOIN l USING (conv_id)),
+        pre AS (SELECT conv_id, len(ids) AS size, d, ids[1:d] AS p, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM seqs)),
+        node AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d) AS ends FROM pre GROUP BY p, d),
+        kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+        full_node AS (SELECT node.*, coalesce(n, 0) AS n_children FROM node LEFT JOIN kids USING (p)),
+        up AS (SELECT p[1:a] AS p, sum((n_convs - 1) * w)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_node) GROUP BY 1)
+        SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+        FROM full_node f JOIN up USING (p) LEFT JOIN node q ON f.d > 0 AND q.p = f.p[1:f.d - 1]
+    """,
 }
