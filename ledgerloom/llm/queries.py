@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontamination, exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, prefix_trie, quality, toxicity, warc
+from ledgerloom.llm import decontamination, exact_dedup, html_main, langid, lm_scoring, mixing, near_dedup, packing, phrases, prefix_trie, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op10_chain_toxicity(spark, sf_dir):
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_tiled_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_broadcast_windows(spark, sf_dir):
     return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +58,7 @@ def op13_turn_matrix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity, op12_broadcast_windows, op13_turn_matrix_trie)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_packing, op2_line_chain_quality, op3_context_mixing, op4_rank_profiles, op5_coordinate_join, op6_template_removal, op7_stream_dedup, op8_sharded_warc, op9_budget_mixing, op10_chain_toxicity, op11_tiled_phrases, op12_broadcast_windows, op13_turn_matrix_trie)}
 
 ORACLES: dict[str, str] = {
     "op7_stream_dedup": r"""
@@ -71,6 +75,24 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND head <> page_id THEN head END AS refers_to
         FROM r
     """,
+    "op11_tiled_phrases": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 6) s(m) WHERE len(w) >= m),
+        f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+        c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 100),
+        inner_of AS (SELECT lang, a, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM c, range(2, 5) s(k) WHERE k < m)),
+        over_ AS (SELECT lang, phrase, max(a) AS over_a FROM inner_of GROUP BY ALL),
+        kept AS (SELECT c.* FROM c LEFT JOIN over_ o USING (lang, phrase) WHERE over_a IS NULL OR 100 * over_a < 100 * c.a),
+        cuts AS (SELECT *, unnest(range(1, m)) AS k FROM kept),
+        sides AS (SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(ws[1:k], ' ') JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')),
+        scored AS (SELECT lang, phrase, a, l, r, k, n, ((1000::HUGEINT * a * n) // (l::HUGEINT * r))::BIGINT AS score FROM sides JOIN n USING (lang)),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM placed WHERE rank <= 2000
+    """,
     "op12_broadcast_windows": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS t FROM documents),
         dw AS (SELECT rid, doc_id, CASE WHEN t = '' THEN [] ELSE string_split(t, ' ') END AS w FROM d),
