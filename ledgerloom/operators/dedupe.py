@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import identity as I
-from ledgerloom.operators.blocks import components
-from ledgerloom.operators.merge import Fold, _plain, block_links, compact, null_fill
-from ledgerloom.plans.lineage import cut
+from ledgerloom.operators import similar as S
+from ledgerloom.operators.blocks import labels
+from ledgerloom.operators.merge import Fold, _plain, _plan, compact, null_fill, settled
+from ledgerloom.plans.lineage import cut, keep
 
 
 def duplicate_groups(df: DataFrame) -> DataFrame:
@@ -36,49 +37,56 @@ def exact(df: DataFrame) -> DataFrame:
 
 
 def _leaders(frame: pd.DataFrame) -> pd.DataFrame:
-    """Greedy leaders in the order of richness: each absorbs the later rows that match it, not what those match."""
-    frame = frame.sort_values(["full", "ord"], ascending=[False, True], kind="stable")
-    leaders: dict[tuple, list[tuple[str, int]]] = {}  # by what soft matches must have in common
-    out = []
-    for n, (ord_, slug) in enumerate(zip(frame["ord"], frame["slug"], strict=True)):
-        own = leaders.setdefault(I.guard_of(slug), [])
-        target = next((o for s, o in own if I.soft_match(s, slug)), None)
-        if target is None:
-            own.append((slug, ord_))
-        out.append((ord_, ord_ if target is None else target, n))
-    return pd.DataFrame(out, columns=["ord", "target", "seq"])
+    """Greedy leaders of a component of names that match, richest first: each absorbs the later ones that match it, not what those match."""
+    near: dict[int, set] = {}
+    full: dict[int, int] = {}
+    for a, b, fa, fb in zip(frame["a"], frame["b"], frame["a_full"], frame["b_full"], strict=True):
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+        full[a], full[b] = fa, fb
+    taken: dict[int, int] = {}
+    for x in sorted(full, key=lambda i: (-full[i], i)):
+        if x not in taken:
+            taken[x] = x
+            for y in near[x]:
+                taken.setdefault(y, x)
+    return pd.DataFrame({"node": taken.keys(), "leader": taken.values()})
 
 
 def soft(df: DataFrame) -> DataFrame:
-    """Rows of one unit signature with a locality whose project names differ by a slip are merged into their leader."""
-    slim = df.select("ord", I._slug("projectName").alias("slug"), I.fullness(df).alias("full"), F.when(I._slug("locality") == "", F.concat(F.lit("#"), F.col("ord"))).otherwise(I.unit_signature()).alias("sig"))
-    return _collapse(df, slim.groupBy("sig").applyInPandas(_leaders, "ord long, target long, seq long"))
+    """Rows of one unit signature with a locality whose project names differ by a slip are merged into their leader.
+
+    Rows of one name and signature share their fate, so only distinct names are compared: those that share a segment, by an equi-join. Leaders
+    are chosen within the components of names that really match.
+    """
+    sig = F.when(I._slug("locality") == "", F.concat(F.lit("#"), F.col("ord"))).otherwise(I.unit_signature())
+    slim = keep(df.select("ord", I._slug("projectName").alias("slug"), I.fullness(df).alias("full"), sig.alias("k")))
+    names = keep(slim.where("slug != ''").groupBy("k", "slug").agg(F.max(F.struct("full", (-F.col("ord")).alias("o"))).alias("m")).select("k", "slug", "m.full", (-F.col("m.o")).alias("node")))
+    pairs = S.soft_join(names.select("k", "slug"), names.select("k", "slug")).where("a_slug < b_slug")
+    of = lambda p: names.select("k", F.col("slug").alias(f"{p}_slug"), F.col("node").alias(p), F.col("full").alias(f"{p}_full"))
+    edges = keep(pairs.join(of("a"), ["k", "a_slug"]).join(of("b"), ["k", "b_slug"]).select("a", "b", "a_full", "b_full"))
+    found = labels(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    leaders = edges.join(found, F.col("a") == F.col("node")).groupBy("label").applyInPandas(_leaders, "node long, leader long")
+    told = names.join(leaders, "node", "left").select("k", "slug", F.coalesce("leader", "node").alias("target"))
+    plan = slim.join(told, ["k", "slug"], "left").select("ord", F.coalesce("target", "ord").alias("target"), F.struct((-F.col("full")).alias("f"), F.col("ord").alias("o")).alias("seq"))
+    return _collapse(df, plan)
 
 
 def _attach(frame: pd.DataFrame) -> pd.DataFrame:
     """Null-area rows of a component, richest first, each into what it matches among sized and kept ones."""
-    fold, out = Fold(), []
     rows = [_plain(r) for r in frame.to_dict("records")]
     sized = sorted((r for r in rows if r["area"] is not None), key=lambda r: r["ord"])
-    unsized = sorted((r for r in rows if r["area"] is None), key=lambda r: (-fold.full(r), r["ord"]))
-    for r in sized + unsized:
-        i = fold.find(r) if r["area"] is None else None
-        if i is None:
-            i = fold.add(r)
-        else:
-            fold.absorb(i, r)
-        out.append((r["ord"], fold.rows[i]["ord"], len(out)))
-    return pd.DataFrame(out, columns=["ord", "target", "seq"])
+    unsized = sorted((r for r in rows if r["area"] is None), key=lambda r: (-Fold.full(r), r["ord"]))
+    bare = {r["ord"] for r in unsized}
+    return _plan(sized + unsized, lambda r: r["ord"] in bare)
 
 
 def attach_null_areas(df: DataFrame) -> DataFrame:
-    """Rows without an area go into what they match, if any row has an area; rows meet in a block (city, locality, bhk) or by a legacy identity."""
+    """Rows without an area go into what they match, if any row has an area; rows meet by city, locality, count and guard of the name, or by a legacy identity."""
     if df.where(F.col(I.AREA).isNotNull()).limit(1).isEmpty():
         return df
-    small = compact(df).withColumn("side", F.lit(0))
-    part = components(block_links(small)).select("ord", "component")
-    plan = small.drop("side").join(part, "ord").groupBy("component").applyInPandas(lambda f: _attach(f.drop(columns="component")), "ord long, target long, seq long")
-    return _collapse(df, plan)
+    plan = settled(keep(compact(df).withColumn("side", F.lit(0))), _attach)
+    return _collapse(df, plan.select("ord", "target", "seq"))
 
 
 def attach_sole_null(df: DataFrame) -> DataFrame:

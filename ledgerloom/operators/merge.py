@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import arrays as A
 from ledgerloom.operators import identity as I
+from ledgerloom.operators import similar as S
+from ledgerloom.operators.blocks import components, labels
+from ledgerloom.plans.lineage import keep
 
 #: Columns of an archive row that a merge treats apart.
 LAST = ("scrapedAt",)
@@ -85,13 +88,13 @@ def match_tiers(archive: DataFrame, incoming: DataFrame, tiers: tuple[int, ...]
     loose = b.join(by_loose, c("b_loose") == c("a_loose"))
     loose = loose.where(F.when(c("b_area").isNull(), c("all_n") == 1).otherwise(c("bare_n") == 1))
     local_a, local_b = a.where("a_local"), b.where("b_local")
-    # what soft matches must have in common is part of the key of the join
-    slugs = lambda df, p, sig: df.select(c(f"{p}_{sig}").alias("k"), f"{p}_slug", I.guard_key(c(f"{p}_slug")).alias("g")).distinct()
-    pairs = lambda sig: slugs(local_a, "a", sig).join(slugs(local_b, "b", sig), ["k", "g"]).drop("g")
-    near = I.soft_pairs(pairs("sig"), "b_slug", "a_slug")
+    # candidates for soft matches come from an equi-join of segments, never from all names of a block
+    slugs = lambda df, p, sig: df.select(c(f"{p}_{sig}").alias("k"), c(f"{p}_slug").alias("slug")).distinct()
+    pairs = lambda sig: S.soft_join(slugs(local_a, "a", sig), slugs(local_b, "b", sig))
+    near = pairs("sig")
     soft = local_a.groupBy(c("a_sig").alias("k"), "a_slug").agg(densest).join(near, ["k", "a_slug"]).groupBy("k", "b_slug").agg(F.max("m").alias("m"))
     soft = local_b.withColumn("k", c("b_sig")).join(soft, ["k", "b_slug"])
-    near = I.soft_pairs(pairs("loose_sig"), "b_slug", "a_slug")
+    near = pairs("loose_sig")
     sized = F.when(c("a_area").isNotNull(), c("a_ord"))
     other = local_a.groupBy(c("a_loose_sig").alias("k"), "a_slug").agg(F.count(sized).alias("sized_n"), F.min(sized).alias("sized_ord"), F.count(bare).alias("bare_n"), F.min(bare).alias("bare_ord"))
     other = other.join(near, ["k", "a_slug"]).groupBy("k", "b_slug").agg(F.sum("sized_n").alias("sized_n"), F.min("sized_ord").alias("sized_ord"), F.sum("bare_n").alias("bare_n"), F.min("bare_ord").alias("bare_ord"))
@@ -109,30 +112,42 @@ def match_tiers(archive: DataFrame, incoming: DataFrame, tiers: tuple[int, ...]
 
 
 class Fold:
-    """Compact rows of one component, folded in order; what the key columns and the richness become is kept."""
+    """Compact rows that may meet, folded in order; what the key columns and the richness become is kept.
+
+    ``held`` has the keys by which a row could be found after it absorbed others, but for those that its own rows brought along.
+    """
 
     FIELDS = ("slug", "city", "locality", "bhk", "area", "legacy_url", "legacy_slug")
 
     def __init__(self):
         self.rows: list[dict] = []
         self.known: list[dict] = []
+        self.entries: list[set] = []
         self.index: dict[tuple[str, str], list[int]] = {}
+        self.held: dict[int, set] = {}
 
     def add(self, r: dict) -> int:
         self.rows.append(r)
         self.known.append({})
+        self.entries.append(set())
         self._note(len(self.rows) - 1)
         return len(self.rows) - 1
 
     def _note(self, i: int) -> None:
         """Keep the places of row ``i``'s keys, each list in the order of the rows."""
-        old, new = self.known[i], self.keys(self.rows[i])
-        for kind, value in new.items():
-            if old.get(kind) != value:
-                if kind in old:
-                    self.index[kind, old[kind]].remove(i)
-                insort(self.index.setdefault((kind, value), []), i)
-        self.known[i] = new
+        r = self.rows[i]
+        now = self.keys(r)
+        if now == self.known[i]:
+            return
+        entries = {x for x in now.items() if x[1]}
+        if r["slug"] and r["locality"]:
+            at = f"{now['loose_sig']}#{link_guard(r['slug'])}#"
+            entries |= {("soft", at + x) for x in S.posts(r["slug"])} | {("soft", at + "=" + r["slug"])}
+        for x in self.entries[i] - entries:
+            self.index[x].remove(i)
+        for x in entries - self.entries[i]:
+            insort(self.index.setdefault(x, []), i)
+        self.known[i], self.entries[i] = now, entries
 
     def at(self, kind: str, value: str) -> list[int]:
         return self.index.get((kind, value), [])
@@ -148,6 +163,12 @@ class Fold:
     def full(r: dict) -> int:
         return sum(r["scalars"].values()) + sum(min(len(v), 8) for v in r["lists"].values())
 
+    def near(self, r: dict, k: dict) -> list[int]:
+        """Rows of the same city, locality and count whose names match softly, in order."""
+        at = f"{k['loose_sig']}#{link_guard(r['slug'])}#"
+        found = set(self.at("soft", at + "=" + r["slug"])).union(*[self.at("soft", at + x) for x in S.probes(r["slug"])])
+        return sorted(i for i in found if I.soft_match(r["slug"], self.rows[i]["slug"]))
+
     def find(self, r: dict) -> int | None:
         k = self.keys(r)
         densest = lambda hits: max(hits, key=lambda i: self.full(self.rows[i]))
@@ -159,7 +180,7 @@ class Fold:
             if len(loose) == 1:
                 return loose[0]
         if r["slug"] and r["locality"]:
-            near = [i for i in self.at("loose_sig", k["loose_sig"]) if self.rows[i]["locality"] and I.soft_match(r["slug"], self.rows[i]["slug"])]
+            near = self.near(r, k)
             soft = [i for i in near if self.known[i]["sig"] == k["sig"]]
             if soft:
                 return densest(soft)
@@ -174,9 +195,25 @@ class Fold:
             if x[f] in (None, ""):
                 x[f] = r[f]
         x["scalars"] = r["scalars"] | x["scalars"]
-        for name, items in r["lists"].items():
-            x["lists"][name] = x["lists"].get(name, set()) | items
+        both = {name: x["lists"].get(name, []) + r["lists"].get(name, []) for name in x["lists"] | r["lists"]}
+        if "imageUrls" in both:  # the older form of images goes into them
+            both["images"] = both.get("images", []) + both.pop("imageUrls")
+        # a merge unites equal elements; until then they count one by one
+        x["lists"] = {name: list(dict.fromkeys(v for v in items if v)) for name, items in both.items()}
         self._note(i)
+        self.held.setdefault(i, set()).update(links_of(x))
+
+
+def link_guard(slug: str) -> str:
+    """As ``identity.guard_key``, for folds."""
+    first, digits, marks = I.guard_of(slug)
+    return "|".join((first, ",".join(digits), ",".join(marks)))
+
+
+def links_of(r: dict) -> list[str]:
+    """As ``block_links``, for folds: no row is found but by one of these."""
+    k = Fold.keys(r)
+    return [k["legacy"], *([f"b:{k['loose_sig']}|{link_guard(r['slug'])}"] if r["slug"] else [])]
 
 
 def compact(df: DataFrame) -> DataFrame:
@@ -188,7 +225,9 @@ def compact(df: DataFrame) -> DataFrame:
         x = F.col(name)
         full = ~A.is_empty(x, kind)
         if kind.startswith("array"):
-            lists += [F.lit(name), F.when(full, F.transform(x, lambda v: F.xxhash64(v)))]
+            address = {"images": lambda v: F.nullif(F.trim(v["url"]), F.lit("")), "imageUrls": lambda v: F.nullif(F.trim(v), F.lit(""))}.get(name)
+            value = (lambda v, address=address: F.when(address(v).isNotNull(), F.xxhash64(address(v))).otherwise(0)) if address else (lambda v: F.xxhash64(v))
+            lists += [F.lit(name), F.when(full, F.transform(x, value))]
         else:
             worth = 1 + F.floor(F.least(F.length(x), F.lit(200)) / 50) if kind == "string" else F.lit(1)
             scalars += [F.lit(name), F.when(full, worth.cast("long"))]
@@ -203,49 +242,97 @@ def compact(df: DataFrame) -> DataFrame:
 def _plain(record: dict) -> dict:
     """A compact row as pandas gives it, with plain values."""
     number = lambda v: None if v is None or v != v else int(v)
-    return {**record, "bhk": number(record["bhk"]), "area": number(record["area"]), "scalars": dict(record["scalars"]), "lists": {k: set(v) for k, v in dict(record["lists"]).items()}}
+    return {**record, "bhk": number(record["bhk"]), "area": number(record["area"]), "scalars": dict(record["scalars"]), "lists": {k: list(v) for k, v in dict(record["lists"]).items()}}
 
 
-def assign(frame: pd.DataFrame) -> pd.DataFrame:
-    """Fold the rows of a block, archive first; (ord, side, target, target_side, seq)."""
-    fold, out = Fold(), []
-    for record in frame.sort_values(["side", "ord"], kind="stable").to_dict("records"):
-        r = _plain(record)
-        i = fold.find(r) if r["side"] else None
+PLAN = "ord long, side int, target long, target_side int, seq long, keys array<string>"
+
+
+def _plan(rows: list[dict], looks) -> pd.DataFrame:
+    """Fold ``rows`` in order; those that ``looks`` names look for a row to go into. Keys that none of them had are told with the row that has them now."""
+    fold, out, place = Fold(), [], {}
+    for r in rows:
+        i = fold.find(r) if looks(r) else None
         if i is None:
-            i = fold.add(r)
+            i = fold.add(dict(r))
+            place[i] = len(out)
         else:
             fold.absorb(i, r)
-        out.append((r["ord"], r["side"], fold.rows[i]["ord"], fold.rows[i]["side"], len(out)))
-    return pd.DataFrame(out, columns=["ord", "side", "target", "target_side", "seq"])
+        out.append([r["ord"], r["side"], fold.rows[i]["ord"], fold.rows[i]["side"], len(out), []])
+    own = {x for r in rows for x in links_of(r)} if fold.held else set()
+    for i, keys in fold.held.items():
+        out[place[i]][-1] = sorted(keys - own)
+    return pd.DataFrame(out, columns=["ord", "side", "target", "target_side", "seq", "keys"])
 
 
-def block_links(small: DataFrame) -> DataFrame:
-    """(side, ord, key) of compact rows: what rows have in common that a match could join."""
-    return small.select("side", "ord", F.explode(F.array_compact(F.array(
-        F.concat(F.lit("b:"), F.concat_ws("|", "city", "locality", F.coalesce(F.col("bhk").cast("string"), F.lit("None")))),
-        F.when(F.col("legacy_url") != "", F.concat(F.lit("u:"), "legacy_url")), F.when((F.col("legacy_url") == "") & (F.col("legacy_slug") != ""), F.concat(F.lit("s:"), "legacy_slug")),
-    ))).alias("key"))
+def assign(frame: pd.DataFrame) -> pd.DataFrame:
+    """Fold the rows of a component, archive first; those of the batch look for a row to go into."""
+    rows = [_plain(r) for r in frame.sort_values(["side", "ord"], kind="stable").to_dict("records")]
+    return _plan(rows, lambda r: r["side"] == 1)
 
 
-def upsert(archive: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Merge a batch into the archive: all rows, with ``_status`` kept, updated or added.
+def block_links(small: DataFrame) -> DataFrame:
+    """(side, ord, key) of compact rows: a row is found only by what it has in common with another.
 
-    Rows that a match could join share a block (city, locality, bhk) or a legacy identity; the blocks' components are
-    folded in order, so rows see those that came before them in the batch. Only compact rows go through Python; the wide
-    columns are merged by ``null_fill`` in the order of the fold.
+    That is its legacy identity, or city, locality, count and guard of the name, which strict, loose and soft matches all share.
     """
-    from ledgerloom.operators.blocks import components
+    bhk = F.coalesce(F.col("bhk").cast("string"), F.lit("None"))
+    area = F.coalesce(F.col("area").cast("string"), F.lit("None"))
+    legacy = F.when(F.col("legacy_url") != "", F.concat(F.lit("url:"), F.concat_ws("|", "legacy_url", bhk, area))).when(F.col("legacy_slug") != "", F.concat(F.lit("slug:"), "legacy_slug")).otherwise(F.concat(F.lit("row:"), F.col("hash").cast("string")))
+    block = F.when(F.col("slug") != "", F.concat(F.lit("b:"), F.concat_ws("|", "city", "locality", bhk, I.guard_key(F.col("slug")))))
+    return small.select("side", "ord", F.explode(F.array_compact(F.array(legacy, block))).alias("key"))
+
 
+def settled(small: DataFrame, fold) -> DataFrame:
+    """(ord, side, target, target_side, seq): ``fold`` over the components of compact rows that may meet.
+
+    Rows take on what they lack from rows that they absorb, and may then be found by keys that none of them had. If such a key belongs to
+    another component, too, the two are united and folded again, until all components keep to themselves; then the fold is that of all rows in order.
+    """
+    links = keep(block_links(small))
+    part = keep(components(links))
+    todo, plan = part, None
+    while True:
+        rows = small.join(todo, ["side", "ord"])
+        out = keep(rows.groupBy("component").applyInPandas(lambda f: fold(f.drop(columns="component")), PLAN))
+        plan = out if plan is None else plan.unionAll(out)
+        new = keep(out.select("side", "ord", F.explode("keys").alias("key")))
+        if new.isEmpty():
+            return plan.drop("keys")
+        links = links.unionAll(new)
+        owners = keep(links.join(part, ["side", "ord"]).select("key", "component").distinct())
+        hubs = owners.groupBy("key").agg(F.min("component").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        united = keep(labels(owners.join(hubs, "key").select(F.col("component").alias("u"), "v")))
+        if united.isEmpty():
+            return plan.drop("keys")
+        part = keep(part.join(united, F.col("component") == F.col("node"), "left").select("side", "ord", F.coalesce("label", "component").alias("component")))
+        todo = part.join(united.select(F.col("label").alias("component")).distinct(), "component", "left_semi").select("side", "ord", "component")
+        plan = keep(plan.join(todo.select("side", "ord"), ["side", "ord"], "left_anti").select("ord", "side", "target", "target_side", "seq", "keys"))
+
+
+def largest_group(small: DataFrame) -> int:
+    """Rows of the largest component that a fold takes as one."""
+    return components(block_links(small)).groupBy("component").count().agg(F.max("count")).first()[0] or 0
+
+
+def touched(archive: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Compact rows of the batch (side 1) and of the archive rows (side 0) that share a key with one of them; no other can take part."""
+    new = compact(incoming).withColumn("side", F.lit(1))
+    old = compact(archive).withColumn("side", F.lit(0))
+    known = block_links(old).join(block_links(new).select("key").distinct(), "key", "left_semi").select("ord").distinct()
+    return old.join(known, "ord", "left_semi").unionByName(new)
+
+
+def upsert(archive: DataFrame, incoming: DataFrame, only_changes: bool = False) -> DataFrame:
+    """Merge a batch into the archive: all rows, with ``_status`` kept, updated or added; ``only_changes``: those that the batch met, and the new ones.
+
+    Work starts from the batch: only archive rows that share a key with it are folded, in order, so rows see those that came before them in the
+    batch. Only compact rows go through Python; the wide columns are merged by ``null_fill`` in the order of the fold. Other rows go through as they are.
+    """
+    small = keep(touched(archive, incoming))
+    plan = keep(settled(small, assign))
     both = archive.withColumn("_side", F.lit(0)).unionByName(incoming.withColumn("_side", F.lit(1)), allowMissingColumns=True)
     both = both.withColumn("_id", F.struct("_side", "ord"))
-    small = _sided(archive, incoming)
-    part = components(block_links(small))
-    # only components that the batch touches are folded; rows of others stay
-    touched = part.where("side = 1").select("component").distinct()
-    plan = small.join(part, ["side", "ord"]).join(touched, "component", "left_semi").groupBy("component").applyInPandas(assign, "ord long, side int, target long, target_side int, seq long")
-    rest = part.join(touched, "component", "left_anti")
-    plan = plan.unionByName(rest.select("ord", "side", F.col("ord").alias("target"), F.col("side").alias("target_side"), F.lit(0).cast("long").alias("seq")))
     ranked = both.join(plan.select(F.struct(F.col("side").alias("_side"), "ord").alias("_id"), "target", "target_side", "seq"), "_id").drop("_id")
     old = F.max(F.when(F.col("_side") == 0, F.struct(*[c for c in archive.columns if c not in LAST]))).alias("_before")
     states = ranked.groupBy("target", "target_side").agg(old)
@@ -253,8 +340,8 @@ def upsert(archive: DataFrame, incoming: DataFrame) -> DataFrame:
     out = merged.join(states, ["target", "target_side"])
     now = F.struct(*[c for c in archive.columns if c not in LAST])
     status = F.when(F.col("target_side") == 1, F.lit("added")).when((F.col("_rows") > 1) & ~now.eqNullSafe(F.col("_before")), F.lit("updated")).otherwise(F.lit("kept"))
-    return out.withColumn("_status", status).drop("target", "target_side", "_before", "_rows")
-
-
-def _sided(archive: DataFrame, incoming: DataFrame) -> DataFrame:
-    return compact(archive).withColumn("side", F.lit(0)).unionByName(compact(incoming).withColumn("side", F.lit(1)))
+    out = out.withColumn("_status", status).drop("target", "target_side", "_before", "_rows")
+    if only_changes:
+        return out
+    rest = archive.join(plan.where("side = 0").select("ord"), "ord", "left_anti").withColumn("_status", F.lit("kept"))
+    return out.unionByName(rest, allowMissingColumns=True)
