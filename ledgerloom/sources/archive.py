@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions import urls as U
+from ledgerloom.sources import json_array as J
 
 
 def _fs(spark: SparkSession, path: str):
@@ -22,18 +23,55 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_archive(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Rows of a JSON array file, or of what ``write_atomic`` wrote as JSON, with their place as ``ord``.
+#: White space of JSON.
+BLANKS = r"^[ \t\r\n\ufeff]+"
 
-    A missing or broken file has none, and elements that are no objects go. A file is one text in one task, so one of more than 2 GB can't be
-    read, which is an error and never an empty archive; large archives belong in tables of many files.
+
+def read_archive(spark: SparkSession, path: str, schema: StructType, broken: str = "empty") -> DataFrame:
+    """Rows of a JSON array file of any size, or of what ``write_atomic`` wrote as JSON, with their place as ``ord``.
+
+    A missing file has no rows and neither has a broken one, unless ``broken`` is "error"; elements that are no objects go. An array is read in
+    many tasks; a wrapper object ({properties: []}, {items: []}) or a single object is one text in one task, 2 GB at most.
     """
     now = current(spark, path)
+    none = spark.createDataFrame([], schema)
+    none = none if "ord" in schema.names else none.withColumn("ord", F.lit(0).cast("long"))
     if now is None:
-        return spark.createDataFrame([], schema).withColumn("ord", F.lit(0).cast("long")).limit(0)
+        return none
     if now != path:
         return spark.read.schema(schema).json(now) if "ord" in schema.names else spark.read.schema(schema).json(now).withColumn("ord", F.monotonically_increasing_id())
-    return unwrap(spark.read.text(path, wholetext=True), schema)
+    parts, begins, kind = J.scan(spark, path)
+    if kind == "array":
+        rows = J.elements(spark, parts, begins)
+        if broken == "error" and not rows.where(_unsound("row")).isEmpty():
+            raise ValueError(f"{path} has elements that are no JSON")
+        return rows.select("ord", F.from_json("row", schema).alias("r")).select("ord", "r.*")
+    if kind == "object":
+        return unwrap(spark.read.text(path, wholetext=True), schema)
+    if broken == "error":
+        raise ValueError(f"{path} is no archive: {kind}")
+    return none.select("ord", *[c for c in none.columns if c != "ord"])
+
+
+def archive_state(spark: SparkSession, path: str) -> str:
+    """missing, table, array, empty (an array without elements), object, other, blank or broken."""
+    now = current(spark, path)
+    if now is None or now != path:
+        return "missing" if now is None else "table"
+    parts, begins, kind = J.scan(spark, path)
+    if kind != "array":
+        return kind
+    rows = J.elements(spark, parts, begins)
+    if not rows.where(_unsound("row")).isEmpty():
+        return "broken"
+    bare = F.regexp_replace(F.concat_ws("", F.collect_list("value")), r"[\s\ufeff]+", "")
+    return "empty" if rows.isEmpty() and parts.limit(2).agg(bare).first()[0] == "[]" else "array"
+
+
+def _unsound(row: str):
+    """A row that is no JSON object."""
+    whole = F.from_json(F.col(row), "struct<_corrupt_record: string>", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return whole.isNull() | whole["_corrupt_record"].isNotNull()
 
 
 def unwrap(texts: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
@@ -41,24 +79,25 @@ def unwrap(texts: DataFrame, schema: StructType, column: str = "value") -> DataF
 
     A document is split into its elements' texts first, so one that is no object spoils no other.
     """
-    text = F.ltrim(F.col(column))
+    bare = lambda x: F.regexp_replace(x, BLANKS, "")
+    text = bare(F.col(column))
     elements = lambda x: F.from_json(x, "array<string>", {"mode": "PERMISSIVE"})
     whole = F.from_json(text, "struct<properties: string, items: string, _corrupt_record: string>", {"columnNameOfCorruptRecord": "_corrupt_record"})
     sound = whole["_corrupt_record"].isNull() & whole.isNotNull()
-    inner = lambda name: F.when(F.startswith(F.ltrim(whole[name]), F.lit("[")), elements(whole[name]))
+    inner = lambda name: F.when(F.startswith(bare(whole[name]), F.lit("[")), elements(whole[name]))
     # a present list wins over the object that holds it
     rows = F.when(F.startswith(text, F.lit("[")), elements(text)).when(F.startswith(text, F.lit("{")) & sound, F.coalesce(inner("properties"), inner("items"), F.array(text)))
-    each = texts.select(F.posexplode(rows).alias("ord", "row")).where(F.startswith(F.ltrim("row"), F.lit("{")))
+    each = texts.select(F.posexplode(rows).alias("ord", "row")).where(F.startswith(bare(F.col("row")), F.lit("{")))
     return each.select(F.col("ord").cast("long").alias("ord"), F.from_json("row", schema).alias("r")).select("ord", "r.*")
 
 
 def read_object(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One JSON object as a row, or no row if the file is missing, broken or something else."""
+    """One JSON object as a row, or no row if the file is missing, broken or something else. It is one text, 2 GB at most."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    x = spark.read.text(path, wholetext=True)
-    v = F.try_parse_json("value")
-    return x.where(F.schema_of_variant(v).startswith("OBJECT")).select(F.from_json("value", schema).alias("r")).select("r.*")
+    text = F.regexp_replace("value", BLANKS, "")
+    x = spark.read.text(path, wholetext=True).select(text.alias("value")).where(F.startswith("value", F.lit("{")) & ~_unsound("value"))
+    return x.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def read_urls(spark: SparkSession, path: str, host: str) -> DataFrame:
