@@ -81,10 +81,11 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, ite
     found = C.stage(reduce(DataFrame.unionAll, [_found(staged, wins, n, small) for n in lengths]), "leak-found")
     # a hit's words are read from its document, which comes once with all its hits
     places = found.groupBy("_rid").agg(F.collect_list(F.struct("at", "length")).alias("hits"))
-    texts = C.semi(staged.select("_rid", "norm"), "_rid", found.select("_rid").distinct())
-    worded = places.join(texts, "_rid").select("_rid", "hits", F.split("norm", " ").alias("words"))
+    # split below the join: above it, Spark would move the split into the lambda and do it once a hit
+    texts = C.semi(staged.select("_rid", "norm"), "_rid", found.select("_rid").distinct()).select("_rid", F.split("norm", " ").alias("words"))
+    worded = places.join(texts, "_rid")
     cut = worded.select("_rid", F.transform("hits", lambda x: F.struct(x["at"].alias("at"), x["length"].alias("length"), F.array_join(_at("words", x["at"], x["length"]), " ").alias("w"))).alias("hits"))
-    rows = cut.select("_rid", F.explode("hits").alias("x")).select("_rid", "x.*")
+    rows = cut.select("_rid", F.explode_outer("hits").alias("x")).select("_rid", "x.*")
     known = wins.select("w", "class")
     sure = rows.join(F.broadcast(known) if small else known, "w")
     per = sure.groupBy("_rid").agg(F.collect_list(F.struct("at", "length")).alias("hits"), F.sort_array(F.collect_set("class")).alias("classes"))
