@@ -23,6 +23,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 #: White space of JSON.
 BLANKS = r"^[ \t\r\n\ufeff]+"
 
@@ -120,14 +125,35 @@ def _pointer(path: str) -> str:
     return f"{path}/_current"
 
 
+def pointed(spark: SparkSession, path: str) -> str | None:
+    """What the pointer of ``path`` says, or None if there is none."""
+    fs, p = _fs(spark, _pointer(path))
+    if not fs.exists(p):
+        return None
+    with contextlib.closing(fs.open(p)) as f:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(f, "UTF-8").strip()
+
+
+def point(spark: SparkSession, path: str, text: str) -> None:
+    """Turn the pointer of ``path`` by one rename, so that readers see what it said before or what it says now."""
+    fs, p = _fs(spark, path)
+    jvm = spark._jvm
+    note = jvm.org.apache.hadoop.fs.Path(f"{path}/_current.{uuid.uuid4().hex}.tmp")
+    out = fs.create(note, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(note), fs.makeQualified(_fs(spark, _pointer(path))[1]), options)
+
+
 def current(spark: SparkSession, path: str) -> str | None:
     """Where the rows of ``path`` are now: the version that it points to, or the path itself, or None if there is nothing."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
-    if fs.exists(_fs(spark, _pointer(path))[1]):
-        with contextlib.closing(fs.open(_fs(spark, _pointer(path))[1])) as f:
-            return f"{path}/{spark._jvm.org.apache.commons.io.IOUtils.toString(f, 'UTF-8').strip()}"
+    if (name := pointed(spark, path)) is not None:
+        return f"{path}/{name}"
     return None if fs.getFileStatus(p).isDirectory() and not fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]) else path
 
 
@@ -140,15 +166,8 @@ def write_atomic(df: DataFrame, path: str, fmt: str = "json") -> None:
     name, before = f"v-{uuid.uuid4().hex}", current(spark, path)
     writer = df.write.format(fmt)
     (writer.option("ignoreNullFields", "false") if fmt == "json" else writer).save(f"{path}/{name}")
+    point(spark, path, name)
     fs, p = _fs(spark, path)
-    jvm = spark._jvm
-    note = jvm.org.apache.hadoop.fs.Path(f"{path}/_current.{uuid.uuid4().hex}.tmp")
-    out = fs.create(note, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(note), fs.makeQualified(_fs(spark, _pointer(path))[1]), options)
     kept = {name, (before or "").rsplit("/", 1)[-1]}
     for status in fs.listStatus(p):
         own = status.getPath().getName()

@@ -165,7 +165,7 @@ def test_streaming_upsert(spark, tmp_path):
         store = Archive(spark, f"file://{tmp_path}/store", shape)
         store.run(spark.readStream.schema(shape).parquet(f"file://{tmp_path}/in"), f"file://{tmp_path}/marks")
     assert sorted((r["projectName"], r["price"]) for r in store.read(1).collect()) == [("Else", None), ("Sky Park", 5)]
-    assert spark.read.parquet(f"{store.path(1)}-latest").count() == 2
+    assert store.latest(1).count() == 2
     # a new checkpoint goes on from the archive
     again = Archive(spark, f"file://{tmp_path}/store", shape)
     again.run(spark.readStream.schema(shape).parquet(f"file://{tmp_path}/in"), f"file://{tmp_path}/marks2")
