@@ -134,14 +134,14 @@ def parse_date(x) -> Column:
 
 def parse_bhk(x) -> Column:
     text = _c(x).cast("string")
-    return F.coalesce(_found(text, r"(?i)(\d+(?:\.\d+)?)\s*BHK").cast("double").cast("long"), _found(text, r"^\s*(\d+)\.\d+\s*$").cast("long"), _found(text, r"(\d+)").cast("long"))
+    return F.coalesce(_found(text, r"(?i)(\d+(?:\.\d+)?)\s*BHK").try_cast("double").try_cast("long"), _found(text, r"^\s*(\d+)\.\d+\s*$").try_cast("long"), _found(text, r"(\d+)").try_cast("long"))
 
 
 def price_to_inr(x, unit=None) -> Column:
     """Whole rupees from text with or without crore and lakh; on-request phrases are NULL, never a number."""
     text = F.replace(F.trim(_c(x).cast("string")), F.lit(","), F.lit(""))
     plain = F.lower(text)
-    times = lambda number, factor: F.bround(number.try_cast("decimal(28,8)") * factor).cast("long")
+    times = lambda number, factor: F.bround(number.try_cast("decimal(28,8)") * factor).try_cast("long")
     bare = text.try_cast("decimal(28,8)")
     scale = F.lit(1)
     if unit is not None:
@@ -150,7 +150,7 @@ def price_to_inr(x, unit=None) -> Column:
         scale = F.coalesce(scale, F.when(bare < 1000, F.lit(10_000_000)).otherwise(F.lit(1)))
     else:
         scale = F.when(bare < 1000, F.lit(10_000_000)).otherwise(scale)
-    value = F.coalesce(times(_found(text, r"(?i)([\d.]+)\s*(?:cr|crore)s?"), 10_000_000), times(_found(text, r"(?i)([\d.]+)\s*(?:l|lac|lakh)s?"), 100_000), F.bround(bare * scale).cast("long"))
+    value = F.coalesce(times(_found(text, r"(?i)([\d.]+)\s*(?:cr|crore)s?"), 10_000_000), times(_found(text, r"(?i)([\d.]+)\s*(?:l|lac|lakh)s?"), 100_000), F.bround(bare * scale).try_cast("long"))
     asked = plain.isin(*L.PRICE_ON_REQUEST) | plain.rlike(r"\b(call\s+for\s+pric|price\s+on\s+(call|request)|on\s+request)\b")
     return F.when(~asked & (text != ""), value)
 
@@ -158,7 +158,7 @@ def price_to_inr(x, unit=None) -> Column:
 def parse_area(x) -> Column:
     """The first number, rounded half to even; a range is NULL."""
     text = F.replace(_c(x).cast("string"), F.lit(","), F.lit(""))
-    return F.when(~text.rlike(r"(?i)[\d.]+\s*[\-\u2013\u2014to]+\s*[\d.]+"), F.bround(_found(text, r"(\d+(?:\.\d+)?)").cast("decimal(28,8)")).cast("long"))
+    return F.when(~text.rlike(r"(?i)[\d.]+\s*[\-\u2013\u2014to]+\s*[\d.]+"), F.bround(_found(text, r"(\d+(?:\.\d+)?)").try_cast("decimal(28,8)")).try_cast("long"))
 
 
 def parse_bathrooms(x) -> Column:

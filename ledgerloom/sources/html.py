@@ -61,36 +61,55 @@ class Element:
 
 
 class Tree(HTMLParser):
+    """Elements of a page. Nothing that a page holds is an error: an odd declaration is no element and no text."""
+
     def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("#", {}, None)
+        self.open: dict[str, int] = {}
         self.feed(page)
         self.close()
 
+    def parse_html_declaration(self, i):
+        """Declarations that the parser knows go its way, others end with their bracket."""
+        if self.rawdata[i : i + 3] == "<![" or self.rawdata[i : i + 9].lower() != "<!doctype" and self.rawdata[i : i + 4] != "<!--":
+            end = self.rawdata.find(">", i + 2)
+            return end + 1 if end >= 0 else -1
+        return super().parse_html_declaration(i)
+
     def handle_starttag(self, tag, attrs):
         if tag == "p" and self.at.tag == "p":
-            self.at = self.at.parent
+            self._leave()
         x = Element(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.kids.append(x)
         if tag not in VOID:
             self.at = x
+            self.open[tag] = self.open.get(tag, 0) + 1
+
+    def _leave(self):
+        self.open[self.at.tag] -= 1
+        self.at = self.at.parent
 
     def handle_startendtag(self, tag, attrs):
         self.at.kids.append(Element(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag):
-        x = self.at
-        while x.parent is not None and x.tag != tag:
-            x = x.parent
-        if x.parent is not None:
-            self.at = x.parent
+        if self.open.get(tag):  # an end without a beginning would walk all the way up each time
+            while self.at.tag != tag:
+                self._leave()
+            self._leave()
 
     def handle_data(self, data):
         self.at.kids.append(data)
 
 
+def whole_characters(text: str) -> str:
+    """``text`` without halves of characters, which embedded JSON can name and no column holds."""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode("utf-8")
+
+
 def squeeze(text: str | None) -> str:
-    return " ".join((text or "").split())
+    return whole_characters(" ".join((text or "").split()))
 
 
 def ld_json(tree: Element) -> list[dict]:
@@ -100,7 +119,7 @@ def ld_json(tree: Element) -> list[dict]:
         if "ld+json" in s.attrs.get("type", "").lower():
             try:
                 data = json.loads("".join(k for k in s.kids if isinstance(k, str)))
-            except ValueError:
+            except (ValueError, RecursionError):
                 continue
             out += [x for x in (data if isinstance(data, list) else [data]) if isinstance(x, dict)]
     return out
@@ -111,6 +130,8 @@ def questions(tree: Element) -> list[dict]:
     found: dict[str, dict] = {}
 
     def add(q, a):
+        if not all(x is None or isinstance(x, str) for x in (q, a)):
+            return
         q, a = squeeze(q), squeeze(a)
         if q and len(a) >= LEAST_ANSWER and not any(n in a.lower() for n in NOISE):
             found.setdefault(q.lower(), {"question": q, "answer": a})
@@ -119,12 +140,23 @@ def questions(tree: Element) -> list[dict]:
         head = next(d.every("summary"), None)
         if head is not None:
             add(head.text(), " ".join(k if isinstance(k, str) else k.text() for k in d.kids if k is not head))
+    after_of: dict[Element, tuple[dict, list]] = {}  # of a parent: places of its children, and the next element after each place
+
+    def following(h):
+        if h.parent not in after_of:
+            kids, nearest, then = h.parent.kids, None, [None] * len(h.parent.kids)
+            for k in range(len(kids) - 1, -1, -1):
+                then[k] = nearest
+                nearest = kids[k] if isinstance(kids[k], Element) else nearest
+            after_of[h.parent] = {id(x): k for k, x in enumerate(kids)}, then
+        places, then = after_of[h.parent]
+        return then[places[id(h)]]
+
     for h in tree.every("h2", "h3", "h4", "button"):
         q = squeeze(h.text())
         if "?" not in q and not q.lower().startswith(ASKING) or not (q.endswith("?") or q.lower().startswith((*ASKING, "is ", "are ", "why "))):
             continue
-        after = h.parent.kids[h.parent.kids.index(h) + 1 :]
-        nearest = next((k for k in after if isinstance(k, Element)), None)
+        nearest = following(h)
         answer = squeeze(nearest.text()) if nearest is not None else squeeze(h.parent.text()).replace(q, "", 1)
         add(q if q.endswith("?") else q + "?", answer)
     lines = "\n".join(x for x in map(squeeze, tree.text().split("\n")) if x)
@@ -139,8 +171,9 @@ def questions(tree: Element) -> list[dict]:
     return list(found.values())
 
 
-def page_extras(page: str | None) -> dict:
-    tree = Tree(page or "").root
+def page_extras(page: str | None, tree: Element | None = None) -> dict:
+    """What the markup tells; ``tree``: the page's elements, if they are known already."""
+    tree = tree or Tree(page or "").root
     meta = {}
     for m in tree.every("meta"):
         meta.setdefault((m.attrs.get("name") or m.attrs.get("property") or "").lower(), m.attrs.get("content", ""))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -26,6 +27,7 @@ UNIT_FIELDS = ("bhk", "carpet", "super", "bathrooms", "price", "price_unit")
 PROJECT_FIELDS = ("project", "slug", "developer", "city", "locality", "address", "kind", "possession", "possession_date", "rera", "latitude", "longitude", "least_price")
 LIST_FIELDS = ("amenities", "highlights", "images", "blurbs")
 PAYLOAD = ", ".join([*(f"{f} string" for f in PROJECT_FIELDS), *(f"{f} array<string>" for f in LIST_FIELDS), f"units array<struct<{', '.join(f'{f}: string' for f in UNIT_FIELDS)}>>"])
+READ = S.StructType([S.StructField("_p", S.StringType()), *H.EXTRAS.fields])
 BATHS = ("bathroom", "bathrooms", "number_of_bathrooms", "bath", "Bath", "washroom", "washrooms")
 BLURBS = ("connectivity", "business", "education", "entertainment", "hospital", "shopping", "nearbyPlaces")
 
@@ -37,6 +39,8 @@ WRITTEN_RERA = r"(?i)\b((?:GGM|UPRERAPRJ|HRERA)[A-Z0-9/.\-]{6,})\b"
 WRITTEN_PRICE = r"(?i)(?:Prices?\s+begin\s+at|Starting\s+(?:price|from)|Entry\s+price)\s*(?:is\s*)?(?:₹|Rs\.?)\s*([\d.,]+\s*(?:Crore|Cr|Lakh|Lac)?)"
 #: Pictures and amenities that are taken from the page's elements at most, as the portals' rules have it.
 MOST_PICTURES, MOST_AMENITIES = 12, 40
+#: Units that the text portal's rules take from a page; the inline portal's take all.
+MOST_WRITTEN = 30
 
 _decoder = json.JSONDecoder()
 
@@ -45,10 +49,15 @@ def json_at(text: str, start: int):
     """The JSON value that starts at ``start``, or None."""
     try:
         return _decoder.raw_decode(text, start)[0]
-    except ValueError:
+    except (ValueError, RecursionError):  # broken, or nested too deeply to be any portal's data
         return None
 
 
+def listing(value) -> list:
+    """The value if it is a list, else no elements."""
+    return value if isinstance(value, list) else []
+
+
 def value_after(text: str, key: str):
     m = re.search(rf'"{re.escape(key)}"\s*:\s*', text)
     return json_at(text, m.end()) if m else None
@@ -64,14 +73,46 @@ def pushed_strings(page: str) -> list[str]:
     return out
 
 
+#: Texts and braces: what the nesting of objects follows from.
+NESTING = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[{}]', re.S)
+
+
 def objects_before(text: str, marker: str, reach: int = 8000):
-    """Objects that hold ``marker``: from each brace within ``reach`` characters before it."""
-    for m in re.finditer(re.escape(marker), text):
-        for b in re.finditer(r"\{", text[max(0, m.start() - reach) : m.start()]):
-            start = max(0, m.start() - reach) + b.start()
-            value = json_at(text, start)
-            if isinstance(value, dict) and marker.strip('"') in value:
-                yield value
+    """Objects that hold ``marker`` as a key and begin within ``reach`` characters before it, outermost first, each once.
+
+    One pass tells which braces are open at each marker, so only those are read, and none twice. Where a page's quotes do not pair, a marker is
+    taken for text there; then each brace within reach is tried, from the nearest.
+    """
+    markers = [m.start() for m in re.finditer(re.escape(marker), text)]
+    if not markers:
+        return
+    seen: set[int] = set()
+    known: dict[int, object] = {}
+
+    def read(start: int):
+        if start not in known:
+            known[start] = json_at(text, start)
+        return known[start]
+
+    key, spots, stack, open_at = marker.strip('"'), set(markers), [], {}
+    for m in NESTING.finditer(text):
+        if m[0] == "{":
+            stack.append(m.start())
+        elif m[0] == "}":
+            if stack:
+                stack.pop()
+        elif m.start() in spots:
+            open_at[m.start()] = stack[bisect_left(stack, m.start() - reach) :]
+    for at in markers:
+        holds = [s for s in open_at.get(at, ()) if isinstance(v := read(s), dict) and key in v]
+        back = at
+        while not holds and (back := text.rfind("{", max(0, at - reach), back)) >= 0:
+            if isinstance(v := read(back), dict) and key in v:
+                holds = [back]
+        for s in holds:
+            if s not in seen:
+                seen.add(s)
+                yield known[s]
 
 
 def richest(values, weigh: Callable[[dict], int]) -> dict:
@@ -117,6 +158,21 @@ def words_of(value, *names) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+def numeral(value) -> str | None:
+    """A number as it is compared: that of ``3``, ``'3 BHK'`` and ``'1,500 sq ft'``; the text itself where there is none."""
+    if isinstance(value, bool) or value is None:
+        return None
+    if isinstance(value, (int, float)):
+        return f"{value:g}"
+    if not isinstance(value, str):
+        return None
+    m = re.search(r"\d[\d,]*\.?\d*", value)
+    try:
+        return f"{float(m[0].replace(',', '')):g}" if m else value.strip().lower()
+    except ValueError:
+        return value.strip().lower()
+
+
 def image_urls(*values) -> list[str]:
     flat = []
     for v in values:
@@ -127,6 +183,16 @@ def image_urls(*values) -> list[str]:
     return list(dict.fromkeys(flat))
 
 
+class Page(str):
+    """A page's text, with its elements parsed once, when they are first asked for."""
+
+    @property
+    def root(self) -> H.Element:
+        if not hasattr(self, "_root"):
+            self._root = H.Tree(self).root
+        return self._root
+
+
 @dataclass(frozen=True)
 class Portal:
     """One source: its host, how to find its data, and what its fields are called."""
@@ -151,14 +217,22 @@ class Portal:
     #: Addresses of projects on listing pages; {host} is the portal's.
     listing: str | None = None
 
-    def pictured(self, page: str) -> list[str]:
+    def pictured(self, page: "Page") -> list[str]:
         """Addresses of the page's own pictures at this portal's host."""
-        found = ("https:" + u if u.startswith("//") else u for x in H.Tree(page).root.every("img") if (u := x.attrs.get("src") or ""))
+        found = ("https:" + u if u.startswith("//") else u for x in page.root.every("img") if (u := x.attrs.get("src") or ""))
         return list(dict.fromkeys(u for u in found if u.startswith("http") and self.host.removeprefix("www.") in u))
 
     def payload(self, page: str | None) -> str | None:
         """The page's fields as JSON; None for a page that is blocked or none of this portal's projects."""
-        page = page or ""
+        return self.read(page)[0]
+
+    def read(self, page: str | None) -> tuple[str | None, dict | None]:
+        """The payload, and what the markup tells (``html.page_extras``), from one parse of the page."""
+        page = Page(page or "")
+        text = self._payload(page)
+        return text, None if text is None else H.page_extras(page, page.root)
+
+    def _payload(self, page: "Page") -> str | None:
         if len(page) < self.least_length or self.blocked and self.blocked in page:
             return None
         data = self.find(page)
@@ -176,7 +250,7 @@ class Portal:
         out["units"] = self.units(page, data)
         clean = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
         out = {k: v if k in LIST_FIELDS else [{f: clean(u.get(f)) for f in UNIT_FIELDS} for u in v] if k == "units" else clean(v) for k, v in out.items()}
-        return json.dumps(out)
+        return H.whole_characters(json.dumps(out, ensure_ascii=False))
 
 
 def _listed(*paths, bhk=(), carpet=(), super_=(), price=("price",), unit=("priceUnit", "price_unit")):
@@ -187,22 +261,30 @@ def _listed(*paths, bhk=(), carpet=(), super_=(), price=("price",), unit=("price
     return units
 
 
+AREA_KINDS = {"CARPET": "carpet", "SUPER": "super", "SUPER_BUILTUP": "super", "SBA": "super", "BUILTUP": "super", "BUILT_UP": "super"}
+
+
 def _floor_plans(page: str, data: dict) -> list[dict]:
-    """Nested plans: configurations hold tuples, tuples hold areas by kind; equal units once, whatever their price."""
+    """Nested plans: configurations hold tuples, tuples hold areas by kind; units that are equal as numbers once, whatever their price.
+
+    What is not of the expected shape, at whatever level, is passed over.
+    """
     plans, out = value_after(page, "floorPlans"), {}
-    for c in pick(plans, ("data.configurations",)) or [] if isinstance(plans, dict) else []:
-        for t in c.get("tuples") or [] if isinstance(c, dict) else []:
+    for c in listing(pick(plans, ("data.configurations",))) if isinstance(plans, dict) else []:
+        for t in listing(c.get("tuples")) if isinstance(c, dict) else []:
+            if not isinstance(t, dict):
+                continue
             areas = {}
-            for a in t.get("areaType") or []:
-                kind = str(a.get("id") or "").upper()
-                areas["carpet" if kind == "CARPET" else "super" if kind in ("SUPER", "SUPER_BUILTUP", "SBA", "BUILTUP", "BUILT_UP") else "other"] = pick(a, ("area.min",))
+            for a in listing(t.get("areaType")):
+                if isinstance(a, dict):
+                    areas[AREA_KINDS.get(str(a.get("id") or "").upper(), "other")] = pick(a, ("area.min",))
             price = pick(t, ("price.value", "price.min", "price", "minPrice.value", "minPrice"))
             unit = {"bhk": pick(c, ("bedroom", "label", "configLabel")), "carpet": areas.get("carpet"), "super": areas.get("super"), "bathrooms": pick(t, BATHS) or pick(c, BATHS), "price": price}
-            out.setdefault(tuple(str(unit[k]) for k in ("bhk", "carpet", "super", "bathrooms")), unit)
+            out.setdefault(tuple(numeral(unit[k]) for k in ("bhk", "carpet", "super", "bathrooms")), unit)
     return list(out.values())
 
 
-def _written(pattern: str, most: int = 30):
+def _written(pattern: str, most: int | None = None):
     def units(page: str, data: dict) -> list[dict]:
         found = dict.fromkeys((m[1], m[2].replace(",", "")) for m in re.finditer(pattern, page))
         return [{"bhk": b, "super": a} for b, a in list(found)[:most]]
@@ -212,7 +294,7 @@ def _written(pattern: str, most: int = 30):
 
 def _pushed(page: str) -> dict:
     found = (o for s in pushed_strings(page) if "projectName" in s for o in objects_before(s + " ", '"projectName"'))
-    return richest(found, lambda o: len(o) + 100 * bool(o.get("projectName")) + 10 * len(o.get("BhK_Details") or []) + 20 * bool(o.get("Amenities")))
+    return richest(found, lambda o: len(o) + 100 * bool(o.get("projectName")) + 10 * len(listing(o.get("BhK_Details"))) + 20 * bool(o.get("Amenities")))
 
 
 def _next_data(page: str) -> dict:
@@ -221,7 +303,7 @@ def _next_data(page: str) -> dict:
 
 
 def _product(page: str) -> dict:
-    return next((x for x in H.ld_json(H.Tree(page).root) if x.get("@type") == "Product"), {})
+    return next((x for x in H.ld_json(page.root) if x.get("@type") == "Product"), {})
 
 
 def _inline(page: str) -> dict:
@@ -230,14 +312,14 @@ def _inline(page: str) -> dict:
 
 def _headed(page: str) -> dict:
     """A page that is written text: the project is its heading, cut before the sector."""
-    heading = next((H.squeeze(x.text()) for x in H.Tree(page).root.every("h1")), "")
+    heading = next((H.squeeze(x.text()) for x in page.root.every("h1")), "")
     cut = re.match(r"(?i)(.+?)\s+Sector\s+\d+[A-Za-z]?\s*,", heading)
     return {"heading": cut[1] if cut else heading, "about": _about(page)}
 
 
 def _about(page: str) -> str | None:
     """The name in the first text that begins with "About", from the element that holds it."""
-    for x in H.Tree(page).root.every(*"h1 h2 h3 h4 h5 h6 p div span strong b a li".split()):
+    for x in page.root.every(*"h1 h2 h3 h4 h5 h6 p div span strong b a li".split()):
         if any(isinstance(k, str) and re.match(r"(?i)\s*About\s+", k) for k in x.kids):
             m = re.match(r"About\s+([A-Za-z0-9 &.]{2,60})", H.squeeze(x.text()))
             return m[1].strip() if m else None
@@ -252,7 +334,7 @@ def _named_amenities(page: str) -> list[str]:
 def _listed_amenities(page: str) -> list[str]:
     """Items of lists within an element whose class tells of amenities."""
     out: dict[str, None] = {}
-    for item in H.Tree(page).root.every("li"):
+    for item in page.root.every("li"):
         x = item.parent
         while x is not None and "amenit" not in x.attrs.get("class", "").lower():
             x = x.parent
@@ -280,7 +362,7 @@ def registry(hosts: dict[str, str]) -> dict[str, Portal]:
             "project": ("projectName",), "developer": ("devName",), "city": ("cityName",), "locality": ("localityName", "lmtDName"), "latitude": ("psmLatitude",), "longitude": ("psmLongitude",), "images": ("image",), "least_price": ("minPrice", "schemaPriceMin")},
             _written(r"(?i)(\d+)\s*BHK\s*(?:Flat|Apartment|Villa)?\s*([\d,]+)\s*sq\.?\s*ft"), patterns={"rera": r"(?i)RERA\s*ID\s*:\s*([A-Z0-9/.\-]+(?:\s+DATED\s+[0-9.]+)?)", "possession_date": r"(?i)Possession\s+([A-Za-z]{3}'?\d{2})"},
             listing=r"(?i)(?:https?://(?:www\.)?{host})?/[a-z0-9\-]+-pdpid-[a-z0-9]+"),
-        "text": lambda h: Portal("text", h, _headed, {"project": ("heading",), "developer": ("about",)}, _written(r"(?is)(\d+)\s*BHK.{0,80}?([\d,.]{3,6})\s*(?:Sq\.?\s*Ft|sqft)"), least_length=5000,
+        "text": lambda h: Portal("text", h, _headed, {"project": ("heading",), "developer": ("about",)}, _written(r"(?is)(\d+)\s*BHK.{0,80}?([\d,.]{3,6})\s*(?:Sq\.?\s*Ft|sqft)", MOST_WRITTEN), least_length=5000,
             patterns={"rera": WRITTEN_RERA, "possession_date": rf"(?i)Possession[^A-Za-z0-9]{{0,40}}({MONTH}\s+\d{{4}})", "least_price": WRITTEN_PRICE},
             cities=MORE_CITY_TOKENS, headed=True, pictures=True, amenity=_listed_amenities, kinds={"commercial-property": "Commercial"}, listing=r"(?i)(?:https?://(?:www\.)?{host})?/[a-z\-]+-(?:residential|commercial)-property/[a-z0-9\-]+/\d+/project"),
     }
@@ -328,11 +410,13 @@ def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html"
     price_is_project_level is true.
     """
 
-    @F.pandas_udf(S.StringType())
-    def payload(p: pd.Series) -> pd.Series:
-        return p.map(portal.payload)
+    @F.pandas_udf(READ)
+    def read(p: pd.Series) -> pd.DataFrame:
+        rows = [{"_p": text, **(told or dict.fromkeys(H.EXTRAS.names))} for text, told in map(portal.read, p)]
+        return pd.DataFrame(rows, columns=READ.names)
 
-    x = H.extras(pages.withColumn("_p", payload(html)), html).where("_p is not null").withColumn("p", F.from_json("_p", PAYLOAD))
+    told = pages.withColumns({"_r": read(html), "point": H.coordinates(html)}).where("_r._p is not null")
+    x = told.select(*[c for c in pages.columns if c != html], "_r.*", "point").withColumn("p", F.from_json("_p", PAYLOAD))
     project = F.coalesce(T.clean_text("p.project"), T.strip_decorative("h1"), F.lit(UNKNOWN))
     x = x.withColumns({"_project": project, "_overview": H.overview(F.col("paragraphs"), project)})
     u = x.select("*", F.posexplode_outer("p.units").alias("_pos", "_u"))
