@@ -273,6 +273,19 @@ def longer(table: DataFrame, before: DataFrame) -> DataFrame:
     return both.select("lang", "id", "f", "p", "q", F.concat("first", F.array("last")).alias("words"), F.concat("pre", own).alias("pre"), F.concat("suf", own).alias("suf"))
 
 
+def lowest_cut(f: str, n: str):
+    """(score, k, l, r) of the cut with the lowest score, ties to the first, by columns pre and suf; products have 38 digits."""
+    big = lambda x: x.cast("decimal(19,0)")
+    m = F.size("pre")
+
+    def cut(k):
+        left, right = F.col("pre")[k - 1], F.col("suf")[m - k - 1]
+        score = F.call_function("div", big(F.col(f)) * big(F.col(n)) * F.lit(1000).cast("decimal(4,0)"), big(left) * big(right))
+        return F.struct(score.alias("score"), k.alias("k"), left.alias("l"), right.alias("r"))
+
+    return F.array_min(F.transform(F.sequence(F.lit(1), m - 1), cut))
+
+
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, top: int = TOP, keys: int = KEYS, key_bytes: int = KEY_BYTES, buffer: int = BUFFER) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
@@ -302,16 +315,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longes
             own = own.join(over, ["lang", "id"], "left").where("over is null or over < f")
         own = own.select("lang", F.array_join("words", " ").alias("phrase"), "f", "pre", "suf")
         found = own if found is None else found.unionAll(own)
-    big = lambda x: x.cast("decimal(19,0)")
     scored = found.join(totals, "lang")
-    m = F.size("pre")
-
-    def cut(k):
-        left, right = F.col("pre")[k - 1], F.col("suf")[m - k - 1]
-        score = F.call_function("div", big(F.col("f")) * big(F.col("n")) * F.lit(1000).cast("decimal(4,0)"), big(left) * big(right))
-        return F.struct(score.alias("score"), k.alias("k"), left.alias("l"), right.alias("r"))
-
-    lowest = F.array_min(F.transform(F.sequence(F.lit(1), m - 1), cut))
-    best = scored.select("lang", "phrase", F.col("f").alias("a"), "n", lowest.alias("x")).select("lang", "phrase", "a", "x.l", "x.r", "n", "x.score")
+    best = scored.select("lang", "phrase", F.col("f").alias("a"), "n", lowest_cut("f", "n").alias("x")).select("lang", "phrase", "a", "x.l", "x.r", "n", "x.score")
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
     return best.withColumn("rank", place.cast("long")).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -6,9 +6,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from ledgerloom.llm import common, decontamination, prefix_trie
+from ledgerloom.llm import common, decontamination, phrases, prefix_trie
 
 SHA = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
@@ -165,3 +166,84 @@ def test_trie_empty(spark):
     assert prefix_trie.trie(none).collect() == []
     assert [tuple(r) for r in prefix_trie.trie(spark.createDataFrame([(20, 1, "u", "a b")], none.schema)).orderBy("depth").collect()][1][1] == 1
     common.sweep(spark)
+
+
+# --- phrases ----------------------------------------------------------------------------------------------------------
+
+
+def sayings(seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(400):
+        lang = rng.choice(["en", "en", "de", None])
+        words = [rng.choice(["The", "cat", "sat", "on", "a", "mat", "x", "É", f"rare{rng.randrange(300)}"]) for _ in range(rng.randrange(12))]
+        text = " ".join(words)
+        if rng.random() < 0.5:
+            text += rng.choice([". ", "\n", " ", "\t"]) + "new york city hall" + rng.choice(["", " tour", "! tour", ","])
+        rows.append((k, text, lang, "key"))
+    return [*rows, (1000, None, "en", "key"), (1001, " .,;", "en", "key"), (1002, "a a a a a a a", "de", "key"), (1, rows[1][1], rows[1][2], "key")]
+
+
+def collocated(rows, least, top):
+    f, n = defaultdict(Counter), Counter()
+    for _, text, lang, *_ in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(w)
+            for m in range(1, 6):
+                for i in range(len(w) - m + 1):
+                    f[lang or "und"][tuple(w[i : i + m])] += 1
+    out = []
+    for lang, own in f.items():
+        cands = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        inner = {q for p, a in cands.items() for m in range(2, len(p)) for i in range(len(p) - m + 1) if a >= cands[q := p[i : i + m]]}
+        scored = []
+        for p, a in cands.items():
+            if p not in inner:
+                s, k = min((1000 * a * n[lang] // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-s, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        out += [(lang, r, p.decode(), -a, le, ri, n[lang], -s) for r, (s, a, p, le, ri) in enumerate(sorted(scored)[:top], 1)]
+    return out
+
+
+@pytest.mark.parametrize("more", [{}, {"keys": 3, "buffer": 50}, {"top": 7, "key_bytes": 10}])
+def test_phrases(spark, more):
+    rows = sayings(6)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, key string").repartition(3)
+    found = phrases.collocations(frame, least=8, **more).collect()
+    expected = collocated(rows, 8, more.get("top", phrases.TOP))
+    assert sorted(map(tuple, found)) == sorted(expected) and len(expected) > 15
+    assert any(len(x[2].split()) == 5 for x in expected) == any(len(r["phrase"].split()) == 5 for r in found)
+
+
+def test_tiles():
+    rng = np.random.default_rng(1)
+    a = np.concatenate((rng.integers(0, 3000, 20_000), rng.integers(0, 5, 20_000), [2047, 2048, 0, 255, 256]))
+    b = np.concatenate((rng.integers(0, 3000, 20_000), rng.integers(0, 5, 20_000), [2047, 0, 2048, 256, 255]))
+    keys, n = phrases.counted(a << 32 | b)
+    assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == Counter((a << 32 | b).tolist()) and len(set(keys.tolist())) == len(keys)
+
+
+def test_packed_ids():
+    for ids, kept in (([], []), ([1], []), ([1, -1, 2], []), ([1, 2, -1, -1, 3, -1, 4, 5, 6], [1, 2, -1, 4, 5, 6]), ([-1, 7, 8, -1], [7, 8, -1])):
+        assert np.frombuffer(phrases.packed(np.array(ids, np.int64)), "<i4").tolist() == kept
+
+
+def test_scores_beyond_64_bits(spark):
+    huge = 3 * 10**12
+    before = spark.createDataFrame([("en", 0, huge, ["a"], [huge], [huge]), ("en", 1, huge, ["b"], [huge], [huge])], "lang string, id long, f long, words array<string>, pre array<long>, suf array<long>")
+    [r] = phrases.longer(spark.createDataFrame([("en", 0, 1, 2 * 10**12)], "lang string, id long, key long, f long"), before).collect()
+    assert (r["words"], r["pre"], r["suf"]) == (["a", "b"], [huge, 2 * 10**12], [huge, 2 * 10**12])
+    rows = spark.createDataFrame([("x", 2 * 10**12, 4 * 10**13, r["pre"], r["suf"])], "phrase string, f long, n long, pre array<long>, suf array<long>")
+    score = rows.select(phrases.lowest_cut("f", "n").alias("x")).first()["x"]
+    assert score["score"] == 1000 * 2 * 10**12 * 4 * 10**13 // (huge * huge)
+
+
+def test_long_texts_and_no_rows(spark, monkeypatch):
+    text = ". ".join(["one two three"] * 30)
+    whole = sorted(phrases.tokens([text.encode()]))
+    monkeypatch.setattr(common, "SLICE_BYTES", 40)
+    cut = phrases.parts(text.encode())
+    assert len(cut) > 5 and sorted(t for p in cut for t in phrases.tokens([p]) if t != b".") == [t for t in whole if t != b"."]
+    assert phrases.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
+    assert phrases.collocations(spark.createDataFrame([("rare words here", "en")], "text string, lang string")).count() == 0
