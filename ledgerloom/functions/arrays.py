@@ -58,6 +58,17 @@ def union_in_order(rank: Column, array: Column) -> Column:
     return F.array_distinct(in_order(rank, array))
 
 
+def running_names(ladders: Column) -> Column:
+    """A name for each ladder of candidates, in order: the first candidate that no ladder before took, else the last with the least number from 2 on that is free."""
+
+    def pick(taken, ladder):
+        free = lambda c: ~F.array_contains(taken, c)
+        numbered = F.transform(F.sequence(F.lit(2), F.size(taken) + 2), lambda n: F.concat(F.element_at(ladder, -1), F.lit("-"), n.cast("string")))
+        return F.coalesce(F.try_element_at(F.filter(ladder, free), F.lit(1)), F.try_element_at(F.filter(numbered, free), F.lit(1)))
+
+    return F.aggregate(ladders, F.array().cast("array<string>"), lambda taken, ladder: F.concat(taken, F.array(pick(taken, ladder))))
+
+
 def images(array: Column) -> Column:
     """Images renumbered: one for each url, order by place, the first is primary and never a mere gallery image."""
     named = F.filter(F.transform(array, lambda x: F.struct(F.trim(x["url"]).alias("url"), x["type"].alias("type"))), lambda x: x["url"] != "")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import arrays as A
 from ledgerloom.functions import text as T
 from ledgerloom.functions import urls as U
-from ledgerloom.operators import dedupe, discover, identity, media, merge, quality, schema
+from ledgerloom.operators import audit, dedupe, discover, identity, media, merge, quality, schema
 from ledgerloom.plans import views as V
 from ledgerloom.sources import html
 from ledgerloom.sources.tables import table
@@ -230,6 +230,59 @@ def frontier(spark, sf_dir):
     return discover.frontier(links, spark.sql("select 1L as node"), 3)
 
 
+_CRAWL = """links as (select distinct l_orderkey as page, l_partkey as next from lineitem), finds as (select distinct l_orderkey as page, l_suppkey as item from lineitem),
+    seeds as (select n_nationkey as seed, n_nationkey * 7 + 1 as page from nation), adj as (select page, list(next order by next) as kids from links group by page)"""
+
+
+@query(f"""with recursive {_CRAWL}, st(seed, visited, queue, n) as (
+        select seed, []::bigint[], [page::bigint], 0 from seeds
+        union all select seed, list_append(visited, queue[1]), list_concat(queue[2:], list_filter(coalesce(kids, []), lambda x: not list_contains(visited, x) and not list_contains(queue, x))), n + 1 from st left join adj on adj.page = queue[1] where len(queue) > 0 and n < 30),
+    done as (select seed, arg_max(visited, n) as visited from st group by seed), v as (select seed, visited, unnest(range(1, len(visited) + 1)) as visit from done),
+    own as (select seed, item, min(visit) as visit from v join finds on finds.page = visited[visit] group by seed, item),
+    f as (select *, row_number() over (partition by item order by seed, visit) as k from own)
+    select item, seed::bigint as seed, visit::bigint as visit, row_number() over (order by seed, visit, item) as rank from f where k = 1""")
+def crawl_with_budget(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    seeds = table(spark, sf_dir, "nation").selectExpr("n_nationkey as seed", "n_nationkey * 7 + 1 as page")
+    return discover.crawl(lines.selectExpr("l_orderkey as page", "l_partkey as next"), lines.selectExpr("l_orderkey as page", "l_suppkey as item"), seeds)
+
+
+_SEEDS = "select page_id as ord, case page_id % 3 when 0 then 'residential' else 'commercial' end as category, case page_id % 4 when 0 then url || '?page=2' when 1 then url || '/' else url end as url from pages"
+
+
+@query(f"""with s as ({_SEEDS}), b as (select regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as bare, nullif(regexp_extract(url, '[?]([^#]*)', 1), '') as q from s where category = 'commercial')
+    select bare as url from b union select bare || '/' from b union select bare || '?' || q from b where q is not null union select bare || '/?' || q from b where q is not null""")
+def seed_forms(spark, sf_dir):
+    table(spark, sf_dir, "pages").createOrReplaceTempView("pages")
+    return discover.seed_forms(discover.seeds_of(spark.sql(_SEEDS), "commercial"))
+
+
+@query(f"""with s as ({_SEEDS}), b as (select distinct regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as bare from s where category = 'residential')
+    select page_id, url from pages where regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') not in (select bare from b)""")
+def without_seeds(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages.createOrReplaceTempView("pages")
+    return discover.without_seeds(pages, discover.seeds_of(spark.sql(_SEEDS), " Residential "))
+
+
+_LADDERS = "select l_orderkey, l_linenumber, l_partkey, l_suppkey, 'u' || cast(l_partkey % 2 as {S}) || case when l_linenumber % 3 = 0 then '-2' else '' end as name, case when l_suppkey % 2 = 0 then 'u' || cast(l_partkey % 2 as {S}) || '-sized' end as sized from lineitem"
+
+
+@query(f"""with recursive l as ({_LADDERS.format(S="varchar")}), n as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as k from l),
+    f(l_orderkey, k, taken) as (
+        select l_orderkey, 0, []::varchar[] from (select distinct l_orderkey from n)
+        union all select f.l_orderkey, f.k + 1, list_append(taken, case when not list_contains(taken, name) then name when sized is not null and not list_contains(taken, sized) then sized
+            else list_filter(list_transform(range(2, len(taken) + 3), lambda x: coalesce(sized, name) || '-' || x::varchar), lambda y: not list_contains(taken, y))[1] end)
+        from f join n on n.l_orderkey = f.l_orderkey and n.k = f.k + 1)
+    select l_orderkey, array_to_string(arg_max(taken, k), '|') as names from f group by l_orderkey""")
+def running_names(spark, sf_dir):
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
+    rows = spark.sql(_LADDERS.format(S="string"))
+    ladder = F.array_compact(F.array("name", "sized"))
+    lists = rows.groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", ladder.alias("ladder")))), lambda x: x["ladder"]).alias("ladders"))
+    return lists.select("l_orderkey", F.array_join(A.running_names(F.col("ladders")), "|").alias("names"))
+
+
 @query("select page_id, url_key from (select *, row_number() over (partition by url_key order by page_id) as n from (" + _PAGES + ")) where n = 1")
 def ordered_distinct(spark, sf_dir):
     return discover.first_of_each(table(spark, sf_dir, "pages").select("page_id", U.url_key("url").alias("url_key")), "url_key", "page_id")
@@ -305,6 +358,30 @@ def enum_and_type_violations(spark, sf_dir):
     return quality.violations(_export(spark, sf_dir))
 
 
+_RAW_ROWS = """select p_partkey as ord, case p_partkey % 9 when 0 then '[1, 2]' when 1 then '"text"' when 2 then '{"title": ' else concat('{"title": "', p_name, '", "city": ', case p_partkey % 5 when 0 then 'null' when 1 then '""' when 2 then '0' else '"Pune"' end,
+    ', "listingType": ', case p_partkey % 4 when 0 then '"BUY"' when 1 then '"LEND"' when 2 then '7' else 'null' end, ', "status": "ACTIVE", "price": ', case p_partkey % 6 when 0 then '"1,500"' when 1 then '12.5' when 2 then '[3]' when 3 then 'true' else '900' end,
+    ', "bhk": ', case p_partkey % 7 when 0 then '{"n": 2}' else '2' end, ', "images": ', case p_partkey % 8 when 0 then '"http://i"' when 1 then '[{"url": "http://i"}, {"url": ""}, 3]' when 2 then '[{"type": "x"}]' when 3 then '[]' else '[{"url": "http://i"}]' end,
+    ', "amenities": ', case p_partkey % 3 when 0 then '["Gym", "+3 More", " + 2 more "]' else '"Gym"' end, '}') end as json from part"""
+
+
+@query(f"""with r as ({_RAW_ROWS}), j as (select ord, case when json_valid(json) then json::json end as j from r), k as (select ord, j, json_type(j) as kind from j),
+    o as (select ord, j, left(coalesce(j ->> '$.title', ''), 60) as title from k where kind = 'OBJECT'),
+    im as (select ord, title, e.i - 1 as i, json_extract(j, '$.images[' || (e.i - 1)::varchar || ']') as x from o, lateral (select unnest(range(1, coalesce(json_array_length(j, '$.images'), 0)::bigint + 1)) as i) e where json_type(j, '$.images') = 'ARRAY'),
+    bad as (select ord, title, min(i) as i, arg_min(x, i) as x from im where json_type(x) <> 'OBJECT' or coalesce(x ->> '$.url', '') = '' group by all),
+    am as (select ord, title, trim(unnest(from_json(json_extract(j, '$.amenities'), '["VARCHAR"]'))) as a, unnest(from_json(json_extract(j, '$.amenities'), '["VARCHAR"]')) as whole from o where json_type(j, '$.amenities') = 'ARRAY')
+    select ord, '' as field, 'structure' as rule, case when j is null then 'not_json' else 'not_object:' || case kind when 'ARRAY' then 'list' else 'str' end end as value, '' as title from k where kind is null or kind <> 'OBJECT'
+    union all select ord, 'city', 'required', j ->> '$.city', title from o where coalesce(j ->> '$.city', '') in ('', '0')
+    union all select ord, 'listingType', 'enum', j ->> '$.listingType', title from o where coalesce(j ->> '$.listingType', '') <> 'BUY'
+    union all select ord, 'price', 'number', case json_type(j, '$.price') when 'ARRAY' then 'list: ' else 'str: ' end || (j ->> '$.price'), title from o where json_type(j, '$.price') in ('ARRAY', 'VARCHAR')
+    union all select ord, 'bhk', 'number', 'dict: ' || replace(json_extract(j, '$.bhk')::varchar, ' ', ''), title from o where json_type(j, '$.bhk') = 'OBJECT'
+    union all select ord, 'images', 'images', 'str: ' || (j ->> '$.images'), title from o where json_type(j, '$.images') = 'VARCHAR'
+    union all select ord, 'images[' || i::varchar || ']', 'images', left(replace(x::varchar, ' ', ''), 80), title from bad
+    union all select ord, 'amenities', 'junk', whole, title from am where regexp_matches(a, '(?i)^\\+\\s*[0-9]+\\s*more$')""")
+def audit_untyped_rows(spark, sf_dir):
+    table(spark, sf_dir, "part").createOrReplaceTempView("part")
+    return audit.audit(spark.sql(_RAW_ROWS))
+
+
 @query(f"with {_X} select cast(count(*) as bigint) as row_count, cast(count(*) filter (where price is null) as bigint) as prices_null, cast(count(*) as bigint) as locality_null from x")
 def null_counts(spark, sf_dir):
     return quality.counts(_export(spark, sf_dir))
@@ -347,7 +424,12 @@ def page_link_counts(spark, sf_dir):
     return pages.select("page_id", F.size(html.hrefs("html")).cast("long").alias("links"))
 
 
-@query()
+@query("""with recursive e as (select event_id, cast(user_id as varchar) as client, ts, epoch_us(ts) as t, row_number() over (partition by user_id order by ts, event_id) as n from events),
+    f(client, n, recent, event_id, ts, accepted) as (
+        select client, n, [t], event_id, ts, true from e where n = 1
+        union all select e.client, e.n, case when len(g.kept) < 2 then list_append(g.kept, e.t) else g.kept end, e.event_id, e.ts, len(g.kept) < 2
+        from (select f.client, f.n, f.recent, x.t as now, list_filter(f.recent, lambda r: x.t - r < 86400000000) as kept from f join e x on x.client = f.client and x.n = f.n + 1) g join e on e.client = g.client and e.n = g.n + 1
+    ) select event_id, client, ts, accepted from f""")
 def rate_limiter(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("client"), F.col("ts").cast("timestamp").alias("ts"))
     return limiter.accepted(events, window_seconds=86_400, most=2)

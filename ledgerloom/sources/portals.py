@@ -216,6 +216,8 @@ class Portal:
     kinds: dict[str, str] = field(default_factory=dict)
     #: Addresses of projects on listing pages; {host} is the portal's.
     listing: str | None = None
+    #: Whether a unit's size is part of its slug only where the slug without it is taken.
+    ladder: bool = False
 
     def pictured(self, page: "Page") -> list[str]:
         """Addresses of the page's own pictures at this portal's host."""
@@ -350,7 +352,7 @@ def registry(hosts: dict[str, str]) -> dict[str, Portal]:
         "pushed": lambda h: Portal("pushed", h, _pushed, {
             "project": ("projectName",), "slug": ("projectUrl",), "developer": ("builderName", "builder.name"), "city": ("city",), "address": ("projectAddress",), "kind": ("propertyTypeName", "projectType", "type", "propertyType.typeName"),
             "possession": ("project_Status",), "possession_date": ("possessionDate",), "rera": ("projectReraNo",), "amenities": ("Amenities", "amenities"), "images": ("frontImage", "projectGallery")},
-            _listed("BhK_Details", bhk=("bhk_type",), carpet=("carpet_Area", "carpet_area", "carpetArea", "Carpet_Area"), super_=("bhk_Area", "bhk_area", "area"))),
+            _listed("BhK_Details", bhk=("bhk_type",), carpet=("carpet_Area", "carpet_area", "carpetArea", "Carpet_Area"), super_=("bhk_Area", "bhk_area", "area")), ladder=True),
         "plans": lambda h: Portal("plans", h, _product, {"project": ("name",), "developer": ("brand.name",), "images": ("image",), "least_price": ("offers.lowPrice",)}, _floor_plans, blocked="Access Denied", least_length=5000,
             patterns={"project": r'"projectName"\s*:\s*"([^"]+)"', "developer": r'"builderName"\s*:\s*"([^"]+)"', "rera": WRITTEN_RERA, "possession_date": rf"(?i)Possession[^A-Za-z0-9]{{0,20}}({MONTH}\s+\d{{4}}|\d{{4}})"},
             cities=CITY_TOKENS, pictures=True, amenity=_named_amenities, listing=r"(?i)(?:https?://(?:www\.)?{host})?/[a-z0-9\-]+-npxid-[a-z0-9]+"),
@@ -419,9 +421,14 @@ def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html"
     x = told.select(*[c for c in pages.columns if c != html], "_r.*", "point").withColumn("p", F.from_json("_p", PAYLOAD))
     project = F.coalesce(T.clean_text("p.project"), T.strip_decorative("h1"), F.lit(UNKNOWN))
     x = x.withColumns({"_project": project, "_overview": H.overview(F.col("paragraphs"), project)})
-    u = x.select("*", F.posexplode_outer("p.units").alias("_pos", "_u"))
-    told_city, told_locality = _place(portal, url)
     path = F.regexp_replace(F.col(url), "^[a-zA-Z]+://[^/]*|[?#].*$", "")
+    base = T.slugify(F.coalesce(F.nullif(F.col("p.slug"), F.lit("")), F.nullif(F.regexp_replace(path, "^/+|/+$", ""), F.lit("")) if portal.cities else F.lit(None), project))
+    ladder = _ladder if portal.ladder else _one_name
+    x = x.withColumn("_base", base)
+    x = x.withColumn("_names", A.running_names(F.transform("p.units", lambda v: ladder(F.col("_base"), T.parse_bhk(v["bhk"]), T.parse_area(v["super"]), T.parse_area(v["carpet"])))))
+    x = x.withColumn("_units", F.col("p.units"))
+    u = x.select("*", F.posexplode_outer(F.arrays_zip("_units", "_names")).alias("_pos", "_z")).withColumns({"_u": F.col("_z._units"), "_name": F.col("_z._names")})
+    told_city, told_locality = _place(portal, url)
     kind = F.coalesce(*[F.when(F.lower(path).contains(word), F.lit(k)) for word, k in portal.kinds.items()], F.lit(portal.default_kind))
     # a month and a year of two digits, as in Dec'27
     ready = T.parse_date(F.regexp_replace("p.possession_date", r"^([A-Za-z]{3})'?(\d{2})$", "$1 20$2"))
@@ -446,18 +453,18 @@ def units(pages: DataFrame, portal: Portal, url: str = "url", html: str = "html"
         "title": T.page_title("title", portal.host, "projectName", "locality", "city", "propertyType"), "seoTitle": F.col("title"),
         "h1": T.page_heading("h1", "projectName", "locality", "city", "bhk", F.transform("p.units", lambda u: T.parse_bhk(u["bhk"]))),
         "locationAdvantages": T.location_advantages("p.blurbs", "_overview"), "addressSection": T.address_section("projectName", "p.address", "p.blurbs"),
-    }).withColumn("slug", _slug(F.regexp_replace(path, "^/+|/+$", "") if portal.cities else F.lit("")))
-    return conform(_distinct_slugs(u, url), ("price_is_project_level",))
-
+    }).withColumn("slug", F.coalesce("_name", "_base"))
+    return conform(u, ("price_is_project_level",))
 
-def _slug(path: Column) -> Column:
-    base = T.slugify(F.coalesce(F.nullif(F.col("p.slug"), F.lit("")), F.nullif(path, F.lit("")), F.col("projectName")))
-    return F.concat_ws("-", base, F.concat(F.col("bhk").cast("string"), F.lit("bhk")), F.concat(F.coalesce("superBuiltUpArea", "carpetArea").cast("string"), F.lit("sqft")))
 
+def _one_name(base: Column, bhk: Column, area: Column, carpet: Column) -> Column:
+    """base[-Nbhk][-Asqft], which is numbered if it is taken."""
+    return F.array(F.concat_ws("-", base, F.concat(bhk.cast("string"), F.lit("bhk")), F.concat(F.coalesce(area, carpet).cast("string"), F.lit("sqft"))))
 
-def _distinct_slugs(u: DataFrame, url: str) -> DataFrame:
-    """Equal slugs of one page get -2, -3 and so on, in order."""
-    from pyspark.sql import Window as W
 
-    n = F.row_number().over(W.partitionBy(url, "slug").orderBy("_pos"))
-    return u.withColumn("_n", n).withColumn("slug", F.when(F.col("_n") > 1, F.concat_ws("-", "slug", F.col("_n").cast("string"))).otherwise(F.col("slug")))
+def _ladder(base: Column, bhk: Column, area: Column, carpet: Column) -> Column:
+    """base-Nbhk, and only if that is taken base-Nbhk-Asqft; without a count base alone."""
+    room = F.coalesce(bhk, F.lit(0)) > 0
+    named = F.concat(base, F.lit("-"), bhk.cast("string"), F.lit("bhk"))
+    sized = F.concat(named, F.lit("-"), area.cast("string"), F.lit("sqft"))
+    return F.when(room & (F.coalesce(area, F.lit(0)) > 0), F.array(named, sized)).when(room, F.array(named)).otherwise(F.array(base))
