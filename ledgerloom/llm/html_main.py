@@ -6,7 +6,7 @@ Pages count by their distinct main texts, near-copies of one text as one, so an
 with changes or without, is one page and not a template. Only pieces of running text (a bold word) are never candidates. Besides, the markup says of some elements
 that they are no content (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts).
 
-A page's text is that of its articles, or of its main element, or else of its body. Its pieces are kept with the elements
+A page's text is that of its articles if they hold most of it, or of its main element, or else of its body. Its pieces are kept with the elements
 that they are in, so pages are read, and moved, no second time.
 
 Defined cases: a null or blank html has no text; a url without a host counts as the host ''; broken
@@ -33,8 +33,8 @@ MIN_PAGES = 4
 #: Keys (of eight) that near-copies of a text share with others at least.
 SHARED = 6
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object canvas".split())
-DROPPED = frozenset("head script style noscript template iframe svg math object canvas nav header footer aside form button input select textarea dialog menu title".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object canvas".split())
+DROPPED = frozenset("head script style noscript template iframe svg object canvas nav header footer aside form button input select textarea dialog menu title annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Class names and ids of furniture; those that content has too count only beside another (cookie-notice) and else when they recur on the host.
@@ -55,11 +55,12 @@ ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "parent", "dropped", "within", "digest", "hash", "size", "holds")
+    __slots__ = ("tag", "attrs", "kids", "parent", "dropped", "within", "digest", "hash", "size", "holds", "headed", "inside")
 
     def __init__(self, tag: str, attrs: str = "", parent: "Node | None" = None):
         self.tag, self.attrs, self.parent, self.kids = tag, attrs, parent, []
         self.dropped, self.within, self.digest, self.hash, self.size, self.holds = False, False, None, b"", 0, False
+        self.headed, self.inside = False, False  # a heading is below it; it is below an article or main
 
 
 class Open:
@@ -152,6 +153,10 @@ def attributes(raw: str) -> dict[str, str]:
 
 def furniture(node: Node, half: float) -> bool:
     """Whether markup says that an element is no content; a name says so of no heading, and of nothing that holds an article or most of the text."""
+    if node.tag == "form" and (node.holds or node.size > half):
+        return False  # some sites wrap the whole page in a form
+    if node.tag == "header" and node.inside and node.headed:
+        return False  # an article's own head, with its headline
     if node.tag in DROPPED:
         return True
     if node.tag in ("article", "main", "body", "html") or not node.attrs.strip():
@@ -180,23 +185,41 @@ def prune(nodes: list[Node]) -> None:
     half = nodes[0].size / 2
     for node in nodes[1:]:
         node.within = node.parent.within or node.parent.dropped
+        node.inside = node.parent.inside or node.parent.tag in ("article", "main")
         node.dropped = not node.within and furniture(node, half)
 
 
+def outermost(tree: Node, tag: str) -> list[Node]:
+    found: list[Node] = []
+    stack = [tree]
+    while stack:
+        node = stack.pop()
+        if node.tag == tag:
+            found.append(node)
+        else:
+            stack += [k for k in reversed(node.kids) if isinstance(k, Node) and not k.dropped]
+    return found
+
+
+def kept_size(tops: list[Node]) -> int:
+    """Characters of text below ``tops`` that the markup does not drop."""
+    total, stack = 0, list(tops)
+    while stack:
+        for kid in stack.pop().kids:
+            if isinstance(kid, str):
+                total += len(" ".join(kid.split()))
+            elif not kid.dropped and kid.tag not in RAW:
+                stack.append(kid)
+    return total
+
+
 def roots(tree: Node) -> list[Node]:
-    """The outermost articles; else main elements; else everything."""
-    for tag in ("article", "main"):
-        found: list[Node] = []
-        stack = [tree]
-        while stack:
-            node = stack.pop()
-            if node.tag == tag:
-                found.append(node)
-            else:
-                stack += [k for k in reversed(node.kids) if isinstance(k, Node) and not k.dropped]
-        if found:
-            return found
-    return [tree]
+    """The outermost articles if they hold most of the text of main (without a main, of the page), so that a teaser is not taken for the text; else main; else everything."""
+    main = outermost(tree, "main")
+    articles = outermost(tree, "article")
+    if articles and 2 * kept_size(articles) >= kept_size(main or [tree]):
+        return articles
+    return main or [tree]
 
 
 def hashed(nodes: list[Node]) -> None:
@@ -221,6 +244,7 @@ def hashed(nodes: list[Node]) -> None:
                 words = words or kid.size > 0
                 node.size += kid.size
                 node.holds = node.holds or kid.holds or kid.tag in ("article", "main")
+                node.headed = node.headed or kid.headed or HEADING.fullmatch(kid.tag) is not None
                 if kid.tag in BLOCKS:
                     lines.append([])
                 else:

@@ -75,3 +75,28 @@ def test_template_counts_against_brute_force(spark):
     for r in found.select("host", "text", F.xxhash64("host", "text").alias("own"), F.explode("blocks").alias("b")).withColumn("key", F.xxhash64("host", "b")).collect():
         on[r["key"]].add(r["own"])
     assert got == {k for k, x in on.items() if len(x - copies) >= 4 and len(x - copies) >= 0.25 * len(x)} and got
+
+
+def test_roots_forms_heads_and_formulas(spark):
+    """A teaser is not the text, a form around a page is no form, an article's own head stays, and so does a formula."""
+    long = "All of the text that this page has to tell, in a good many words."
+    pages = {
+        f"<main><p>{long}</p><article>teaser</article></main>": f"{long} teaser",
+        f"<body><form id='aspnetForm'><div>{long}</div><input value='x'><button>Go</button></form></body>": long,
+        f"<body><form><main><p>{long}</p></main></form><form>Search <input></form></body>": long,
+        f"<body><header>Site</header><article><header><h1>Head</h1><nav>menu</nav></header><p>{long}</p></article><footer>end</footer></body>": f"Head {long}",
+        f"<article><p>{long} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>": f"{long} x=2 holds",
+        f"<body><article><p>{long}</p></article><aside><article>other</article></aside><p>by</p></body>": long,
+        f"<main><article><p>{long}</p></article><article><p>{long}</p></article></main>": f"{long} {long}",
+        f"<main><aside>{long} {long} {long}</aside><article>short</article></main>": "short",
+        f"<body><header><h1>Site</h1></header><p>{long}</p></body>": long,
+    }
+    got = texts(spark, [(i, f"http://h{i}.example/", p) for i, p in enumerate(pages)])
+    assert got == dict(enumerate(pages.values()))
+
+
+def test_a_megabyte_in_one_page_and_clashing_columns(spark):
+    words = " ".join(f"w{k % 5000}" for k in range(200_000))
+    rows = [(1, "http://h.example/", f"<article><p>{words}</p></article>", "x", 5), (2, None, None, "y", 6), (None, "", "  ", "z", 7)]
+    found = html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, host long")).collect()
+    assert {r["page_id"]: (r["text"], r["n_chars"]) for r in found} == {1: (words, len(words)), 2: ("", 0), None: ("", 0)}
