@@ -87,11 +87,13 @@ def counted(hashes: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def parts(text: str, size: int = SLICE_BYTES // 2) -> list[str]:
-    """A text in parts of about ``size`` characters, cut at blanks: every n-gram lies within one, as words are padded by blanks."""
-    out, at = [], 0
+    """A text in parts of about ``size`` characters, cut at what is no letter: every n-gram lies within one, as words are padded by blanks."""
+    out, at, table = [], 0, letters()
     while len(text) - at > size:
-        cut = text.find(" ", at + size)
-        if cut < 0:
+        cut = at + size
+        while cut < len(text) and table[ord(text[cut])]:
+            cut += 1
+        if cut == len(text):
             break
         out.append(text[at:cut])
         at = cut + 1

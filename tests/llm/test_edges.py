@@ -489,3 +489,17 @@ def test_row_filters(spark):
     keys = spark.createDataFrame([(i,) for i in range(0, 400, 3)] + [(3,)], "x long")
     assert {r["v"] for r in common.semi(df, "k", keys).collect()} == set(range(0, 200, 3))
     assert {r["v"] for r in common.anti(df, "k", keys).collect()} == {-1} | {i for i in range(200) if i % 3}
+
+
+@pytest.mark.parametrize("between", ["\n", "\t", " ", ", ", "3", "\u3000"])
+def test_long_texts_are_cut_at_any_character_that_is_no_letter(between):
+    words = [f"{'abcdefghij'[k % 10]}{'xyzäöü'[k % 6]}{'klmno'[k % 5]}" for k in range(5000)]
+    text = between.join(words)
+    cut = langid.parts(text, 1000)
+    assert len(cut) > 10 and max(map(len, cut)) < 1100
+    whole = langid.counted(*langid.grams([text]))
+    pieces = Counter()
+    for x in cut:
+        for _, h, n in zip(*langid.counted(*langid.grams([x])), strict=True):
+            pieces[int(h)] += int(n)
+    assert pieces == Counter({int(h): int(n) for h, n in zip(*whole[1:], strict=True)})
