@@ -64,6 +64,10 @@ def host_allowed(url, allowed: list[str]) -> Column:
     return F.coalesce(F.lower(part(url, "PROTOCOL")).isin("http", "https") & below, F.lit(False))
 
 
+#: Suffixes of the content types that servers name.
+HEADER_SUFFIXES = {"image/jpeg": ".jpg", "image/png": ".png", "image/webp": ".webp", "image/gif": ".gif", "image/bmp": ".bmp", "image/svg+xml": ".svg", "image/tiff": ".tiff", "image/avif": ".avif", "image/heic": ".heic", "image/heif": ".heif", "text/html": ".html", "text/plain": ".txt", "application/json": ".json", "application/pdf": ".pdf", "application/octet-stream": ".bin", "image/vnd.microsoft.icon": ".ico"}
+
+
 def in_bucket(url, bucket: str, region: str) -> Column:
     host, b = F.lower(part(url, "HOST")), bucket.lower()
     known = host.isin(f"{b}.s3.{region}.amazonaws.com", f"{b}.s3.amazonaws.com", f"s3.{region}.amazonaws.com", "s3.amazonaws.com")
@@ -76,14 +80,25 @@ def sanitize_segment(x, most: int = 80) -> Column:
     return F.substring(F.coalesce(F.nullif(s, F.lit("")), F.lit("unknown")), 1, most)
 
 
-def extension(url) -> Column:
+def _media_type(header) -> Column:
+    return F.lower(F.trim(F.split_part(_c(header), F.lit(";"), F.lit(1))))
+
+
+def extension(url, header=None) -> Column:
+    """The suffix of an image address, else that of the content type that its server named, else .jpg."""
     found = F.regexp_extract(F.lower(F.regexp_replace(_c(url), r"[?#].*$", "")), r"(\.[a-z0-9]+)$", 1)
-    return F.when(found == ".jpeg", F.lit(".jpg")).when(found.isin(*SUFFIXES), found).otherwise(F.lit(".jpg"))
+    own = F.when(found == ".jpeg", F.lit(".jpg")).when(found.isin(*SUFFIXES), found)
+    if header is None:
+        return F.coalesce(own, F.lit(".jpg"))
+    pairs = [F.lit(x) for kv in HEADER_SUFFIXES.items() for x in kv]
+    return F.coalesce(own, F.create_map(*pairs)[_media_type(header)], F.lit(".jpg"))
 
 
-def content_type(ext) -> Column:
+def content_type(ext, header=None) -> Column:
+    """The content type that the server named if it is an image's, else that of the suffix."""
     pairs = [F.lit(x) for kv in TYPES.items() for x in kv]
-    return F.coalesce(F.create_map(*pairs)[_c(ext)], F.lit("application/octet-stream"))
+    guessed = F.coalesce(F.create_map(*pairs)[_c(ext)], F.lit("application/octet-stream"))
+    return guessed if header is None else F.when(F.startswith(_c(header), F.lit("image/")), F.trim(F.split_part(_c(header), F.lit(";"), F.lit(1)))).otherwise(guessed)
 
 
 def object_key(folder, url) -> Column:

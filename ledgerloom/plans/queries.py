@@ -74,12 +74,19 @@ _SQL = _LINK.format(S="varchar")
 scalar("u01_project_url", lambda: U.project_url(F.when(F.col("ord") % 3 == 0, T.slugify("project_raw")).when(F.col("ord") % 3 == 1, F.concat(F.lit("/blog/"), T.slugify("project_raw"))).otherwise(F.concat(F.lit("https://www.portal.example/"), T.slugify("project_raw"), F.lit("?x=1"))), "portal.example"), "case when ord % 3 = 1 then null else 'https://www.portal.example/' || " + V.SLUG.format(x="project_raw") + " || '/' end")
 scalar("u02_with_slash", lambda: U.with_slash(_link()), _SQL + " || '/'")
 scalar("u05_extension", lambda: U.extension(_link()), "case ord % 3 when 1 then '.webp' else '.jpg' end")
+_HEADER = "case ord % 4 when 0 then 'image/png; charset=x' when 1 then 'application/x-none' when 2 then 'image/x-odd' else null end"
+scalar("u05_extension_by_header", lambda: U.extension(_link(), F.expr(_HEADER)), "case when ord % 3 = 1 then '.webp' when ord % 3 = 0 then '.jpg' when ord % 4 = 0 then '.png' else '.jpg' end")
+scalar("u06_content_type_by_header", lambda: U.content_type(U.extension(_link()), F.expr(_HEADER)), "case ord % 4 when 0 then 'image/png' when 2 then 'image/x-odd' else case ord % 3 when 1 then 'image/webp' else 'image/jpeg' end end")
 scalar("u06_content_type", lambda: U.content_type(U.extension(_link())), "case ord % 3 when 1 then 'image/webp' else 'image/jpeg' end")
 scalar("u07_object_key", lambda: U.object_key(F.lit("f"), _link()), "'properties/f/' || left(sha256(" + _SQL + "), 16) || case ord % 3 when 1 then '.webp' else '.jpg' end")
 scalar("u10_file_name", lambda: U.file_name(_link()), "cast(ord as varchar) || case ord % 3 when 0 then '.JPEG' when 1 then '.webp' else '.jpg' end")
 scalar("p11_host_allowed", lambda: U.host_allowed(_link(), ["cdn1.example.com", "other.example"]), "ord % 4 = 1")
 scalar("p09_host_contains", lambda: U.host_contains(_link(), "cdn2"), "ord % 4 = 2")
-scalar("n25_markers", lambda: F.array_join(F.filter(F.split(T.slugify(F.concat(F.col("project_raw"), F.lit(" Phase II 2nd Avenue"))), "-"), lambda t: t.rlike("[0-9]")), ","), "'2nd'")
+scalar("n25_markers", lambda: identity.guard_key(T.slugify(F.concat(F.col("project_raw"), F.lit(" Phase II 2nd Avenue")))), "split_part(" + V.SLUG.format(x="project_raw") + ", '-', 1) || '|2nd|phase,ii'")
+scalar("n24_bulk_type", lambda: T.bulk_type("type_raw"), "case when trim(type_raw) = 'SCO Plots' then 'SCO' else trim(type_raw) end")
+scalar("n24_bulk_possession", lambda: T.bulk_possession("possession_raw"), "case ord % 6 when 0 then 'UNDER_CONSTRUCTION' when 1 then 'NEW_LAUNCH' when 2 then 'NEW_LAUNCH' when 3 then 'READY_TO_MOVE' when 4 then 'PART_READY' else null end")
+scalar("u03_listing_category", lambda: U.listing_category(F.concat(F.lit("https://x.example/Projects/"), F.when(F.col("ord") % 3 == 0, F.lit("commercial/")).when(F.col("ord") % 3 == 1, F.lit("Residential")).otherwise(F.lit("other")))), "case ord % 3 when 0 then 'commercial' when 1 then 'residential' end")
+scalar("u11_decoded", lambda: U.decoded(F.concat(F.lit("a%20b%2F"), F.col("ord").cast("string"))), "'a b/' || cast(ord as varchar)")
 
 
 @query("select p_partkey as ord, case p_partkey % 3 when 0 then 'one' when 1 then 'two' end as site from part")
@@ -410,7 +417,7 @@ def site_rollup_stats(spark, sf_dir):
 
 @query("select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as raw_title from pages")
 def page_raw_title(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("raw_title"))
+    return table(spark, sf_dir, "pages").select("page_id", html.raw_title("html").alias("raw_title"))
 
 
 @query()

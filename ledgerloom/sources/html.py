@@ -211,6 +211,11 @@ def overview(paragraphs: Column, project: Column) -> Column:
     return F.try_element_at(ranked, F.lit(1))["p"]
 
 
+def raw_title(html: str) -> Column:
+    """What stands between the title's tags, as it is."""
+    return F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1)
+
+
 def hrefs(html: str) -> Column:
     return F.regexp_extract_all(html, F.lit(r'(?s)<a [^>]*href="([^"]*)"'), F.lit(1))
 
