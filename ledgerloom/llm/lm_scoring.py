@@ -44,6 +44,8 @@ ORDERS = ((ACROSS, False), (1, True), (2, True), (3, True), (4, True), (5, True)
 WIDE = 32
 #: Classes, marker words, and passes of the mixture over the texts (fewer when it stands).
 CLASSES, MARKERS, PASSES = 6, 64, 40
+#: Parts in which what tasks have summed up comes to the driver.
+PARTS = 8
 #: Slots of ``segments``, for tables in one process.
 SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
@@ -334,15 +336,34 @@ def marker_counts(docs: DataFrame, markers: list[bytes]) -> DataFrame:
     return docs.where("not held_out").select("text").mapInArrow(run, "x binary").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
 
 
-def summed(rows: DataFrame, width: int, step) -> list:
-    """What ``step`` makes of the square roots of the counts and the numbers of texts, one result a batch."""
+def summed(rows: DataFrame, width: int, step, add) -> bytes:
+    """What ``step`` makes of the square roots of the counts and the numbers of texts, put together two by two with ``add``, first within tasks, so that PARTS results reach the driver whatever the input."""
+
+    def within(found):
+        total = None
+        for x in found:
+            total = x if total is None else add(total, x)
+        if total is not None:
+            yield pa.record_batch([pa.array([total], pa.binary())], names=["s"])
 
     def run(batches):
-        for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), "<u4").reshape(batch.num_rows, width)
-            yield pa.record_batch([pa.array([step(x, np.sqrt(x), np.asarray(batch.column("n"), np.float64))], pa.binary())], names=["s"])
+        def each():
+            for batch in batches:
+                if batch.num_rows:
+                    x = np.frombuffer(b"".join(batch.column("x").to_pylist()), "<u4").reshape(batch.num_rows, width)
+                    yield step(x, np.sqrt(x), np.asarray(batch.column("n"), np.float64))
 
-    return [r["s"] for r in rows.mapInArrow(run, "s binary").collect()]  # CLASSES x MARKERS numbers a batch
+        yield from within(each())
+
+    def again(batches):
+        yield from within(s for batch in batches for s in batch.column("s").to_pylist())
+
+    found = [bytes(r["s"]) for r in rows.mapInArrow(run, "s binary").repartition(PARTS).mapInArrow(again, "s binary").collect()]
+    # sums of rounded numbers depend on their order: the driver's is fixed by value
+    total = None
+    for x in sorted(found):
+        total = x if total is None else add(total, x)
+    return total
 
 
 def farthest(rows: DataFrame, width: int, heads: list[np.ndarray]) -> np.ndarray:
@@ -357,8 +378,10 @@ def farthest(rows: DataFrame, width: int, heads: list[np.ndarray]) -> np.ndarray
         value = near(root)
         return min(x[i].tobytes() for i in np.flatnonzero(value == value.min()))
 
-    found = [np.frombuffer(r, "<u4") for r in summed(rows, width, step)]
-    return min(found, key=lambda x: (near(np.sqrt(x)[None])[0], x.tobytes()))
+    def least(a: bytes, b: bytes) -> bytes:
+        return min(a, b, key=lambda r: (near(np.sqrt(np.frombuffer(r, "<u4"))[None])[0], r))
+
+    return np.frombuffer(summed(rows, width, step, least), "<u4")
 
 
 def learn_kinds(docs: DataFrame) -> Kinds:
@@ -393,7 +416,7 @@ def learn_kinds(docs: DataFrame) -> Kinds:
             weight *= n[:, None]
             return np.concatenate((weight.sum(axis=0), (weight.T @ root).ravel(), [fit])).tobytes()
 
-        total = np.sum([np.frombuffer(r) for r in summed(rows, width, step)], axis=0)
+        total = np.frombuffer(summed(rows, width, step, lambda a, b: (np.frombuffer(a) + np.frombuffer(b)).tobytes()))
         share, words, fit = total[:k] + 1, total[k:-1].reshape(k, width) + 0.1, total[-1]
         logs, prior = np.log(words / words.sum(axis=1)[:, None]).T, np.log(share / share.sum())
         if last is not None and abs(fit - last) <= 1e-6 * abs(last):
