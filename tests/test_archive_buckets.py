@@ -23,9 +23,9 @@ def test_same_rows_as_plain_upserts(spark, tmp_path):
     rng = random.Random(3)
     shape = spark.createDataFrame([], FIELDS).schema
     store, whole = Archive(spark, f"file://{tmp_path}/store", shape, bucket_rows=8), []
-    for k in range(4):
+    for k in range(3):
         # ord begins anew in each batch: new rows take numbers of their own
-        rows = batch(rng, 14, 0) if k != 2 else []
+        rows = batch(rng, 20, 0) if k != 1 else []
         store.put(spark.createDataFrame(rows, shape), k)
         if k == 0:
             store.put(spark.createDataFrame(batch(rng, 3, 0), shape), 0)  # a repeat of a batch that counts changes nothing
@@ -35,8 +35,8 @@ def test_same_rows_as_plain_upserts(spark, tmp_path):
         # the order of the archive decides ties, so both are held against the same numbers
         assert plain(store.read()) == plain(spark.createDataFrame(whole, shape)), k
         assert store.state()["rows"] == len(whole) and store.read().select("ord").distinct().count() == len(whole)
-    assert store.state()["buckets"] > 1 and store.last() == 3
-    assert plain(store.read(2)) == plain(store.read(2))  # the version before stays
+    assert store.state()["buckets"] > 1 and store.last() == 2
+    assert 0 < store.read(1).count() <= 20  # the version before stays
 
 
 def test_a_batch_writes_what_it_touches(spark, tmp_path):
