@@ -58,9 +58,10 @@ CURVE = 33
 PRIOR = 0.1
 RATE = 0.05
 BLOCK_BYTES = 8 << 20
-TOKENS_A_TASK = 400_000
+TOKENS_A_TASK = 200_000
 FLUSH = 300_000
 SEGMENT = 1 << 13
+WINDOW = 1 << 19
 
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -107,6 +108,8 @@ def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None
                 h = (h ^ before.astype(np.int64).view(np.uint64)[owner]) * _A
             h ^= h >> _U(31)
         out[row] = (h ^ kind if classed else h) + _U((row + 1) * int(_B) & (1 << 64) - 1)
+    for row, (order, _) in enumerate(ORDERS):  # near the start these are the whole token so far, which is asked about once
+        out[row, place < order] = out[-1, place < order]
     return data, owner, out
 
 
@@ -141,6 +144,17 @@ class Shared:
             total[self.start[first[has]] + j] = np.add.reduceat(counts, first)[has]
         return total[self.new]
 
+    def nodes(self) -> np.ndarray:
+        """The node of each byte."""
+        out = np.zeros(len(self.new), np.int64)
+        out[self.new] = np.arange(int(self.new.sum()))
+        rows = np.arange(len(self.size))
+        for j, _, _ in self.levels():
+            source = np.maximum.accumulate(np.where(self.lcp <= j, rows, 0))
+            has = self.size > j
+            out[self.start[has] + j] = out[self.start[source[has]] + j]
+        return out
+
     def gathered(self, values: np.ndarray) -> np.ndarray:
         every = np.zeros(len(self.new))
         every[self.new] = values
@@ -155,9 +169,8 @@ class Shared:
         return out
 
 
-def tree(words: list[bytes], classes: np.ndarray, before: np.ndarray):
-    """The Shared tokens (within class and word before), the byte of each node and the hashes of its contexts by order."""
-    groups = (classes.astype(np.uint64) + _U(1)) * _B ^ before.astype(np.int64).view(np.uint64) * _A
+def tree(words: list[bytes], groups: np.ndarray, classes: np.ndarray, before: np.ndarray | None = None):
+    """The Shared tokens (within groups), the byte of each node and the hashes of its contexts by order."""
     data, _, ctx = contexts(words, classes, before)
     shared = Shared(words, groups)
     return shared, data[shared.new].astype(np.int64), ctx[:, shared.new]
@@ -165,7 +178,7 @@ def tree(words: list[bytes], classes: np.ndarray, before: np.ndarray):
 
 def segments(words: list[bytes], classes: np.ndarray):
     """For tables in one process: the Shared tokens, then (first node, slots by order, bits) for a stretch of nodes at a time."""
-    shared, data, ctx = tree(words, classes, np.zeros(len(words), np.int64))
+    shared, data, ctx = tree(words, classes, classes)
     yield shared
     for a in range(0, len(data), SEGMENT):
         byte = data[a : a + SEGMENT].astype(np.int64)
@@ -195,7 +208,7 @@ def questions(data: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def paths(h: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For rows sorted by (context, byte): how often the context went on with the first 0 to 8 bits of the row's byte."""
-    out = np.empty((len(h), 9), np.float32)
+    out = np.empty((len(h), 9), np.int64)
     other = np.ones(len(h), bool)
     other[1:] = h[1:] != h[:-1]
     for d in range(9):
@@ -205,23 +218,118 @@ def paths(h: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-class Chunk:
-    """Tokens in order, with the counts of their contexts."""
+def packed(values: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Runs of ``size`` counts that never rise, each up to where it stays as it is, in the least width of 1, 2, 4 or 8 bytes."""
+    end = np.cumsum(size)
+    last = values[end - 1]
+    more = values > np.repeat(last, size)
+    lens = np.add.reduceat(more, end - size, dtype=np.int64) + 1 if len(size) else np.zeros(0, np.int64)
+    start = np.cumsum(lens) - lens
+    kept = np.empty(int(lens.sum()), np.int64)
+    final = np.zeros(len(kept), bool)
+    final[start + lens - 1] = True
+    kept[final], kept[~final] = last, values[more]
+    width = 1 << np.searchsorted([1 << 8, 1 << 16, 1 << 32], kept[start], "right")
+    offset = np.concatenate((np.zeros(1, np.int64), np.cumsum(1 + lens * width)))
+    data = np.empty(int(offset[-1]), np.uint8)
+    data[offset[:-1]] = width
+    each, at = np.repeat(width, lens), _places(offset[:-1], lens, width)
+    raw = kept.astype("<i8").view(np.uint8).reshape(-1, 8)
+    for b in range(8):
+        data[at[each > b] + b] = raw[each > b, b]
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _places(offset: np.ndarray, lens: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Where each count of each run is."""
+    within = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
+    return np.repeat(offset + 1, lens) + within * np.repeat(width, lens)
+
+
+def unpacked(runs: list[bytes], size: np.ndarray) -> np.ndarray:
+    """The counts that ``packed`` took."""
+    data, taken = np.frombuffer(b"".join(runs), np.uint8), np.fromiter(map(len, runs), np.int64, len(runs))
+    offset = np.cumsum(taken) - taken
+    width = data[offset].astype(np.int64)
+    lens = (taken - 1) // np.maximum(width, 1)
+    each, at = np.repeat(width, lens), _places(offset, lens, width)
+    raw = np.zeros((len(at), 8), np.uint8)
+    for b in range(8):
+        raw[each > b, b] = data[at[each > b] + b]
+    kept = raw.view("<i8").ravel()
+    first = np.cumsum(size) - size
+    out = np.repeat(kept[np.cumsum(lens) - 1], size)
+    out[np.repeat(first, lens) + np.arange(len(kept)) - np.repeat(np.cumsum(lens) - lens, lens)] = kept
+    return out
+
+
+def firsts(words: list[bytes], *keys: np.ndarray) -> np.ndarray:
+    """Which rows, in order, differ from the row before in word or keys."""
+    new = np.fromiter((k == 0 or w != words[k - 1] for k, w in enumerate(words)), bool, len(words))
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return new
 
-    def __init__(self, words: list[bytes], classes: np.ndarray, before: np.ndarray, found: np.ndarray):
-        self.shared, self.data, ctx = tree(words, classes, before)
-        self.at, self.found = questions(self.data, ctx)[2], found
 
-    def stretches(self):
-        """(first node, pairs of counts by order, bits) of some nodes at a time."""
-        for a in range(0, len(self.data), SEGMENT):
-            bits = (self.data[a : a + SEGMENT, None] >> (7 - _NODE) & 1).ravel()
-            pairs = []
-            for at in self.at[:, a : a + SEGMENT]:
-                path = self.found[at]
-                hit, total = path[:, 1:].ravel(), path[:, :-1].ravel()
-                pairs.append(np.where(bits[:, None] == np.arange(2), hit[:, None], (total - hit)[:, None]))
-            yield a, pairs, bits
+class Tokens:
+    """The distinct (class, word) of a chunk: shared beginnings, and the question of each order within the token and node."""
+
+    def __init__(self, words: list[bytes], classes: np.ndarray):
+        new = firsts(words, classes)
+        self.first = np.flatnonzero(new)
+        self.own = np.cumsum(new) - 1  # the token of each row
+        self.shared, self.data, ctx = tree([words[k] for k in self.first], classes[self.first], classes[self.first])
+        self.h, self.byte, self.at = questions(self.data, ctx[1:])
+        self.once = ctx[1:] != ctx[-1]  # orders that are the whole token so far there count once, with the last
+        self.once[-1] = True
+
+    def spread(self, train: np.ndarray) -> np.ndarray:
+        """Counts of rows, summed up for each question."""
+        nodes = self.shared.spread(np.add.reduceat(train, self.first) if len(train) else train)
+        return np.bincount(self.at.ravel(), (self.once * nodes).ravel(), len(self.h)).astype(np.int64)
+
+
+class Chunk:
+    """Rows of (class, word, word before) in order: counts of the contexts within each token, and of those that reach back for each row."""
+
+    def __init__(self, words: list[bytes], classes: np.ndarray, found: np.ndarray, back: list[bytes]):
+        self.tokens, self.found = Tokens(words, classes), found
+        self.size = self.tokens.shared.size[self.tokens.own]
+        self.start = np.cumsum(self.size) - self.size
+        self.owner = np.repeat(np.arange(len(words)), self.size)
+        place = np.arange(len(self.owner)) - self.start[self.owner]
+        self.node = self.tokens.shared.nodes()[self.tokens.shared.start[self.tokens.own][self.owner] + place]
+        run = unpacked(back, 8 * self.size + 1)
+        skip = np.ones(len(run), bool)
+        ends = np.cumsum(8 * self.size + 1)
+        skip[ends - 1] = False
+        self.total = run[skip].reshape(-1, 8)
+        skip[ends - 1] = True
+        skip[ends - 8 * self.size - 1] = False
+        self.hit = run[skip].reshape(-1, 8)
+
+    def stretches(self, apart: bool = False):
+        """(rows, node of each byte, bits of the nodes, (hits, totals) by order within the token, and of the order across) of some bytes at a time, from all over the chunk if ``apart``."""
+        steps = -(-len(self.owner) // SEGMENT)
+        for k in range(steps):
+            part = slice(k, None, steps) if apart else slice(k * SEGMENT, (k + 1) * SEGMENT)
+            nodes, inverse = np.unique(self.node[part], return_inverse=True)
+            bits = (self.tokens.data[nodes, None] >> (7 - _NODE) & 1).ravel()
+            within = [(path[:, 1:].ravel(), path[:, :-1].ravel()) for path in (self.found[at[nodes]] for at in self.tokens.at)]
+            spot = (inverse[:, None] * 8 + _NODE).ravel()
+            across = self.hit[part].ravel(), self.total[part].ravel()
+            yield self.owner[part], spot, bits, within, across
+
+
+def opinion(hit: np.ndarray, total: np.ndarray, bits: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logit of a 1, how often the context was seen, and whether with both bits; hit: how often it went on with the bit at hand."""
+    miss = total - hit
+    if leave_out:
+        hit = np.maximum(hit - 1, 0)
+    x, y = (np.log((c + PRIOR).astype(np.float32)) for c in (hit, miss))
+    x -= y
+    np.negative(x, out=x, where=bits == 0)
+    return x, hit + miss, (hit > 0) & (miss > 0)
 
 
 class Model:
@@ -239,25 +347,38 @@ class Model:
         logits = np.empty((len(pairs), len(bits)), np.float32)
         seen = np.zeros(len(bits), np.int64)
         for row, pair in enumerate(pairs):
-            if leave_out:
-                pair[np.arange(len(bits)), bits] -= 1
-                np.maximum(pair, 0, out=pair)
-            n = pair.sum(axis=1)
-            seen += n > 0.5
-            if row == len(pairs) - 1:
-                often = np.minimum(np.log2(n + 1).astype(np.int64), OFTEN - 1)
-                both = pair.min(axis=1) > 0.5
-            logits[row] = np.log((pair[:, 1] + PRIOR) / (pair[:, 0] + PRIOR))
-        gate = (seen * OFTEN + often) * 2 + both
+            total = pair.sum(axis=1)
+            logits[row], n, both = opinion(pair[np.arange(len(bits)), bits], total, bits, leave_out)
+            seen += n > 0
+        gate = (seen * OFTEN + often_of(n)) * 2 + both
         z = np.clip((self.weights[gate].T * logits).sum(axis=0), -12, 12)
         return logits, gate, z
 
+    def joint(self, spot, bits, within, across, leave_out: bool):
+        """``blend`` for rows that share nodes: logits of the nodes and their gates without and with the order across; the gate of each row's bit among these, its logit by the order across, its gate and the mixed logit."""
+        logits = np.empty((len(within), len(bits)), np.float32)
+        seen = np.zeros(len(bits), np.int64)
+        for row, (hit, total) in enumerate(within):
+            logits[row], n, both = opinion(hit, total, bits, leave_out)
+            seen += n > 0
+        gates = (seen * OFTEN + often_of(n)) * 2 + both
+        gates = np.stack((gates, gates + OFTEN * 2))
+        sums = np.zeros(gates.shape)
+        for row, x in enumerate(logits, 1):
+            sums += self.weights[:, row][gates] * x
+        own, n, _ = opinion(*across, bits[spot], leave_out)
+        met = (n > 0).astype(np.int64)
+        cell = met * len(bits) + spot
+        gate = gates.ravel()[cell]
+        return logits, gates, cell, own, gate, np.clip(sums.ravel()[cell] + self.weights[:, 0][gate] * own, -12, 12)
+
     def refined(self, z, gate):
         """Half the mixed probability, half what the map has seen near it."""
         x = (np.clip(z, -8, 8) + 8) * ((CURVE - 1) / 16)
         lo = np.minimum(x.astype(np.int64), CURVE - 2)
         part = x - lo
-        mapped = self.curve[gate, lo] * (1 - part) + self.curve[gate, lo + 1] * part
+        at, curve = gate * CURVE + lo, self.curve.ravel()
+        mapped = curve[at] * (1 - part) + curve[at + 1] * part
         return np.clip(0.5 / (1 + np.exp(-z)) + 0.5 * mapped, 1e-6, 1 - 1e-6)
 
     def log10(self, words: list[bytes], classes: np.ndarray) -> np.ndarray:
@@ -270,13 +391,18 @@ class Model:
         return shared.gathered(np.concatenate(out) if out else np.zeros(0))
 
     def cost(self, chunk: Chunk) -> np.ndarray:
-        """log10 of the probability of each of the chunk's tokens."""
-        out = []
-        for _, pairs, bits in chunk.stretches():
-            _, gate, z = self.blend(pairs, bits, False)
+        """log10 of the probability of each of the chunk's rows."""
+        out = np.zeros(len(chunk.size))
+        for rows, spot, bits, within, across in chunk.stretches():
+            *_, gate, z = self.joint(spot, bits, within, across, False)
             p = self.refined(z, gate)
-            out.append(np.log10(np.where(bits, p, 1 - p)).reshape(-1, 8).sum(axis=1))
-        return chunk.shared.gathered(np.concatenate(out) if out else np.zeros(0))
+            each = np.log10(np.where(bits[spot], p, 1 - p)).reshape(-1, 8).sum(axis=1)
+            out[rows[0] : rows[-1] + 1] += np.bincount(rows - rows[0], each)
+        return out
+
+
+def often_of(n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(n + 1.0).astype(np.int64), OFTEN - 1)
 
 
 def start_weights() -> np.ndarray:
@@ -469,8 +595,9 @@ def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
 _CHUNK = "chunk long, classes binary, before binary, train binary, words array<binary>"
 
 
-def chunked(vocabulary: DataFrame, tasks: int) -> DataFrame:
-    """Rows of up to CHUNK tokens each, in the order of class, word before and word."""
+def chunked(rows: DataFrame, tasks: int, *order: str) -> DataFrame:
+    """Rows (class, before, word, train, and perhaps ``back``) in ``order``, up to CHUNK of them in one."""
+    back = "back" in rows.columns
 
     def run(batches):
         part, k = TaskContext.get().partitionId() << 32, 0
@@ -478,10 +605,11 @@ def chunked(vocabulary: DataFrame, tasks: int) -> DataFrame:
             for a in range(0, batch.num_rows, CHUNK):
                 own = batch.slice(a, CHUNK)
                 numbers = [pa.array([np.asarray(own.column(c), "<i8").tobytes()], pa.binary()) for c in ("class", "before", "train")]
-                yield pa.record_batch([pa.array([part + k], pa.int64()), *numbers, pa.array([own.column("word").to_pylist()], pa.list_(pa.binary()))], names=["chunk", "classes", "before", "train", "words"])
+                lists = [pa.array([own.column(c).to_pylist()], pa.list_(pa.binary())) for c in ("word", "back")[: 1 + back]]
+                yield pa.record_batch([pa.array([part + k], pa.int64()), *numbers, *lists], names=["chunk", "classes", "before", "train", "words", "back"][: 5 + back])
                 k += 1
 
-    return vocabulary.repartitionByRange(tasks, "class", "before", "word").sortWithinPartitions("class", "before", "word").mapInArrow(run, _CHUNK)
+    return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(run, _CHUNK + ", back array<binary>" * back)
 
 
 def opened(batch, i: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
@@ -489,23 +617,96 @@ def opened(batch, i: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarr
     return batch.column("words")[i].as_py(), *(np.frombuffer(batch.column(c)[i].as_py(), "<i8") for c in ("classes", "before", "train"))
 
 
-def count_contexts(chunks: DataFrame, tasks: int) -> DataFrame:
-    """The chunks with ``found``: the paths of their questions over all training tokens.
-
-    The counts are a table by the 64 bit hash of a context, so it grows with the contexts and nothing shares an entry.
+class Followers:
+    """The words after each word before, in a chunk in the order (before, word): the context across is a stretch of rows."""
+
+    def __init__(self, words: list[bytes], before: np.ndarray, train: np.ndarray):
+        new = firsts(words, before)
+        first = np.flatnonzero(new)
+        self.own = np.cumsum(new) - 1
+        self.shared, data, ctx = tree([words[k] for k in first], before[first], np.zeros(len(first), np.int64), before[first])
+        self.h, self.byte, self.at = questions(data, ctx[:1])
+        self.n = np.bincount(self.at[0], self.shared.spread(np.add.reduceat(train, first)), len(self.h)).astype(np.int64)
+        # only a context of the first or the last word can go on in other chunks
+        self.edge = np.isin(self.h, np.unique(self.h[self.at[0][self._path(0) + self._path(-1)]]))
+
+    def _path(self, k: int) -> list[int]:
+        nodes, start = self.shared.nodes(), self.shared.start[k]
+        return nodes[start : start + self.shared.size[k]].tolist()
+
+    def back(self, h: np.ndarray, byte: np.ndarray, n: np.ndarray) -> pa.Array:
+        """``packed`` counts of each row's contexts; h, byte, n: the counts of the contexts at the edges over all chunks."""
+        every = [np.concatenate((own[~self.edge], new)) for own, new in ((self.h, h), (self.byte, byte), (self.n, n))]
+        order = np.lexsort((every[1], every[0]))
+        every = [x[order] for x in every]
+        keys = np.empty(len(order), [("h", "<u8"), ("byte", "<i8")])
+        keys["h"], keys["byte"] = every[:2]
+        want = np.empty(len(self.h), keys.dtype)
+        want["h"], want["byte"] = self.h, self.byte
+        path = paths(*every)[np.searchsorted(keys, want)][self.at[0]][self.shared.nodes()]
+        size = 8 * self.shared.size + 1
+        begin = np.zeros(int(size.sum()), bool)
+        begin[np.cumsum(size) - size] = True
+        values = np.empty(len(begin), np.int64)
+        values[begin], values[~begin] = path[self.shared.start, 0], path[:, 1:].ravel()
+        return packed(values, size).take(pa.array(self.own))
+
+
+def followed(vocabulary: DataFrame, tasks: int) -> DataFrame:
+    """(class, before, word, train, back) of the rows of ``vocabulary``: the ``packed`` counts of the contexts that reach back to the word before.
+
+    Rows in the order (before, word) hold each context as a stretch, so it is counted where it is; only for stretches at the edges of
+    chunks are sums of all chunks put together, so a very common word before is spread over many chunks.
     """
+    chunks = C.stage(chunked(vocabulary, tasks, "before", "word", "class"), "lm-followers", "zstd")
 
-    def ask(batches):
+    def edges(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                words, classes, before, train = opened(batch, i)
-                shared, data, ctx = tree(words, classes, before)
-                h, byte, at = questions(data, ctx)
-                n = np.bincount(at.ravel(), np.tile(shared.spread(train), len(ctx)), len(h)).astype(np.int64)
-                for a in range(0, len(h), 1 << 16):
-                    own = slice(a, a + (1 << 16))
-                    size = len(h[own])
-                    yield pa.record_batch([pa.array(h[own].view(np.int64)), pa.array(byte[own].astype(np.int16)), pa.array(n[own]), pa.array(np.full(size, batch.column("chunk")[i].as_py())), pa.array(np.arange(a, a + size, dtype=np.int32))], names=["h", "byte", "n", "chunk", "spot"])
+                words, _, before, train = opened(batch, i)
+                own = Followers(words, before, train)
+                yield pa.record_batch([pa.array(np.full(int(own.edge.sum()), batch.column("chunk")[i].as_py())), pa.array(own.h[own.edge].view(np.int64)), pa.array(own.byte[own.edge]), pa.array(own.n[own.edge])], names=["chunk", "h", "byte", "n"])
+
+    found = C.stage(chunks.select("chunk", "classes", "before", "train", "words").mapInArrow(edges, "chunk long, h long, byte long, n long"), "lm-edges", "zstd")
+    sums = found.groupBy("h", "byte").agg(F.sum("n").alias("n"))
+    told = found.select("chunk", "h").distinct().join(sums, "h")
+    schema = pa.schema([("class", pa.int64()), ("before", pa.int64()), ("word", pa.binary()), ("train", pa.int64()), ("back", pa.binary())])
+
+    def finish(own: pa.Table, rows: pa.Table) -> pa.Table:
+        words, classes, before, train = opened(own, 0)
+        h, byte, n = (rows.column(c).to_numpy() for c in ("h", "byte", "n"))
+        back = Followers(words, before, train).back(h.view(np.uint64), byte, n)
+        return pa.table([pa.array(classes), pa.array(before), pa.array(words, pa.binary()), pa.array(train), back], schema=schema)
+
+    out = C.stage(chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(finish, "class long, before long, word binary, train long, back binary"), "lm-followed", "zstd")
+    C.unstage(chunks, found)
+    return out
+
+
+def count_contexts(chunks: DataFrame, tasks: int) -> DataFrame:
+    """The chunks with ``found``: the paths of the questions of their tokens over all training tokens.
+
+    The counts are a table by the 64 bit hash of a context, so it grows with the contexts and nothing shares an entry. They are
+    summed up by context and byte before the rows of a context meet, so these are 256 at most, however many chunks ask for it.
+    """
+
+    def asking(counts: bool):
+        def ask(batches):
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    words, classes, _, train = opened(batch, i)
+                    own = Tokens(words, classes)
+                    n = own.spread(train) if counts else None
+                    for a in range(0, len(own.h), 1 << 16):
+                        part = slice(a, a + (1 << 16))
+                        h = own.h[part].view(np.int64)
+                        key = [pa.array(h), pa.array(own.byte[part].astype(np.int16))]
+                        if counts:
+                            yield pa.record_batch([*key, pa.array(n[part])], names=["h", "byte", "n"])
+                        else:
+                            yield pa.record_batch([*key, pa.array(np.full(len(h), batch.column("chunk")[i].as_py())), pa.array(np.arange(a, a + len(h), dtype=np.int32))], names=["h", "byte", "chunk", "spot"])
+
+        return ask
 
     def answer(batches):
         kept: list = []
@@ -513,8 +714,7 @@ def count_contexts(chunks: DataFrame, tasks: int) -> DataFrame:
         def flush():
             rows = pa.Table.from_batches(kept).combine_chunks()
             path = paths(*(rows.column(c).to_numpy() for c in ("h", "byte", "n")))
-            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(36), len(path), [None, pa.py_buffer(np.ascontiguousarray(path))]).cast(pa.binary())
-            yield from pa.table([rows.column("chunk"), rows.column("spot"), flat], names=["chunk", "spot", "path"]).to_batches(max_chunksize=1 << 16)
+            yield from pa.table([rows.column("h"), rows.column("byte"), packed(path.ravel(), np.full(len(path), 9))], names=["h", "byte", "path"]).to_batches(max_chunksize=1 << 16)
             kept.clear()
 
         for batch in batches:  # a context's rows may go on in the next batch
@@ -532,13 +732,16 @@ def count_contexts(chunks: DataFrame, tasks: int) -> DataFrame:
             yield from flush()
 
     def gather(own: pa.Table, rows: pa.Table) -> pa.Table:
-        path = np.empty((rows.num_rows, 9), np.float32)
-        path[rows.column("spot").to_numpy()] = np.frombuffer(b"".join(rows.column("path").to_pylist()), np.float32).reshape(-1, 9)
+        path = np.empty((rows.num_rows, 9), np.int64)
+        path[rows.column("spot").to_numpy()] = unpacked(rows.column("path").to_pylist(), np.full(rows.num_rows, 9)).reshape(-1, 9)
         return own.append_column("found", pa.array([zlib.compress(path.tobytes(), 1)], pa.binary()))
 
-    asked = chunks.mapInArrow(ask, "h long, byte short, n long, chunk long, spot int")
-    answers = asked.repartition(tasks, "h").sortWithinPartitions("h", "byte").mapInArrow(answer, "chunk long, spot int, path binary")
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(gather, _CHUNK + ", found binary")
+    tokens = chunks.select("chunk", "classes", "before", "train", "words")
+    sums = tokens.mapInArrow(asking(True), "h long, byte short, n long").groupBy("h", "byte").agg(F.sum("n").alias("n"))
+    answers = sums.repartition(tasks, "h").sortWithinPartitions("h", "byte").mapInArrow(answer, "h long, byte short, path binary")
+    asked = tokens.mapInArrow(asking(False), "h long, byte short, chunk long, spot int")
+    told = asked.join(answers, ["h", "byte"]).select("chunk", "spot", "path")
+    return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(gather, _CHUNK + ", back array<binary>, found binary")
 
 
 def chunks_of(batches):
@@ -546,8 +749,8 @@ def chunks_of(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             words, classes, before, train = opened(batch, i)
-            found = np.frombuffer(zlib.decompress(batch.column("found")[i].as_py()), np.float32).reshape(-1, 9)
-            yield Chunk(words, classes, before, found), words, classes, before, train
+            found = np.frombuffer(zlib.decompress(batch.column("found")[i].as_py()), np.int64).reshape(-1, 9)
+            yield Chunk(words, classes, found, batch.column("back")[i].as_py()), words, classes, before, train
 
 
 def learn_mixing(chunks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -571,27 +774,51 @@ def learn_mixing(chunks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return merge((np.frombuffer(r["weights"]).reshape(GATES, len(ORDERS)), np.frombuffer(r["mass"]), np.frombuffer(r["hits"]).reshape(2, GATES, CURVE)) for r in found)
 
 
+def windows(chunks):
+    """(Chunk, counts) in lists of about WINDOW bytes of tokens."""
+    held, size = [], 0
+    for chunk, train in chunks:
+        held.append((chunk, train))
+        size += len(chunk.owner)
+        if size > WINDOW:
+            yield held
+            held, size = [], 0
+    yield held
+
+
+def in_turn(window):
+    """Counts and stretches of the chunks in turn: neighbours in a chunk are much alike, and steps should not follow their order."""
+    open_ = [(train, chunk.stretches(True)) for chunk, train in window]
+    while open_:
+        left = []
+        for train, parts in open_:
+            if (part := next(parts, None)) is not None:
+                yield train, part
+                left.append((train, parts))
+        open_ = left
+
+
 def learn_local(chunks):
     """One online pass over (Chunk, counts): weights, mass by gate, hits of the map."""
     model = Model(None, start_weights(), start_curve())
     mass, hits, scale = np.zeros(GATES), np.zeros((2, GATES, CURVE)), np.zeros((GATES, len(ORDERS)))
     average = np.zeros((GATES, len(ORDERS)))  # tokens come in order, so the mean over the pass is kept, not where it ends
-    for chunk, train in chunks:
-        nodes = chunk.shared.spread(train)
-        for a, pairs, bits in chunk.stretches():
-            c = np.repeat(nodes[a : a + SEGMENT], 8)  # 0 where only held-out texts have it
-            logits, gate, z = model.blend(pairs, bits, True)
-            error = c * (bits - 1 / (1 + np.exp(-z)))
-            own = np.maximum(np.bincount(gate, c, GATES), 1e-9)
+    for window in windows(chunks):
+        for train, (rows, spot, bits, within, across) in in_turn(window):
+            c = np.repeat(train[rows], 8).astype(np.float64)  # 0 where only held-out texts have it
+            logits, gates, cell, own, gate, z = model.joint(spot, bits, within, across, True)
+            error = c * (bits[spot] - 1 / (1 + np.exp(-z)))
+            seen = np.maximum(np.bincount(gate, c, GATES), 1e-9)
+            each = np.bincount(cell, error, 2 * len(bits)).reshape(2, -1)
             for row in range(len(ORDERS)):
-                step = np.bincount(gate, error * logits[row], GATES) / own
+                step = (np.bincount(gates.ravel(), (each * logits[row - 1]).ravel(), GATES) if row else np.bincount(gate, error * own, GATES)) / seen
                 scale[:, row] += step * step
                 model.weights[:, row] += RATE * step / (np.sqrt(scale[:, row]) + 1e-3)
-            mass += own
-            average += model.weights * own[:, None]
-            spot = gate * CURVE + np.rint((np.clip(z, -8, 8) + 8) * ((CURVE - 1) / 16)).astype(np.int64)
-            hits[0] += np.bincount(spot, c, GATES * CURVE).reshape(GATES, CURVE)
-            hits[1] += np.bincount(spot, c * bits, GATES * CURVE).reshape(GATES, CURVE)
+            mass += seen
+            average += model.weights * seen[:, None]
+            at = gate * CURVE + np.rint((np.clip(z, -8, 8) + 8) * ((CURVE - 1) / 16)).astype(np.int64)
+            hits[0] += np.bincount(at, c, GATES * CURVE).reshape(GATES, CURVE)
+            hits[1] += np.bincount(at, c * bits[spot], GATES * CURVE).reshape(GATES, CURVE)
     model.weights = np.where(mass[:, None] > 0, average / np.maximum(mass, 1e-12)[:, None], model.weights)
     return model.weights, mass, hits
 
@@ -627,8 +854,14 @@ def score(docs: DataFrame) -> DataFrame:
     ends = {r["class"]: r["train"] for r in vocabulary.where(F.col("word") == F.lit(bytearray(END))).groupBy("class").agg(F.sum("train").alias("train")).collect()}  # a row a class
     kind_cost = {k: float(np.log10((ends.get(k, 0) + 1) / (sum(ends.values()) + CLASSES))) for k in range(CLASSES)}
     tasks = 1 + rows // TOKENS_A_TASK
-    tokens = C.stage(chunked(vocabulary, int(max(tasks, blocks))), "lm-chunks", "zstd")
-    chunks = C.stage(count_contexts(tokens, int(max(tasks, blocks))), "lm-contexts", "zstd")
+    tasks = int(max(tasks, blocks))
+    crossed = followed(vocabulary, tasks)
+    C.unstage(vocabulary)
+    C.release(spark)
+    tokens = C.stage(chunked(crossed, tasks, "class", "word", "before"), "lm-chunks", "zstd")
+    C.unstage(crossed)
+    C.release(spark)
+    chunks = C.stage(count_contexts(tokens, tasks), "lm-contexts", "zstd")
     C.unstage(tokens)
     C.release(spark)
     weights, curve = learn_mixing(chunks)

@@ -33,27 +33,45 @@ def test_context_counts_are_exact_and_grow(spark):
     """Whatever the number of contexts, none shares its counts with another: checked by hand against all prefixes."""
     rng = random.Random(3)
     words = sorted({bytes(rng.choice(b"abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(30_000)})
-    rows = spark.createDataFrame([(i % 2, 0, bytearray(w), i % 5) for i, w in enumerate(words)], "class long, before long, word binary, train long")
-    chunks = lm_scoring.count_contexts(lm_scoring.chunked(rows, 3), 5).collect()
-    count = Counter()
-    for i, w in enumerate(words):
-        for n in range(1, len(w) + 2):
-            count[(i % 2, (w + b" ")[:n])] += i % 5
-    assert sum(len(r["words"]) for r in chunks) == len(words) and len(chunks) > 1
+    table = [(i % 2, i % 3, w, i % 5) for i, w in enumerate(words)]
+    table += [(k, 7, w, 2) for k in range(2) for w in words[:20_000]]  # one word before that has many chunks
+    rows = spark.createDataFrame([(k, b, bytearray(w), n) for k, b, w, n in table], "class long, before long, word binary, train long")
+    crossed = lm_scoring.followed(rows, 3)
+    chunks = lm_scoring.count_contexts(lm_scoring.chunked(crossed, 3, "class", "word", "before"), 5).collect()
+    count, across = Counter(), Counter()
+    for k, b, w, n in table:
+        for end in range(len(w) + 2):
+            count[(k, (w + b" ")[:end])] += n
+            across[(b, (w + b" ")[:end])] += n
+    assert sum(len(r["words"]) for r in chunks) == len(table) and len(chunks) > 5
     for r in chunks:
-        found = np.frombuffer(lm_scoring.zlib.decompress(r["found"]), np.float32).reshape(-1, 9)
-        tokens, classes, before = r["words"], np.frombuffer(r["classes"], "<i8"), np.frombuffer(r["before"], "<i8")
-        tokens = [bytes(w) for w in tokens]
-        chunk = lm_scoring.Chunk(tokens, classes, before, found)
-        exact = chunk.found[chunk.at[-1]][:, 8]
+        found = np.frombuffer(lm_scoring.zlib.decompress(r["found"]), np.int64).reshape(-1, 9)
+        tokens = [bytes(w) for w in r["words"]]
+        classes, before = np.frombuffer(r["classes"], "<i8"), np.frombuffer(r["before"], "<i8")
+        chunk = lm_scoring.Chunk(tokens, classes, found, [bytes(x) for x in r["back"]])
+        exact = chunk.found[chunk.tokens.at[-1]][:, 8][chunk.node]
         at = 0
-        for i, (w, k) in enumerate(zip(tokens, classes.tolist(), strict=True)):
-            for n in range(int(chunk.shared.lcp[i]), len(w) + 1):
+        for w, k, b in zip(tokens, classes.tolist(), before.tolist(), strict=True):
+            for n in range(len(w) + 1):
                 assert exact[at] == count[(k, (w + b" ")[: n + 1])]
+                assert chunk.total[at, 0] == across[(b, (w + b" ")[:n])] and chunk.hit[at, 7] == across[(b, (w + b" ")[: n + 1])]
                 at += 1
         assert at == len(exact)
 
 
+def test_counts_keep_64_bits():
+    """Runs of counts survive packing whatever their size; a float of 32 bits would lose the last ones."""
+    runs = [[2**30 + 3, 2**30, 3, 3], [0], [2**40 + 1, 2**40 + 1, 7], [255, 256 - 1], [256, 1, 0, 0, 0], [2**62 + 1, 1]]
+    size = np.array([len(r) for r in runs])
+    values = np.array([x for r in runs for x in r], np.int64)
+    back = lm_scoring.packed(values, size).to_pylist()
+    assert lm_scoring.unpacked(back, size).tolist() == values.tolist() and len(back[1]) == 2
+    none = lm_scoring.packed(values[:0], size[:0])
+    assert len(none) == 0 and len(lm_scoring.unpacked([], size[:0])) == 0
+    found = lm_scoring.paths(np.array([1, 1], np.uint64), np.array([97, 98]), np.array([2**30 + 1, 3]))
+    assert found[0].tolist()[0] == 2**30 + 4 and found[:, 8].tolist() == [2**30 + 1, 3]
+
+
 def test_word_order_counts(spark):
     """A phrase that all texts repeat is likelier than the same words in another order."""
     phrase = "north wind blows over cold water every winter morning".split()
