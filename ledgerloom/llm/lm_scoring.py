@@ -566,7 +566,11 @@ def joined(tokens: list[bytes], hashes: Hashes) -> zip:
 
 
 def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
-    """(block, class, before, word, train): how often training texts of the class in the block have the word after that with hash ``before``; docs: block, held_out, text."""
+    """(block, class, before, word, train): how often training texts of the class in the block have the word after that with hash ``before``; docs: block, held_out, text.
+
+    A block lies in one file, so its rows are summed up by the task that reads it; where that had to hand on early, a row may come twice, which
+    the sums that follow and the join of the costs allow.
+    """
     schema = pa.schema([("block", pa.int64()), ("class", pa.int64()), ("before", pa.int64()), ("word", pa.binary()), ("train", pa.int64())])
 
     def flush(found):
@@ -589,7 +593,7 @@ def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
                 found, hashes = {}, Hashes()
         yield from flush(found)
 
-    return docs.mapInArrow(run, "block long, class long, before long, word binary, train long").groupBy("block", "class", "before", "word").agg(F.sum("train").alias("train"))
+    return docs.mapInArrow(run, "block long, class long, before long, word binary, train long")
 
 
 _CHUNK = "chunk long, classes binary, before binary, train binary, words array<binary>"
