@@ -10,12 +10,12 @@ the score. A predictor is a pair of counts in a Spark table by the 64 bit hash o
 contexts have been seen, how often the longest has, and whether it saw both bits); the result is refined by an adaptive
 probability map. The sum over the bits is the text's log-probability.
 
-Learning covers all training texts. Spark counts the tokens, in chunks of sorted tokens; each chunk asks for the
-contexts of its tokens, questions and counts meet by the context's hash, answers go back to the chunk. Then weights and map are learned online, partition by partition in mini-batches, with each
+Learning covers all training texts. Distinct pairs of a word and the word before are counted and scored in shards (``lm_shards``), each row
+of (class, word before, bits so far) once. Weights and map are learned online, shard by shard in mini-batches in random order, with each
 token's own occurrence left out of the counts, and averaged by mass. Scoring uses the frozen model,
-so that a score depends neither on the order of the documents nor on partitions. As contexts reach one word
-back, each distinct pair of a word and the word before is scored once; documents meet the scores of their tokens in blocks
-of about ``BLOCK_BYTES`` of text, so a very common pair is one row a block, and no vocabulary is broadcast.
+so that a score depends neither on the order of the documents nor on partitions. No vocabulary is broadcast.
+
+``followed`` and ``count_contexts`` count the same contexts with one row a pair; they are the plain form, which a table of any order takes.
 
 Defined cases: a null, empty or blank text is the end mark alone; a null doc_id counts as the empty
 text in the split; repeated rows are scored each; an empty table gives an empty result; with no
@@ -57,11 +57,8 @@ GATES = SEEN * OFTEN * 2
 CURVE = 33
 PRIOR = 0.1
 RATE = 0.05
-BLOCK_BYTES = 8 << 20
-TOKENS_A_TASK = 200_000
 FLUSH = 300_000
 SEGMENT = 1 << 13
-WINDOW = 1 << 19
 
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -246,10 +243,13 @@ def _places(offset: np.ndarray, lens: np.ndarray, width: np.ndarray) -> np.ndarr
     return np.repeat(offset + 1, lens) + within * np.repeat(width, lens)
 
 
-def unpacked(runs: list[bytes], size: np.ndarray) -> np.ndarray:
+def unpacked(runs: list[bytes] | pa.Array, size: np.ndarray | int) -> np.ndarray:
     """The counts that ``packed`` took."""
-    data, taken = np.frombuffer(b"".join(runs), np.uint8), np.fromiter(map(len, runs), np.int64, len(runs))
-    offset = np.cumsum(taken) - taken
+    runs = runs if isinstance(runs, pa.Array) else pa.array(runs, pa.binary())
+    size = np.broadcast_to(size, len(runs))
+    offset = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1].astype(np.int64) if len(runs) else np.zeros(1, np.int64)
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)[offset[0] : offset[-1]]
+    taken, offset = np.diff(offset), offset[:-1] - offset[0]
     width = data[offset].astype(np.int64)
     lens = (taken - 1) // np.maximum(width, 1)
     each, at = np.repeat(width, lens), _places(offset, lens, width)
@@ -308,18 +308,6 @@ class Chunk:
         skip[ends - 8 * self.size - 1] = False
         self.hit = run[skip].reshape(-1, 8)
 
-    def stretches(self, apart: bool = False):
-        """(rows, node of each byte, bits of the nodes, (hits, totals) by order within the token, and of the order across) of some bytes at a time, from all over the chunk if ``apart``."""
-        steps = -(-len(self.owner) // SEGMENT)
-        for k in range(steps):
-            part = slice(k, None, steps) if apart else slice(k * SEGMENT, (k + 1) * SEGMENT)
-            nodes, inverse = np.unique(self.node[part], return_inverse=True)
-            bits = (self.tokens.data[nodes, None] >> (7 - _NODE) & 1).ravel()
-            within = [(path[:, 1:].ravel(), path[:, :-1].ravel()) for path in (self.found[at[nodes]] for at in self.tokens.at)]
-            spot = (inverse[:, None] * 8 + _NODE).ravel()
-            across = self.hit[part].ravel(), self.total[part].ravel()
-            yield self.owner[part], spot, bits, within, across
-
 
 def opinion(hit: np.ndarray, total: np.ndarray, bits: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logit of a 1, how often the context was seen, and whether with both bits; hit: how often it went on with the bit at hand."""
@@ -354,24 +342,6 @@ class Model:
         z = np.clip((self.weights[gate].T * logits).sum(axis=0), -12, 12)
         return logits, gate, z
 
-    def joint(self, spot, bits, within, across, leave_out: bool):
-        """``blend`` for rows that share nodes: logits of the nodes and their gates without and with the order across; the gate of each row's bit among these, its logit by the order across, its gate and the mixed logit."""
-        logits = np.empty((len(within), len(bits)), np.float32)
-        seen = np.zeros(len(bits), np.int64)
-        for row, (hit, total) in enumerate(within):
-            logits[row], n, both = opinion(hit, total, bits, leave_out)
-            seen += n > 0
-        gates = (seen * OFTEN + often_of(n)) * 2 + both
-        gates = np.stack((gates, gates + OFTEN * 2))
-        sums = np.zeros(gates.shape)
-        for row, x in enumerate(logits, 1):
-            sums += self.weights[:, row][gates] * x
-        own, n, _ = opinion(*across, bits[spot], leave_out)
-        met = (n > 0).astype(np.int64)
-        cell = met * len(bits) + spot
-        gate = gates.ravel()[cell]
-        return logits, gates, cell, own, gate, np.clip(sums.ravel()[cell] + self.weights[:, 0][gate] * own, -12, 12)
-
     def refined(self, z, gate):
         """Half the mixed probability, half what the map has seen near it."""
         x = (np.clip(z, -8, 8) + 8) * ((CURVE - 1) / 16)
@@ -390,16 +360,6 @@ class Model:
             out.append(np.log10(np.where(bits, p, 1 - p)).reshape(-1, 8).sum(axis=1))
         return shared.gathered(np.concatenate(out) if out else np.zeros(0))
 
-    def cost(self, chunk: Chunk) -> np.ndarray:
-        """log10 of the probability of each of the chunk's rows."""
-        out = np.zeros(len(chunk.size))
-        for rows, spot, bits, within, across in chunk.stretches():
-            *_, gate, z = self.joint(spot, bits, within, across, False)
-            p = self.refined(z, gate)
-            each = np.log10(np.where(bits[spot], p, 1 - p)).reshape(-1, 8).sum(axis=1)
-            out[rows[0] : rows[-1] + 1] += np.bincount(rows - rows[0], each)
-        return out
-
 
 def often_of(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(n + 1.0).astype(np.int64), OFTEN - 1)
@@ -565,37 +525,6 @@ def joined(tokens: list[bytes], hashes: Hashes) -> zip:
     return zip([0, *map(hashes.__getitem__, tokens[:-1])], tokens, strict=True)
 
 
-def count_tokens(docs: DataFrame, kinds: Kinds) -> DataFrame:
-    """(block, class, before, word, train): how often training texts of the class in the block have the word after that with hash ``before``; docs: block, held_out, text.
-
-    A block lies in one file, so its rows are summed up by the task that reads it; where that had to hand on early, a row may come twice, which
-    the sums that follow and the join of the costs allow.
-    """
-    schema = pa.schema([("block", pa.int64()), ("class", pa.int64()), ("before", pa.int64()), ("word", pa.binary()), ("train", pa.int64())])
-
-    def flush(found):
-        for (block, kind), (words, known) in found.items():
-            keys = list(words)
-            keys += [w for w in known if w not in words]
-            yield from pa.table([pa.array(np.full(len(keys), block)), pa.array(np.full(len(keys), kind)), pa.array([b for b, _ in keys], pa.int64()), pa.array([w for _, w in keys], pa.binary()), pa.array([words[w] for w in keys], pa.int64())], schema=schema).to_batches(max_chunksize=1 << 16)
-
-    def run(batches):
-        found: dict[tuple[int, int], tuple[Counter, set]] = {}
-        hashes = Hashes()
-        for batch in C.slices(batches):
-            for block, held, text in zip(batch.column("block").to_pylist(), batch.column("held_out").to_pylist(), C.raw(batch.column("text")), strict=True):
-                tokens = text.lower().split()
-                words, known = found.setdefault((block, kinds(tokens)), (Counter(), set()))
-                tokens.append(END)
-                (known if held else words).update(joined(tokens, hashes))
-            if sum(len(w) + len(k) for w, k in found.values()) > FLUSH:
-                yield from flush(found)
-                found, hashes = {}, Hashes()
-        yield from flush(found)
-
-    return docs.mapInArrow(run, "block long, class long, before long, word binary, train long")
-
-
 _CHUNK = "chunk long, classes binary, before binary, train binary, words array<binary>"
 
 
@@ -748,85 +677,6 @@ def count_contexts(chunks: DataFrame, tasks: int) -> DataFrame:
     return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(gather, _CHUNK + ", back array<binary>, found binary")
 
 
-def chunks_of(batches):
-    """(Chunk, words, classes, words before, counts) of each row."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            words, classes, before, train = opened(batch, i)
-            found = np.frombuffer(zlib.decompress(batch.column("found")[i].as_py()), np.int64).reshape(-1, 9)
-            yield Chunk(words, classes, found, batch.column("back")[i].as_py()), words, classes, before, train
-
-
-def learn_mixing(chunks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and map: an online pass in each task over its training tokens, averaged by their mass."""
-
-    def run(batches):
-        own, mass, hits = learn_local((chunk, train) for chunk, _, _, _, train in chunks_of(batches))
-        yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (own * mass[:, None], mass, hits)], names=["weights", "mass", "hits"])
-
-    def add(batches):
-        total = None
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("weights", "mass", "hits")), strict=True):
-                row = [np.frombuffer(x) for x in row]
-                total = row if total is None else [x + y for x, y in zip(total, row, strict=True)]
-        if total is not None:
-            yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in total], names=["weights", "mass", "hits"])
-
-    kind = "weights binary, mass binary, hits binary"
-    found = chunks.mapInArrow(run, kind).repartition(8).mapInArrow(add, kind).collect()  # sums of fixed size
-    return merge((np.frombuffer(r["weights"]).reshape(GATES, len(ORDERS)), np.frombuffer(r["mass"]), np.frombuffer(r["hits"]).reshape(2, GATES, CURVE)) for r in found)
-
-
-def windows(chunks):
-    """(Chunk, counts) in lists of about WINDOW bytes of tokens."""
-    held, size = [], 0
-    for chunk, train in chunks:
-        held.append((chunk, train))
-        size += len(chunk.owner)
-        if size > WINDOW:
-            yield held
-            held, size = [], 0
-    yield held
-
-
-def in_turn(window):
-    """Counts and stretches of the chunks in turn: neighbours in a chunk are much alike, and steps should not follow their order."""
-    open_ = [(train, chunk.stretches(True)) for chunk, train in window]
-    while open_:
-        left = []
-        for train, parts in open_:
-            if (part := next(parts, None)) is not None:
-                yield train, part
-                left.append((train, parts))
-        open_ = left
-
-
-def learn_local(chunks):
-    """One online pass over (Chunk, counts): weights, mass by gate, hits of the map."""
-    model = Model(None, start_weights(), start_curve())
-    mass, hits, scale = np.zeros(GATES), np.zeros((2, GATES, CURVE)), np.zeros((GATES, len(ORDERS)))
-    average = np.zeros((GATES, len(ORDERS)))  # tokens come in order, so the mean over the pass is kept, not where it ends
-    for window in windows(chunks):
-        for train, (rows, spot, bits, within, across) in in_turn(window):
-            c = np.repeat(train[rows], 8).astype(np.float64)  # 0 where only held-out texts have it
-            logits, gates, cell, own, gate, z = model.joint(spot, bits, within, across, True)
-            error = c * (bits[spot] - 1 / (1 + np.exp(-z)))
-            seen = np.maximum(np.bincount(gate, c, GATES), 1e-9)
-            each = np.bincount(cell, error, 2 * len(bits)).reshape(2, -1)
-            for row in range(len(ORDERS)):
-                step = (np.bincount(gates.ravel(), (each * logits[row - 1]).ravel(), GATES) if row else np.bincount(gate, error * own, GATES)) / seen
-                scale[:, row] += step * step
-                model.weights[:, row] += RATE * step / (np.sqrt(scale[:, row]) + 1e-3)
-            mass += seen
-            average += model.weights * seen[:, None]
-            at = gate * CURVE + np.rint((np.clip(z, -8, 8) + 8) * ((CURVE - 1) / 16)).astype(np.int64)
-            hits[0] += np.bincount(at, c, GATES * CURVE).reshape(GATES, CURVE)
-            hits[1] += np.bincount(at, c * bits[spot], GATES * CURVE).reshape(GATES, CURVE)
-    model.weights = np.where(mass[:, None] > 0, average / np.maximum(mass, 1e-12)[:, None], model.weights)
-    return model.weights, mass, hits
-
-
 def merge(parts) -> tuple[np.ndarray, np.ndarray]:
     """Weights averaged by the mass that each gate has seen, from sums; the map from all hits."""
     total, weighed, hits = np.zeros(GATES), np.zeros((GATES, len(ORDERS))), np.zeros((2, GATES, CURVE))
@@ -841,65 +691,21 @@ def merge(parts) -> tuple[np.ndarray, np.ndarray]:
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of ``docs``."""
+    from ledgerloom.llm import lm_shards as S
+
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + int(size) // BLOCK_BYTES
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (C.crc_mod("doc_id", 7) == 2).alias("held_out"), "text", F.floor(F.rand(3) * blocks).cast("long").alias("block"))
-    dealt = C.stage(dealt.repartition(blocks, "block"), "lm-docs", "zstd")
-    C.release(spark)
-    kinds = learn_kinds(dealt.select("held_out", "text"))
-    found = C.stage(count_tokens(dealt.select("block", "held_out", "text"), kinds), "lm-found", "zstd")
-    vocabulary = C.stage(found.groupBy("class", "before", "word").agg(F.sum("train").alias("train")), "lm-words", "zstd")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (C.crc_mod("doc_id", 7) == 2).alias("held_out"), "text")
+    kinds, bounds = learn_kinds(dealt.select("held_out", "text")), S.bounds_of(dealt, int(size))
+    parts = len(bounds) + 1
+    found = C.stage(S.pieces(dealt, kinds, bounds), "lm-pieces")
+    shards = C.stage(S.merged(found), "lm-shards")
     C.release(spark)
-    counts = C.stage(vocabulary.groupBy("word").agg(F.sum("train").alias("known")), "lm-counts", "zstd")
-    n, known = counts.agg(F.sum("known"), F.count_if(F.col("known") > 0)).first()
-    n, known = n or 0, known or 0
-    rows = vocabulary.count()
-    ends = {r["class"]: r["train"] for r in vocabulary.where(F.col("word") == F.lit(bytearray(END))).groupBy("class").agg(F.sum("train").alias("train")).collect()}  # a row a class
-    kind_cost = {k: float(np.log10((ends.get(k, 0) + 1) / (sum(ends.values()) + CLASSES))) for k in range(CLASSES)}
-    tasks = 1 + rows // TOKENS_A_TASK
-    tasks = int(max(tasks, blocks))
-    crossed = followed(vocabulary, tasks)
-    C.unstage(vocabulary)
+    told = C.stage(S.answers(S.asks(shards, bounds, parts)), "lm-answers")
     C.release(spark)
-    tokens = C.stage(chunked(crossed, tasks, "class", "word", "before"), "lm-chunks", "zstd")
-    C.unstage(crossed)
-    C.release(spark)
-    chunks = C.stage(count_contexts(tokens, tasks), "lm-contexts", "zstd")
-    C.unstage(tokens)
-    C.release(spark)
-    weights, curve = learn_mixing(chunks)
-
-    def rate(batches):
-        model = Model(None, weights, curve)
-        for chunk, words, classes, before, _ in chunks_of(batches):
-            yield pa.record_batch([pa.array(classes, pa.int64()), pa.array(before, pa.int64()), pa.array(words, pa.binary()), pa.array(model.cost(chunk))], names=["class", "before", "word", "cost"])
-
-    rated = chunks.mapInArrow(rate, "class long, before long, word binary, cost double")
-    rated = C.stage(rated.join(counts, "word"), "lm-rated", "zstd")
-    C.unstage(chunks)
+    informed = C.stage(S.informed(shards, told), "lm-contexts")
+    C.unstage(shards, told)
     C.release(spark)
-    lists = found.select("block", "class", "before", "word").join(rated, ["class", "before", "word"])
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
-
-    def add(texts: pa.Table, words: pa.Table) -> pa.Table:
-        spots: dict[int, dict[tuple[int, bytes], int]] = {}
-        hashes = Hashes()
-        for i, (kind, *pair) in enumerate(zip(*(words.column(c).to_pylist() for c in ("class", "before", "word")), strict=True)):
-            spots.setdefault(kind, {})[tuple(pair)] = i
-        count = words.column("known").to_numpy()
-        base, cost = np.log10((count + 1.0) / (n + known + 1.0)), words.column("cost").to_numpy()
-        out = [[] for _ in range(5)]
-        for text in C.raw(texts.column("text").combine_chunks()):
-            tokens = text.lower().split()
-            kind = kinds(tokens)
-            tokens.append(END)
-            find = spots[kind].__getitem__
-            at = np.fromiter(map(find, joined(tokens, hashes)), np.int64, len(tokens))
-            total = float(cost[at].sum()) + kind_cost[kind]
-            size = sum(map(len, tokens)) + len(tokens) - 1
-            for column, x in zip(out, (len(at), int((count[at] > 0).sum()), float(base[at].sum()), total, -total * 3.321928094887362 / size), strict=True):
-                column.append(x)
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array([n] * len(out[0]), pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64()), pa.array(out[4], pa.float64())], schema=schema)
-
-    return dealt.groupBy("block").cogroup(lists.groupBy("block")).applyInArrow(add, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    weights, curve, n, known, ends = S.learned(informed, bounds, parts)
+    kind_cost = np.log10((ends + 1) / (ends.sum() + CLASSES)).tolist()
+    return S.scored(found, S.costs(informed, bounds, parts, weights, curve), kind_cost, n, known, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
