@@ -698,8 +698,9 @@ def score(docs: DataFrame) -> DataFrame:
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (C.crc_mod("doc_id", 7) == 2).alias("held_out"), "text")
     kinds, bounds = learn_kinds(dealt.select("held_out", "text")), S.bounds_of(dealt, int(size))
     parts = len(bounds) + 1
-    found = C.stage(S.pieces(dealt, kinds, bounds), "lm-pieces")
-    shards = C.stage(S.merged(found), "lm-shards")
+    path = S.apart(S.pieces(dealt, kinds, bounds))
+    shards = C.stage(S.merged(S.read(spark, path).where("not texts")), "lm-shards")
+    C.delete(spark, f"{path}/texts=false")
     C.release(spark)
     told = C.stage(S.answers(S.asks(shards, bounds, parts)), "lm-answers")
     C.release(spark)
@@ -708,4 +709,4 @@ def score(docs: DataFrame) -> DataFrame:
     C.release(spark)
     weights, curve, n, known, ends = S.learned(informed, bounds, parts)
     kind_cost = np.log10((ends + 1) / (ends.sum() + CLASSES)).tolist()
-    return S.scored(found, S.costs(informed, bounds, parts, weights, curve), kind_cost, n, known, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    return S.scored(S.read(spark, path).where("texts"), S.costs(informed, bounds, parts, weights, curve), kind_cost, n, known, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

@@ -25,7 +25,7 @@ from ledgerloom.llm import common as C
 from ledgerloom.llm import lm_scoring as M
 
 #: Bytes of text in a piece, and of text for each shard.
-PIECE_BYTES, SHARD_BYTES = 8 << 20, 12 << 20
+PIECE_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
 #: Bytes of text of the sample that sets the bounds of shards; one of so many of its pairs is taken, with tokens shorter than LONG.
 SAMPLE_BYTES, SAMPLED, LONG = 8 << 20, 64, 64
 #: Rows whose contexts are followed at a time, and nodes in a step.
@@ -152,6 +152,17 @@ def pieces(docs: DataFrame, kinds, bounds) -> DataFrame:
     return docs.mapInArrow(run, _PIECES)
 
 
+def apart(found: DataFrame) -> str:
+    """Pieces staged with texts and pairs in folders of their own, so that the pairs can go first."""
+    path = C.new_path(found.sparkSession, "lm-pieces")
+    found.withColumn("texts", F.col("shard") < 0).write.partitionBy("texts").parquet(path)
+    return path
+
+
+def read(spark, path: str) -> DataFrame:
+    return spark.read.schema(f"{_PIECES}, texts boolean").parquet(path)
+
+
 _MERGED = "shard int, tokens binary, befores binary, rows binary, members array<binary>, pieces array<long>"
 
 
@@ -362,15 +373,22 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """(shard, part, packed paths of what it asked, in order)."""
+    """(shard, part, packed paths of what it asked, in order; null where no other shard has the context)."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [opened(x) for x in table.column("asked").to_pylist()]
         key, at = grouped(np.concatenate([p[0] for p in parts]))
         n = np.zeros(len(key), np.int64)
         np.add.at(n, at, np.concatenate([p[1] for p in parts]))
-        path = M.paths(key & ~_LOW, (key & _LOW).astype(np.int64), n)
-        told = [blob(path=M.packed(path[x].ravel(), np.full(len(x), 9))) for x in np.split(at, np.cumsum([len(p[0]) for p in parts])[:-1])]
+        h = key & ~_LOW
+        path, context = M.paths(h, (key & _LOW).astype(np.int64), n), np.cumsum(np.diff(h, prepend=h[:1]) != 0)
+        lists = np.split(at, np.cumsum([len(p[0]) for p in parts])[:-1])
+        askers = sum(np.bincount(np.unique(context[x]), minlength=int(context[-1]) + 1) for x in lists)
+        told = []
+        for x in lists:
+            shared = askers[context[x]] > 1
+            runs = M.packed(path[x[shared]].ravel(), np.full(int(shared.sum()), 9))
+            told.append(blob(path=runs.take(pa.array(np.cumsum(shared) - 1, mask=~shared))))
         return pa.table([table.column("shard"), table.column("part"), pa.array(told, pa.binary())], names=["shard", "part", "path"])
 
     return asked.groupBy("part").applyInArrow(run, "shard int, part int, path binary")
@@ -391,10 +409,12 @@ def shards_of(batches, bounds: list, parts: int):
     for batch in batches:
         for i in range(batch.num_rows):
             own = shard_of(batch, i, bounds)
-            key, _ = own.asked()
-            part, path = _part(key, parts), np.empty((len(key), 9), np.int64)
+            key, n = own.asked()
+            part, path = _part(key, parts), M.paths(key & ~_LOW, (key & _LOW).astype(np.int64), n)
             for p, data in zip(batch.column("parts")[i].as_py(), batch.column("found")[i].as_py(), strict=True):
-                path[part == p] = M.unpacked(pa.ipc.open_stream(data).read_all().column(0).combine_chunks(), 9).reshape(-1, 9)
+                runs = pa.ipc.open_stream(data).read_all().column(0).combine_chunks()
+                told = runs.is_valid().to_numpy(zero_copy_only=False)
+                path[np.flatnonzero(part == p)[told]] = M.unpacked(runs.drop_null(), 9).reshape(-1, 9)
             own.answered(key, path)
             yield own, batch.slice(i, 1)
 
