@@ -26,6 +26,7 @@ ignored. A very long text is tokenised whole in one task, with about 60 bytes of
 from __future__ import annotations
 
 import hashlib
+import time
 import zlib
 from collections import Counter
 
@@ -703,7 +704,9 @@ def score(docs: DataFrame) -> DataFrame:
     C.delete(spark, f"{path}/texts=false")
     C.release(spark)
     told = C.stage(S.answers(S.asks(shards, bounds, parts)), "lm-answers")
-    C.release(spark)
+    for _ in range(2):  # what the first lets go of, the second finds as garbage
+        C.release(spark)
+        time.sleep(0.5)
     informed = C.stage(S.informed(shards, told), "lm-contexts")
     C.unstage(shards, told)
     C.release(spark)

@@ -25,7 +25,7 @@ from ledgerloom.llm import common as C
 from ledgerloom.llm import lm_scoring as M
 
 #: Bytes of text in a piece, and of text for each shard.
-PIECE_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
+PIECE_BYTES, SHARD_BYTES = 8 << 20, 6 << 20
 #: Bytes of text of the sample that sets the bounds of shards; one of so many of its pairs is taken, with tokens shorter than LONG.
 SAMPLE_BYTES, SAMPLED, LONG = 8 << 20, 64, 64
 #: Rows whose contexts are followed at a time, and nodes in a step.
@@ -242,7 +242,7 @@ class Shard:
         # whole beginnings of tokens that no other shard can have are complete here
         shut = np.array([(order <= 0) | (place < order) for order, _ in M.ORDERS[1:]]) & (place > deep)
         key, self.at = grouped(keyed(ctx[1:], np.broadcast_to(self.data, ctx[1:].shape)).ravel())
-        self.at = self.at.reshape(ctx[1:].shape)
+        self.at = self.at.reshape(ctx[1:].shape).astype(np.int32)
         self.key, self.open = key, np.ones(len(key), bool)
         self.open[self.at[shut]] = False
         once = ctx[1:] != ctx[-1]
@@ -280,7 +280,7 @@ class Shard:
         return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
 
     def answered(self, key: np.ndarray, path: np.ndarray) -> None:
-        self.asked_key, self.asked_path = key, path
+        self.asked_key, self.asked_path = key, path.astype(np.int32) if path.max(initial=0) < 1 << 31 else path
         own = M.paths(self.key & ~_LOW, (self.key & _LOW).astype(np.int64), self.count)
         own[self.open] = path[np.searchsorted(key, self.key[self.open])]
         self.found = own.astype(np.int32) if own.max(initial=0) < 1 << 31 else own
