@@ -25,13 +25,14 @@ ignored. A very long text is tokenised whole in one task, with about 60 bytes of
 
 from __future__ import annotations
 
-import hashlib
 import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +59,8 @@ GATES = SEEN * OFTEN * 2
 CURVE = 33
 PRIOR = 0.1
 RATE = 0.05
-FLUSH = 300_000
+#: A slice of texts does not tell of words that at most one in so many of them have, but for their bound.
+RARE = 256
 SEGMENT = 1 << 13
 
 _U = np.uint64
@@ -70,21 +72,22 @@ def token_bytes(word: bytes) -> bytes:
     return word if word == END else word + b" "
 
 
-def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all tokens, the token of each, and a hash of each order's context; ``before``: hash of the word before each."""
+def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None = None, new: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all tokens, the token of each, and a hash of each order's context; ``before``: hash of the word before each; ``new``: which of the bytes are told of."""
     parts = [token_bytes(w) for w in words]
     data = np.frombuffer(b"".join(parts), np.uint8)
     size = np.array([len(p) for p in parts], np.int64)
-    owner = np.repeat(np.arange(len(parts)), size)
-    starts = np.repeat(np.cumsum(size) - size, size)
-    place = np.arange(len(data)) - starts
-    out = np.empty((len(ORDERS), len(data)), np.uint64)
+    at = np.arange(len(data)) if new is None else np.flatnonzero(new)
+    owner = np.repeat(np.arange(len(parts)), size)[at]
+    starts = (np.cumsum(size) - size)[owner]
+    place = at - starts
+    out = np.empty((len(ORDERS), len(at)), np.uint64)
     wide = data.astype(np.uint64) + _U(1)
-    back = [np.zeros(len(data), np.uint64) for _ in range(max(n for n, _ in ORDERS))]
     kind = (classes.astype(np.uint64) + _U(1))[owner] * _B
-    for k, x in enumerate(back, 1):
-        x[k:] = wide[:-k] if k < len(wide) else 0
-        x[place < k] = 0
+    back = []
+    for k in range(1, 1 + max(n for n, _ in ORDERS)):
+        back.append(wide[np.maximum(at - k, 0)])
+        back[-1][place < k] = 0
     power = np.full(len(data) + 1, _A, np.uint64)
     power[0] = 1
     power = np.cumprod(power, dtype=np.uint64)
@@ -95,12 +98,12 @@ def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(wide * power[:-1], dtype=np.uint64)))
     for row, (order, classed) in enumerate(ORDERS):
         if order > 0:
-            h = np.full(len(data), order, np.uint64)
+            h = np.full(len(at), order, np.uint64)
             for x in back[:order]:
                 h = (h ^ x) * _A
                 h ^= h >> _U(31)
         else:  # the prefix as a polynomial from the token's start, and its length
-            h = ((total[:-1] - total[starts]) * undo[starts] ^ place.astype(np.uint64)) * _B
+            h = ((total[at] - total[starts]) * undo[starts] ^ place.astype(np.uint64)) * _B
             if order == ACROSS and before is not None:
                 h ^= h >> _U(29)
                 h = (h ^ before.astype(np.int64).view(np.uint64)[owner]) * _A
@@ -108,7 +111,7 @@ def contexts(words: list[bytes], classes: np.ndarray, before: np.ndarray | None
         out[row] = (h ^ kind if classed else h) + _U((row + 1) * int(_B) & (1 << 64) - 1)
     for row, (order, _) in enumerate(ORDERS):  # near the start these are the whole token so far, which is asked about once
         out[row, place < order] = out[-1, place < order]
-    return data, owner, out
+    return data[at], owner, out
 
 
 class Shared:
@@ -122,7 +125,7 @@ class Shared:
         parts = [token_bytes(w) for w in words]
         self.size = np.array([len(p) for p in parts], np.int64)
         self.start = np.cumsum(self.size) - self.size
-        head = np.array([p[:WIDE].ljust(WIDE, b"\0") for p in parts], f"S{WIDE}").view(np.uint8).reshape(len(parts), WIDE) if parts else np.zeros((0, WIDE), np.uint8)
+        head = np.array(parts, f"S{WIDE}").view(np.uint8).reshape(len(parts), WIDE) if parts else np.zeros((0, WIDE), np.uint8)
         equal = np.zeros((len(parts), WIDE), bool)
         equal[1:] = (head[1:] == head[:-1]) & (classes[1:] == classes[:-1])[:, None]
         self.lcp = np.minimum(np.where(equal.all(axis=1), WIDE, (~equal).argmax(axis=1)), self.size)
@@ -169,9 +172,9 @@ class Shared:
 
 def tree(words: list[bytes], groups: np.ndarray, classes: np.ndarray, before: np.ndarray | None = None):
     """The Shared tokens (within groups), the byte of each node and the hashes of its contexts by order."""
-    data, _, ctx = contexts(words, classes, before)
     shared = Shared(words, groups)
-    return shared, data[shared.new].astype(np.int64), ctx[:, shared.new]
+    data, _, ctx = contexts(words, classes, before, shared.new)
+    return shared, data.astype(np.int64), ctx
 
 
 def segments(words: list[bytes], classes: np.ndarray):
@@ -206,13 +209,20 @@ def questions(data: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def paths(h: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For rows sorted by (context, byte): how often the context went on with the first 0 to 8 bits of the row's byte."""
-    out = np.empty((len(h), 9), np.int64)
-    other = np.ones(len(h), bool)
-    other[1:] = h[1:] != h[:-1]
-    for d in range(9):
-        first = other.copy()
-        first[1:] |= (byte[1:] >> (8 - d)) != (byte[:-1] >> (8 - d))
-        out[:, d] = np.add.reduceat(n, np.flatnonzero(first))[np.cumsum(first) - 1] if len(h) else 0
+    kind = np.int32 if n.sum() < 1 << 31 else np.int64
+    first = np.ones(len(h) + 1, bool)
+    first[1:-1] = h[1:] != h[:-1]
+    out = np.repeat(n.astype(kind)[:, None], 9, axis=1)  # as it is where a context has gone on with one byte
+    some = np.flatnonzero(~(first[:-1] & first[1:]))
+    if len(some):
+        byte, n, other = byte[some], n[some], first[some]
+        apart = np.full(len(some), 256)
+        apart[1:][~other[1:]] = (byte[1:] ^ byte[:-1])[~other[1:]]
+        part = np.empty((9, len(some)), kind)
+        for d in range(9):
+            at = np.flatnonzero(apart >= 1 << (8 - d))
+            part[d] = np.repeat(np.add.reduceat(n, at), np.diff(at, append=len(n)))
+        out[some] = part.T
     return out
 
 
@@ -310,6 +320,17 @@ class Chunk:
         self.hit = run[skip].reshape(-1, 8)
 
 
+def leaning(path: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``paths``, bit by bit: logit of the bit at hand, how often its context was seen, and whether with both bits."""
+    run = np.ascontiguousarray(path.T)
+    hit, miss = run[1:], run[:-1] - run[1:]
+    if leave_out:
+        hit = np.maximum(hit - 1, 0)
+    x, y = (np.log(c.astype(np.float32) + np.float32(PRIOR)) for c in (hit, miss))
+    x -= y
+    return np.ascontiguousarray(x.T), np.ascontiguousarray((hit + miss).T), np.ascontiguousarray(((hit > 0) & (miss > 0)).T)
+
+
 def opinion(hit: np.ndarray, total: np.ndarray, bits: np.ndarray, leave_out: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Logit of a 1, how often the context was seen, and whether with both bits; hit: how often it went on with the bit at hand."""
     miss = total - hit
@@ -375,6 +396,24 @@ def start_curve() -> np.ndarray:
     return np.tile(1 / (1 + np.exp(-z)), (GATES, 1))
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in lower case, one after the other, and how many each text has; a null text has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()) if pa.types.is_large_string(texts.type) else texts))
+    words, size = lists.flatten().cast(pa.binary()), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    real = np.asarray(pc.binary_length(words)) > 0  # white space at an end of a text leaves an empty word there
+    if not real.all():
+        size = np.bincount(np.repeat(np.arange(len(size)), size)[real], minlength=len(size))
+        words = words.filter(pa.array(real))
+    return words, size
+
+
+def raw_of(words: pa.Array) -> list[bytes]:
+    """Bytes of a binary array without nulls."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    data = words.buffers()[2].to_pybytes() if len(words) and words.buffers()[2] else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 class Kinds:
     """The class of a document: the likeliest component of a mixture over marker words."""
 
@@ -390,34 +429,69 @@ class Kinds:
             total += k * self.logs[self.place[w]]
         return int(total.argmax())
 
+    def of(self, seq: np.ndarray, doc: np.ndarray, docs: int, words: pa.Array) -> np.ndarray:
+        """The class of each text: ``seq`` has its tokens as places in ``words``, ``doc`` the text of each."""
+        if not self.place:
+            return np.zeros(docs, np.int64)
+        place = pc.fill_null(pc.index_in(words, value_set=pa.array(list(self.place), pa.binary())), -1).to_numpy(zero_copy_only=False)[seq]
+        has, width = place >= 0, len(self.place)
+        n = np.bincount(doc[has] * width + place[has], minlength=docs * width).reshape(docs, width)
+        return (n @ self.logs[:-1] + self.logs[-1]).argmax(axis=1)
+
+
+def document_counts(docs: DataFrame, rare: int, only: pa.Array | None = None) -> DataFrame:
+    """(word, n, low) of words: how many training texts have each, as far as slices of the texts told of it, and the ``low`` of these slices; at a null word that of all slices; docs: held_out, text.
 
-def find_markers(docs: DataFrame) -> list[bytes]:
-    """The MARKERS words that the most training texts have, ties by the word; docs: held_out, text."""
+    A slice tells of words that more than ``low`` of its texts have, which is one in ``rare`` (0: of every word); ``only``: of these alone, whatever their number.
+    """
 
     def run(batches):
-        found = Counter()
         for batch in C.slices(batches):
-            for t in C.raw(batch.column("text")):
-                found.update(set(t.lower().split()))
-            if len(found) > FLUSH:
-                yield pa.record_batch([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
-                found = Counter()
-        yield pa.record_batch([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+            words, size = split(batch.column("text"))
+            words = words.dictionary_encode()
+            width = max(1, len(words.dictionary))
+            pairs = np.sort(np.repeat(np.arange(len(size)), size) * width + words.indices.to_numpy())
+            n = np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] % width, minlength=width)[: len(words.dictionary)]
+            low = batch.num_rows // rare if rare and only is None else 0
+            kept = np.flatnonzero(n > low if only is None else pc.is_in(words.dictionary, value_set=only).to_numpy(zero_copy_only=False))
+            yield pa.record_batch([pa.array([*raw_of(words.dictionary.take(pa.array(kept))), None], pa.binary()), pa.array([*n[kept].tolist(), 0], pa.int64()), pa.array([low] * (len(kept) + 1), pa.int64())], names=["word", "n", "low"])
+
+    return docs.where("not held_out").select("text").mapInArrow(run, "word binary, n long, low long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("low").alias("low"))
+
 
-    counts = docs.where("not held_out").select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(MARKERS).collect()]  # MARKERS words
+def find_markers(docs: DataFrame, rare: int = RARE) -> list[bytes]:
+    """The MARKERS words that the most training texts have, ties by the word; docs: held_out, text.
+
+    Slices tell of frequent words only, with a bound for the others. Words that could be among the first by these bounds are
+    counted once more if a slice did not tell of one of them, and where the bounds decide nothing, all words are counted.
+    """
+    found = C.stage(document_counts(docs, rare), "lm-words")
+    low = (found.where("word is null").first() or {"low": 0})["low"]  # at most so many texts have a word that no slice tells of
+    near = found.where("word is not null")
+    if low:
+        top = [r["n"] for r in near.orderBy(F.desc("n")).limit(MARKERS).select("n").collect()]  # MARKERS numbers
+        if len(top) == MARKERS and top[-1] > low:
+            near = near.where(F.col("n") + F.lit(low) - F.col("low") >= top[-1])
+            if near.where(F.col("low") < low).limit(1).count():
+                # each of these is in more texts than top[-1] - low, so they are few beside the texts' words
+                near = document_counts(docs, rare, pa.array([bytes(r["word"]) for r in near.select("word").collect()], pa.binary())).where("word is not null")
+        else:
+            near = document_counts(docs, 0).where("word is not null")
+    out = [bytes(r["word"]) for r in near.orderBy(F.desc("n"), "word").limit(MARKERS).collect()]  # MARKERS words
+    C.unstage(found)
+    return out
 
 
 def marker_counts(docs: DataFrame, markers: list[bytes]) -> DataFrame:
     """(x, n): how often a training text has each marker (4 byte integers), and how many texts have just these counts."""
-    place = {w: i for i, w in enumerate(markers)}
+    own = pa.array(markers, pa.binary())
 
     def run(batches):
         for batch in C.slices(batches):
-            x = np.zeros((batch.num_rows, len(markers)), "<u4")
-            for i, t in enumerate(C.raw(batch.column("text"))):
-                for w, k in Counter(filter(place.__contains__, t.lower().split())).items():
-                    x[i, place[w]] = k
+            words, size = split(batch.column("text"))
+            place = pc.fill_null(pc.index_in(words, value_set=own), -1).to_numpy(zero_copy_only=False)
+            at = (np.repeat(np.arange(len(size)), size) * len(markers) + place)[place >= 0]
+            x = np.bincount(at, minlength=len(size) * len(markers)).reshape(len(size), len(markers)).astype("<u4")
             yield pa.record_batch([pa.array([r.tobytes() for r in x[x.any(axis=1)]], pa.binary())], names=["x"])
 
     return docs.where("not held_out").select("text").mapInArrow(run, "x binary").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
@@ -445,7 +519,10 @@ def summed(rows: DataFrame, width: int, step, add) -> bytes:
     def again(batches):
         yield from within(s for batch in batches for s in batch.column("s").to_pylist())
 
-    found = [bytes(r["s"]) for r in rows.mapInArrow(run, "s binary").repartition(PARTS).mapInArrow(again, "s binary").collect()]
+    sums = rows.mapInArrow(run, "s binary")
+    if rows.rdd.getNumPartitions() > PARTS:
+        sums = sums.repartition(PARTS).mapInArrow(again, "s binary")
+    found = [bytes(r["s"]) for r in sums.collect()]
     # sums of rounded numbers depend on their order: the driver's is fixed by value
     total = None
     for x in sorted(found):
@@ -517,10 +594,15 @@ class Hashes(dict):
     """Hashes of words, each made once."""
 
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        h = self[word] = int(hashed([word])[0].astype(np.int64))
         return h
 
 
+def hashed(words: list[bytes]) -> np.ndarray:
+    """64 bits of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def joined(tokens: list[bytes], hashes: Hashes) -> zip:
     """(hash of the word before, 0 at a text's start; word) of each token."""
     return zip([0, *map(hashes.__getitem__, tokens[:-1])], tokens, strict=True)
@@ -698,18 +780,31 @@ def score(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (C.crc_mod("doc_id", 7) == 2).alias("held_out"), "text")
     kinds, bounds = learn_kinds(dealt.select("held_out", "text")), S.bounds_of(dealt, int(size))
-    parts = len(bounds) + 1
-    path = S.apart(S.pieces(dealt, kinds, bounds))
-    shards = C.stage(S.merged(S.read(spark, path).where("not texts")), "lm-shards")
-    C.delete(spark, f"{path}/texts=false")
-    C.release(spark)
-    told = C.stage(S.answers(S.asks(shards, bounds, parts)), "lm-answers")
+    shards = len(bounds) + 1
+    parts, rounds = 1 + shards // 2, min(S.ROUNDS, shards)
+    path = S.apart(S.pieces(dealt, kinds, bounds), shards, rounds)
+    # round by round, so that what a shuffle holds and what it is made of lie on disk together for a part of the shards only
+    whole, informed = [], []
+    for k in range(rounds):
+        whole.append(C.stage(S.merged(S.read(spark, path, k)), "lm-shards"))
+        C.delete(spark, f"{path}/round={k}")
+        _settle(spark)
+    told = C.stage(S.by_round(S.answers(S.asks(S.union(whole), bounds, parts)), shards, rounds), "lm-answers", "snappy", "round")
+    _settle(spark)
+    for k in range(rounds):
+        informed.append(C.stage(S.informed(whole[k], told.where(F.col("round") == k).drop("round")), "lm-contexts"))
+        C.unstage(whole[k])
+        C.delete(spark, f"{told._staged_path}/round={k}")
+        _settle(spark)
+    C.unstage(told)
+    weights, curve, n, known, ends = S.learned(S.union(informed), bounds, parts)
+    kind_cost = np.log10((ends + 1) / (ends.sum() + CLASSES)).tolist()
+    costs = C.stage(S.costs(S.union(informed), bounds, parts, weights, curve), "lm-costs")
+    C.unstage(*informed)
+    return S.scored(S.read(spark, path, S.TEXTS), costs, kind_cost, n, known, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+
+
+def _settle(spark) -> None:
     for _ in range(2):  # what the first lets go of, the second finds as garbage
         C.release(spark)
-        time.sleep(0.5)
-    informed = C.stage(S.informed(shards, told), "lm-contexts")
-    C.unstage(shards, told)
-    C.release(spark)
-    weights, curve, n, known, ends = S.learned(informed, bounds, parts)
-    kind_cost = np.log10((ends + 1) / (ends.sum() + CLASSES)).tolist()
-    return S.scored(S.read(spark, path).where("texts"), S.costs(informed, bounds, parts, weights, curve), kind_cost, n, known, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+        time.sleep(0.3)

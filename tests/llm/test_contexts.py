@@ -22,6 +22,31 @@ def test_kinds_come_from_all_training_texts(spark):
     assert set(lm_scoring.learn_kinds(docs).place) == {f"w{k:02}".encode() for k in range(16, 80)}
 
 
+def test_markers_are_exact_though_rare_words_stay_in_their_tasks(spark):
+    """Every word of every text was sent and summed up; now a slice tells of frequent words, with a bound for the others."""
+    rng = random.Random(6)
+    texts = [" ".join([f"r{i}x{k}" for k in range(20)] + [f"w{k:02}" for k in range(90) if rng.random() < 0.3 + k / 300]) for i in range(1200)]
+    texts[:300] = ["only here " + t for t in texts[:300]]
+    docs = spark.createDataFrame([(i, i % 7 == 2, t) for i, t in enumerate(texts)] + [(9000, False, None)], "doc_id long, held_out boolean, text string").repartition(3)
+    count = Counter(w for i, t in enumerate(texts) if i % 7 != 2 for w in set(t.encode().split()))
+    want = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[: lm_scoring.MARKERS]]
+    for rare in (0, 1, 2, 4, 256):
+        assert lm_scoring.find_markers(docs, rare) == want
+    assert lm_scoring.document_counts(docs, 100).count() < 200 < 20_000 < len(count)
+    assert lm_scoring.find_markers(docs.limit(0)) == []
+
+
+def test_words_and_classes_of_many_texts_are_those_of_each():
+    texts = ["  A b\tC\x0b\x0cthe ", None, "", " ", "\u00e9\x01 \x85x THE the", "one\r\nof of"]
+    words, size = lm_scoring.split(lm_scoring.pa.array(texts))
+    plain = [(t or "").encode().lower().split() for t in texts]
+    assert lm_scoring.raw_of(words) == [w for t in plain for w in t] and size.tolist() == [len(t) for t in plain]
+    assert lm_scoring.raw_of(words.slice(2, 3)) == [w for t in plain for w in t][2:5]
+    kinds = lm_scoring.Kinds([b"the", b"of", b"none"], np.log(np.array([[0.6, 0.2], [0.1, 0.7], [0.3, 0.1], [0.5, 0.5]])))
+    words = words.dictionary_encode()
+    assert kinds.of(words.indices.to_numpy(), np.repeat(np.arange(len(size)), size), len(size), words.dictionary).tolist() == [kinds(t) for t in plain]
+
+
 def test_a_rare_kind_has_a_class_of_its_own(spark):
     rare, common = "la lo li lu le", "the of and to in"
     docs = spark.createDataFrame([(i, False, rare if i < 4 else " ".join([common] * (1 + i % 5))) for i in range(8000)], "doc_id long, held_out boolean, text string")

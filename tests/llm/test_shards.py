@@ -116,3 +116,53 @@ def test_what_is_staged_follows_the_pairs(spark, monkeypatch):
     monkeypatch.setattr(common, "stage", weighed)
     assert lm_scoring.score(spark.read.parquet(f"{TABLES}/documents.parquet")).count() == 1000
     assert sum(sizes) < 20_000
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="the tables are not there")
+def test_shards_are_put_together_in_rounds(spark, monkeypatch):
+    """Shards, answers and what is made of them were all staged, and shuffled, at once; more rounds, more of them are gone by then."""
+    held, stage = {}, common.stage
+
+    def weighed(df, name, *a):
+        out = stage(df, name, *a)
+        held[out._staged_path] = name
+        here = [p for p in held if os.path.isdir(p.removeprefix("file://"))]
+        at.append((name, Counter(held[p] for p in here)))
+        return out
+
+    at = []
+    monkeypatch.setattr(common, "stage", weighed)
+    monkeypatch.setattr(S, "SHARD_BYTES", 200_000)
+    assert lm_scoring.score(spark.read.parquet(f"{TABLES}/documents.parquet")).count() == 1000
+    made = [here for name, here in at if name == "lm-contexts"]
+    assert len(made) == S.ROUNDS and [x["lm-shards"] for x in made] == list(range(S.ROUNDS, 0, -1))
+    assert at[-1] == ("lm-costs", Counter({"lm-contexts": S.ROUNDS, "lm-costs": 1}))
+
+
+def test_parts_of_keys_keep_contexts_whole():
+    """Keys are dealt by range, a slice a part, so a shard is not searched once for each of them; hashes that rise survive their planes."""
+    key = np.unique(np.random.default_rng(2).integers(0, 1 << 64, 5000, np.uint64) | np.uint64(3))
+    key = np.unique(np.concatenate((key, key ^ np.uint64(1), key ^ np.uint64(200))))
+    for parts in (1, 2, 7, 300):
+        ends = S._ends(key, parts)
+        assert ends[0] == 0 and ends[-1] == len(key) and len(ends) == parts + 1 and ends == sorted(ends)
+        assert all((key[e - 1] >> np.uint64(8)) != (key[e] >> np.uint64(8)) for e in ends[1:-1] if 0 < e < len(key))
+    assert (S.unplaned(S.planes(key)) == key).all() and len(S.unplaned(S.planes(key[:0]))) == 0
+
+
+def test_a_context_within_the_token_is_weighed_once(spark, monkeypatch):
+    """Logits of contexts within a token were taken anew for each node and order that meets them."""
+    _, informed = _informed(spark, _bounds())
+    weighed, leaning = [], lm_scoring.leaning
+
+    def counted(path, leave_out):
+        weighed.append(len(path))
+        return leaning(path, leave_out)
+
+    monkeypatch.setattr(lm_scoring, "leaning", counted)
+    for shard, _ in S.shards_of(informed.toArrow().to_batches(), _bounds(), len(_bounds()) + 1):
+        weighed.clear()
+        told = [x for a, b in shard.batches() for x in shard.followed(a, b)]
+        across = sum(int((x[3 + 1] > 0).sum()) for x in told if len(x) == 5)
+        S.learn(shard)
+        assert sum(weighed) <= len(shard.key) + across + len(shard.data)
