@@ -131,6 +131,13 @@ def unstage(*frames: DataFrame) -> None:
                 delete(spark, path)
 
 
+def trim() -> None:
+    """Give memory that is free back to the system: a worker that goes on to other tasks would hold it."""
+    gc.collect()
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of tables that are staged by now: it does so when their plans are collected as garbage."""
     gc.collect()

@@ -177,6 +177,8 @@ def pieces(docs: DataFrame, kinds, bounds) -> DataFrame:
                 own, k = Piece(), k + 1
         if own.docs:
             yield from flush()
+        del own
+        C.trim()
 
     return docs.mapInArrow(run, _PIECES)
 
@@ -446,13 +448,17 @@ def answers(asked: DataFrame) -> DataFrame:
     """(shard, part, packed paths of what it asked, in order; null where no other shard has the context)."""
 
     def run(table: pa.Table) -> pa.Table:
+        C.trim()
         parts = [(unplaned(opened(x)[0]), opened(n)[0]) for x, n in zip(table.column("asked").to_pylist(), table.column("counts").to_pylist(), strict=True)]
         key, at = grouped(np.concatenate([p[0] for p in parts]), "stable")
         n = np.bincount(at, np.concatenate([p[1] for p in parts]), len(key)).astype(np.int64)
         h = key & ~_LOW
         path, context = M.paths(h, (key & _LOW).astype(np.int64), n), np.cumsum(np.diff(h, prepend=h[:1]) != 0)
         lists = np.split(at, np.cumsum([len(p[0]) for p in parts])[:-1])
-        askers = sum(np.bincount(np.unique(context[x]), minlength=int(context[-1]) + 1) for x in lists)
+        askers = np.zeros(int(context[-1]) + 1, np.int64)
+        for x in lists:  # each is in order
+            own = context[x]
+            askers[own[np.diff(own, prepend=-1) > 0]] += 1
         told = []
         for x in lists:
             shared = askers[context[x]] > 1
@@ -489,6 +495,7 @@ def told_shard(batch, i: int, bounds: list, parts: int) -> Shard:
 
 def shards_of(batches, bounds: list, parts: int):
     """(Shard, row of the batch) with the counts of all shards; none is kept here while the next is made."""
+    C.trim()
     for batch in batches:
         for i in range(batch.num_rows):
             yield told_shard(batch, i, bounds, parts), batch.slice(i, 1)
